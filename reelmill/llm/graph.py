@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +23,30 @@ def _are_stars(edges: DataFrame) -> bool:
     return not ends.groupBy("x").agg(F.sum("leaf").alias("n"), F.max("head").alias("h")).filter("n > 1 or (n = 1 and h = 1)").limit(1).count()
 
 
+#: Up to so many edges a single task finds the components; its memory is bounded by that.
+ONE_TASK_EDGES = 500_000
+
+
+def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := above.setdefault(x, x)) != x:
+            above[x] = x = above[y]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = top(a), top(b)
+            above[max(a, b)] = min(a, b)
+    nodes = list(above)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([top(x) for x in nodes], pa.int64())], ["node", "component"])
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node each node reaches, for nodes that have an edge (a, b), a != b."""
+    if edges.limit(ONE_TASK_EDGES + 1).count() <= ONE_TASK_EDGES:
+        return edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a != b").coalesce(1).mapInArrow(_union_find, "node long, component long")
     now = stash(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "edges")
     for _ in range(most_rounds):
         if _are_stars(now):

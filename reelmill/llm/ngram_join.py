@@ -1,19 +1,19 @@
 """Documents linked by the Jaccard similarity of their word n-gram sets, exact, without all pairs.
 
 The product of the document-by-n-gram incidence matrix with its transpose is what has to be thresholded.
-It is never formed. Three size-derived bounds keep almost all of it out:
+It is never formed. Bounds that follow from the sizes of the sets keep almost all of it out:
 
 * Rows that are equal are one row (a class of copies).
-* For a similarity of num/den, two sets of at most u n-grams differ in at most D = 2u(den-num)/(den+num)
-  n-grams. The n-gram columns are cut into k > D blocks by hash; then at least k - D column blocks of two
-  linked rows are identical. So only rows that agree in a whole block meet (a signature per block), which
-  neither a frequent word nor a passage that many documents share brings about. Blocks with at most one
-  n-gram are left out where the count of such blocks proves that another one agrees too.
-* Set sizes must be within num/den of each other; sizes are cut into bands with block counts of their own.
-
-Rows that meet are compared with one pivot row of their signature, not with each other; overlap counts of the
-sparse rows are accumulated for those pairs and held against the bound num*|A or B| <= den*|A and B|.
-Only where the links found so far leave a signature's rows in several components are more pairs compared:
+* Under any fixed order of the columns, two rows of similarity num/den share one of their first
+  p = n - ceil(n * num / den) + 1 columns. The order here is by block: columns of a hashed block first, those
+  in fewest rows before the others, then all other columns by hash. So a row's first columns are its own
+  alone if it has no near copy, and neither frequent words nor passages that many documents share bring
+  rows together. Only the block's columns have to be counted.
+* Set sizes must be within num/den of each other.
+
+Rows that meet in a column are compared with one pivot row of it, not with each other; overlap counts of the
+sparse rows are accumulated for those pairs and held against num * |A or B| <= den * |A and B|.
+Only where the links found so far leave a column's rows in several components are more pairs compared:
 first with further pivots, then all pairs between different components, so that no link is lost.
 """
 
@@ -28,96 +28,53 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .shared import stash
-from .words import U, Words, mix, mix_int, shingle_sets, slices
+from .words import Words, mix, shingle_sets, slices
 
-BAND_RATIO = 1.4
+#: The block holds so many times the columns that a row's bound asks for, on average.
+BLOCK_SHARE = 1.3
 #: At most so many more pivots are tried before all pairs between components are compared; and these are
 #: compared at once where they are no more than so many times the rows that have met.
 PIVOT_ROUNDS = 4
 PAIRS_PER_ROW = 4
 
 
-class Bands:
-    """Bands of set sizes, and the number of blocks and the largest difference in each."""
-
-    def __init__(self, num: int, den: int):
-        self.num, self.den = num, den
-        self.low = [1]
-        self.plan: dict[int, tuple[int, int]] = {}
-
-    def start(self, j: int) -> int:
-        while len(self.low) <= j:
-            b = self.low[-1]
-            self.low.append(max(b + 1, int(b * BAND_RATIO)))
-        return self.low[j]
-
-    def of(self, n: int) -> int:
-        while self.low[-1] <= n:
-            self.start(len(self.low))
-        return int(np.searchsorted(self.low, n, side="right")) - 1
-
-    def schemes(self, n: int) -> list[int]:
-        """The bands in which a set of size n may meet another that is at least as large, or as small."""
-        j = self.of(n)
-        found = [j]
-        while self.den * n >= self.num * self.start(j + 1):
-            j += 1
-            found.append(j)
-        return found
-
-    def blocks(self, j: int) -> tuple[int, int]:
-        """(k, D): with at least k - D of k blocks equal, and k large enough to leave small blocks out mostly."""
-        if j not in self.plan:
-            low, up = self.start(j), self.start(j + 1) - 1
-            d = 2 * up * (self.den - self.num) // (self.den + self.num)
-            k = d + 1
-            while k < 2 * d + 2 and k - d <= 1.3 * k * np.exp(-low / k) * (1 + low / k) + 1:
-                k += 1
-            self.plan[j] = (k, d)
-        return self.plan[j]
-
-    def signatures(self, s: np.ndarray) -> np.ndarray:
-        """Signatures of a sorted set of hashes, one for each block that has to be held against other sets."""
-        n = len(s)
-        out = []
-        top = s >> U(32)
-        spread = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(s ^ U(0x5851F42D4C957F2D)), dtype=np.uint64)))
-        for j in self.schemes(n):
-            k, d = self.blocks(j)
-            edges = np.searchsorted((top * U(k)) >> U(32), np.arange(k + 1, dtype=np.uint64))
-            size = np.diff(edges)
-            sums = spread[edges[1:]] - spread[edges[:-1]]
-            tag = mix(np.arange(k, dtype=np.uint64) + (U(j) << U(40)) + (size.astype(np.uint64) << U(20)))
-            sig = mix(sums + tag)
-            small = size <= 1
-            out.append(sig[~small] if small.sum() < k - d else sig)
-        return np.concatenate(out)
-
-
-def _fingerprints(n: int, num: int, den: int):
-    bands = Bands(num, den)
+def first_columns(n: int, num: int, den: int) -> int:
+    """How many of its first columns a row of n has to show."""
+    return n - (num * n + den - 1) // den + 1
+
+
+def _marks(n: int):
+    """Size and 128-bit digest of each text's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in slices(batch.column(1)):
+                sets = list(shingle_sets(Words(data, offsets), n))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *_digests(sets)], ["doc_id", "n_shingles", "k1", "k2"])
+
+    return run
+
+
+def _digests(sets: list[np.ndarray]) -> list[pa.Array]:
+    k1 = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64)
+    k2 = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
+    return [pa.array([len(s) for s in sets], pa.int64()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))]
+
+
+def _columns(n: int, num: int, den: int):
+    """The columns of each text's set that may be among its first: those of the block, or else its lowest."""
+    border = np.uint64(int(min(1.0, BLOCK_SHARE * (den - num) / den) * (1 << 64)) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ids = batch.column(1), batch.column(0)
-            for lo, hi, data, offsets in slices(texts):
-                size, k1, k2, sigs = [], [], [], []
-                for s in shingle_sets(Words(data, offsets), n):
-                    size.append(len(s))
-                    k1.append(int(s.sum(dtype=np.uint64)) if len(s) else 0)
-                    k2.append(int(mix(s).sum(dtype=np.uint64)) if len(s) else 0)
-                    sigs.append(bands.signatures(s).view(np.int64) if len(s) else np.zeros(0, np.int64))
-                flat = np.concatenate(sigs) if sigs else np.zeros(0, np.int64)
-                ends = np.concatenate(([0], np.cumsum([len(x) for x in sigs]))).astype(np.int32)
+            for lo, hi, data, offsets in slices(batch.column(1)):
+                sets = list(shingle_sets(Words(data, offsets), n))
+                held = [s[: max(int(np.searchsorted(s, border)), first_columns(len(s), num, den))] for s in sets]
+                ends = np.concatenate(([0], np.cumsum([len(x) for x in held]))).astype(np.int32)
+                flat = np.concatenate(held).view(np.int64) if held else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(lo, hi - lo),
-                        pa.array(size, pa.int64()),
-                        pa.array(np.array(k1, np.uint64).view(np.int64)),
-                        pa.array(np.array(k2, np.uint64).view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                    ],
-                    ["doc_id", "n_shingles", "k1", "k2", "sigs"],
+                    [batch.column(0).slice(lo, hi - lo), *_digests(sets), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                    ["doc_id", "n_shingles", "k1", "k2", "held"],
                 )
 
     return run
@@ -176,18 +133,24 @@ def similarity_components(docs: DataFrame, n: int = 5, num: int = 80, den: int =
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    marks = stash(
-        texts.mapInArrow(_fingerprints(n, num, den), "doc_id long, n_shingles long, k1 long, k2 long, sigs array<long>"),
-        "ngram-marks",
-    )
+    key = "doc_id long, n_shingles long, k1 long, k2 long"
     same_set = ["k1", "k2", "n_shingles"]
-    classes = stash(
-        marks.filter("n_shingles > 0").groupBy(*same_set).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("class_size"), F.min_by("sigs", "doc_id").alias("sigs")),
-        "ngram-classes",
-    )
+    marks = stash(texts.mapInArrow(_marks(n), key), "ngram-marks")
+    classes = stash(marks.filter("n_shingles > 0").groupBy(*same_set).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("class_size")), "ngram-classes")
     named = classes.filter("rep is not null")
-    entries = named.select(F.explode("sigs").alias("sig"), F.col("rep").alias("node"))
-    met = stash(entries.groupBy("sig").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("sig", "a"), "ngram-met")
+    # One row of columns for each class, whichever of its texts they come from.
+    columns = stash(
+        texts.mapInArrow(_columns(n, num, den), f"{key}, held array<long>").filter("n_shingles > 0 and doc_id is not null").groupBy(*same_set).agg(F.min("doc_id").alias("node"), F.min_by("held", "doc_id").alias("held")),
+        "ngram-columns",
+    )
+    entries = columns.select("node", F.explode("held").alias("sig"))
+    shared = stash(entries.groupBy("sig").agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1"), "ngram-shared")
+    asked = F.expr(f"n_shingles - (n_shingles * {num} + {den - 1}) div {den} + 1")
+    by_row = entries.join(shared, "sig").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n_rows", F.shiftrightunsigned("sig", 1).alias("place"), "sig"))).alias("s"))
+    # Columns of one row alone come first in the order and meet nobody; what is left of the bound is taken from the others.
+    first = by_row.join(columns.select("node", "n_shingles", F.size("held").alias("n_held")), "node").withColumn("left", (asked - F.col("n_held") + F.size("s")).cast("int"))
+    entries = stash(first.filter("left > 0").select("node", F.explode(F.slice("s", 1, F.col("left"))).alias("x")).select("node", F.col("x.sig").alias("sig")), "ngram-first")
+    met = stash(entries.groupBy("sig").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1").select("sig", "a"), "ngram-met")
     lists = stash(entries.join(met, "sig").select("sig", "a", F.col("node").alias("b")), "ngram-lists")
     pairs = stash(lists.filter("a != b").select("a", "b").distinct(), "ngram-pairs")
     nodes = stash(lists.select(F.col("b").alias("node")).distinct(), "ngram-nodes")
@@ -233,21 +196,21 @@ def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _several(members: DataFrame, part: DataFrame) -> DataFrame:
-    """(sig, node, component) of signatures whose rows lie in more than one component."""
+    """(sig, node, component) of columns whose rows lie in more than one component."""
     labelled = members.join(part, "node")
     several = labelled.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("sig")
     return labelled.join(several, "sig", "left_semi")
 
 
 def _pairs_between(open_lists: DataFrame) -> int:
-    """How many pairs of rows of one signature lie between components."""
+    """How many pairs of rows of one column lie between components."""
     each = open_lists.groupBy("sig", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
     of_sig = each.groupBy("sig").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
     return int(of_sig.agg(F.sum("pairs")).first()[0] or 0)
 
 
 def _next_pivots(open_lists: DataFrame, turn: int) -> DataFrame:
-    """Pairs of one more pivot of each signature, picked by a hash, with the rows outside its component."""
+    """Pairs of one more pivot of each column, picked by a hash, with the rows outside its component."""
     pick = F.xxhash64(F.col("node"), F.lit(turn))
     pivots = open_lists.groupBy("sig").agg(F.min_by(F.struct("node", "component"), pick).alias("p")).select("sig", F.col("p.node").alias("p"), F.col("p.component").alias("pc"))
     rows = open_lists.join(pivots, "sig").filter("component != pc")
@@ -255,7 +218,7 @@ def _next_pivots(open_lists: DataFrame, turn: int) -> DataFrame:
 
 
 def _all_between(open_lists: DataFrame) -> DataFrame:
-    """Every pair of a signature's rows that lies between two components: what links may still be hidden in."""
+    """Every pair of a column's rows that lies between two components: what links may still be hidden in."""
     left = open_lists.select("sig", F.col("node").alias("a"), F.col("component").alias("ca"))
     right = open_lists.select("sig", F.col("node").alias("b"), F.col("component").alias("cb"))
     return left.join(right, "sig").filter("a < b and ca != cb").select("a", "b").distinct()

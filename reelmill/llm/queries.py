@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import attach
-from . import bpe, exact_dedup, ngram_join, packing, sharding
+from . import bpe, exact_dedup, html_text, ngram_join, packing, pii, quality, sharding, toxicity, vptree
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,26 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(_table(spark, sf_dir, "documents"))
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest_neighbours(_table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -35,7 +55,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_exact_dedup, op2_bpe, op3_sharding, op9_packing, op10_ngram_join]
+    found = [op1_exact_dedup, op2_bpe, op3_sharding, op4_toxicity, op5_pii, op6_html_text, op7_nearest, op8_quality, op9_packing, op10_ngram_join]
     return {f.__name__: f for f in found}
 
 
