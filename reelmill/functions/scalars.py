@@ -116,7 +116,7 @@ def instant(epoch: Column | str) -> Column:
 
 def folded_contains(text: Column | str, keyword: str) -> Column:
     """The keyword stands in the text, whatever the case and the accents of either."""
-    strip = lambda c: F.translate(c, "đĐ", "dD").collate("UNICODE_CI_AI")
+    strip = lambda c: F.collate(F.translate(c, "đĐ", "dD"), "UNICODE_CI_AI")
     return F.coalesce(F.contains(strip(_c(text)), strip(F.lit(keyword))), F.lit(False))
 
 

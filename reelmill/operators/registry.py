@@ -54,7 +54,8 @@ def baseline_issues(clips: DataFrame, fields: dict[str, float | None]) -> DataFr
         value = F.nullif(F.col(field).cast("string"), F.lit(""))
         base = F.first(value, ignorenulls=True).over(w)
         parts.append(F.struct(F.lit(field).alias("field"), value.alias("value"), base.alias("baseline"), F.lit(tolerance).cast("double").alias("tolerance")))
-    rows = clips.filter("source_id != ''").select("clip_id", "source_id", F.explode(F.array(*parts)).alias("f")).select("clip_id", "source_id", "f.*")
+    based = clips.filter("source_id != ''").select("clip_id", "source_id", F.array(*parts).alias("fs"))
+    rows = based.select("clip_id", "source_id", F.explode("fs").alias("f")).select("clip_id", "source_id", "f.*")
     same = F.when(F.col("tolerance").isNull(), F.col("value") == F.col("baseline")).otherwise(F.coalesce(F.abs(S.number("value") - S.number("baseline")) <= F.col("tolerance"), F.lit(False)))
     return rows.filter(F.col("value").isNotNull() & ~same).select("clip_id", "source_id", "field", "value", "baseline")
 
