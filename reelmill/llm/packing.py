@@ -17,8 +17,10 @@ from .byte_ids import ByteIds
 
 MODEL = public_tokenizers.path("byte_bpe_50k.json")
 CAPACITY = 2048
+#: What doesn't fill a sequence is cut into pieces of so many ids: small pieces leave little padding.
+PIECE = 512
 #: Pieces that are dealt into windows together. It bounds the memory of a task and the cost of differencing.
-GROUP = 1024
+GROUP = 1280
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
@@ -114,14 +116,13 @@ def _pack(encoder: Callable[[], ByteIds], end_id: int, capacity: int):
             for i, doc in enumerate(docs):
                 ids = ids_of(texts[i].as_py() or "") + tail
                 total = len(ids) // 4
-                for start in range(0, total, capacity):
-                    piece = ids[4 * start : 4 * (start + capacity)]
-                    length, crc = len(piece) // 4, zlib.crc32(piece)
-                    if length == capacity:
-                        rows.append((doc, start, length, crc, total, (part << 32) + number, 0))
-                        number += 1
-                    else:
-                        waiting.append((doc, start, length, crc, total))
+                whole = total - total % capacity
+                for start in range(0, whole, capacity):
+                    rows.append((doc, start, capacity, zlib.crc32(ids[4 * start : 4 * (start + capacity)]), total, (part << 32) + number, 0))
+                    number += 1
+                for start in range(whole, total, PIECE):
+                    piece = ids[4 * start : 4 * (start + PIECE)]
+                    waiting.append((doc, start, len(piece) // 4, zlib.crc32(piece), total))
                 if len(waiting) >= GROUP:
                     flush()
                 if len(rows) >= 20_000:
@@ -145,7 +146,7 @@ def pack(docs: DataFrame, model: str = MODEL, end_id: int = 1, capacity: int = C
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is its token ids and then ``end_id``. Full runs of ``capacity`` ids fill sequences of their own;
-    what is left of each document is dealt with that of others into windows whose sums are nearly equal.
+    what is left of each document is cut into small pieces and dealt with those of others into windows whose sums are nearly equal.
     Everything happens where the text is read, so nothing is shuffled; a sequence holds pieces of one input
     partition, and its id is that partition's number and a count within it. A task that runs again reads the
     same rows in the same order, so it numbers and deals them the same.
