@@ -1,0 +1,263 @@
+"""Exact dedup, BPE, sharding, n-gram join, PII and packing against plain versions of themselves."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from reelmill.llm import bpe, exact_dedup, ngram_join, packing, pii, sharding
+from reelmill.llm.byte_ids import ByteIds
+
+ODD = [
+    None, "", " ", "  a  b\n \n c ", "A b", "a B", "a b", "É", "é", "<|endoftext|> x<|startoftext|>", "it's we'LL I'm", "a　b ​ c\x1c d\x85 e \x1f", "日本語 テスト 123 ½ ²", "\n\n\n", "x" * 3000,
+    "é" * 500 + " ñ", "Ünïcode ΣΑΣ İstanbul ǅ", "á éx ö", "aaaaaaaaaaa bbbbb ababababab", "☃ 😀😀 x", "one", "one two", "one two three", "\ta\x0bb\x0cc", "word " * 4000,
+]
+
+
+def odd_rows():
+    rng = random.Random(0)
+    parts = ["a", "b", " ", "  ", "\n", "\t", "'s", "1", "é", "ß", ".", "<|endoftext|>", "x1", " \n", "日", "th", "in", "ing", "!!", "́"]
+    made = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 40))) for _ in range(60)]
+    return list(enumerate(ODD + made))
+
+
+def low(t):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+
+
+def brute_dedup(rows):
+    groups = collections.defaultdict(list)
+    for i, t in rows:
+        groups[low(t)].append(i)
+    return sorted((i, max(groups[low(t)]), len(groups[low(t)]), i == max(groups[low(t)]), hashlib.sha256(low(t).encode()).hexdigest()) for i, t in rows)
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_exact_dedup(docs, weak):
+    rows = odd_rows() + [(500 + i, "Copy of one text") for i in range(40)]
+    hash_of = {"hash_of": lambda c: F.length(c).cast("string")} if weak else {}  # most hashes then stand for several texts
+    got = exact_dedup.exact_dedup(docs(rows), **hash_of).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got) == brute_dedup(rows)
+
+
+def test_exact_dedup_edges(docs):
+    assert exact_dedup.exact_dedup(docs([])).count() == 0
+    got = exact_dedup.exact_dedup(docs([(1, "a"), (1, "a"), (None, "a"), (None, "b")])).collect()
+    rows = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got), key=str)
+    assert rows == sorted([(1, 1, 3, True), (1, 1, 3, True), (None, 1, 3, False), (None, None, 1, True)], key=str)
+    assert sorted(r.doc_id for r in exact_dedup.keep_one_of_each(docs([(1, "a"), (2, "A"), (3, "b")])).collect()) == [2, 3]
+
+
+def test_bpe_is_the_library(docs):
+    rows = odd_rows()
+    lib = Tokenizer.from_file(bpe.MODEL)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    ids = {i: lib.encode(t or "", add_special_tokens=False).ids for i, t in rows}
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.bpe_digests(docs(rows)).collect()}
+    assert got == {i: (len(x), sha(" ".join(map(str, x))), sha(lib.decode(x, skip_special_tokens=False))) for i, x in ids.items()}
+    encoded = bpe.bpe_encode(docs(rows))
+    assert {r.doc_id: r.ids for r in encoded.collect()} == ids
+    assert {r.doc_id: r.text for r in bpe.bpe_decode(encoded).collect()} == {i: lib.decode(x, skip_special_tokens=False) for i, x in ids.items()}
+    assert bpe.bpe_digests(docs([])).count() == 0
+
+
+def test_byte_ids_are_the_library():
+    ids = ByteIds.of(packing.MODEL)
+    for _, t in odd_rows():
+        assert np.frombuffer(ids(t or ""), "<u4").tolist() == ids.whole.encode(t or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 64, 1000, 4097])
+def test_permutation(n):
+    p = sharding.Permutation(n, seed=5)
+    x = p.forward(np.arange(n, dtype=np.uint64))
+    assert sorted(x.tolist()) == list(range(n))
+    assert p.inverse(x.astype(np.uint64)).tolist() == list(range(n))
+
+
+def test_sharding(docs):
+    rows = [*odd_rows(), (3, "again"), (None, "no id"), (None, "no id")]
+    a = sharding.shard(docs(rows)).toPandas()
+    b = sharding.shard(docs(rows[::-1])).toPandas()
+    key = ["row_number", "text_crc32", "size", "shard", "slot"]
+    assert a[key].sort_values(key).values.tolist() == b[key].sort_values(key).values.tolist()
+    counts = a.groupby("shard").size()
+    assert counts.max() - counts.min() <= 1 and len(counts) == 8
+    for _, g in a.groupby("shard"):
+        assert sorted(g.slot) == list(range(len(g)))
+    sizes = collections.Counter((zlib.crc32((t or "").encode()), 1 + len((t or "").encode())) for _, t in rows)
+    assert collections.Counter(zip(a.text_crc32, a["size"], strict=True)) == sizes
+    assert set(a.law) == {"rows"} and a.grown_shard.isna().all()
+    assert sharding.shard(docs([])).count() == 0
+
+
+def brute_components(rows, n, num, den):
+    sets, top = {}, {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i] = frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
+        top[i] = i
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                top[max(x, y)] = min(x, y)
+    return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def near_rows(seed, families=6, each=9, share=True):
+    """Families of edited copies, chains of them, and a passage that stands in all."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 4)))
+    passage = [word() for _ in range(30)]
+    rows = []
+    for _ in range(families):
+        base = [word() for _ in range(rng.choice((3, 8, 20, 60, 200)))]
+        if share:
+            base = base[: len(base) // 2] + passage + base[len(base) // 2 :]
+        for _ in range(each):
+            base = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 25))):
+                base[rng.randrange(len(base))] = word()
+            rows.append(" ".join(base))
+    rng.shuffle(rows)
+    return list(enumerate([*rows, None, "", "a", "a", "A b", "a  b\n"]))
+
+
+@pytest.mark.parametrize("n, num, seed", [(3, 90, 1), (5, 80, 2), (1, 50, 3)])
+def test_ngram_join(docs, n, num, seed, monkeypatch):
+    rows = near_rows(seed)
+    if seed == 2:  # small blocks, and pivots before all pairs
+        monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 4)
+        monkeypatch.setattr(ngram_join, "PAIRS_PER_ROW", 0)
+        monkeypatch.setattr(ngram_join, "PIVOT_ROUNDS", 1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similarity_components(docs(rows), n, num, 100).collect()}
+    assert got == brute_components(rows, n, num, 100)
+
+
+def test_ngram_join_edges(docs):
+    assert ngram_join.similarity_components(docs([])).count() == 0
+    got = ngram_join.similarity_components(docs([(4, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (9, None), (9, "  ")])).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in got) == [("2", 2, 2), ("4", 2, 2), ("9", 0, 9), ("9", 0, 9), ("None", 2, 2)]
+    kept = ngram_join.keep_one_of_each(docs([(4, "a b c d e f"), (2, "a b c d e f"), (7, "q"), (8, "")]))
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 7, 8]
+
+
+def test_components_without_the_single_task(spark, monkeypatch):
+    from reelmill.llm import graph
+
+    monkeypatch.setattr(graph, "ONE_TASK_EDGES", 0)
+    rng = random.Random(4)
+    edges = [(i, i + 1) for i in range(20)] + [(rng.randrange(30, 80), rng.randrange(30, 80)) for _ in range(30)]
+    got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    top = list(range(100))
+    for _ in range(100):
+        for a, b in edges:
+            top[a] = top[b] = min(top[a], top[b])
+    assert got == {x: top[x] for e in edges if e[0] != e[1] for x in e}
+
+
+def brute_spans(t):
+    out = {"email": [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]}
+    out["ip"] = [m.span() for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m.group().split("."))]
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    out["card"] = [m.span() for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if 13 <= len(digits(m.group())) <= 19 and pii.luhn(digits(m.group()))]
+    out["phone"] = [m.span() for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 9 <= len(digits(m.group())) <= 15]
+    return out
+
+
+def test_base_spans():
+    rng = random.Random(1)
+    parts = ["1", "23", "456", "0", ".", "-", " ", "@", "a", "b.c", "+", "(", ")", "@x", ".com", "@a.b", "4111111111111111", "é", "+1 (277) 555-9423", " 1.2.3.4", "%", "0000255"]
+    for _ in range(4000):
+        t = "".join(rng.choice(parts) for _ in range(rng.randint(1, 14)))
+        assert pii.base_spans(t) == brute_spans(t), t
+
+
+def test_viterbi_is_the_best_path():
+    import itertools
+
+    f, rng = pii.Field(), np.random.default_rng(0)
+    k = len(pii.LABELS)
+    f.moves, f.start = rng.normal(size=(k, k)), rng.normal(size=k)
+    size = np.array([1, 4, 2, 3])
+    e, begin = rng.normal(size=(size.sum(), k)), np.cumsum(size) - size
+    got = f.viterbi(e, begin, size)
+    for b, n in zip(begin, size, strict=True):
+        score = lambda p: f.start[p[0]] + sum(e[b + i, x] for i, x in enumerate(p)) + sum(f.moves[x, y] for x, y in itertools.pairwise(p))
+        assert got[b : b + n].tolist() == list(max(itertools.product(range(k), repeat=int(n)), key=score))
+
+
+def test_field_finds_and_leaves_alone(docs):
+    rows = [(1, "Please ask Mr. John Smith about it."), (2, "she lives at 12 Oak Street in town"), (3, 'x é token = "abc123def456abc123def4" y'), (4, "the road was long and the key of it is lost."), (5, None), (6, "a@b.co and +1 (277) 555-9423 or 4111111111111111 by 1.2.3.4")]
+    got = {r.doc_id: r for r in pii.find_pii(docs(rows)).collect()}
+    assert got[1].spans == "name:15:25" and got[2].spans == "address:13:26" and got[3].spans == "secret:13:35" and got[4].spans == ""
+    assert got[5].spans == "" and got[5].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert (got[6].n_email, got[6].n_ip, got[6].n_card, got[6].n_phone) == (1, 1, 1, 1)
+    base = ",".join(f"{k}:{s}:{e}" for k, spans in brute_spans(rows[5][1]).items() for s, e in spans)
+    assert got[6].base_sha256 == hashlib.sha256(base.encode()).hexdigest() and got[6].spans.startswith(base)
+    masked = {r.doc_id: r.text for r in pii.mask_pii(docs(rows)).collect()}
+    assert masked[6] == "[EMAIL] and [PHONE] or [CARD] by [IP]" and masked[4] == rows[3][1] and masked[5] is None
+    assert pii.find_pii(docs([])).count() == 0
+
+
+def test_held_out_rows_of_the_labelled_table():
+    f = pii.trained_field()
+    right = total = 0
+    for words, labels in pii.labelled_table(seed=99):
+        w = pii._words_of(" ".join(words))
+        out = f.viterbi(f.emissions(pii.Field.columns(pii.shapes(w), pii.cues(w), np.zeros(len(words), int))), np.array([0]), np.array([len(words)]))
+        right += sum(pii.LABELS[o] == x for o, x in zip(out, labels, strict=True))
+        total += len(words)
+    assert right / total > 0.97
+
+
+def test_packing(docs):
+    rng = random.Random(5)
+    rows = [*odd_rows(), (1, "again"), *((1000 + i, " ".join(rng.choice(["alpha", "beta", "ga"]) for _ in range(rng.randint(1, 3000)))) for i in range(40))]
+    ids_of = ByteIds.of(packing.MODEL)
+    got = packing.pack(docs(rows)).toPandas()
+    want = collections.Counter()
+    for i, t in rows:
+        want[(i, len(ids_of(t or "")) // 4 + 1)] += 1
+    whole = collections.Counter()
+    for (doc, total), g in got.groupby(["doc_id", "doc_tokens"]):
+        assert g.length.sum() == total * want[(doc, total)]
+        whole[(doc, total)] = want[(doc, total)]
+    assert whole == want
+    texts = dict(rows[:1] + rows[2:])
+    for r in got[got.doc_id >= 1000].itertuples():
+        ids = ids_of(texts[r.doc_id]) + (1).to_bytes(4, "little")
+        assert zlib.crc32(ids[4 * r.start : 4 * (r.start + r.length)]) == r.ids_crc32
+    for _, g in got.groupby("sequence_id"):
+        at = 0
+        for r in g.sort_values("offset").itertuples():
+            assert r.offset == at
+            at += r.length
+        assert at <= packing.CAPACITY
+    used = got.length.sum()
+    assert got.sequence_id.nunique() * packing.CAPACITY <= used * 1.1 + 4 * packing.CAPACITY
+    assert packing.pack(docs([])).count() == 0
+
+
+def test_differencing():
+    rng = random.Random(6)
+    for n in (1, 2, 5, 40, 200):
+        sizes = [rng.randint(1, 500) for _ in range(n)]
+        w = packing.windows(sizes, 2048)
+        assert sorted(i for x in w for i in x) == list(range(n))
+        assert all(sum(sizes[i] for i in x) <= 2048 for x in w)
+    with pytest.raises(ValueError):
+        packing.windows([3000], 2048)
