@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import catalog, dedupe, intervals, registry, rules, scoring, selection, split
+from ..operators import annotations, catalog, dedupe, intervals, registry, rules, scoring, selection, split, summaries
 from ..settings import SELECTION
 from . import views as V
 
@@ -561,3 +561,49 @@ def recover_interrupted(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("event_id") % 4 == 0, "RUNNING").when(F.col("event_id") % 4 == 1, "QUEUED").otherwise("DONE")
     jobs = V.table(spark, sf_dir, "events").filter("event_id % 3 = 0").select(F.col("event_id").alias("id"), F.col("event_id").alias("video_id"), kind.alias("status"), now.alias("updated_at"))
     return catalog.recover(items, jobs, now)[0].select(F.col("video_id").alias("event_id"), "local_status")
+
+
+@query(
+    f"""WITH {V.LOG}, r AS (SELECT DISTINCT user_id AS id FROM events), i AS (SELECT doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN 'COMPLETED' WHEN doc_id % 3 = 1 THEN 'FAILED' ELSE 'DISCOVERED' END AS s, CASE WHEN doc_id % 5 = 0 THEN 'is_upcoming' ELSE 'not_live' END AS l FROM documents WHERE doc_id % 2 = 0)
+        SELECT CAST(r.id AS VARCHAR) AS video_id, CASE WHEN s = 'COMPLETED' THEN 'skipped' WHEN i.id IS NULL THEN 'failed' WHEN l = 'is_upcoming' THEN 'waiting' WHEN s = 'FAILED' THEN 'retried' ELSE 'queued' END AS outcome FROM r LEFT JOIN i USING (id)"""
+)
+def request_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = V.table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("video_id"), F.lit(None).cast("string").alias("channel_hint"))
+    d = V.table(spark, sf_dir, "documents").filter("doc_id % 2 = 0")
+    n = F.col("doc_id") % 3
+    items = d.select(F.col("doc_id").cast("string").alias("video_id"), F.lit("c").alias("channel_id"), F.when(n == 0, "COMPLETED").when(n == 1, "FAILED").otherwise("DISCOVERED").alias("local_status"), F.when(F.col("doc_id") % 5 == 0, "is_upcoming").otherwise("not_live").alias("live_status"), F.lit(1).alias("capture_complete"))
+    return catalog.request_outcomes(requests, items, enabled_channels=2)
+
+
+@query(
+    """SELECT source AS source_id, count(*) AS candidates, count(*) FILTER (doc_id % 7 = 0) AS selected, round(100.0::DOUBLE * count(*) FILTER (doc_id % 7 = 0) / (SELECT count(*) FROM documents WHERE doc_id % 7 = 0), 2) AS percent FROM documents GROUP BY source"""
+)
+def selection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = V.table(spark, sf_dir, "documents")
+    return summaries.selection_summary(d.select(F.col("source").alias("source_id"), F.when(F.col("doc_id") % 7 == 0, "REVIEW_POOL").otherwise("NOT_SELECTED").alias("selection_status")))
+
+
+@query(f"WITH {_LINE_RULES} SELECT count(*) AS clips, count(*) FILTER (r = 0) AS status_pass, count(*) FILTER (r = 1) AS status_warning, count(*) FILTER (r = 2) AS status_fail FROM lines")
+def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, found = _line_issues(spark, sf_dir)
+    rolled = rules.roll_up(rows.select("id"), found, "id").withColumn("duration_sec", F.lit(1.0))
+    return summaries.quality_summary(rolled, found).select("clips", "status_pass", "status_warning", "status_fail")
+
+
+@query("SELECT conv_id, turn, CASE role WHEN 'user' THEN 'SW' WHEN 'assistant' THEN 'MO' ELSE 'Z' END || lpad(row_number() OVER (PARTITION BY conv_id, role ORDER BY turn)::VARCHAR, 2, '0') AS zone_id FROM conversations")
+def zone_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = V.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("conv_id").alias("camera_id"), F.lit("v").alias("view_id"), F.col("role").alias("zone_type"), F.col("turn").alias("ordinal"))
+    return annotations.numbered_zones(c, {"user": "SW", "assistant": "MO"}).select("conv_id", "turn", "zone_id")
+
+
+@query()
+def frame_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six small frames from each embedding, shifted by a row each, as one clip."""
+    from ..functions.frames import analyse_clips
+
+    e = V.table(spark, sf_dir, "embeddings")
+    byte = lambda x: F.lpad(F.hex(F.least(F.lit(255), F.greatest(F.lit(0), ((x + 1) * 127).cast("int")))), 2, "0")
+    pixels = F.transform("embedding", lambda x: F.repeat(byte(F.coalesce(x, F.lit(0.0))), 3))
+    shifted = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.concat(F.array_join(F.slice(pixels, i * 8 + 1, 64), ""), F.array_join(F.slice(pixels, 1, i * 8), "")))
+    clips_ = e.filter(F.size("embedding") == 64).select(F.col("vec_id").cast("string").alias("clip_id"), F.unhex(F.array_join(shifted, "")).alias("frames"), F.lit(6).alias("n"), F.lit(8).alias("height"), F.lit(8).alias("width"))
+    return analyse_clips(clips_).select("clip_id", "signal_status", "activity_score", "brightness_score", "visual_signature", F.array_join("keyframe_reasons", ";").alias("reasons"))
