@@ -40,4 +40,7 @@ def attach(spark: SparkSession) -> SparkSession:
             z.write(p, f"reelmill/{p.relative_to(PACKAGE).as_posix()}")
     sc.addPyFile(path)
     sc._reelmill_attached = True
+    # Long texts make large batches; where nobody has chosen otherwise, smaller ones bound the workers' memory.
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark
