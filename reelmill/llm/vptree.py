@@ -35,7 +35,7 @@ class VpTree:
         by = np.argsort(inverse, kind="stable")
         starts = np.searchsorted(inverse[by], np.arange(len(self.vectors)))
         ends = np.append(starts[1:], len(by))
-        self.ids = [ids[by[a : min(b, a + most)]] for a, b in zip(starts, ends, strict=True)]
+        self.ids = [np.unique(ids[by[a:b]])[:most] for a, b in zip(starts, ends, strict=True)]
         self.unit = self.vectors / np.sqrt((self.vectors * self.vectors).sum(1))[:, None]
         self.nodes: list[tuple] = []
         rng = np.random.default_rng(seed)

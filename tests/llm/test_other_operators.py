@@ -111,7 +111,7 @@ def test_neighbours(spark, monkeypatch):
     ids = rng.permutation(1000)[:300].tolist()
     good = [(i, [float(y) for y in x], 0) for i, x in zip(ids, v, strict=True)]
     bad = [(2000, None, 0), (2010, [0.0] * 8, 0), (2020, [1.0] * 7 + [None], 0), (2030, [float("nan")] * 8, 0), (2040, [float("inf")] * 8, 0), (None, [1.0] * 8, 0), (2050, [], 0), (2060, [1.0, 2.0], 0)]
-    df = spark.createDataFrame(good + bad, "vec_id long, embedding array<float>, label int")
+    df = spark.createDataFrame(good + good[:20] + bad, "vec_id long, embedding array<float>, label int")
     got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in vptree.nearest_neighbours(df, k=5, every=10).collect())
     assert got == brute_neighbours(ids, [g[1] for g in good], 10, 5)
     assert vptree.nearest_neighbours(df.limit(0)).count() == 0
