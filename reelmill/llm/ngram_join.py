@@ -28,14 +28,18 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .shared import stash
-from .words import Words, mix, shingle_sets, slices
+from .words import U, Words, mix, shingle_sets, slices
 
 #: The block holds so many times the columns that a row's bound asks for, on average.
 BLOCK_SHARE = 1.3
-#: At most so many more pivots are tried before all pairs between components are compared; and these are
-#: compared at once where they are no more than so many times the rows that have met.
+#: Further pivots are tried while the pairs between components are more than so many times the rows that have met.
 PIVOT_ROUNDS = 4
-PAIRS_PER_ROW = 4
+PAIRS_PER_ROW = 500
+#: Rows of a column that are held against each other at a time.
+BLOCK_ROWS = 512
+SKETCH_BITS = 2048
+#: Up to so many ids are broadcast to the scan that fetches their texts; beyond it that is a shuffled join.
+MOST_BROADCAST = 2_000_000
 
 
 def first_columns(n: int, num: int, den: int) -> int:
@@ -72,14 +76,24 @@ def _columns(n: int, num: int, den: int):
                 held = [s[: max(int(np.searchsorted(s, border)), first_columns(len(s), num, den))] for s in sets]
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in held]))).astype(np.int32)
                 flat = np.concatenate(held).view(np.int64) if held else np.zeros(0, np.int64)
+                sketches = pa.array([sketch(s) for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), *_digests(sets), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                    ["doc_id", "n_shingles", "k1", "k2", "held"],
+                    [batch.column(0).slice(lo, hi - lo), *_digests(sets), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), sketches],
+                    ["doc_id", "n_shingles", "k1", "k2", "held", "sketch"],
                 )
 
     return run
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parities of the columns of a row that fall on each of SKETCH_BITS places.
+
+    A column in which two rows differ changes one place, so two sketches differ in no more places than the rows in columns.
+    """
+    at = (mix(s ^ U(0x5851F42D4C957F2D)) >> U(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+
+
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,6 +104,80 @@ def _sets(n: int):
     return run
 
 
+def _sketches(column: pa.Array) -> np.ndarray:
+    width = SKETCH_BITS // 64
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, width)
+
+
+def _possible(na: np.ndarray, nb: np.ndarray, sa: np.ndarray, sb: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Row pairs that the sizes and the sketches don't rule out: linked rows differ in at most (na + nb)(den - num)/(den + num) columns."""
+    keep = den * np.minimum(na, nb) >= num * np.maximum(na, nb)
+    at = np.flatnonzero(keep)
+    for lo in range(0, len(at), 1 << 15):
+        i = at[lo : lo + (1 << 15)]
+        apart = np.bitwise_count(sa[i] ^ sb[i]).sum(1, dtype=np.int64)
+        keep[i] = apart * (den + num) <= (na[i] + nb[i]) * (den - num)
+    return keep
+
+
+def _prune(num: int, den: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            keep = pa.array(_possible(na, nb, _sketches(batch.column(4)), _sketches(batch.column(5)), num, den))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+
+    return run
+
+
+def _block_pairs(num: int, den: int):
+    """Possible pairs between the components of each block pair's rows. Rows come sorted by block pair."""
+
+    def pairs(rows: dict[str, np.ndarray], lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        node, part, side, n, sk = (rows[k][lo:hi] for k in ("node", "component", "side", "n", "sketch"))
+        two_blocks = rows["i"][lo] != rows["j"][lo]
+        found_a, found_b = [], []
+        step = max(1, (1 << 18) // (hi - lo))
+        for at in range(0, hi - lo, step):
+            r = np.arange(at, min(at + step, hi - lo))[:, None]
+            c = np.arange(hi - lo)[None]
+            maybe = (part[r] != part[c]) & ((side[r] < side[c]) if two_blocks else (r < c))
+            maybe &= den * np.minimum(n[r], n[c]) >= num * np.maximum(n[r], n[c])
+            x, y = np.nonzero(maybe)
+            x = x + at
+            keep = _possible(n[x], n[y], sk[x], sk[y], num, den)
+            found_a.append(node[x[keep]])
+            found_b.append(node[y[keep]])
+        a, b = np.concatenate(found_a), np.concatenate(found_b)
+        return np.minimum(a, b), np.maximum(a, b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def emit(table: pa.Table, cuts: list[int]) -> pa.RecordBatch:
+            rows = {k: table.column(k).to_numpy() for k in ("i", "j", "node", "component", "side", "n")}
+            rows["sketch"] = _sketches(table.column("sketch"))
+            out = [pairs(rows, lo, hi) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True) if hi - lo > 1]
+            a = np.concatenate([x for x, _ in out]) if out else np.zeros(0, np.int64)
+            b = np.concatenate([y for _, y in out]) if out else np.zeros(0, np.int64)
+            both = np.unique(np.stack((a, b), 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+        for batch in batches:
+            held.append(batch)
+            table = pa.Table.from_batches(held)
+            key = [table.column(k).to_numpy() for k in ("sig", "i", "j")]
+            new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+            if len(new):  # the last block pair may go on in the next batch
+                yield emit(table.slice(0, int(new[-1])), [0, *new.tolist()])
+                held = table.slice(int(new[-1])).to_batches()
+        if held:
+            table = pa.Table.from_batches(held)
+            yield emit(table, [0, table.num_rows])
+
+    return run
+
+
 def _overlaps(num: int, den: int):
     """Overlap counts for blocks of row pairs: both rows' sorted columns are merged and equal neighbours counted."""
 
@@ -110,11 +198,22 @@ def _overlaps(num: int, den: int):
     return run
 
 
-def _linked(pairs: DataFrame, grams: DataFrame, num: int, den: int) -> DataFrame:
-    """Of the pairs (a, b), those whose sets are similar enough."""
+def _possible_pairs(pairs: DataFrame, light: DataFrame, num: int, den: int) -> DataFrame:
+    """Of the pairs (a, b), those that sizes and sketches leave."""
+    side = lambda x: light.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_prune(num, den), "a long, b long")
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int, name: str) -> DataFrame:
+    """Of the pairs (a, b), those whose sets are similar enough, by counting their overlap."""
+    pairs = stash(pairs, f"ngram-{name}")
+    need = stash(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), f"ngram-need-{name}")
+    few = need.count() <= MOST_BROADCAST  # then no text is shuffled
+    rows = texts.join(F.broadcast(need) if few else need, texts["doc_id"] == need["node"], "left_semi").select("doc_id", "text")
+    grams = stash(rows.mapInArrow(_sets(n), "node long, grams binary").dropDuplicates(["node"]), f"ngram-grams-{name}")
     # The pivot (a) stands in many pairs and goes last, on the side that adaptive execution may split.
-    rows = pairs.join(grams.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b").join(grams.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a")
-    return rows.select("a", "b", "ga", "gb").mapInArrow(_overlaps(num, den), "a long, b long")
+    both = pairs.join(grams.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b").join(grams.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a")
+    return stash(both.select("a", "b", "ga", "gb").mapInArrow(_overlaps(num, den), "a long, b long"), f"ngram-links-{name}")
 
 
 def similarity_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -140,7 +239,7 @@ def similarity_components(docs: DataFrame, n: int = 5, num: int = 80, den: int =
     named = classes.filter("rep is not null")
     # One row of columns for each class, whichever of its texts they come from.
     columns = stash(
-        texts.mapInArrow(_columns(n, num, den), f"{key}, held array<long>").filter("n_shingles > 0 and doc_id is not null").groupBy(*same_set).agg(F.min("doc_id").alias("node"), F.min_by("held", "doc_id").alias("held")),
+        texts.mapInArrow(_columns(n, num, den), f"{key}, held array<long>, sketch binary").filter("n_shingles > 0 and doc_id is not null").groupBy(*same_set).agg(F.min("doc_id").alias("node"), F.min_by(F.struct("held", "sketch"), "doc_id").alias("s")).select("n_shingles", "node", "s.held", "s.sketch"),
         "ngram-columns",
     )
     entries = columns.select("node", F.explode("held").alias("sig"))
@@ -154,27 +253,26 @@ def similarity_components(docs: DataFrame, n: int = 5, num: int = 80, den: int =
     lists = stash(entries.join(met, "sig").select("sig", "a", F.col("node").alias("b")), "ngram-lists")
     pairs = stash(lists.filter("a != b").select("a", "b").distinct(), "ngram-pairs")
     nodes = stash(lists.select(F.col("b").alias("node")).distinct(), "ngram-nodes")
-    # Rows that meet nobody need no incidence row. Their text goes no further than this semi-join.
-    grams = stash(
-        texts.join(nodes, texts["doc_id"] == nodes["node"], "left_semi").select("doc_id", "text").mapInArrow(_sets(n), "node long, grams binary").groupBy("node").agg(F.min("grams").alias("grams")),
-        "ngram-grams",
-    )
-    links = stash(_linked(pairs, grams, num, den), "ngram-links")
-    tried, turn = pairs, 0
-    while True:
+    light = columns.select("node", F.col("n_shingles").alias("n"), "sketch")
+    links = _linked(_possible_pairs(pairs, light, num, den), texts, n, num, den, "stars")
+    tried, turn, last = pairs, 0, False
+    while not last:
         part = _labels(nodes, links)
         open_lists = stash(_several(lists.select("sig", F.col("b").alias("node")), part), f"ngram-open{turn}")
-        few = turn >= PIVOT_ROUNDS or _pairs_between(open_lists) <= PAIRS_PER_ROW * max(1, lists.count())
-        more = _all_between(open_lists) if few else _next_pivots(open_lists, turn)
-        more = stash(more.join(tried, ["a", "b"], "left_anti"), f"ngram-more{turn}")
-        if more.limit(1).count():
-            new = stash(_linked(more, grams, num, den), f"ngram-links{turn}")
-            if new.limit(1).count():
-                links = links.unionByName(new)
-                part = _labels(nodes, links) if few else part
-            tried = tried.unionByName(more)
-        if few:
+        rows, between = _sizes(open_lists)
+        if not rows:
             break
+        last = turn >= PIVOT_ROUNDS or between <= PAIRS_PER_ROW * rows
+        if last:
+            more = _all_between(open_lists, light, num, den).join(tried, ["a", "b"], "left_anti")
+        else:
+            asked_now = stash(_next_pivots(open_lists, turn).join(tried, ["a", "b"], "left_anti"), f"ngram-more{turn}")
+            tried = tried.unionByName(asked_now)
+            more = _possible_pairs(asked_now, light, num, den)
+        new = _linked(more, texts, n, num, den, f"turn{turn}")
+        if new.limit(1).count():
+            links = links.unionByName(new)
+            part = _labels(nodes, links) if last else part
         turn += 1
     found = part.filter("node != component")
     of_class = stash(
@@ -202,11 +300,12 @@ def _several(members: DataFrame, part: DataFrame) -> DataFrame:
     return labelled.join(several, "sig", "left_semi")
 
 
-def _pairs_between(open_lists: DataFrame) -> int:
-    """How many pairs of rows of one column lie between components."""
+def _sizes(open_lists: DataFrame) -> tuple[int, int]:
+    """How many rows there are, and how many pairs of rows of one column lie between components."""
     each = open_lists.groupBy("sig", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    of_sig = each.groupBy("sig").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
-    return int(of_sig.agg(F.sum("pairs")).first()[0] or 0)
+    of_sig = each.groupBy("sig").agg(F.sum("n").alias("n"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
+    n, pairs = of_sig.agg(F.sum("n"), F.sum("pairs")).first()
+    return int(n or 0), int(pairs or 0)
 
 
 def _next_pivots(open_lists: DataFrame, turn: int) -> DataFrame:
@@ -217,11 +316,20 @@ def _next_pivots(open_lists: DataFrame, turn: int) -> DataFrame:
     return rows.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
 
 
-def _all_between(open_lists: DataFrame) -> DataFrame:
-    """Every pair of a column's rows that lies between two components: what links may still be hidden in."""
-    left = open_lists.select("sig", F.col("node").alias("a"), F.col("component").alias("ca"))
-    right = open_lists.select("sig", F.col("node").alias("b"), F.col("component").alias("cb"))
-    return left.join(right, "sig").filter("a < b and ca != cb").select("a", "b").distinct()
+def _all_between(open_lists: DataFrame, light: DataFrame, num: int, den: int) -> DataFrame:
+    """Of every pair of a column's rows that lies between two components, those that sizes and sketches leave.
+
+    A column's rows are dealt into blocks of about BLOCK_ROWS, and each pair of blocks is one group: no task
+    holds more than two blocks, and no pair is made before it has passed.
+    """
+    blocks = open_lists.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    rows = open_lists.join(blocks, "sig").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")})
+    full = rows.join(light, "node").select("sig", "i", "j", "node", "component", "side", "n", "sketch")
+    parts = int(full.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = full.repartition(parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    return sorted_.mapInArrow(_block_pairs(num, den), "a long, b long").distinct()
 
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
