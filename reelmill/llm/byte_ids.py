@@ -36,7 +36,7 @@ def byte_alphabet() -> dict[str, int]:
 class ByteIds(dict):
     """Call with a text: its ids, four bytes each. As a mapping: part of a text to ids."""
 
-    LIMIT = 300_000
+    LIMIT = 150_000
     _made: dict[str, ByteIds] = {}
 
     @classmethod
