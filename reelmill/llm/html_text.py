@@ -27,63 +27,125 @@ NAMES = frozenset(
     "commentlist disqus respond reply replies share sharing social related recommended recommendations newsletter subscribe signup login "
     "search pagination pager toolbar copyright skip".split()
 )
+#: Names of what is a block of its own and can outgrow the article it stands beside.
+LONG = frozenset(
+    "ad ads adv advert adverts advertisement advertising adslot sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup "
+    "modal comment comments commentlist disqus respond reply replies newsletter".split()
+)
 ARTICLE = frozenset(("article", "main"))
+#: What may stand in a head; anything else ends it.
+IN_HEAD = frozenset("base link meta title style script noscript template".split())
+_SCOPE = frozenset("table td th caption button object template html body".split())
+_PARTS = _SCOPE | frozenset("ul ol menu dir dl article aside blockquote footer form header main nav section".split())
+#: The start of a key ends the nearest of the elements first named, unless one of the second stands between.
+ENDS = {
+    **{t: (frozenset(("p",)), _SCOPE) for t in BLOCK - frozenset("br body html caption tbody tfoot thead tr td th legend option optgroup summary figcaption".split())},
+    "li": (frozenset(("li", "p")), _PARTS),
+    "dt": (frozenset(("dt", "dd", "p")), _PARTS),
+    "dd": (frozenset(("dt", "dd", "p")), _PARTS),
+    "td": (frozenset(("td", "th")), frozenset(("table", "tr"))),
+    "th": (frozenset(("td", "th")), frozenset(("table", "tr"))),
+    "tr": (frozenset(("tr",)), frozenset(("table",))),
+    **{t: (frozenset(("tbody", "thead", "tfoot")), frozenset(("table",))) for t in ("tbody", "thead", "tfoot")},
+}
+ENDABLE = frozenset("p li dt dd td th tr tbody thead tfoot".split())
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
+SURE, NAMED, NAMED_LONG = 1, 2, 3
+
 
 class _Lines(HTMLParser):
-    """Collects lines: (pieces of text, tags met, characters inside links, the article they stand in)."""
+    """Collects lines: (text, tags met, characters inside links, the article they stand in).
+
+    What an element is leaves its text out for good; what it is only named leaves it out unless ``_shown`` finds
+    that the name is a layout's, so such text is kept with the named element it stands in until the page is read.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # tag, whether it hides its content, article number it opened
+        self.stack: list[tuple[str, int, int]] = []  # tag, how it hides its content, article number it opened
         self.hiding = 0
+        self.endable = 0
         self.articles: list[int] = [0]
         self.count = 0
         self.within: list[frozenset[int]] = [frozenset()]  # of each article number, itself and those around it
+        self.opened_in: list[int] = [0]  # of each article number, the named element around it
+        self.named: list[tuple[int, int]] = [(0, 0)]  # of each named element, the one around it and how it hides
+        self.chain: list[int] = [0]
         self.links = 0
-        self.lines: list[tuple[str, int, int, int]] = []
-        self.pieces: list[str] = []
+        self.blocks: list[tuple[list[tuple[str, int, bool]], int, int]] = []
+        self.pieces: list[tuple[str, int, bool]] = []  # text, the named element around it, whether in a link
         self.tags = 0
-        self.linked = 0
 
     def _break(self) -> None:
         if self.pieces:
-            text = " ".join("".join(self.pieces).split())
-            if text:
-                self.lines.append((text, self.tags, self.linked, self.articles[-1]))
-                self.tags = 0
+            self.blocks.append((self.pieces, self.tags, self.articles[-1]))
+            self.tags = 0
             self.pieces = []
-        self.linked = 0
 
-    def _hides(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _hides(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
         if tag in HIDDEN or tag in AROUND:
-            return True
+            return SURE
         if tag in ("body", "html"):
-            return False
+            return 0
         inside = self.articles[-1] > 0
         if tag == "header" and not inside:
-            return True
+            return SURE
+        named = 0
         for key, value in attrs:
             if key == "hidden" or key == "aria-hidden" and value == "true":
-                return True
+                return SURE
             if not value:
                 continue
             if key == "role" and value.lower() in ROLES:
-                return True
+                return SURE
             if key in ("class", "id") and tag not in ARTICLE or key == "class" and "comment" in value.lower():
                 words = _WORD.findall(_CAMEL.sub(" ", value).lower())
                 if not NAMES.isdisjoint(words) or not inside and "header" in words:
-                    return True
+                    named = max(named, NAMED if LONG.isdisjoint(words) else NAMED_LONG)
             if key == "style" and "display:none" in value.replace(" ", "").lower():
-                return True
-        return False
+                return SURE
+        return named
+
+    def _pop(self) -> str:
+        t, hides, opened = self.stack.pop()
+        self.hiding -= hides == SURE
+        if hides > SURE:
+            self.chain.pop()
+        self.links -= t == "a"
+        self.endable -= t in ENDABLE
+        if opened:
+            self.articles.pop()
+        return t
+
+    def _end_implied(self, tag: str) -> None:
+        """Closes what HTML lets go on without an end tag up to here."""
+        if tag == "body" and any(t == "head" for t, _, _ in self.stack):
+            while self._pop() != "head":
+                pass
+        elif self.stack and self.stack[-1][0] == "head" and tag not in IN_HEAD:
+            self._pop()
+        if not self.endable or tag not in ENDS:
+            return
+        ended, stops = ENDS[tag]
+        at = None
+        for i in range(len(self.stack) - 1, -1, -1):
+            t = self.stack[i][0]
+            if t in ended:
+                at = i
+                if t != "p":
+                    break
+            elif t in stops:
+                break
+        while at is not None and len(self.stack) > at:
+            self._pop()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
         if tag in BLOCK:
             self._break()
+        self._end_implied(tag)
         if tag in VOID:
             return
         hides = self._hides(tag, attrs)
@@ -92,9 +154,14 @@ class _Lines(HTMLParser):
             self.count += 1
             opened = self.count
             self.within.append(self.within[self.articles[-1]] | {opened})
+            self.opened_in.append(self.chain[-1])
             self.articles.append(opened)
-        self.hiding += hides
+        self.hiding += hides == SURE
+        if hides > SURE:
+            self.named.append((self.chain[-1], hides))
+            self.chain.append(len(self.named) - 1)
         self.links += tag == "a"
+        self.endable += tag in ENDABLE
         self.stack.append((tag, hides, opened))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -108,26 +175,58 @@ class _Lines(HTMLParser):
             self._break()
         if not any(t == tag for t, _, _ in reversed(self.stack)):
             return
-        while self.stack:  # what is still open inside ends with it
-            t, hides, opened = self.stack.pop()
-            self.hiding -= hides
-            self.links -= t == "a"
-            if opened:
-                self.articles.pop()
-            if t == tag:
-                break
+        while self._pop() != tag:  # what is still open inside ends with it
+            pass
 
     def handle_data(self, data: str) -> None:
+        if self.stack and self.stack[-1][0] == "head" and data.strip():
+            self._pop()
         if self.hiding or not data:
             return
-        self.pieces.append(data)
-        if self.links:
-            self.linked += len(data)
+        self.pieces.append((data, self.chain[-1], self.links > 0))
+
+    def _shown(self) -> list[bool]:
+        """Of each named element, whether its text is read after all.
+
+        It is where the element holds most of the page's text outside links, or the article with most of it: then it
+        is a layout named after one of its parts. Names of what can outgrow an article need both.
+        """
+        size = len(self.named)
+        prose, held, of_article = [0] * size, [False] * size, [0] * len(self.within)
+        for pieces, _, article in self.blocks:
+            for text, named, linked in pieces:
+                if not linked:
+                    n = len(text.strip())
+                    prose[named] += n
+                    of_article[article] += n
+        if self.count:
+            most = max(range(1, self.count + 1), key=of_article.__getitem__)
+            held[self.opened_in[most]] = of_article[most] > 0
+        for i in range(size - 1, 0, -1):
+            around = self.named[i][0]
+            prose[around] += prose[i]
+            held[around] |= held[i]
+        shown = [True] * size
+        for i in range(1, size):
+            around, how = self.named[i]
+            most_text = 2 * prose[i] > prose[0]
+            shown[i] = shown[around] and (most_text and held[i] if how == NAMED_LONG else most_text or held[i])
+        return shown
+
+    def _lines(self, shown: list[bool]) -> list[tuple[str, int, int, int]]:
+        lines, tags = [], 0
+        for pieces, met, article in self.blocks:
+            tags += met
+            text = " ".join("".join(t for t, named, _ in pieces if shown[named]).split())
+            if text:
+                lines.append((text, tags, sum(len(t) for t, named, linked in pieces if linked and shown[named]), article))
+                tags = 0
+        return lines
 
     def finish(self) -> list[tuple[str, int, int, int]]:
         self.close()
         self._break()
-        return self.lines
+        return self._lines(self._shown()) or self._lines([True] * len(self.named))
 
 
 def smooth(ratios: np.ndarray, sigma: float = 1.0) -> np.ndarray:
@@ -142,9 +241,10 @@ def main_text(html: str | None) -> str:
     """The main text of one page.
 
     Lines are blocks; menus, forms, notices and the like are left out by what their elements say they are. Each
-    line has a ratio of text to tags; smoothed, the ratios above their standard deviation form the content
-    clusters. Where the strongest cluster stands in an article element, that element's lines are the content: its short
-    lines, too, are the article's. Otherwise the clusters are, without lines that are mostly links.
+    line has a ratio of text to tags; smoothed over the lines of its region (one article element, or what lies between
+    such), the ratios above their standard deviation form the content clusters, without lines that are mostly links.
+    A cluster in an article element stands for all lines of that element: its short lines, too, are the article's.
+    Clusters outside stand for themselves, and all clusters together are the content.
     """
     if not html:
         return ""
@@ -154,18 +254,15 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     ratios = np.array([len(t) / max(1, tags) for t, tags, _, _ in lines])
-    level = smooth(ratios)
-    best = lines[int(level.argmax())][3]
-    if not best:  # the most text may stand just beside a short article's edge
-        most = np.bincount([a for _, _, _, a in lines], [len(t) for t, _, _, _ in lines])
-        best = int(most[1:].argmax()) + 1 if len(most) > 1 and most[1:].max() > 0 else 0
-    if best:
-        chosen = [t for t, _, _, a in lines if best in parser.within[a]]
-    else:
-        content = (level >= min(level.std(), level.max())) | (level >= level.mean())
-        chosen = [t for (t, _, linked, _), c in zip(lines, content, strict=True) if c and 2 * linked <= len(t)]
-        chosen = chosen or [lines[int(level.argmax())][0]]
-    return " ".join(chosen)
+    article = np.array([a for _, _, _, a in lines])
+    borders = np.flatnonzero(np.diff(article)) + 1
+    level = np.concatenate([smooth(part) for part in np.split(ratios, borders)])  # nothing of an article reaches its neighbours
+    content = (level >= min(level.std(), level.max())) | (level >= level.mean())
+    content &= np.array([2 * linked <= len(t) for t, _, linked, _ in lines])
+    if not content.any():
+        content[int(level.argmax())] = True
+    chosen = {int(a) for a in article[content] if a}
+    return " ".join(t for (t, _, _, a), c in zip(lines, content, strict=True) if c or not chosen.isdisjoint(parser.within[a]))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +277,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """One row per row of ``pages``: page_id, url, text, n_chars; each page is parsed whole where it is read.
 
     Defined cases: null, empty and text-free pages have an empty text; broken markup is taken as the parser takes
-    it, an end tag closing all that is open inside it; null ids and urls stay null; repeated rows each give a
+    it, an end tag closing all that is open inside it, and end tags that HTML lets out are put in; null ids and urls stay null; repeated rows each give a
     row; an empty table gives no rows; other columns are ignored.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))

@@ -89,6 +89,33 @@ def test_page_without_article():
     assert html_text.main_text(page) == f"T {text} Short. {text}"
 
 
+LONG_TEXT = "A long paragraph of text that goes on and on for a while, with words."
+
+
+def test_body_beside_a_short_article():
+    p = f"<p>{LONG_TEXT}</p>"
+    assert html_text.main_text(f"<div>{p * 6}</div><article><h3>Card</h3></article>") == " ".join([LONG_TEXT] * 6)
+    assert html_text.main_text(f"<article><h3>Card</h3></article><div>{p * 6}</div>") == " ".join([LONG_TEXT] * 6)
+    assert html_text.main_text(f"<article><h2>One</h2>{p * 3}</article><p>by</p><article><h2>Two</h2>{p * 3}</article>") == " ".join(["One", *[LONG_TEXT] * 3, "Two", *[LONG_TEXT] * 3])
+
+
+@pytest.mark.parametrize("wrapper", ['class="site has-sidebar"', 'id="wrap" class="with-footer"', 'class="comments-open"'])
+def test_layout_named_after_a_part(wrapper):
+    p = f"<p>{LONG_TEXT}</p>"
+    parts = f'<div class="sidebar"><p>{LONG_TEXT}</p></div><div class="comments">{p * 2}</div>'
+    for body in (f"<article>{p * 4}</article>", f"<main>{p * 4}</main>"):
+        assert html_text.main_text(f"<body><div {wrapper}>{body}{parts}</div><p>x</p></body>") == " ".join([LONG_TEXT] * 4)
+    assert html_text.main_text(f"<body><div {wrapper}>{p * 4}</div></body>") == " ".join([LONG_TEXT] * 4)
+    assert html_text.main_text(f'<article>{p}</article><div class="comments">{p * 9}</div><div class="sidebar"><a href=x>{LONG_TEXT * 9}</a></div>') == LONG_TEXT
+
+
+def test_end_tags_left_out():
+    assert html_text.main_text(f"<html><head><title>T</title><body><p>{LONG_TEXT}</body>") == LONG_TEXT
+    assert html_text.main_text(f"<head><title>T</title><p>{LONG_TEXT}") == LONG_TEXT
+    assert html_text.main_text(f'<div><p class="notice">n<p>{LONG_TEXT}<p>{LONG_TEXT}</div>') == f"{LONG_TEXT} {LONG_TEXT}"
+    assert html_text.main_text(f'<ul><li class="share">s<li>{LONG_TEXT}<li><p>{LONG_TEXT}</ul>') == f"{LONG_TEXT} {LONG_TEXT}"
+
+
 def brute_neighbours(ids, vectors, every, k):
     out = []
     v = np.array(vectors, float)
