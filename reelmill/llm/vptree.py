@@ -16,8 +16,9 @@ from .shared import stash
 SHARD_ROWS = 4096
 QUERY_ROWS = 1024
 LEAF = 32
-#: Distances of unit vectors are right to about this.
+#: Distances of unit vectors are right to about this, or where they have many components to the root of their roundings.
 ROUNDING = 1e-7
+TIED_ROWS = 128
 
 
 class VpTree:
@@ -37,6 +38,7 @@ class VpTree:
         ends = np.append(starts[1:], len(by))
         self.ids = [np.unique(ids[by[a:b]])[:most] for a, b in zip(starts, ends, strict=True)]
         self.unit = self.vectors / np.sqrt((self.vectors * self.vectors).sum(1))[:, None]
+        self.rounding = max(ROUNDING, float(np.sqrt(8 * np.finfo(np.float64).eps * self.unit.shape[1])))
         self.nodes: list[tuple] = []
         rng = np.random.default_rng(seed)
         self.root = self._build(np.arange(len(self.vectors)), rng)
@@ -57,8 +59,8 @@ class VpTree:
         self.nodes.append((point, half, low, high))
         return len(self.nodes) - 1
 
-    def search(self, queries: np.ndarray, k: int, factor: float = 1.0) -> np.ndarray:
-        """Rows of the k nearest distinct vectors for each query, -1 where there are fewer.
+    def search(self, queries: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the k nearest distinct vectors for each query, -1 where there are fewer, and their distances.
 
         A side of a node is passed over where its border is farther than ``factor`` times the k-th best distance so
         far. With a factor of one nothing nearer can be missed; smaller factors pass over more.
@@ -66,21 +68,26 @@ class VpTree:
         q = queries / np.sqrt((queries * queries).sum(1))[:, None]
         best = np.full((len(q), k), np.inf)
         rows = np.full((len(q), k), -1)
+        worst = np.full(len(q), np.inf)
 
         def take(of: np.ndarray, found: np.ndarray) -> np.ndarray:
             d = _distance(q[of], self.unit[found])
-            both = np.concatenate((best[of], d), 1)
-            names = np.concatenate((rows[of], np.broadcast_to(found, d.shape)), 1)
-            pick = np.argpartition(both, k - 1, axis=1)[:, :k]
-            best[of] = np.take_along_axis(both, pick, 1)
-            rows[of] = np.take_along_axis(names, pick, 1)
+            nearer = np.flatnonzero(d.min(1) < worst[of])
+            if len(nearer):
+                of, closer = of[nearer], d[nearer]
+                both = np.concatenate((best[of], closer), 1)
+                names = np.concatenate((rows[of], np.broadcast_to(found, closer.shape)), 1)
+                pick = np.argpartition(both, k - 1, axis=1)[:, :k]
+                best[of] = kept = np.take_along_axis(both, pick, 1)
+                rows[of] = np.take_along_axis(names, pick, 1)
+                worst[of] = kept.max(1)
             return d
 
         # (node, queries, border distance of each query to this side)
         stack = [(self.root, np.arange(len(q)), np.zeros(len(q)))]
         while stack:
             node, of, border = stack.pop()
-            open_ = border <= factor * best[of].max(1) + ROUNDING
+            open_ = border <= factor * worst[of] + self.rounding
             of = of[open_]
             if not len(of):
                 continue
@@ -98,15 +105,55 @@ class VpTree:
             stack.append((low, of[~inside], gap[~inside]))
             stack.append((low, of[inside], none[inside]))
             stack.append((high, of[~inside], none[~inside]))
-        return rows
+        return rows, best
+
+    def within(self, queries: np.ndarray, reach: np.ndarray, factor: float = 1.0) -> list[np.ndarray]:
+        """For each query all rows no farther than its ``reach``, which with smaller factors may pass over some."""
+        q = queries / np.sqrt((queries * queries).sum(1))[:, None]
+        whose, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+        def take(of: np.ndarray, rows: np.ndarray) -> np.ndarray:
+            d = _distance(q[of], self.unit[rows])
+            i, j = np.nonzero(d <= reach[of][:, None])
+            whose.append(of[i])
+            found.append(rows[j])
+            return d
+
+        stack = [(self.root, np.arange(len(q)))]
+        while stack:
+            node, of = stack.pop()
+            if not len(of):
+                continue
+            here = self.nodes[node]
+            if len(here) == 1:
+                take(of, here[0])
+                continue
+            point, half, low, high = here
+            d = take(of, np.array([point]))[:, 0]
+            open_ = factor * reach[of] + self.rounding
+            stack.append((low, of[d - half <= open_]))
+            stack.append((high, of[half - d <= open_]))
+        by = np.concatenate(whose)
+        order = np.argsort(by, kind="stable")
+        return np.split(np.concatenate(found)[order], np.searchsorted(by[order], np.arange(1, len(q))))
 
     def nearest(self, ids: np.ndarray, queries: np.ndarray, k: int, factor: float = 1.0) -> list[tuple[int, int, float]]:
         """(query, id, cosine) of each query's k nearest rows but itself, ties to smaller ids."""
         queries = np.ascontiguousarray(queries, np.float64)
-        found = self.search(queries, min(len(self.vectors), k + 8), factor)
+        keep = min(len(self.vectors), k + 8)
+        found, distances = self.search(queries, keep, factor)
+        kept = [rows[rows >= 0] for rows in found]
+        if k < keep < len(self.vectors):
+            # A query's own vector aside, k others are enough, but all that tie with the last of them are asked for.
+            far = np.sort(distances, axis=1)[:, [k, -1]]
+            tied = np.flatnonzero(far[:, 1] <= far[:, 0] + 2 * self.rounding)
+            for at in range(0, len(tied), TIED_ROWS):
+                part = tied[at : at + TIED_ROWS]
+                for i, rows in zip(part, self.within(queries[part], far[part, 0] + self.rounding, factor), strict=True):
+                    kept[i] = np.union1d(kept[i], rows)
         out = []
         for i, q in enumerate(queries):
-            rows = found[i][found[i] >= 0]
+            rows = kept[i]
             score = cosine(self.vectors[rows], q)
             all_ids = np.concatenate([self.ids[r] for r in rows]) if len(rows) else np.zeros(0, np.int64)
             all_scores = np.repeat(score, [len(self.ids[r]) for r in rows])
@@ -156,7 +203,8 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, factor:
 
     Every row is in the index of one shard of about SHARD_ROWS rows, dealt by a hash of its id, so equal
     vectors are spread over all shards. Queries go in blocks to each shard; a task holds one tree and one block. What
-    a shard finds nearest, k rows for a query, is then ranked. With factor 1, the default, the search is exact.
+    a shard finds nearest, k rows for a query, is then ranked. With factor 1, the default, the search is exact: all
+    vectors that tie with a shard's k-th best are met, however many, before ties go to smaller ids.
 
     Defined cases: vectors that are null, empty, zero, or have null or non-finite components take no part, nor
     do rows with a null id; vectors of different lengths never meet; a repeated row is a candidate once; a query with

@@ -144,6 +144,25 @@ def test_neighbours(spark, monkeypatch):
     assert vptree.nearest_neighbours(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["scaled", "one-hot", "binary"])
+def test_neighbours_that_tie(kind):
+    rng = np.random.default_rng(4)
+    if kind == "scaled":
+        v = np.concatenate([rng.normal(size=8) * 2.0 ** np.arange(50)[:, None], rng.normal(size=(150, 8))])
+    elif kind == "one-hot":
+        v = np.eye(50)
+    else:
+        v = np.unique(rng.integers(0, 2, size=(400, 9)), axis=0).astype(float)
+        v = v[v.any(1)]
+    v = v[rng.permutation(len(v))]
+    ids = rng.permutation(1000)[: len(v)]
+    got = vptree.VpTree(ids, v, 6).nearest(ids, v, 5)
+    want = [(i, j) for i, _, j, _ in sorted(brute_neighbours(ids.tolist(), v, 1, 5))]
+    assert sorted(x[0] for x in got) == [i for i, _ in want]
+    ranked = {i: [x[1] for x in got if x[0] == i] for i in ids.tolist()}
+    assert ranked == {i: [b for a, b in want if a == i] for i in ids.tolist()}
+
+
 def test_relaxed_search_keeps_its_recall():
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(20, 16))
