@@ -59,6 +59,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text another row keeps, all columns as they were."""
-    dropped = exact_dedup(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(dropped, docs[id_col] == F.col("_gone"), "left_anti")
+    """``docs`` without the rows whose text another row keeps, all columns as they were.
+
+    A row goes by its id and text: of rows that repeat an id, those with texts of their own stay.
+    """
+    dropped = exact_dedup(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.unhex("text_sha256").alias("_digest")).distinct()
+    norm = F.translate(text_or_empty(text_col), UPPER, UPPER.lower())
+    return docs.join(dropped, (docs[id_col] == F.col("_gone")) & (F.unhex(F.sha2(norm, 256)) == F.col("_digest")), "left_anti")

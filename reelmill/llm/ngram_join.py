@@ -333,6 +333,9 @@ def _all_between(open_lists: DataFrame, light: DataFrame, num: int, den: int) ->
 
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that another row of their component, the one with the smallest id, stands for."""
+    """``docs`` without the rows that another row of their component, the one with the smallest id, stands for.
+
+    A row goes by its id: where rows repeat an id and one of them goes, all of them go, whatever their texts.
+    """
     gone = similarity_components(docs, n, num, den, id_col, text_col).filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")

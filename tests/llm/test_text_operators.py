@@ -54,6 +54,12 @@ def test_exact_dedup_edges(docs):
     assert sorted(r.doc_id for r in exact_dedup.keep_one_of_each(docs([(1, "a"), (2, "A"), (3, "b")])).collect()) == [2, 3]
 
 
+def test_keep_one_of_each_with_repeated_ids(docs):
+    rows = [(1, "a"), (2, "A"), (1, "b"), (3, None), (4, ""), (3, "c"), (None, "a"), (5, "d"), (5, "d")]
+    got = exact_dedup.keep_one_of_each(docs(rows)).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(2, "A"), (1, "b"), (4, ""), (3, "c"), (None, "a"), (5, "d"), (5, "d")], key=str)
+
+
 def test_bpe_is_the_library(docs):
     rows = odd_rows()
     lib = Tokenizer.from_file(bpe.MODEL)
