@@ -363,14 +363,14 @@ def field_spans(field: Field, data: np.ndarray, offsets: np.ndarray) -> list[lis
 
 
 def all_spans(field: Field, texts: pa.Array) -> Iterator[tuple[int, int, list[tuple[dict, list]]]]:
-    """(first row, end row, (base spans, added spans) of each text). An added span that touches a base one gives way."""
+    """(first row, end row, (base spans, added spans) of each text). An added span may overlap base ones, but one that lies inside one of them gives way."""
     for lo, hi, data, offsets in slices(texts):
         flat = data.tobytes()
         rows = []
         for i, added in enumerate(field_spans(field, data, offsets)):
             base = base_spans(flat[offsets[i] : offsets[i + 1]].decode())
             taken = sorted(s for spans in base.values() for s in spans)
-            rows.append((base, [x for x in added if not any(s < x[2] and x[1] < e for s, e in taken)]))
+            rows.append((base, [x for x in added if not any(s <= x[1] and x[2] <= e for s, e in taken)]))
         yield lo, hi, rows
 
 

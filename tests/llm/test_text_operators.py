@@ -230,6 +230,16 @@ def test_held_out_rows_of_the_labelled_table():
     assert right / total > 0.97
 
 
+def test_added_spans_around_base_ones(monkeypatch):
+    text = "password=abc4111111111111111def or 4111111111111111 end"
+    found = [("secret", 9, 31), ("name", 32, 40), ("secret", 35, 51)]
+    monkeypatch.setattr(pii, "field_spans", lambda field, data, offsets: [found])
+    [(_, _, [(base, added)])] = pii.all_spans(None, pii.pa.array([text]))
+    assert base == pii.base_spans(text) and base["card"] == [(12, 28), (35, 51)]
+    assert added == found[:2]  # the third says of the same characters what the card says
+    assert pii.mask(text, base, added) == "password=[SECRET] [NAME] end"
+
+
 def test_packing(docs):
     rng = random.Random(5)
     rows = [*odd_rows(), (1, "again"), *((1000 + i, " ".join(rng.choice(["alpha", "beta", "ga"]) for _ in range(rng.randint(1, 3000)))) for i in range(40))]
