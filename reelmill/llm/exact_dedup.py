@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stash, text_or_empty
+from .shared import kept_rows, stash, text_or_empty
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -59,10 +59,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text another row keeps, all columns as they were.
+    """One row for each text of ``docs`` that differs after A-Z is lower-cased, all columns as they were.
 
-    A row goes by its id and text: of rows that repeat an id, those with texts of their own stay.
+    Each row is judged for itself, by its id and text: the row with the largest id stays, and where several rows hold
+    both that id and that text, one of them (by a hash of all columns). Whole texts are not shuffled a second time.
+
+    Defined cases: a null text counts as empty, so of null and empty texts one row stays; a null id stays only where
+    all ids of a text are null; a row with a text of its own stays, whatever its id; an empty table gives no rows;
+    other columns may have any names.
     """
-    dropped = exact_dedup(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.unhex("text_sha256").alias("_digest")).distinct()
-    norm = F.translate(text_or_empty(text_col), UPPER, UPPER.lower())
-    return docs.join(dropped, (docs[id_col] == F.col("_gone")) & (F.unhex(F.sha2(norm, 256)) == F.col("_digest")), "left_anti")
+    found = exact_dedup(docs, id_col, text_col).filter("group_size > 1")
+    verdicts = found.select("doc_id", F.unhex("text_sha256").alias("key"), "kept")
+    return kept_rows(docs, verdicts, lambda text: F.unhex(F.sha2(F.translate(text_or_empty(text), UPPER, UPPER.lower()), 256)), id_col, text_col)

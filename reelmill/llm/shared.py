@@ -1,22 +1,29 @@
-"""Intermediate tables that outlive executors, and a few column helpers."""
+"""Intermediate tables that outlive executors, row-wise filtering by decisions, and a few column helpers."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Decisions on up to so many rows (about 50 bytes each) are broadcast; beyond it the rows are joined by a shuffle.
+MOST_BROADCAST = 500_000
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where it is unset (tests), a local one is set."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, a local one is set in local mode, and an error is raised on a cluster."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         sc = spark.sparkContext
         # The context keeps a sub-folder of its own, on whatever file system it was given.
         folder = sc.getCheckpointDir()
         if not folder:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="reelmill-"))
             folder = sc.getCheckpointDir()
     return folder.rstrip("/")
@@ -32,8 +39,48 @@ def stash(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{shared_dir(spark)}/reelmill-{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._stashed_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of stashed tables that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_stashed_at", None):
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def kept_rows(docs: DataFrame, verdicts: DataFrame, key: Callable[[Column], Column], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the verdicts keep, all columns as they were.
+
+    ``verdicts`` has a row (doc_id, key, kept) for each row of ``docs`` there is something to say about; ``key`` makes
+    a row's key from its text. A row goes by its id and key together, so a row with another text stays although it
+    repeats an id. Of rows that repeat both id and key and are kept, one stays: the one that comes first by a hash of
+    its columns, or any where all columns are equal. No text is shuffled, but for such repeated rows, while the
+    verdicts that change something are at most MOST_BROADCAST; beyond that ``docs`` is joined by a shuffle.
+    """
+    told = verdicts.groupBy("doc_id", "key").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("not kept or n > 1")
+    told = stash(told.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("kept").alias("_kept")), "verdicts")
+    n, again = told.agg(F.count(F.lit(1)), F.count_if("_kept")).first()
+    if not n:
+        return docs
+    few = n <= MOST_BROADCAST
+    names = [f"c{i}" for i in range(len(docs.columns))]  # the columns may be called anything
+    id_, text = (F.col(names[docs.columns.index(c)]) for c in (id_col, text_col))
+    rows = docs.toDF(*names).withColumn("_by", key(text))
+    match = id_.eqNullSafe(F.col("_id")) & (F.col("_by") == F.col("_key"))
+    out = rows.join(F.broadcast(told) if few else told, match, "left_anti").select(*names)
+    if again:
+        kept = told.filter("_kept")
+        several = rows.join(F.broadcast(kept) if few else kept, match, "left_semi")
+        hashed = F.xxhash64(*[c for c, kind in zip(names, (t for _, t in docs.dtypes), strict=True) if "map<" not in kind and "variant" not in kind])
+        one = several.groupBy(id_.alias("_id"), "_by").agg(F.min_by(F.struct(*names), hashed).alias("_row"))
+        out = out.unionByName(one.select("_row.*"))
+    return out.toDF(*docs.columns)
 
 
-def text_or_empty(column: str = "text"):
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+def text_or_empty(column: str | Column = "text") -> Column:
+    return F.coalesce((F.col(column) if isinstance(column, str) else column).cast("string"), F.lit(""))

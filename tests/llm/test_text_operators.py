@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reelmill.llm import bpe, exact_dedup, ngram_join, packing, pii, sharding
+from reelmill.llm import bpe, exact_dedup, ngram_join, packing, pii, sharding, shared
 from reelmill.llm.byte_ids import ByteIds
 
 ODD = [
@@ -55,9 +55,26 @@ def test_exact_dedup_edges(docs):
 
 
 def test_keep_one_of_each_with_repeated_ids(docs):
-    rows = [(1, "a"), (2, "A"), (1, "b"), (3, None), (4, ""), (3, "c"), (None, "a"), (5, "d"), (5, "d")]
-    got = exact_dedup.keep_one_of_each(docs(rows)).collect()
-    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(2, "A"), (1, "b"), (4, ""), (3, "c"), (None, "a"), (5, "d"), (5, "d")], key=str)
+    rows = [(1, "a"), (2, "A"), (1, "b"), (3, None), (4, ""), (3, "c"), (None, "a"), (5, "d"), (5, "d"), (None, "n"), (None, "N")]
+    got = sorted(((r.doc_id, r.text) for r in exact_dedup.keep_one_of_each(docs(rows)).collect()), key=str)
+    either = [sorted([(2, "A"), (1, "b"), (4, ""), (3, "c"), (5, "d"), (None, n)], key=str) for n in "nN"]
+    assert got in either
+    # The counter-example of a unique text whose id another row repeats.
+    got = exact_dedup.keep_one_of_each(docs([(5, "aa bb"), (9, "aa bb"), (5, "unique text here"), (7, "q"), (7, "q")])).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(5, "unique text here"), (7, "q"), (9, "aa bb")]
+    assert exact_dedup.keep_one_of_each(docs([])).count() == 0
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_kept_rows_by_broadcast_and_by_shuffle(docs, most, monkeypatch):
+    monkeypatch.setattr(shared, "MOST_BROADCAST", most)
+    rows = odd_rows() + [(500 + i, "Copy of one text") for i in range(40)] + [(539, "copy of one text")] * 3
+    got = exact_dedup.keep_one_of_each(docs(rows).withColumnsRenamed({"node": "_key", "sig": "_by", "lang": "c1"}))
+    assert got.columns == ["doc_id", "text", "c1", "source", "n_chars", "_key", "_by"]
+    best = {}
+    for i, t in rows:
+        best[low(t)] = max(best.get(low(t), -1), i)
+    assert sorted((r.doc_id, low(r.text)) for r in got.collect()) == sorted((i, t) for t, i in best.items())
 
 
 def test_bpe_is_the_library(docs):
