@@ -22,7 +22,10 @@ from .words import slices
 MODEL = public_tokenizers.path("word_bpe_49k.json")
 #: White space as the vocabulary's normaliser and pattern have it.
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_TOKENS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_WHITE}\p{{L}}\p{{N}}]+").findall
+_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_WHITE}\p{{L}}\p{{N}}]+"
+_TOKENS = regex.compile(_PATTERN).findall
+_TOKENS_OF_LINES = regex.compile(_PATTERN + r"|\n").findall
+_WHITE_RUN = regex.compile(f"[{_WHITE}]+")
 
 
 class Bpe:
@@ -44,6 +47,7 @@ class Bpe:
         self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
         vocab: dict[str, int] = spec["model"]["vocab"]
         self.token = {i: t for t, i in vocab.items()} | {i: t for t, i in self.specials.items()}
+        self.decimal = {i: str(i) for i in self.token}
         end = spec["model"]["end_of_word_suffix"] or ""
         self.of_byte = {b: c for c, b in byte_alphabet().items()}
         # Symbols of bytes inside words, of bytes that end words, and of the gap between two words.
@@ -156,10 +160,14 @@ class Bpe:
         """The words of a text after its normaliser and pattern; a special token's text is its id."""
         if self.special and "<" in text and (parts := self.special.split(text))[1:]:
             return [x for i, p in enumerate(parts) for x in ([self.specials[p]] if i % 2 else self.words(p) if p else [])]
+        return _TOKENS(self.lowered(text))
+
+    @staticmethod
+    def lowered(text: str) -> str:
+        """The vocabulary's normal form. Each character is lower-cased for itself, so a final sigma is as any other."""
         if not text.isascii():
-            # Each character is lower-cased for itself, so a final sigma is as any other.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return _TOKENS(text.lower())
+        return text.lower()
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         cut = [self.words(t) for t in texts]
@@ -172,36 +180,79 @@ class Bpe:
         return " ".join([self.token[i] for i in ids if i in self.token])
 
 
-class Parts(dict):
-    """Space-separated part of a text to (token count, decimal ids, decoded text)."""
+class Parts:
+    """What texts are made of, kept: decimal ids and decoded text of each part between white space, and of each word.
+
+    Most parts are one word, perhaps with marks. Words are what is encoded, so "word," and "Word." encode "word" once,
+    and a part of one word holds the very strings of that word.
+    """
 
-    LIMIT = 250_000
+    LIMIT = 200_000
+    #: Words that are merged in one index. Few enough to stay in the processor's cache.
+    TOGETHER = 2500
 
     def __init__(self, bpe: Bpe):
-        super().__init__()
-        self.bpe, self.older = bpe, {}
-
-    def __missing__(self, part: str) -> tuple[int, str, str]:
-        found = self[part] = self.older[part]
-        return found
-
-    def learn(self, parts: set[str]) -> None:
-        """Encode together what hasn't been seen lately."""
-        if len(self) + len(parts) > self.LIMIT:
-            self.older = dict(self)
-            self.clear()
-        old = self.older
-        new = []
-        for p in parts:
-            if p in old:
-                self[p] = old[p]
-            else:
-                new.append(p)
-        for p, ids in zip(new, self.bpe.encode(new), strict=True):
-            self[p] = (len(ids), " ".join(map(str, ids)), self.bpe.decode(ids))
+        self.bpe = bpe
+        self.ids: dict[str, str] = {}
+        self.text: dict[str, str] = {}
+        self.older: tuple[dict[str, str], dict[str, str]] = ({}, {})
+        #: Of words the same; a line end stands for itself.
+        self.word_ids: dict[str, str] = {"\n": "\n"}
+        self.word_text: dict[str, str] = {"\n": "\n"}
+        self.older_words: tuple[dict[str, str], dict[str, str]] = ({}, {})
+        self.hollow = False  # whether there are words of which nothing is in the vocabulary
+
+    def know(self, parts: set[str]) -> None:
+        """See to it that each of these parts has its ids and text."""
+        new = parts.difference(self.ids)
+        if len(self.ids) + len(new) > self.LIMIT:
+            self.older = self.ids, self.text
+            self.ids, self.text = {}, {}
+            new = parts
+        old_ids, old_text = self.older
+        for p in new.intersection(old_ids):
+            self.ids[p], self.text[p] = old_ids[p], old_text[p]
+        new = new.difference(old_ids)
+        special = self.bpe.special
+        odd = [p for p in new if "<" in p and special and special.search(p)]
+        for p in odd:
+            found = self.bpe.encode([p])[0]
+            self.ids[p], self.text[p] = " ".join(map(str, found)), self.bpe.decode(found)
+        plain = list(new.difference(odd))
+        if not plain:
+            return
+        # One pass over all parts; a line end stands between two, and comes out as a word of its own.
+        flat = _TOKENS_OF_LINES(self.bpe.lowered("\n".join(plain)))
+        self._know_words(set(flat))
+        for into, words in ((self.ids, self.word_ids), (self.text, self.word_text)):
+            lines = " ".join(map(words.__getitem__, flat)).split(" \n ")
+            if self.hollow:
+                lines = [" ".join(filter(None, x.split(" "))) for x in lines]
+            into.update(zip(plain, lines, strict=True))
+
+    def _know_words(self, words: set[str]) -> None:
+        """See to it that each of these words has its ids and text: those not met lately are encoded, some thousands together."""
+        new = words.difference(self.word_ids)
+        if len(self.word_ids) + len(new) > self.LIMIT:
+            self.older_words = self.word_ids, self.word_text
+            self.word_ids, self.word_text = {"\n": "\n"}, {"\n": "\n"}
+            new = words.difference("\n")
+        old_ids, old_text = self.older_words
+        for w in new.intersection(old_ids):
+            self.word_ids[w], self.word_text[w] = old_ids[w], old_text[w]
+        new = sorted(new.difference(old_ids))
+        for at in range(0, len(new), self.TOGETHER):
+            some = new[at : at + self.TOGETHER]
+            found = self.bpe.encode_words(some)
+            self.hollow |= not all(found)
+            decimal, token = self.bpe.decimal.__getitem__, self.bpe.token.__getitem__
+            self.word_ids.update(zip(some, [" ".join(map(decimal, ids)) for ids in found], strict=True))
+            self.word_text.update(zip(some, [" ".join(map(token, ids)) for ids in found], strict=True))
 
 
 _parts: dict[str, Parts] = {}
+#: White space to Python that the vocabulary takes for marks.
+_SEPARATORS = re.compile("[\x1c-\x1f]").search
 
 
 def _digests(model: str):
@@ -213,19 +264,18 @@ def _digests(model: str):
         for batch in batches:
             for lo, hi, data, offsets in slices(batch.column(1)):
                 flat = data.tobytes()
-                # White space of either kind ends a word, and neither combines with what follows.
-                docs = [flat[offsets[i] : offsets[i + 1]].decode().replace("\n", " ").split(" ") for i in range(hi - lo)]
-                missing = set().union(*docs).difference(known)
-                missing.discard("")
-                known.learn(missing)
-                known[""] = (0, "", "")
+                texts = [flat[offsets[i] : offsets[i + 1]].decode() for i in range(hi - lo)]
+                # White space of any kind ends a word, and none combines with what follows.
+                docs = [[p for p in _WHITE_RUN.split(t) if p] if _SEPARATORS(t) else t.split() for t in texts]
+                known.know(set().union(*docs))
+                ids_of, text_of = known.ids.__getitem__, known.text.__getitem__
                 n, ids_sha, text_sha = [], [], []
                 for parts in docs:
-                    found = [x for x in map(known.__getitem__, parts) if x[0]]
-                    n.append(sum([x[0] for x in found]))
-                    ids_sha.append(sha(" ".join([x[1] for x in found]).encode()).hexdigest())
-                    text_sha.append(sha(" ".join([x[2] for x in found]).encode()).hexdigest())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                    ids = " ".join(filter(None, map(ids_of, parts)))
+                    n.append(ids.count(" ") + 1 if ids else 0)
+                    ids_sha.append(sha(ids.encode()).hexdigest())
+                    text_sha.append(sha(" ".join(filter(None, map(text_of, parts))).encode()).hexdigest())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run
 
@@ -258,8 +308,8 @@ def bpe_decode(encoded: DataFrame, model: str = MODEL, id_col: str = "doc_id", i
 def bpe_digests(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256; texts are encoded and decoded whole.
 
-    Ids are those of the vocabulary file's own library without special tokens added. Texts are cut at spaces
-    and line ends, the distinct parts of a few megabytes of text are encoded together, and those met
+    Ids are those of the vocabulary file's own library without special tokens added. Texts are cut at white space.
+    The distinct words of a megabyte of text are encoded together, some thousands in one index, and those met
     lately are kept, up to a fixed count, for the rows to come. Nothing is shuffled.
 
     Defined cases: a null text counts as empty: no tokens, and both digests are of nothing; special tokens written
