@@ -1,7 +1,7 @@
-"""Token ids of a byte-level vocabulary as little-endian bytes, with the ids of parts of texts kept.
+"""Token ids of a byte-level vocabulary, as little-endian bytes.
 
-A text is cut before every space that follows a character other than white space. The vocabulary's own pattern
-always begins a token there, so the ids of a text are those of its parts one after another.
+Whole texts go through a compiled encoder that knows the vocabulary's pattern and ranks. Texts that it wouldn't read as
+the vocabulary's own tokenizer does, or not in time that grows with their length, go through that tokenizer.
 """
 
 from __future__ import annotations
@@ -10,18 +10,16 @@ import json
 import re
 from array import array
 
-import regex
+import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_ODD_SPACE = re.compile(r"\s ")
-_CUT = re.compile(r"(?<=\S)(?= )")
-#: Parts of other characters than these, and long parts, go through the tokenizer itself.
-_PLAIN = re.compile(r"[\n\x20-\x7e¡-ɏ]{1,200}\Z").match
-#: Letters only, perhaps with a mark at the end: one token of the pattern, or two.
-_SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]{1,200})([.,;:!?]?)\Z").match
-_TOKENS = regex.compile(PATTERN).findall
+#: Merging a piece of so many bytes takes time that grows with its square.
+LONG_RUN = 400
+_LONG = re.compile(rf"\S{{{LONG_RUN},}}|\s{{{LONG_RUN},}}").search
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -33,10 +31,25 @@ def byte_alphabet() -> dict[str, int]:
     return out
 
 
-class ByteIds(dict):
-    """Call with a text: its ids, four bytes each. As a mapping: part of a text to ids."""
+def long_runs(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Of each text of a run of texts, whether it may hold LONG_RUN bytes without white space, or of nothing else."""
+    if not len(data):
+        return np.zeros(len(offsets) - 1, bool)
+    space = _SPACE[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = space[1:] != space[:-1]
+    cut[offsets] = True
+    border = np.flatnonzero(cut)
+    begin = border[:-1]
+    far = np.flatnonzero(np.diff(border) >= LONG_RUN)
+    out = np.zeros(len(offsets) - 1, bool)
+    out[np.searchsorted(offsets, begin[far], side="right") - 1] = True
+    return out
+
+
+class ByteIds:
+    """Call with a text: its ids, four bytes each."""
 
-    LIMIT = 150_000
     _made: dict[str, ByteIds] = {}
 
     @classmethod
@@ -47,49 +60,23 @@ class ByteIds(dict):
         return cls._made[model]
 
     def __init__(self, model: str):
-        super().__init__()
-        self.older: dict[str, bytes] = {}
         with open(model, encoding="utf-8") as f:
             spec = json.load(f)
-        self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
+        specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = re.compile("|".join(map(re.escape, specials))).search if specials else None
         byte = byte_alphabet()
-        ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.specials}
-        self.piece = tiktoken.Encoding("byte-ids", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+        ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in specials}
+        self.encode = tiktoken.Encoding("byte-ids", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary
         self.whole = Tokenizer.from_file(model)
         self.whole.no_truncation()
         self.whole.no_padding()
 
-    def __missing__(self, part: str) -> bytes:
-        if (out := self.older.get(part)) is not None:
-            self[part] = out
-            return out
-        if simple := _SIMPLE(part):
-            word, mark = simple.groups()
-            out = self._ids(self.piece(word.encode()) + self.piece(mark.encode()) if mark else self.piece(word.encode()))
-        elif _PLAIN(part) and not ("<" in part and self.special and self.special.search(part)):
-            tokens = _TOKENS(part)
-            out = b"".join(map(self.__getitem__, tokens)) if len(tokens) > 1 else self._ids(self.piece(part.encode()))
-        else:
-            out = self._ids(self.whole.encode(part, add_special_tokens=False).ids)
-        if len(part) <= 64:
-            if len(self) >= self.LIMIT:
-                self.older = dict(self)
-                self.clear()
-            self[part] = out
-        return out
-
-    @staticmethod
-    def _ids(ids: list[int]) -> bytes:
-        return array("I", ids).tobytes()
-
-    def __call__(self, text: str) -> bytes:
+    def __call__(self, text: str, long: bool | None = None) -> bytes:
+        """``long`` says whether the text may hold a long run; where nobody says, it is looked for."""
         if not text:
             return b""
-        if _ODD_SPACE.search(text):
-            parts = _CUT.split(text)
+        if (_LONG(text) if long is None else long) or (self.special and "<" in text and self.special(text)):
+            ids = self.whole.encode(text, add_special_tokens=False).ids
         else:
-            first, *rest = text.split(" ")
-            parts = [first] if first else []
-            parts += [" " + x for x in rest]
-        return b"".join(map(self.__getitem__, parts))
+            ids = self.encode(text)
+        return array("I", ids).tobytes()

@@ -13,7 +13,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .byte_ids import ByteIds
+from .byte_ids import ByteIds, long_runs
+from .words import slices
 
 MODEL = public_tokenizers.path("byte_bpe_50k.json")
 CAPACITY = 2048
@@ -91,6 +92,13 @@ def windows(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
         k += 1
 
 
+def _ids(texts: pa.Array, ids_of: ByteIds) -> Iterator[bytes]:
+    for _, _, data, offsets in slices(texts):
+        flat, at = data.tobytes(), offsets.tolist()
+        for i, long in enumerate(long_runs(data, offsets).tolist()):
+            yield ids_of(flat[at[i] : at[i + 1]].decode(), long)
+
+
 def _pack(encoder: Callable[[], ByteIds], end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder()
@@ -112,9 +120,9 @@ def _pack(encoder: Callable[[], ByteIds], end_id: int, capacity: int):
             waiting.clear()
 
         for batch in batches:
-            docs, texts = batch.column(0).to_pylist(), batch.column(1)
-            for i, doc in enumerate(docs):
-                ids = ids_of(texts[i].as_py() or "") + tail
+            docs = batch.column(0).to_pylist()
+            for doc, ids in zip(docs, _ids(batch.column(1), ids_of), strict=True):
+                ids += tail
                 total = len(ids) // 4
                 whole = total - total % capacity
                 for start in range(0, whole, capacity):
