@@ -12,13 +12,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .pii_table import LABELLED
 from .words import Words, slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("name", "address", "secret")
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+").match
-_LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z").search
 # Possessive, and never begun inside a run of digits: the same matches, found in linear time.
 _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
@@ -35,6 +35,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _small(part: str) -> bool:
+    """Whether a run of digits, however long, is a number of at most 255."""
+    part = part.lstrip("0")
+    return len(part) <= 3 and int(part or 0) <= 255
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     """Each sign with the run of name characters before it and the domain after it."""
     out, done, at = [], 0, text.find("@")
@@ -59,7 +65,7 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
         out["email"] = emails(text)
     if _DIGIT(text):
         if "." in text:
-            out["ip"] = [m.span() for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".") if len(p) < 1000 or p.strip("0")) and all(len(p.lstrip("0")) <= 3 for p in m.group().split("."))]
+            out["ip"] = [m.span() for m in _IP.finditer(text) if all(_small(p) for p in m.group().split("."))]
         for m in _CARD.finditer(text):
             digits = m.group().replace(" ", "").replace("-", "")
             if 13 <= len(digits) <= 19 and luhn(digits):
@@ -79,65 +85,26 @@ CUES = (
     "password passwd pwd passphrase token secret key apikey api_key api-key access_key credential login user username pin bearer = : is"
 ).split()
 
-_FIRST = "Anna Peter Maria John Laura David Sophie Carlos Emma Hans Claire Luis Julia Pierre Elena Mark".split()
-_LAST = "Miller Schmidt Garcia Dubois Johnson Weber Lopez Martin Brown Keller Moreau Rossi Novak Silva Clark Fischer".split()
-_STREETS = "Oak Maple Mill Station Church Park King Garden River Hill".split()
-_FILL = "the of and with tion ander ething orea thint le que des mentre eau ou la die und lich unge schber el para ción osta bo".split()
-_CUED = "password passwd pwd token secret key api_key".split()
-
-
-def labelled_table(seed: int = 0) -> list[tuple[list[str], list[str]]]:
-    """A small table of word and label sequences: the field's whole training material."""
-    rng = np.random.default_rng(seed)
-    pick = lambda xs: xs[int(rng.integers(len(xs)))]
-    chars = lambda xs, low, high: "".join(pick(xs) for _ in range(int(rng.integers(low, high))))
-    hexed = lambda low, high: pick("0123456789") + chars("0123456789abcdef", low, high)
-    access = lambda: "AKIA" + chars("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 14, 15) + pick("234567") + pick("ABCDEFGH")
-
-    def fill(low: int, high: int) -> list[tuple[str, str]]:
-        words = [pick(_FILL) + (pick(_FILL) if rng.random() < 0.5 else "") for _ in range(int(rng.integers(low, high)))]
-        if words and rng.random() < 0.4:
-            words[0] = words[0].capitalize()
-        words = [w + pick([".", ",", "", "", "", "", "", ""]) for w in words]
-        if rng.random() < 0.1:
-            words = [w.upper() + pick(["", "!!"]) for w in words]
-        for i in range(1, len(words)):
-            if words[i - 1].endswith("."):
-                words[i] = words[i].capitalize()
-        return [(w, "O") for w in words]
+_MARK = re.compile(r"\[\[(\w+)\|(.+?)\]\]")
+
 
+def labelled_rows(table: str = LABELLED) -> list[tuple[list[str], list[str]]]:
+    """Words and labels of each line of a table in which spans stand as [[kind|text]]."""
     rows = []
-    for i in range(640):
-        case = min(i % 16, 13)
-        if case == 0:
-            hit = [(pick(["Mr.", "Mrs.", "Dr.", "Prof.", "Herr", "Frau"]), "O"), (pick(_FIRST), "B-name"), (pick(_LAST), "I-name")]
-        elif case == 1:
-            hit = [("My", "O"), ("name", "O"), ("is", "O"), (pick(_FIRST), "B-name"), (pick(_LAST) + ".", "I-name")]
-        elif case == 2:
-            hit = [(pick(["Mr", "Mrs.", "Dr."]), "O"), (pick(_LAST), "B-name")]
-        elif case == 3:
-            hit = [(pick(["contact", "Contact", "signed", "by", "author"]), "O"), (pick(["Mr.", "Mrs.", "Dr."]), "O"), (pick(_FIRST), "B-name"), (pick(_LAST) + pick([",", ""]), "I-name")]
-        elif case == 4:
-            hit = [(str(rng.integers(1, 300)), "B-address"), (pick(_STREETS), "I-address"), (pick(["Street", "Avenue", "Road", "Lane"]) + pick([",", ""]), "I-address")]
-        elif case == 5:
-            hit = [(pick(["lives", "address"]), "O"), ("at", "O"), (str(rng.integers(1, 300)), "B-address"), (pick(_STREETS), "I-address"), (pick(["Street", "Road"]), "I-address")]
-        elif case in (6, 7):
-            hit = [(f"{pick(_CUED)}={pick([hexed(7, 32), hexed(7, 32), access()])}", "B-secret")]
-        elif case == 8:
-            hit = [(pick(["token", "password", "secret", "key"]), "O"), (pick(["=", ":", "is"]), "O"), (pick(['"{}"', "{}"]).format(pick([hexed(15, 45), hexed(15, 45), access()])), "B-secret")]
-        elif case == 9:
-            hit = [(access(), "B-secret")]
-        elif case == 10:  # figures and numbers that are nobody's secret
-            hit = [(pick(["4742810784232479", "90.88.242.27", "(277)", "555-9423", "+1", "1999", "12.", "2.0.", "3,500", "sikc.35@mail0.example.com"]), "O") for _ in range(2)]
-        elif case == 11:
-            cap = (pick(_FILL) + pick(_FILL)).capitalize()
-            hit = [(pick(["the", "a", "is", "by", "from", "at"]), "O"), (pick(["password", "token", "key", "name", "street", "road", "is", "by", "at", "place"]), "O"), (pick(["of", cap, cap + ".", "is"]), "O"), (pick(_FILL), "O")]
-        elif case == 12:
-            hit = [(w, "O") for w in "Licensed under the Apache License, Version 2.0.".split()]
-        else:
-            hit = [(w, "O") for w in pick(["Table | of | it |", "In.&&& Of%%% the&&& on%%%", "THERHAOU!! OUSHED!! THE!!", "https://www.example.com/a/1?x=2 is here", "On Monday The Paris", "At At At At At", "Is Is Is Is Is", "Thator ering. From Onhe is", "Dear Sir or Madam", "Calle Is From"]).split()]
-        row = fill(2, 8) + hit + fill(0, 6)
-        rows.append(([w for w, _ in row], [x for _, x in row]))
+    for line in table.strip().split("\n"):
+        plain, spans, at = "", [], 0
+        for m in _MARK.finditer(line):
+            plain += line[at : m.start()]
+            spans.append((len(plain), len(plain) + len(m[2]), m[1]))
+            plain += m[2]
+            at = m.end()
+        plain += line[at:]
+        words, labels = [], []
+        for w in re.finditer(r"\S+", plain):
+            inside = next(((s, k) for s, e, k in spans if s < w.end() and w.start() < e), None)
+            words.append(w.group())
+            labels.append("O" if inside is None else f"{'B' if inside[0] >= w.start() else 'I'}-{inside[1]}")
+        rows.append((words, labels))
     return rows
 
 
@@ -174,6 +141,16 @@ _KIND[[ord(c) for c in "\"'()[]<>"]] = 5
 _KIND[ord("=")] = 6
 
 
+#: Shapes without their lengths.
+COARSE = 1 << 9
+
+
+def coarse(shape: np.ndarray) -> np.ndarray:
+    """A shape's class without the length of its word: what words have in common that are never of one length."""
+    x = shape - 1
+    return np.where(shape > 0, ((x >> 9) << 6 | x & 63) + 1, 0)
+
+
 def _words_of(text: str) -> Words:
     data = np.frombuffer(text.encode(), np.uint8)
     return Words(data, np.array([0, len(data)], np.int64))
@@ -213,8 +190,8 @@ class Field:
 
     def __init__(self) -> None:
         k, c = len(LABELS), len(CUES) + 1
-        # This word's shape, the one's before and after; cues here, one and two before, and after.
-        self.tables = [np.zeros((SHAPES, k)), np.zeros((SHAPES, k)), np.zeros((SHAPES, k)), *(np.zeros((c, k)) for _ in range(4))]
+        # This word's shape, the one's before and after; their coarse shapes; cues here, one and two before, and after.
+        self.tables = [*(np.zeros((SHAPES, k)) for _ in range(3)), *(np.zeros((COARSE + 1, k)) for _ in range(3)), *(np.zeros((c, k)) for _ in range(4))]
         self.tables[0][:, 0] = 0.5
         self.moves = np.zeros((k, k))
         self.start = np.zeros(k)
@@ -232,8 +209,9 @@ class Field:
             return out
 
         if not len(shape):
-            return [shape, shape, shape, cue, cue, cue, cue]
-        return [shape, shifted(shape, 1), shifted(shape, -1), cue, shifted(cue, 1), shifted(cue, 2) if len(cue) > 2 else np.zeros_like(cue), shifted(cue, -1)]
+            return [shape] * 6 + [cue] * 4
+        rough = coarse(shape)
+        return [shape, shifted(shape, 1), shifted(shape, -1), rough, shifted(rough, 1), shifted(rough, -1), cue, shifted(cue, 1), shifted(cue, 2) if len(cue) > 2 else np.zeros_like(cue), shifted(cue, -1)]
 
     def emissions(self, columns: list[np.ndarray]) -> np.ndarray:
         return sum(t[c] for t, c in zip(self.tables, columns, strict=True))
@@ -271,7 +249,7 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 @cache
 def trained_field(steps: int = 120, rate: float = 0.1, decay: float = 2e-3) -> Field:
     """Fit by Adam on the exact likelihood of the labelled table; the same field every time."""
-    rows = labelled_table()
+    rows = labelled_rows()
     w = _words_of(" ".join(x for words, _ in rows for x in words))
     size = np.array([len(words) for words, _ in rows])
     begin = np.cumsum(size) - size
@@ -354,8 +332,6 @@ def field_spans(field: Field, data: np.ndarray, offsets: np.ndarray) -> list[lis
             end -= 1
         while end - start > 1 and _TRIM[data[start]]:
             start += 1
-        if kind == "secret" and end - start < 6:
-            continue
         d = int(doc[a])
         before = int(point[offsets[d] - 1]) if offsets[d] else 0
         out[d].append((kind, int(point[start]) - 1 - before, int(point[end - 1]) - before))
@@ -383,24 +359,25 @@ def _find(field: Field):
                 more = [[",".join(f"{k}:{s}:{e}" for k, s, e in added if k == kind) for kind in ADDED_KINDS] for _, added in rows]
                 spans = [",".join(x for x in [b, *m] if x) for b, m in zip(base_text, more, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), *(pa.array(c, pa.int64()) for c in counts), pa.array([hashlib.sha256(b.encode()).hexdigest() for b in base_text]), pa.array(spans)],
-                    ["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans"],
+                    [batch.column(0).slice(lo, hi - lo), *(pa.array(c, pa.int64()) for c in counts), pa.array([hashlib.sha256(b.encode()).hexdigest() for b in base_text], pa.string()), pa.array(spans, pa.string()), pa.array([sum(map(len, base.values())) + len(added) for base, added in rows], pa.int64())],
+                    ["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", "n_spans"],
                 )
 
     return run
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans.
+    """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans.
 
     Counts and digest are of the patterns' spans. ``spans`` lists these and then the field's names, addresses
-    and secrets, as kind:start:end in code points, each kind in order of start. Whole texts are read.
+    and secrets, as kind:start:end in code points, each kind in order of start; n_spans counts them all. Whole texts are read.
 
-    Defined cases: a null text counts as empty and has no spans (its digest is of nothing); a null id stays null;
+    Defined cases: a null text counts as empty and has no spans (its digest is of nothing); a very long text, a long line
+    or a long run of digits is read whole, in time that grows with its length; a null id stays null;
     rows that repeat an id each give a row; an empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_find(trained_field()), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return rows.mapInArrow(_find(trained_field()), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long")
 
 
 def mask(text: str, base: dict[str, list[tuple[int, int]]], added: list[tuple[str, int, int]]) -> str:
@@ -417,10 +394,10 @@ def mask(text: str, base: dict[str, list[tuple[int, int]]], added: list[tuple[st
     return "".join(out)
 
 
-def _mask(field: Field):
+def _mask(field: Field, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.schema.get_field_index("text")
+            column = batch.schema.get_field_index(text_col)
             old = batch.column(column)
             new: list[str | None] = []
             for lo, _, rows in all_spans(field, old):
@@ -434,7 +411,11 @@ def _mask(field: Field):
     return run
 
 
-def mask_pii(docs: DataFrame) -> DataFrame:
-    """``docs`` with the spans found in ``text`` masked, all columns as they were; a length column ``n_chars`` follows the text."""
-    out = docs.mapInArrow(_mask(trained_field()), docs.schema)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+def mask_pii(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the spans found in their texts masked, all columns as they were; a length column follows the text.
+
+    Defined cases: a null text stays null, and an empty one empty; a text without spans stays as it is; rows are judged
+    each for itself, whatever their ids, and none goes; an empty table gives no rows; other columns may have any names.
+    """
+    out = docs.mapInArrow(_mask(trained_field(), text_col), docs.schema)
+    return out.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType)) if length_col in docs.columns else out
