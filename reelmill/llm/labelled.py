@@ -13,11 +13,24 @@ def fold(id_col: str | Column, folds: int) -> Column:
 
 
 def sample_ids(table: DataFrame, most: int, seed: int) -> DataFrame:
-    """The ``most`` rows whose hashed ids are smallest: at most that many whatever the size of the table, and the same each time."""
+    """The ``most`` distinct ids whose hashes are smallest, with one row each: at most that many whatever the size of the table, and the same each time.
+
+    Only ids below a hash that about four times as many reach are made distinct, so nearly no id is shuffled; where
+    repeated ids leave too few of them, all are.
+    """
     order = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    return table.orderBy(order, "doc_id").limit(most)
+    rows = table.count()
+    border = int(min(1.0, 4 * most / max(1, rows)) * (1 << 64)) - (1 << 63) - 1
+    low = table.filter(order <= F.lit(border)).dropDuplicates(["doc_id"])
+    if border < (1 << 63) - 1 and low.limit(most).count() < most:
+        low = table.dropDuplicates(["doc_id"])
+    return low.orderBy(order, "doc_id").limit(most)
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents of a bounded sample of ids; the sample is what gets broadcast, so no text is shuffled."""
-    return docs.join(F.broadcast(ids), "doc_id")
+    """One text for each row of a bounded sample of ids: of an id's texts the one with the smallest hash.
+
+    The sample is what gets broadcast, so no text is shuffled but those of the sample, once per task and id.
+    """
+    mine = [c for c in ids.columns if c != "doc_id"]
+    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id", *mine).agg(F.min_by("text", F.xxhash64("text")).alias("text"))

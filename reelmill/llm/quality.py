@@ -178,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> tupl
     """Trees fitted on at most ``most`` labelled rows outside the held-out fold, and the share of good ones among them."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("long").alias("label")).filter("doc_id is not null and label is not null")
-    ids = sample_ids(known.filter(fold("doc_id", FOLDS) != HELD_OUT).groupBy("doc_id").agg(F.max("label").alias("label")), most, 3)
+    ids = sample_ids(known.filter(fold("doc_id", FOLDS) != HELD_OUT).groupBy("doc_id").agg(F.max("label").alias("label")), most, 3)  # one row for each id
     got = texts_of(rows, ids).select("label", "text").mapInArrow(_vectors, "label long, vector binary").collect()
     if not got:
         return None, 0.5

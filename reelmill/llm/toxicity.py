@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -11,14 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import fold, sample_ids, texts_of
+from .shared import stash
 from .words import U, Words, mix, slices
 
 #: Features are hashes of so many bits; only those found telling get a weight.
 BITS = 30
 HEADS = (4, 5, 6, 7, 8)
-#: Bounds of the sample a classifier is fitted on; everything is scored.
+#: Bounds of what a classifier is fitted on: labelled texts, unlabelled ones for the steps, and features. Every text is counted and scored.
 MOST_POSITIVE = 2500
 MOST_UNLABELLED = 6000
+MOST_FEATURES = 200_000
+#: In so many positives a feature has to be, or in an eighth of them where they are few.
+LEAST_TEXTS = 5
 FOLDS, HELD_OUT = 5, 0
 
 
@@ -54,32 +57,17 @@ def margins(weights: np.ndarray, bias: float, rows: list[np.ndarray]) -> np.ndar
     return sums[ends] - sums[ends - size] + bias
 
 
-@dataclass
 class Linear:
     """Weights of the telling features, which are sorted; all others weigh nothing."""
 
-    telling: np.ndarray
-    weights: np.ndarray
-    bias: float
-
-    def __post_init__(self) -> None:
-        self.likely = np.zeros(1 << 20, bool)
-        self.likely[self.telling >> (BITS - 20)] = True
+    def __init__(self, features: np.ndarray, weights: np.ndarray, bias: float):
+        self.known, self.weights, self.bias = Known(features), weights, bias
 
     def of_words(self, words: Words) -> np.ndarray:
         """A score for each text: whether features are there counts, not how often."""
         docs = len(words.first) - 1
-        doc = np.repeat(np.arange(docs), np.diff(words.first))
-        hits = []
-        for h in hashed(words):
-            at = np.flatnonzero(self.likely[h >> (BITS - 20)])
-            place = np.searchsorted(self.telling, h[at])
-            place[place == len(self.telling)] = 0
-            real = self.telling[place] == h[at] if len(self.telling) else np.zeros(len(at), bool)
-            hits.append(doc[at[real]] * max(1, len(self.telling)) + place[real])
-        hit = np.unique(np.concatenate(hits))
-        n = max(1, len(self.telling))
-        sums = np.bincount(hit // n, self.weights[hit % n] if len(self.weights) else None, docs) if len(hit) else np.zeros(docs)
+        doc, number = self.known.hits(words)
+        sums = np.bincount(doc, self.weights[number], docs) if len(doc) else np.zeros(docs)
         return sigmoid(sums + self.bias)
 
 
@@ -87,66 +75,112 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
-def telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], least: int = 5, deviations: float = 5.0) -> np.ndarray:
-    """Sorted features whose share among positives is above that among unlabelled rows by more than chance over so many features."""
-    found, p = np.unique(np.concatenate(positive), return_counts=True)
-    keep = p >= min(least, max(2, len(positive) // 8))
-    found, p = found[keep], p[keep]
-    u = np.zeros(len(found))
-    for r in unlabelled:
-        at = np.searchsorted(found, r)
-        at[at == len(found)] = 0
-        if len(found):
-            u[at[found[at] == r]] += 1
-    pool = (p + u + 1) / (len(positive) + len(unlabelled) + 2)
-    gap = p / len(positive) - u / max(1, len(unlabelled))
-    noise = np.sqrt(pool * (1 - pool) * (1 / len(positive) + 1 / max(1, len(unlabelled))))
-    return found[gap > deviations * noise]
-
-
-def mixture_share(kept: np.ndarray, positive: list[np.ndarray], unlabelled: list[np.ndarray], least: int = 20) -> float:
-    """The share of positives among unlabelled rows, from above: no feature can be rarer there than that share of its rate among positives."""
-    p, u = (sum((np.isin(kept, r, assume_unique=True) for r in rows), np.zeros(len(kept))) for rows in (positive, unlabelled))
+def telling(p: np.ndarray, u: np.ndarray, n_p: int, n_u: int, deviations: float = 5.0) -> np.ndarray:
+    """Of features in p of n_p positive and u of n_u unlabelled texts, those whose share among positives is higher by more than chance over so many features."""
+    pool = (p + u + 1) / (n_p + n_u + 2)
+    noise = np.sqrt(pool * (1 - pool) * (1 / n_p + 1 / max(1, n_u)))
+    return p / n_p - u / max(1, n_u) > deviations * noise
+
+
+def mixture_share(p: np.ndarray, u: np.ndarray, n_p: int, n_u: int, least: int = 20) -> float:
+    """The share of positives among unlabelled texts, from above: no feature can be rarer there than that share of its rate among positives."""
     sure = p >= least
-    return max(1e-3, float(np.percentile(u[sure] / len(unlabelled) / (p[sure] / len(positive)), 25))) if sure.any() else 1.0
+    return max(1e-3, float(np.percentile(u[sure] / max(1, n_u) / (p[sure] / n_p), 25))) if sure.any() else 1.0
+
+
+def pu_risk(w: np.ndarray, bias: float, rows: list[np.ndarray], n_p: int, prior: float) -> tuple[float, float]:
+    """prior * E_p[loss(+)], and E_u[loss(-)] - prior * E_p[loss(-)], the estimate of the negative part; the first n_p rows are the positives.
+
+    The loss is logistic: log(1 + e^-f) for a positive, log(1 + e^f) for a negative.
+    """
+    f = margins(w, bias, rows)
+    fp, fu = f[:n_p], f[n_p:]
+    return prior * float(np.logaddexp(0, -fp).mean()), float(np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean())
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> Linear:
-    """A linear classifier from positive and unlabelled rows, by full-batch Adam on the non-negative PU risk.
+def pu_gradient(w: np.ndarray, bias: float, rows: list[np.ndarray], n_p: int, prior: float) -> np.ndarray:
+    """Gradient of the non-negative PU risk by the weights and then the bias.
 
-    The risk is prior * E_p[loss(+)] + max(0, E_u[loss(-)] - prior * E_p[loss(-)]). Where the estimate
-    of the negative part is below zero, the step goes the other way along that part, so that it isn't fitted further.
+    Where the estimate of the negative part is below zero, the step goes the other way along that part alone, so
+    that it isn't fitted further.
     """
-    kept = telling(positive, unlabelled)
-    dim = len(kept)
-    rows = [np.flatnonzero(np.isin(kept, r, assume_unique=True)) for r in positive + unlabelled]
-    n_p, n_u = len(positive), len(unlabelled)
-    prior = min(prior, mixture_share(kept, positive, unlabelled))
+    sign = 1.0 if pu_risk(w, bias, rows, n_p, prior)[1] >= 0 else -1.0
+    f = margins(w, bias, rows)
+    sp, su = sigmoid(f[:n_p]), sigmoid(f[n_p:])
+    each = np.concatenate(((prior * (sp - 1) if sign > 0 else 0.0) / n_p - sign * prior * sp / n_p, sign * su / len(su)))
     flat = np.concatenate(rows)
-    size = [len(r) for r in rows]
+    return np.append(np.bincount(flat, np.repeat(each, [len(r) for r in rows]), len(w)), each.sum())
+
+
+def fit_nnpu(rows: list[np.ndarray], n_p: int, dim: int, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights and bias from positive (the first n_p) and unlabelled rows of feature numbers, by full-batch Adam on the non-negative PU risk."""
     w, bias = np.zeros(dim), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(dim + 1), np.zeros(dim + 1)
     for step in range(1, steps + 1):
-        f = margins(w, bias, rows)
-        fp, fu = f[:n_p], f[n_p:]
-        # logistic loss: loss(+) = log(1 + e^-f), loss(-) = log(1 + e^f)
-        negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        sp, su = sigmoid(fp), sigmoid(fu)
-        sign = 1.0 if negative >= 0 else -1.0
-        each = np.concatenate(((prior * (sp - 1) if sign > 0 else 0.0) / n_p - sign * prior * sp / n_p, sign * su / n_u))
-        grad = np.append(np.bincount(flat, np.repeat(each, size), dim) + decay * w, each.sum())
+        grad = pu_gradient(w, bias, rows, n_p, prior)
+        grad[:-1] += decay * w
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
         move = rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step) * m / (np.sqrt(v) + 1e-8)
         w, bias = np.maximum(w - move[:-1], 0), bias - move[-1]  # telling features speak for toxicity only
-    return Linear(kept, w, bias)
+    return w, bias
 
 
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each feature of each text, once."""
     for batch in batches:
-        for lo, hi, data, offsets in slices(batch.column(1)):
-            rows = [r.tobytes() for r in features(Words(data, offsets))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(rows, pa.binary())], ["positive", "vector"])
+        for _, _, data, offsets in slices(batch.column(0)):
+            for r in features(Words(data, offsets)):
+                yield pa.RecordBatch.from_arrays([pa.array(r, pa.int32())], ["feature"])
+
+
+class Known:
+    """Sorted features, and for the words of many texts which of the features each text has."""
+
+    def __init__(self, sorted_features: np.ndarray):
+        self.features = sorted_features
+        self.likely = np.zeros(1 << 20, bool)
+        self.likely[sorted_features >> (BITS - 20)] = True
+
+    def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(text, number of the feature) for each feature of each text, once and in order."""
+        n = len(self.features)
+        doc = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
+        found = []
+        for h in hashed(words):
+            at = np.flatnonzero(self.likely[h >> (BITS - 20)])
+            place = np.minimum(np.searchsorted(self.features, h[at]), max(0, n - 1))
+            real = self.features[place] == h[at] if n else np.zeros(len(at), bool)
+            found.append(doc[at[real]] * max(1, n) + place[real])
+        hit = np.sort(np.concatenate(found))
+        hit = hit[np.concatenate(([True], hit[1:] != hit[:-1]))] if len(hit) else hit
+        return hit // max(1, n), hit % max(1, n)
+
+
+def _counts(known: Known):
+    """How many of a task's texts have each feature; the last row, under number -1, is how many texts there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, texts = np.zeros(len(known.features), np.int64), 0
+        for batch in batches:
+            texts += batch.num_rows
+            for _, _, data, offsets in slices(batch.column(0)):
+                total += np.bincount(known.hits(Words(data, offsets))[1], minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(total[some], texts))], ["feature", "n"])
+
+    return run
+
+
+def _rows_of(known: Known):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in slices(batch.column(1)):
+                doc, number = known.hits(Words(data, offsets))
+                rows = [x.astype(np.int32).tobytes() for x in np.split(number, np.searchsorted(doc, np.arange(1, hi - lo)))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(rows, pa.binary())], ["positive", "vector"])
+
+    return run
 
 
 def _scores(model: Linear):
@@ -159,29 +193,61 @@ def _scores(model: Linear):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED) -> Linear:
+def _count(texts: DataFrame, names: np.ndarray) -> tuple[np.ndarray, int]:
+    """In how many texts each feature is, and how many texts there are."""
+    u, n_u = np.zeros(len(names), np.int64), 0
+    for feature, n in texts.select("text").mapInArrow(_counts(Known(names)), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect():
+        if feature < 0:
+            n_u = n
+        else:
+            u[feature] = n
+    return u, n_u
+
+
+def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED, most_features: int = MOST_FEATURES) -> Linear:
     """Fit on rows outside the held-out fold: texts marked toxic as positives, and any other texts as unlabelled.
 
-    The class prior is the share of toxic among the labelled rows of those folds, or less where the unlabelled texts prove it. Both samples are bounded, and
-    picked by a hash of the id. Without positives, or without texts, the model scores everything near 0.
+    Features of a bounded sample of positives are counted in all texts of those folds, the unlabelled ones, and
+    those that are telling are kept. The class prior is the share of toxic among the labelled rows, or less where these
+    counts prove it. The weights are then fitted on the sample of positives and a sample of unlabelled texts, each
+    text no more than the numbers of its telling features. Samples are picked by a hash of the id, one text for each.
+    Without positives, or without texts, the model scores everything near 0.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null").filter(fold("doc_id", FOLDS) != HELD_OUT)
     marks = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = marks.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    positives = sample_ids(marks.filter("toxic = 1").select("doc_id"), most_positive, 1).withColumn("positive", F.lit(1).cast("long"))
+    nothing = Linear(np.zeros(0, np.int32), np.zeros(0), -4.0)
+    if not share:
+        return nothing
+    positives = stash(sample_ids(marks.filter("toxic = 1").select("doc_id"), most_positive, 1).withColumn("positive", F.lit(1).cast("long")), "toxic-ids")
+    texts = stash(texts_of(rows, positives), "toxic-texts")
+    n_p = texts.count()
+    if not n_p:
+        return nothing
+    least = min(LEAST_TEXTS, max(2, n_p // 8))
+    counted = texts.select("text").mapInArrow(_features, "feature int").groupBy("feature").agg(F.count(F.lit(1)).alias("p")).filter(F.col("p") >= least)
+    found = np.array([tuple(r) for r in counted.orderBy(F.desc("p"), "feature").limit(most_features).collect()], np.int64).reshape(-1, 2)
+    found = found[np.argsort(found[:, 0])]
+    names, p = found[:, 0].astype(np.int32), found[:, 1]
     # Any text may be unlabelled, the confirmed among them: so toxic texts have the prior's share here.
-    free = rows.select("doc_id").filter(fold("doc_id", FOLDS) != HELD_OUT)
-    others = sample_ids(free, most_unlabelled, 2).withColumn("positive", F.lit(0).cast("long"))
-    ids = positives.unionByName(others).distinct()
-    got = texts_of(rows, ids).select("positive", "text").mapInArrow(_vectors, "positive long, vector binary").collect()
-    p = [np.frombuffer(r[1], np.int32) for r in got if r[0] == 1]
-    u = [np.frombuffer(r[1], np.int32) for r in got if r[0] == 0]
-    if not p or not share:
-        return Linear(np.zeros(0, np.int32), np.zeros(0), -4.0)
-    if not u:
-        u = p
-    return fit_nnpu(p, u, min(max(share, 1e-3), 0.9))
+    free = rows.filter(fold("doc_id", FOLDS) != HELD_OUT)
+    others = sample_ids(free.select("doc_id"), most_unlabelled, 2).withColumn("positive", F.lit(0).cast("long"))
+    some = stash(texts_of(rows, others), "unlabelled-texts")
+    # What isn't rarer in a sample by two deviations won't be by five in all texts, so it isn't looked for there.
+    u, n_u = _count(some, names)
+    if not n_u:
+        return nothing
+    maybe = telling(p, u, n_p, n_u, 2.0)
+    names, p = names[maybe], p[maybe]
+    u, n_u = _count(free, names)
+    kept = telling(p, u, n_p, n_u)
+    prior = min(max(share, 1e-3), 0.9, mixture_share(p[kept], u[kept], n_p, n_u))
+    sample = texts.select("positive", "text").unionByName(some.select("positive", "text"))
+    got = sample.mapInArrow(_rows_of(Known(names[kept])), "positive long, vector binary").collect()
+    got.sort(key=lambda r: (-r[0], r[1]))  # the sums of a fit shouldn't depend on the order of tasks
+    w, bias = fit_nnpu([np.frombuffer(r[1], np.int32) for r in got], n_p, int(kept.sum()), prior)
+    return Linear(names[kept], w, bias)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, model: Linear | None = None) -> DataFrame:
@@ -199,17 +265,22 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, model: Linear | None = N
     return scored.select("doc_id", F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def _clean(model: Linear):
+def _clean(model: Linear, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
+            texts = batch.column(batch.schema.get_field_index(text_col))
             keep = [model.of_words(Words(data, offsets)) < 0.5 for _, _, data, offsets in slices(texts)]
             yield batch.filter(pa.array(np.concatenate(keep))) if keep else batch
 
     return run
 
 
-def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the texts predicted toxic, all columns as they were."""
-    model = train(docs, labels)
-    return docs.mapInArrow(_clean(model), docs.schema)
+def reject_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the texts predicted toxic, all columns as they were.
+
+    Defined cases: a null or blank text has no features and stays, unless most texts are toxic; rows are judged each
+    by its own text, whatever their ids, null ones included; without labels nothing goes; an empty table gives no rows;
+    other columns may have any names.
+    """
+    model = train(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), labels)
+    return docs.mapInArrow(_clean(model, text_col), docs.schema)
