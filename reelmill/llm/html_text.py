@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -19,7 +20,7 @@ BLOCK = frozenset(
 #: Never text to read, wherever it stands.
 HIDDEN = frozenset("script style noscript template head title iframe object svg math canvas audio video select textarea button datalist".split())
 #: Around the article, not of it.
-AROUND = frozenset("nav footer aside form menu dialog search".split())
+AROUND = frozenset("nav footer aside menu dialog search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar status".split())
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adslot sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
@@ -27,6 +28,12 @@ NAMES = frozenset(
     "commentlist disqus respond reply replies share sharing social related recommended recommendations newsletter subscribe signup login "
     "search pagination pager toolbar copyright skip".split()
 )
+#: What may stand beside such a name in one word of a class or id: with any other word it is the name of something else.
+BESIDE = frozenset(
+    "area bar block body bottom box btn button buttons card center close col column container content count css desktop div form frame grid group head header heading "
+    "holder icon icons image images inner item items js label large left line link links list main media message mobile module more note open outer page panel policy popular "
+    "post posts primary region right row secondary section sections site slot small story stories text title tool tools top unit view wrap wrapper".split()
+)
 #: Names of what is a block of its own and can outgrow the article it stands beside.
 LONG = frozenset(
     "ad ads adv advert adverts advertisement advertising adslot sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup "
@@ -49,10 +56,22 @@ ENDS = {
     **{t: (frozenset(("tbody", "thead", "tfoot")), frozenset(("table",))) for t in ("tbody", "thead", "tfoot")},
 }
 ENDABLE = frozenset("p li dt dd td th tr tbody thead tfoot".split())
-_WORD = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[a-z]{2,}")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_MARKED = ENDABLE | _PARTS
+
+SURE, NAMED, NAMED_LONG, HEADER = 1, 2, 3, 4
+
 
-SURE, NAMED, NAMED_LONG = 1, 2, 3
+def _named(value: str, inside: bool) -> int:
+    """How the words of a class or id hide their element: by a name of what isn't the article, alone or with words that go with any."""
+    how = 0
+    for word in value.split():
+        parts = _WORD.findall(_CAMEL.sub(" ", word).lower())
+        names = [x for x in parts if x in NAMES or not inside and x == "header"]
+        if names and all(x in names or x in BESIDE for x in parts):
+            how = max(how, NAMED if LONG.isdisjoint(names) else NAMED_LONG)
+    return how
 
 
 class _Lines(HTMLParser):
@@ -65,14 +84,16 @@ class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int, int]] = []  # tag, how it hides its content, article number it opened
+        self.open: Counter[str] = Counter()
+        self.marks: list[int] = []  # places in the stack of what end tags let out have to do with
         self.hiding = 0
-        self.endable = 0
         self.articles: list[int] = [0]
         self.count = 0
-        self.within: list[frozenset[int]] = [frozenset()]  # of each article number, itself and those around it
+        self.around: list[int] = [0]  # of each article number, the article around it
         self.opened_in: list[int] = [0]  # of each article number, the named element around it
         self.named: list[tuple[int, int]] = [(0, 0)]  # of each named element, the one around it and how it hides
         self.chain: list[int] = [0]
+        self.headed: set[int] = set()  # named elements that hold a heading outside links
         self.links = 0
         self.blocks: list[tuple[list[tuple[str, int, bool]], int, int]] = []
         self.pieces: list[tuple[str, int, bool]] = []  # text, the named element around it, whether in a link
@@ -90,9 +111,7 @@ class _Lines(HTMLParser):
         if tag in ("body", "html"):
             return 0
         inside = self.articles[-1] > 0
-        if tag == "header" and not inside:
-            return SURE
-        named = 0
+        named = HEADER if tag == "header" and not inside else NAMED if tag == "form" else 0
         for key, value in attrs:
             if key == "hidden" or key == "aria-hidden" and value == "true":
                 return SURE
@@ -100,37 +119,39 @@ class _Lines(HTMLParser):
                 continue
             if key == "role" and value.lower() in ROLES:
                 return SURE
-            if key in ("class", "id") and tag not in ARTICLE or key == "class" and "comment" in value.lower():
-                words = _WORD.findall(_CAMEL.sub(" ", value).lower())
-                if not NAMES.isdisjoint(words) or not inside and "header" in words:
-                    named = max(named, NAMED if LONG.isdisjoint(words) else NAMED_LONG)
+            if not named and (key in ("class", "id") and tag not in ARTICLE or key == "class" and "comment" in value.lower()):
+                named = _named(value, inside)
             if key == "style" and "display:none" in value.replace(" ", "").lower():
                 return SURE
         return named
 
     def _pop(self) -> str:
         t, hides, opened = self.stack.pop()
+        self.open[t] -= 1
+        if self.marks and self.marks[-1] == len(self.stack):
+            self.marks.pop()
         self.hiding -= hides == SURE
         if hides > SURE:
             self.chain.pop()
         self.links -= t == "a"
-        self.endable -= t in ENDABLE
         if opened:
             self.articles.pop()
         return t
 
     def _end_implied(self, tag: str) -> None:
         """Closes what HTML lets go on without an end tag up to here."""
-        if tag == "body" and any(t == "head" for t, _, _ in self.stack):
+        if tag == "body" and self.open["head"]:
             while self._pop() != "head":
                 pass
         elif self.stack and self.stack[-1][0] == "head" and tag not in IN_HEAD:
             self._pop()
-        if not self.endable or tag not in ENDS:
+        if tag not in ENDS:
             return
         ended, stops = ENDS[tag]
+        if not any(self.open[t] for t in ended):
+            return
         at = None
-        for i in range(len(self.stack) - 1, -1, -1):
+        for i in reversed(self.marks):
             t = self.stack[i][0]
             if t in ended:
                 at = i
@@ -153,7 +174,7 @@ class _Lines(HTMLParser):
         if tag in ARTICLE and not hides and not self.hiding:
             self.count += 1
             opened = self.count
-            self.within.append(self.within[self.articles[-1]] | {opened})
+            self.around.append(self.articles[-1])
             self.opened_in.append(self.chain[-1])
             self.articles.append(opened)
         self.hiding += hides == SURE
@@ -161,7 +182,9 @@ class _Lines(HTMLParser):
             self.named.append((self.chain[-1], hides))
             self.chain.append(len(self.named) - 1)
         self.links += tag == "a"
-        self.endable += tag in ENDABLE
+        self.open[tag] += 1
+        if tag in _MARKED:
+            self.marks.append(len(self.stack))
         self.stack.append((tag, hides, opened))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -173,7 +196,7 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCK:
             self._break()
-        if not any(t == tag for t, _, _ in reversed(self.stack)):
+        if not self.open[tag]:
             return
         while self._pop() != tag:  # what is still open inside ends with it
             pass
@@ -183,16 +206,19 @@ class _Lines(HTMLParser):
             self._pop()
         if self.hiding or not data:
             return
+        if len(self.chain) > 1 and not self.links and (self.open["h1"] or self.open["h2"]) and data.strip():
+            self.headed.add(self.chain[-1])
         self.pieces.append((data, self.chain[-1], self.links > 0))
 
     def _shown(self) -> list[bool]:
         """Of each named element, whether its text is read after all.
 
         It is where the element holds most of the page's text outside links, or the article with most of it: then it
-        is a layout named after one of its parts. Names of what can outgrow an article need both.
+        is a layout named after one of its parts. Names of what can outgrow an article need both. A page's header is read
+        where there is no article and it has a heading that is no link.
         """
         size = len(self.named)
-        prose, held, of_article = [0] * size, [False] * size, [0] * len(self.within)
+        prose, held, of_article = [0] * size, [False] * size, [0] * (self.count + 1)
         for pieces, _, article in self.blocks:
             for text, named, linked in pieces:
                 if not linked:
@@ -210,7 +236,11 @@ class _Lines(HTMLParser):
         for i in range(1, size):
             around, how = self.named[i]
             most_text = 2 * prose[i] > prose[0]
-            shown[i] = shown[around] and (most_text and held[i] if how == NAMED_LONG else most_text or held[i])
+            if how == HEADER:
+                own = held[i] or not self.count and (most_text or i in self.headed)
+            else:
+                own = most_text and held[i] if how == NAMED_LONG else most_text or held[i]
+            shown[i] = shown[around] and own
         return shown
 
     def _lines(self, shown: list[bool]) -> list[tuple[str, int, int, int]]:
@@ -261,8 +291,12 @@ def main_text(html: str | None) -> str:
     content &= np.array([2 * linked <= len(t) for t, _, linked, _ in lines])
     if not content.any():
         content[int(level.argmax())] = True
-    chosen = {int(a) for a in article[content] if a}
-    return " ".join(t for (t, _, _, a), c in zip(lines, content, strict=True) if c or not chosen.isdisjoint(parser.within[a]))
+    taken = [False] * (parser.count + 1)
+    for a in article[content]:
+        taken[a] = bool(a)
+    for a in range(1, parser.count + 1):  # an article comes after the one around it
+        taken[a] |= taken[parser.around[a]]
+    return " ".join(t for (t, _, _, a), c in zip(lines, content, strict=True) if c or taken[a])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,7 +311,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """One row per row of ``pages``: page_id, url, text, n_chars; each page is parsed whole where it is read.
 
     Defined cases: null, empty and text-free pages have an empty text; broken markup is taken as the parser takes
-    it, an end tag closing all that is open inside it, and end tags that HTML lets out are put in; null ids and urls stay null; repeated rows each give a
+    it, an end tag closing all that is open inside it, and end tags that HTML lets out are put in; very long pages and deep nesting are
+    read whole, in time that grows with their length; null ids and urls stay null; repeated rows each give a
     row; an empty table gives no rows; other columns are ignored.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
