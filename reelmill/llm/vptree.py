@@ -1,4 +1,8 @@
-"""Nearest neighbours by cosine with a vantage-point tree for each shard of the vectors."""
+"""Nearest neighbours by cosine with a vantage-point tree for each shard of the vectors.
+
+The shards are the leaves of a coarse vantage-point tree, so that a query can pass over whole shards: first it is
+searched in the shard it would lie in, then in those that the triangle inequality can't rule out with what was found.
+"""
 
 from __future__ import annotations
 
@@ -13,9 +17,14 @@ from pyspark.sql import functions as F
 
 from .shared import stash
 
+#: Rows of a shard, and queries that are searched in one go.
 SHARD_ROWS = 4096
-QUERY_ROWS = 1024
-LEAF = 32
+QUERY_ROWS = 4096
+#: Vectors that the coarse tree is fitted on, at most; every row is in the index. A leaf holds so many of them at least.
+MOST_SAMPLE = 16_384
+SAMPLE_LEAF = 8
+#: Few comparisons at a time cost more than those that a deeper tree would pass over.
+LEAF = 256
 #: Distances of unit vectors are right to about this, or where they have many components to the root of their roundings.
 ROUNDING = 1e-7
 TIED_ROWS = 128
@@ -59,16 +68,18 @@ class VpTree:
         self.nodes.append((point, half, low, high))
         return len(self.nodes) - 1
 
-    def search(self, queries: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, queries: np.ndarray, k: int, factor: float = 1.0, reach: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the k nearest distinct vectors for each query, -1 where there are fewer, and their distances.
 
         A side of a node is passed over where its border is farther than ``factor`` times the k-th best distance so
-        far. With a factor of one nothing nearer can be missed; smaller factors pass over more.
+        far. With a factor of one nothing nearer can be missed; smaller factors pass over more. With a ``reach`` for each
+        query only what is not farther is asked for.
         """
         q = queries / np.sqrt((queries * queries).sum(1))[:, None]
         best = np.full((len(q), k), np.inf)
         rows = np.full((len(q), k), -1)
-        worst = np.full(len(q), np.inf)
+        limit = np.full(len(q), np.inf) if reach is None else reach + 2 * self.rounding
+        worst = limit.copy()
 
         def take(of: np.ndarray, found: np.ndarray) -> np.ndarray:
             d = _distance(q[of], self.unit[found])
@@ -80,7 +91,7 @@ class VpTree:
                 pick = np.argpartition(both, k - 1, axis=1)[:, :k]
                 best[of] = kept = np.take_along_axis(both, pick, 1)
                 rows[of] = np.take_along_axis(names, pick, 1)
-                worst[of] = kept.max(1)
+                worst[of] = np.minimum(limit[of], kept.max(1))
             return d
 
         # (node, queries, border distance of each query to this side)
@@ -137,11 +148,11 @@ class VpTree:
         order = np.argsort(by, kind="stable")
         return np.split(np.concatenate(found)[order], np.searchsorted(by[order], np.arange(1, len(q))))
 
-    def nearest(self, ids: np.ndarray, queries: np.ndarray, k: int, factor: float = 1.0) -> list[tuple[int, int, float]]:
-        """(query, id, cosine) of each query's k nearest rows but itself, ties to smaller ids."""
+    def nearest(self, ids: np.ndarray, queries: np.ndarray, k: int, factor: float = 1.0, reach: np.ndarray | None = None) -> list[tuple[int, int, float]]:
+        """(query, id, cosine) of each query's k nearest rows but itself, ties to smaller ids; with a ``reach`` rows that are farther may be missing."""
         queries = np.ascontiguousarray(queries, np.float64)
         keep = min(len(self.vectors), k + 8)
-        found, distances = self.search(queries, keep, factor)
+        found, distances = self.search(queries, keep, factor, reach)
         kept = [rows[rows >= 0] for rows in found]
         if k < keep < len(self.vectors):
             # A query's own vector aside, k others are enough, but all that tie with the last of them are asked for.
@@ -172,28 +183,142 @@ def cosine(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (rows * q).sum(1) / (np.sqrt((rows * rows).sum(1)) * np.sqrt((q * q).sum()))
 
 
-def _tree(most: int):
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        tree = VpTree(part["vec_id"].to_numpy(np.int64), np.stack(part["v"].to_numpy()).astype(np.float64), most)
-        return pd.DataFrame({"width": [int(part["width"].iloc[0])], "shard": [int(part["shard"].iloc[0])], "tree": [pickle.dumps(tree)]})
+class CoarseTree:
+    """Vantage points fitted on a sample; its leaves are shards. Of a leaf's rows it knows how far they are from each vantage point above it."""
+
+    def __init__(self, sample: np.ndarray, leaves: int, seed: int = 0):
+        self.points: list[np.ndarray] = []
+        self.half: list[float] = []
+        self.sides: list[tuple[int, int]] = []  # children: a node, or ~leaf
+        self.leaves = 0
+        self.above: list[list[int]] = []  # of each leaf, the nodes from the root down
+        unit = sample / np.sqrt((sample * sample).sum(1))[:, None] if len(sample) else sample
+        self.root = self._grow(unit, leaves, np.random.default_rng(seed), [])
+        self.low = [np.zeros(len(a)) for a in self.above]
+        self.high = [np.full(len(a), np.inf) for a in self.above]
+
+    def _grow(self, unit: np.ndarray, leaves: int, rng: np.random.Generator, above: list[int]) -> int:
+        if leaves > 1 and len(unit) >= 2 * SAMPLE_LEAF:
+            point = unit[int(rng.integers(len(unit)))]
+            d = _distance(unit, point[None])[:, 0]
+            half = float(np.median(d))
+            inside = d <= half
+            if not inside.all():
+                node = len(self.points)
+                self.points.append(point)
+                self.half.append(half)
+                self.sides.append((0, 0))
+                low = self._grow(unit[inside], leaves // 2, rng, [*above, node])
+                high = self._grow(unit[~inside], leaves - leaves // 2, rng, [*above, node])
+                self.sides[node] = (low, high)
+                return node
+        self.above.append(above)
+        self.leaves += 1
+        return ~(self.leaves - 1)
+
+    def route(self, vectors: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The leaf of each vector, and its distances from the vantage points above that leaf."""
+        unit = vectors / np.sqrt((vectors * vectors).sum(1))[:, None]
+        leaf, away = np.zeros(len(unit), np.int64), [[] for _ in range(len(unit))]
+        stack = [(self.root, np.arange(len(unit)))]
+        while stack:
+            node, of = stack.pop()
+            if node < 0:
+                leaf[of] = ~node
+                continue
+            d = _distance(unit[of], self.points[node][None])[:, 0]
+            for i, x in zip(of.tolist(), d.tolist(), strict=True):
+                away[i].append(x)
+            inside = d <= self.half[node]
+            for side, mine in zip(self.sides[node], (of[inside], of[~inside]), strict=True):
+                if len(mine):
+                    stack.append((side, mine))
+        return leaf, away
+
+    def bound(self, leaf: int, low: list[float], high: list[float]) -> None:
+        self.low[leaf], self.high[leaf] = np.array(low, float), np.array(high, float)
+
+    def visits(self, queries: np.ndarray, reach: np.ndarray, rounding: float) -> tuple[np.ndarray, np.ndarray]:
+        """(query, leaf) of every leaf that may hold a row within a query's reach."""
+        unit = queries / np.sqrt((queries * queries).sum(1))[:, None]
+        d = _distance(unit, np.array(self.points).reshape(-1, unit.shape[1])) if self.points else np.zeros((len(unit), 0))
+        whose, where = [], []
+        for leaf, above in enumerate(self.above):
+            away = d[:, above]
+            gap = np.maximum(away - self.high[leaf], self.low[leaf] - away).max(1, initial=0.0)
+            mine = np.flatnonzero(gap <= reach + 2 * rounding)
+            whose.append(mine)
+            where.append(np.full(len(mine), leaf))
+        return np.concatenate(whose), np.concatenate(where)
+
+
+def _routed(trees: dict[int, CoarseTree]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            width, v = batch.column(2).to_numpy(), batch.column(1)
+            leaf, away = np.zeros(len(width), np.int64), [[] for _ in range(len(width))]
+            for w in np.unique(width):
+                mine = np.flatnonzero(width == w)
+                if int(w) in trees:
+                    found, far = trees[int(w)].route(_matrix(v.take(pa.array(mine)), int(w)))
+                    leaf[mine] = found
+                    for i, x in zip(mine.tolist(), far, strict=True):
+                        away[i] = x
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf.astype(np.int32)), pa.array(away, pa.list_(pa.float64()))], [*batch.schema.names, "leaf", "away"])
 
     return run
 
 
-def _block(part: pd.DataFrame) -> pd.DataFrame:
-    blob = pickle.dumps((part["vec_id"].to_numpy(np.int64), np.stack(part["v"].to_numpy()).astype(np.float64)))
-    return pd.DataFrame({"width": [int(part["width"].iloc[0])], "block": [int(part["block"].iloc[0])], "queries": [blob]})
+def _matrix(v: pa.Array, width: int) -> np.ndarray:
+    return v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
-def _search(k: int, factor: float):
+def _visits(trees: dict[int, CoarseTree], factor: float):
+    """Queries with a row for each leaf they have to see."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                tree = pickle.loads(batch.column(0)[i].as_buffer())
-                ids, queries = pickle.loads(batch.column(1)[i].as_buffer())
-                found = tree.nearest(ids, queries, k, factor)
-                columns = list(zip(*found, strict=True)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], ["query_id", "vec_id", "score"])
+        for whole in batches:
+            most = max([1, *(t.leaves for t in trees.values())])
+            step = max(1, 20_000 // most)
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                width, reach = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+                rows, leaves = [], []
+                for w in np.unique(width):
+                    mine = np.flatnonzero(width == w)
+                    if int(w) in trees:
+                        q, leaf = trees[int(w)].visits(_matrix(batch.column(1).take(pa.array(mine)), int(w)), factor * reach[mine], _rounding(int(w)))
+                    else:
+                        q, leaf = np.arange(len(mine)), np.zeros(len(mine), np.int64)
+                    rows.append(mine[q])
+                    leaves.append(leaf)
+                at_rows = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays([*(c.take(at_rows) for c in batch.columns[:4]), pa.array(np.concatenate(leaves).astype(np.int32))], [*batch.schema.names[:4], "leaf"])
+
+    return run
+
+
+def _rounding(width: int) -> float:
+    return max(ROUNDING, float(np.sqrt(8 * np.finfo(np.float64).eps * width)))
+
+
+def _tree(most: int):
+    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        tree = VpTree(part["vec_id"].to_numpy(np.int64), np.stack(part["v"].to_numpy()).astype(np.float64), most)
+        away = np.stack([np.asarray(x, float) for x in part["away"]]) if len(part["away"].iloc[0]) else np.zeros((len(part), 0))
+        return pd.DataFrame({"width": [key[0]], "leaf": [key[1]], "sub": [key[2]], "tree": [pickle.dumps(tree)], "low": [away.min(0).tolist()], "high": [away.max(0).tolist()]})
+
+    return run
+
+
+def _search(k: int, factor: float):
+    def run(key: tuple, asked: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+        if asked.empty or trees.empty:
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        tree = pickle.loads(trees["tree"].iloc[0])
+        reach = asked["reach"].to_numpy(float)
+        found = tree.nearest(asked["vec_id"].to_numpy(np.int64), np.stack(asked["v"].to_numpy()).astype(np.float64), k, factor, np.where(np.isnan(reach), np.inf, reach))
+        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     return run
 
@@ -201,13 +326,17 @@ def _search(k: int, factor: float):
 def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, factor: float = 1.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank from 1, vec_id, score: the k nearest rows by cosine of each row whose id is divisible by ``every``.
 
-    Every row is in the index of one shard of about SHARD_ROWS rows, dealt by a hash of its id, so equal
-    vectors are spread over all shards. Queries go in blocks to each shard; a task holds one tree and one block. What
-    a shard finds nearest, k rows for a query, is then ranked. With factor 1, the default, the search is exact: all
-    vectors that tie with a shard's k-th best are met, however many, before ties go to smaller ids.
+    Every row is in the index: a coarse tree, fitted on a bounded sample, deals the rows to shards of about SHARD_ROWS;
+    a leaf that grew beyond that is dealt on by a hash of the id. Of equal vectors only as many as can be asked for are
+    kept, so copies fill no shard. A query is searched in its own shard, then in every shard that may hold a row
+    nearer than the k-th found there. A task loads one tree and takes up to about QUERY_ROWS queries through it; the queries move,
+    not the trees. What the shards find nearest, k rows for a query, is then ranked. With factor 1, the
+    default, the search is exact: all vectors that tie with a shard's k-th best are met, however many, before ties go to
+    smaller ids. Where vectors lie so that no shard can be ruled out, every query sees every shard.
 
     Defined cases: vectors that are null, empty, zero, or have null or non-finite components take no part, nor
-    do rows with a null id; vectors of different lengths never meet; a repeated row is a candidate once; a query with
+    do rows with a null id; vectors of different lengths never meet; a repeated row is a candidate once, and of rows that repeat an id
+    with other vectors the smallest vector asks, and the nearest answers; a query with
     fewer than k candidates has as many rows; an empty table gives no rows; other columns are ignored.
     """
     v = F.col(vector_col).cast("array<double>")
@@ -219,16 +348,46 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, factor:
         .withColumn("width", F.size("v"))
     )
     rows = stash(rows, "vectors")
-    widths = rows.groupBy("width").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("q"))
-    sizes = widths.select("width", F.ceil(F.col("n") / SHARD_ROWS).cast("int").alias("shards"), F.ceil(F.greatest("q", F.lit(1)) / QUERY_ROWS).cast("int").alias("blocks"))
-    sized = rows.join(F.broadcast(sizes), "width")  # a row for each length of vectors
-    dealt = sized.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
-    trees = stash(dealt.select("width", "shard", "vec_id", "v").groupBy("width", "shard").applyInPandas(_tree(k + 1), "width int, shard int, tree binary"), "vp-trees")
-    asked = sized.filter(F.col("vec_id") % every == 0).withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("blocks")).cast("int"))
-    blocks = asked.select("width", "block", "vec_id", "v").dropDuplicates(["vec_id"]).groupBy("width", "block").applyInPandas(_block, "width int, block int, queries binary")
-    sent = blocks.join(F.broadcast(sizes), "width").select("width", "block", "queries", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
-    met = sent.join(trees, ["width", "shard"])
-    total = sizes.agg(F.sum(F.col("shards") * F.col("blocks"))).first()[0] or 1
-    found = met.repartition(int(total), "width", "shard", "block").select("tree", "queries").mapInArrow(_search(k, factor), "query_id long, vec_id long, score double")
+    # A limit on the place within a group is applied before the shuffle, so copies by the million cost no task more.
+    copies = Window.partitionBy("v").orderBy("vec_id")
+    index = stash(rows.dropDuplicates(["vec_id", "v"]).withColumn("_n", F.row_number().over(copies)).filter(F.col("_n") <= k + 1).drop("_n"), "distinct-vectors")
+    sizes = {r[0]: r[1] for r in index.groupBy("width").agg(F.count(F.lit(1))).collect()}
+    sample = index.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MOST_SAMPLE).collect()
+    trees = {w: CoarseTree(np.array([r.v for r in sample if r.width == w], float).reshape(-1, w), -(-n // SHARD_ROWS)) for w, n in sizes.items() if n > SHARD_ROWS}
+    routed = "vec_id long, v array<double>, width int, leaf int, away array<double>"
+    dealt = stash(index.select("vec_id", "v", "width").mapInArrow(_routed(trees), routed), "routed")
+    subs = stash(dealt.groupBy("width", "leaf").agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("subs")), "leaves")
+    in_sub = F.pmod(F.xxhash64("vec_id"), F.col("subs")).cast("int")
+    shards = dealt.join(F.broadcast(subs), ["width", "leaf"]).withColumn("sub", in_sub)  # at most as many leaves as the sample has rows
+    built = stash(shards.select("width", "leaf", "sub", "vec_id", "v", "away").groupBy("width", "leaf", "sub").applyInPandas(_tree(k + 1), "width int, leaf int, sub int, tree binary, low array<double>, high array<double>"), "vp-trees")
+    bounds = built.select("width", "leaf", F.posexplode(F.arrays_zip("low", "high")).alias("at", "b")).groupBy("width", "leaf", "at").agg(F.min("b.low").alias("low"), F.max("b.high").alias("high"))
+    of_leaf: dict[tuple[int, int], list] = {}
+    for r in sorted(bounds.collect(), key=lambda r: (r.width, r.leaf, r["at"])):
+        of_leaf.setdefault((r.width, r.leaf), []).append((r.low, r.high))
+    for (w, leaf), b in of_leaf.items():
+        trees[w].bound(leaf, [x for x, _ in b], [x for _, x in b])
+    queries = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    queries = queries.withColumn("width", F.size("v")).select("vec_id", "v", "width")
+    home = stash(queries.mapInArrow(_routed(trees), routed).drop("away").join(F.broadcast(subs), ["width", "leaf"], "left").withColumn("sub", F.coalesce(in_sub, F.lit(0))), "queries")
+
+    def searched(asked: DataFrame) -> DataFrame:
+        """What (vec_id, v, width, leaf, sub, reach) find in their shards."""
+        keys = ["width", "leaf", "sub"]
+        load = asked.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("blocks"))
+        load = stash(load, "blocks")
+        # Blocks are as many as shards, or as loads of queries for them; they are joined, not broadcast, for they grow.
+        parts = asked.join(load, keys).withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("blocks")).cast("int")).select(*keys, "block", "vec_id", "v", "reach")
+        sent = built.select(*keys, "tree").join(load, keys).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*keys, "block", "tree")
+        by = [*keys, "block"]
+        return stash(parts.groupBy(*by).cogroup(sent.groupBy(*by)).applyInPandas(_search(k, factor), "query_id long, vec_id long, score double"), "found")
+
+    first = searched(home.select("vec_id", "v", "width", "leaf", "sub", F.lit(None).cast("double").alias("reach")))
+    enough = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count(F.lit(1)) >= k, F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.min("score")))).alias("reach"))
+    reached = home.join(enough, "vec_id", "left").select("vec_id", "v", "width", F.coalesce("reach", F.lit(float("inf"))).alias("reach"), F.col("leaf").alias("_leaf"), F.col("sub").alias("_sub"))
+    seen = reached.select("vec_id", "v", "width", "reach").mapInArrow(_visits(trees, factor), "vec_id long, v array<double>, width int, reach double, leaf int")
+    visits = seen.join(F.broadcast(subs), ["width", "leaf"]).withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1))).drop("subs")
+    other = visits.join(reached.select("vec_id", F.col("_leaf").alias("leaf"), F.col("_sub").alias("sub")), ["vec_id", "leaf", "sub"], "left_anti")
+    second = searched(other)
+    found = first.unionByName(second).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return best.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
