@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reelmill.llm import html_text, quality, toxicity, vptree
+from reelmill.llm import html_text, labelled, quality, toxicity, vptree
 
 SF = "/root/testdata/sf0.01"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="the tables are not here")
@@ -59,14 +59,93 @@ def test_flat_trees_are_the_trees():
         assert model.margins(row[None])[0] == pytest.approx(total)
 
 
-def test_non_negative_risk_stays_non_negative():
+def pu_rows(rng, dim=12):
+    """Feature numbers of positives, which tend to have the first ones, and of unlabelled texts, a tenth of them alike."""
+    positive = lambda: np.flatnonzero(rng.random(dim) < np.where(np.arange(dim) < 3, 0.8, 0.1)).astype(np.int32)
+    plain = lambda: np.flatnonzero(rng.random(dim) < np.where(np.arange(dim) < 3, 0.01, 0.1)).astype(np.int32)
+    return [positive() for _ in range(200)], [plain() for _ in range(900)] + [positive() for _ in range(100)]
+
+
+def plain_risk(w, bias, p, u, prior):
+    f = lambda r: sum(w[i] for i in r) + bias
+    loss = lambda z: np.log(1 + np.exp(-z))
+    of_p = sum(prior * loss(f(r)) for r in p) / len(p)
+    negative = sum(loss(-f(r)) for r in u) / len(u) - sum(prior * loss(-f(r)) for r in p) / len(p)
+    return of_p, negative
+
+
+@pytest.mark.parametrize("prior, bias", [(0.1, -2.0), (0.9, 3.0)])
+def test_risk_and_gradient_are_the_plain_ones(prior, bias):
     rng = np.random.default_rng(1)
-    common = lambda: rng.choice(2000, 30, replace=False)
-    p = [np.unique(np.append(common(), 5000 + rng.integers(3))).astype(np.int32) for _ in range(200)]
-    u = [np.unique(common()).astype(np.int32) for _ in range(900)] + p[:100]
-    m = toxicity.fit_nnpu(p, u, 0.1)
-    score = lambda r: toxicity.sigmoid(m.weights[np.isin(m.telling, r)].sum() + m.bias)
-    assert np.mean([score(r) >= 0.5 for r in p]) > 0.95 and np.mean([score(r) >= 0.5 for r in u[:900]]) < 0.02
+    p, u = pu_rows(rng)
+    w = rng.normal(size=12)
+    if prior == 0.9:
+        u = [r[:0] for r in u]  # so the negative part is below zero
+        w = np.abs(w)
+    got = toxicity.pu_risk(w, bias, p + u, len(p), prior)
+    want = plain_risk(w, bias, p, u, prior)
+    assert got == pytest.approx(want) and (want[1] < 0) == (prior == 0.9)
+    part = (lambda x: sum(plain_risk(x[:-1], x[-1], p, u, prior))) if want[1] >= 0 else (lambda x: -plain_risk(x[:-1], x[-1], p, u, prior)[1])
+    x = np.append(w, bias)
+    slope = [(part(x + e) - part(x - e)) / 2e-5 for e in np.eye(13) * 1e-5]
+    assert toxicity.pu_gradient(w, bias, p + u, len(p), prior) == pytest.approx(slope, abs=1e-6)
+
+
+def test_fit_tells_positives_among_unlabelled():
+    p, u = pu_rows(np.random.default_rng(1))
+    w, bias = toxicity.fit_nnpu(p + u, len(p), 12, 0.1)
+    score = toxicity.sigmoid(toxicity.margins(w, bias, p + u))
+    assert (score[:200] >= 0.5).mean() > 0.8 and (score[200:1100] >= 0.5).mean() < 0.05  # some 3 % have a telling feature
+    risk = toxicity.pu_risk(w, bias, p + u, 200, 0.1)
+    assert risk[0] + max(0, risk[1]) < sum(toxicity.pu_risk(np.zeros(12), -2.2, p + u, 200, 0.1))
+
+
+def test_repeated_labelled_ids_count_once(spark, docs):
+    schema = "doc_id long, quality int, toxic int"
+    rng = np.random.default_rng(0)
+    words = [f"w{i}" for i in range(300)]
+    text = lambda toxic: " ".join([*rng.choice(words, 30), *(["vile", "rotten"] if toxic else [])])
+    rows = [(i, text(i % 4 == 0)) for i in range(1, 400)]
+    marks = [(i, 1, int(i % 4 == 0)) for i, _ in rows]
+    labels = spark.createDataFrame(marks + marks[:50] * 3, schema)
+    again = [r for r in rows if r[0] in (4, 8, 2)] * 500
+    ids = labelled.sample_ids(docs(rows + again).select("doc_id"), 60, 2)
+    assert ids.count() == 60 == ids.distinct().count()
+    assert {r[0] for r in ids.collect()} == {r[0] for r in labelled.sample_ids(docs(rows).select("doc_id"), 60, 2).collect()}
+    assert labelled.texts_of(docs(rows + again), ids).count() == 60
+    for table in (rows, rows + again):
+        got = {r.doc_id: r.predicted for r in toxicity.toxicity_scores(docs(table), labels).collect()}
+        assert np.mean([got[i] == t for i, _, t in marks]) > 0.97
+    model, share = quality.train(docs(rows + again), labels.withColumn("quality", F.col("toxic")), most=10_000)
+    assert model is not None and 0.15 < share < 0.35
+
+
+def test_counts_are_over_all_texts(spark, docs):
+    """Feature counts and text count against plain ones."""
+    from reelmill.llm.words import Words
+
+    texts = ["alpha beta", "beta", None, "", "gamma alpha alpha", "Alpha!"]
+    of = lambda t: next(toxicity.features(Words(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]))))
+    names = np.unique(np.concatenate([of("alpha"), of("gamma")]))
+    found = docs(list(enumerate(texts))).select("text").mapInArrow(toxicity._counts(toxicity.Known(names)), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
+    want = {i: n for i in range(len(names)) if (n := sum(names[i] in of(t) for t in texts))} | {-1: len(texts)}
+    assert {r[0]: r[1] for r in found} == want
+
+
+def test_first_split_is_the_best_one():
+    """The root's split against the gain of every column and border."""
+    rng = np.random.default_rng(7)
+    x, y = rng.integers(0, 9, size=(120, 4)).astype(float), (rng.random(120) < 0.5).astype(float)
+    y[x[:, 2] > 4] = 1
+    model = quality.fit_trees(x, y, rounds=1, depth=1, least=1.0, smooth=1.0)
+    p = y.mean()
+    g, h = p - y, np.full(120, p * (1 - p))
+    score = lambda m: g[m].sum() ** 2 / (h[m].sum() + 1)
+    gains = {(j, t): score(x[:, j] <= t) + score(x[:, j] > t) for j in range(4) for t in np.unique(x[:, j])[:-1] if min(h[x[:, j] <= t].sum(), h[x[:, j] > t].sum()) >= 1}
+    j, t = max(gains, key=gains.get)
+    assert model.column[0, 0] == j and ((x[:, j] > model.threshold[0, 0]) == (x[:, j] > t)).all()
+    for side, leaf in ((x[:, j] <= t, 0), (x[:, j] > t, 1)):
+        assert model.value[0, leaf] == pytest.approx(-0.15 * g[side].sum() / (h[side].sum() + 1))
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
@@ -109,6 +188,66 @@ def test_layout_named_after_a_part(wrapper):
     assert html_text.main_text(f'<article>{p}</article><div class="comments">{p * 9}</div><div class="sidebar"><a href=x>{LONG_TEXT * 9}</a></div>') == LONG_TEXT
 
 
+def test_page_in_a_form_and_words_that_only_look_like_names():
+    long = " ".join([LONG_TEXT] * 4)
+    assert html_text.main_text(f"<body><form action=x><div><p>{long}</p></div></form></body>") == long
+    assert html_text.main_text(f"<body><form><article><p>{long}</p></article><form><input> Search</form></form></body>").startswith(long)
+    kept = '<p class="share-price">The price rose.</p><p id="search-engines">Engines found it.</p><div class="related-work">Others did it.</div>'
+    gone = '<div class="related-posts">More</div><div class="share-buttons">Like</div><div class="adSlot">Buy</div><div id="comments">Nice</div><form>Mail</form>'
+    assert html_text.main_text(f"<article>{kept}<p>{long}</p>{gone}</article>") == f"The price rose. Engines found it. Others did it. {long}"
+
+
+def test_headline_in_the_header_of_a_page_without_article():
+    header = '<header><a href="/">Site</a><h1>The headline</h1></header>'
+    assert html_text.main_text(f"{header}<div><p>{LONG_TEXT}</p><p>{LONG_TEXT}</p></div>").endswith(f"{LONG_TEXT} {LONG_TEXT}")
+    assert "The headline" in html_text.main_text(f"{header}<div><p>{LONG_TEXT}</p><p>{LONG_TEXT}</p></div>")
+    linked = '<header><h1><a href="/">Site</a></h1></header>'
+    assert html_text.main_text(f"{linked}<div><p>{LONG_TEXT}</p></div>") == LONG_TEXT
+    assert html_text.main_text(f"{header}<article><p>{LONG_TEXT}</p></article>") == LONG_TEXT
+
+
+def test_deep_pages_in_linear_time():
+    import time
+
+    began = time.process_time()
+    for page in ("<article>" * 20_000 + "x", "<b>" * 20_000 + "</i>" * 20_000 + "x", "<ul><li>" + "<div>" * 20_000 + "x", "<ul><li>" + "<section>" * 20_000 + "x", "<p>x" * 20_000, "<a href=y>" * 20_000 + "x", '<div class="ad">' * 20_000 + "x"):
+        assert html_text.main_text(page).startswith("x")
+    assert time.process_time() - began < 20
+
+
+def plain_choice(lines):
+    """Ratios, smoothing and the threshold, line by line: which lines are content, before articles are widened."""
+    ratio = [len(t) / max(1, tags) for t, tags, _, _ in lines]
+    weights = {d: np.exp(-0.5 * d * d) for d in range(-3, 4)}
+    level = []
+    for i, (_, _, _, a) in enumerate(lines):
+        lo = hi = i
+        while lo > 0 and lines[lo - 1][3] == a:
+            lo -= 1
+        while hi + 1 < len(lines) and lines[hi + 1][3] == a:
+            hi += 1
+        level.append(sum(w * ratio[min(hi, max(lo, i + d))] for d, w in weights.items()) / sum(weights.values()))
+    mean = sum(level) / len(level)
+    deviation = (sum((x - mean) ** 2 for x in level) / len(level)) ** 0.5
+    chosen = [(x >= min(deviation, max(level)) or x >= mean) and 2 * linked <= len(t) for x, (t, _, linked, _) in zip(level, lines, strict=True)]
+    return chosen if any(chosen) else [i == level.index(max(level)) for i in range(len(level))]
+
+
+@needs_tables
+def test_content_is_the_plain_choice(spark):
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        parser = html_text._Lines()
+        parser.feed(r.html or "")
+        lines = parser.finish()
+        if not lines:
+            continue
+        chosen = plain_choice(lines)
+        above = lambda a: {a} | (above(parser.around[a]) if a else set())
+        taken = {a for (_, _, _, a), c in zip(lines, chosen, strict=True) if c and a}
+        want = " ".join(t for (t, _, _, a), c in zip(lines, chosen, strict=True) if c or taken & above(a))
+        assert html_text.main_text(r.html) == want
+
+
 def test_end_tags_left_out():
     assert html_text.main_text(f"<html><head><title>T</title><body><p>{LONG_TEXT}</body>") == LONG_TEXT
     assert html_text.main_text(f"<head><title>T</title><p>{LONG_TEXT}") == LONG_TEXT
@@ -144,6 +283,44 @@ def test_neighbours(spark, monkeypatch):
     assert vptree.nearest_neighbours(df.limit(0)).count() == 0
 
 
+def test_coarse_tree_rules_out_only_what_is_far():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 6))
+    v = centres[rng.integers(12, size=900)] + 0.2 * rng.normal(size=(900, 6))
+    tree = vptree.CoarseTree(v[:300], 16)
+    leaf, away = tree.route(v)
+    assert tree.leaves == 16 and set(leaf.tolist()) <= set(range(16))
+    for x in np.unique(leaf):
+        far = np.array([a for a, y in zip(away, leaf, strict=True) if y == x])
+        tree.bound(int(x), far.min(0).tolist(), far.max(0).tolist())
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+    d = np.sqrt(np.maximum(2 - 2 * unit[:40] @ unit.T, 0))
+    reach = np.sort(d, axis=1)[:, 5]
+    q, where = tree.visits(v[:40], reach, 1e-7)
+    seen = set(zip(q.tolist(), where.tolist(), strict=True))
+    need = {(i, int(leaf[j])) for i in range(40) for j in np.flatnonzero(d[i] <= reach[i])}
+    assert need <= seen and len(seen) < 40 * 16 * 0.6  # clusters: most shards are passed over
+    one = vptree.CoarseTree(np.ones((50, 3)), 8)  # all alike: no split does anything
+    assert one.leaves == 1 and one.route(np.ones((4, 3)))[0].tolist() == [0] * 4
+
+
+def test_neighbours_in_clusters(spark, monkeypatch):
+    """Many shards, copies by the hundred, vectors of two lengths, and an id that stands for two vectors."""
+    monkeypatch.setattr(vptree, "SHARD_ROWS", 25)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(8, 5))
+    v = centres[rng.integers(8, size=300)] + 0.1 * rng.normal(size=(300, 5))
+    v[50:200] = v[7]
+    rows = [(i, [float(y) for y in x]) for i, x in enumerate(v)]
+    rows += [(1000 + i, [float(y) for y in rng.normal(size=3)]) for i in range(30)] + rows[:100]
+    got = sorted(tuple(r) for r in vptree.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5, every=10).collect())
+    want = brute_neighbours(list(range(300)), [x for _, x in rows[:300]], 10, 5) + brute_neighbours([i for i, _ in rows[300:330]], [x for _, x in rows[300:330]], 10, 5)
+    assert got == sorted(want)
+    twice = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [1.0, 1.0]), (2, [3.0, 1.0])], "vec_id long, embedding array<double>")
+    got = [(r.vec_id, round(r.score, 6)) for r in vptree.nearest_neighbours(twice, k=5, every=10).orderBy("rank").collect()]
+    assert got == [(2, 0.948683), (1, 0.707107)]
+
+
 @pytest.mark.parametrize("kind", ["scaled", "one-hot", "binary"])
 def test_neighbours_that_tie(kind):
     rng = np.random.default_rng(4)
@@ -193,6 +370,64 @@ def test_pipeline(spark):
     assert packed.select("doc_id").distinct().count() == before
 
 
+def test_pipeline_is_its_plain_version(spark, docs, tmp_path):
+    """Every stage against plain Python, with nulls, empty texts, repeated rows and ids that stand for several texts."""
+    import corpus_pipeline
+    from reelmill.llm import packing, pii
+    from reelmill.llm.byte_ids import ByteIds
+    from test_text_operators import brute_components, low, near_rows
+
+    near = [(i + 100, t) for i, t in near_rows(8, families=3, each=5)]
+    rng = np.random.default_rng(3)
+    mixed = [(400 + i, " ".join([*rng.choice(["so", "it", "goes", "on", "and", "far"], 12), *(["vile", "rotten"] if i % 3 == 0 else [str(i)])])) for i in range(90)]
+    odd = [(1, None), (2, ""), (3, "Same text here"), (4, "same text here"), (3, "a text of its own by id three"), (5, "twice"), (5, "twice"), (None, "no id"), (None, "no id"), (None, "same text here"), (6, "mail a@b.co or +1 (277) 555-9423")]
+    rows = near + mixed + odd
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 1)) for i, _ in mixed], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+
+    model = toxicity.train(docs(rows), labels)
+    data = lambda t: np.frombuffer((t or "").encode(), np.uint8)
+    from reelmill.llm.words import Words
+
+    left = [(i, t) for i, t in rows if model.of_words(Words(data(t), np.array([0, len(data(t))])))[0] < 0.5]
+    assert 20 <= len(rows) - len(left) <= 34
+    best = {}
+    for i, t in left:  # the largest id of each text, null below all others
+        k = low(t)
+        if k not in best or (i is not None and (best[k][0] is None or i > best[k][0])):
+            best[k] = (i, t)
+    left = list(best.values())
+    numbered = list(enumerate(left))
+    parts = brute_components([(n, t) for n, (_, t) in numbered], 5, 80, 100)
+    groups = {}
+    for n, (i, t) in numbered:
+        groups.setdefault(parts[n][1], []).append((i is None, i if i is not None else 0, t or ""))
+    left = [min(g) for g in groups.values()]
+    want = sorted((null, i) for null, i, _ in left)
+
+    docs_now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs_now, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        docs_now = spark.read.parquet(f"{tmp_path}/{name}")
+    got = docs_now.collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == want
+    texts = {t for _, _, t in left}
+    masked = {pii.mask(t, base, added) for t in texts for _, _, [(base, added)] in pii.all_spans(pii.trained_field(), pii.pa.array([t]))}
+    assert {low(r.text) for r in got} == {low(t) for t in masked}
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs_now, str(tmp_path)).toPandas()
+    assert packed.length.sum() == sum(len(ByteIds.of(packing.MODEL)(r.text or "")) // 4 + 1 for r in got)
+    assert corpus_pipeline.run(spark, str(tmp_path)).groupBy().sum("length").first()[0] == packed.length.sum()
+
+
+def test_pipeline_of_nothing(spark, docs, tmp_path):
+    import corpus_pipeline
+
+    docs([]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline_stages_are_listed():
     import corpus_pipeline
 
