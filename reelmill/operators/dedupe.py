@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .ranking import ranked
 
 
 def first_per_key(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -19,13 +20,15 @@ def preferred_sources(items: DataFrame) -> DataFrame:
 
     Valid items go before others, original file names before others, then the path decides.
     """
-    order = [F.when(F.col("status") == "valid", 0).otherwise(1), F.when(F.col("filename") == "source.mp4", 0).otherwise(1), "local_path", "video_id"]
-    by_source = Window.partitionBy("source_video_id").orderBy(*order)
-    has_source = F.coalesce(F.col("source_video_id"), F.lit("")) != ""
-    one = items.withColumn("_first", ~has_source | (F.row_number().over(by_source) == 1))
-    has_content = F.coalesce(F.col("sha256"), F.lit("")) != ""
-    by_content = Window.partitionBy("sha256", "_first").orderBy(*order)
-    two = one.withColumn("_again", F.col("_first") & has_content & (F.row_number().over(by_content) > 1))
+    order = F.struct(F.when(F.col("status") == "valid", 0).otherwise(1).alias("a"), F.when(F.col("filename") == "source.mp4", 0).otherwise(1).alias("b"), F.col("local_path").alias("c"), F.col("video_id").alias("d"))
+    source, content = F.nullif(F.col("source_video_id"), F.lit("")), F.nullif(F.col("sha256"), F.lit(""))
+    rows = items.withColumns({"_source": source, "_content": content, "_order": order})
+    # Items without a source or without content are nobody's duplicates and take no part in the aggregates. These are
+    # summed up before the shuffle, so a source that holds a third of all items is one row of each task.
+    best = rows.filter("_source is not null").groupBy(F.col("_source").alias("_s")).agg(F.min("_order").alias("_best"))
+    one = rows.join(best, F.col("_source") == F.col("_s"), "left").withColumn("_first", F.coalesce(F.col("_order") == F.col("_best"), F.col("_source").isNull()))
+    kept = one.filter("_first and _content is not null").groupBy(F.col("_content").alias("_c")).agg(F.min("_order").alias("_kept"))
+    two = one.join(kept, F.col("_content") == F.col("_c"), "left").withColumn("_again", F.col("_first") & F.coalesce(F.col("_order") != F.col("_kept"), F.lit(False)))
     return two.select(*items.columns, (~F.col("_first")).alias("duplicate_source"), F.col("_again").alias("duplicate_checksum"))
 
 
@@ -54,7 +57,7 @@ def duplicate_groups(clips: DataFrame, id_col: str = "clip_id", hash_col: str =
     pairs = rows.groupBy("sha256").agg(F.count(F.lit(1)).alias("members"), F.min("clip_id").alias("_a")).filter("members > 1")
     # The second smallest id is what the smallest is related to.
     second = rows.join(pairs, "sha256").filter("clip_id != _a").groupBy("sha256").agg(F.min("clip_id").alias("_b"))
-    named = pairs.withColumn("duplicate_group", F.format_string("DUP%03d", F.row_number().over(Window.orderBy("sha256")))).join(second, "sha256", "left")
+    named = ranked(pairs, ["sha256"], "_k").withColumn("duplicate_group", F.format_string("DUP%03d", F.col("_k"))).drop("_k").join(second, "sha256", "left")
     return rows.join(named, "sha256").select(
         "clip_id", "sha256", "duplicate_group", "members", F.when(F.col("clip_id") == F.col("_a"), F.coalesce("_b", "_a")).otherwise(F.col("_a")).alias("related_clip_id")
     )

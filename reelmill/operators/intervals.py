@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .ranking import ranked
 
 EPSILON = 1e-9
 
@@ -66,20 +67,31 @@ def _usable(clips: DataFrame) -> DataFrame:
     return clips.filter("source_id is not null and source_id != '' and start_sec is not null and end_sec is not null and end_sec > start_sec")
 
 
+def _cell(at: Column, width: Column) -> Column:
+    """The number of the cell a time lies in; times beyond all numbers share the last one."""
+    return F.floor(F.least(F.greatest(at / width, F.lit(-9e18)), F.lit(9e18)))
+
+
 def overlap_pairs(clips: DataFrame, expected: float = 0.0, tolerance: float = 0.5, bucket_sec: float = 600.0) -> DataFrame:
     """Pairs of clips of one source that overlap: left starts first. Contact is no overlap.
 
-    A range join on time buckets: each clip goes to the buckets it touches, and a pair is kept in the one bucket
-    in which its later clip starts. So a source with very many clips is dealt to many tasks.
+    A range join on cells of time: a clip lies in one or two cells of a width at least twice its length, and the later
+    clip of a pair starts in one of them, so it looks in the one cell of each width that it starts in. There are as
+    many widths as powers of two among the lengths that occur, so a long clip costs no more than a short one, and a
+    source with very many clips is dealt to many tasks.
     """
     rows = _usable(clips).select("clip_id", "source_id", "start_sec", "end_sec")
-    first, last = F.floor(F.col("start_sec") / bucket_sec), F.floor(F.col("end_sec") / bucket_sec)
-    left = rows.withColumn("_b", F.explode(F.sequence(first, last))).alias("a")
-    right = rows.withColumn("_b", first).alias("b")
+    length = F.col("end_sec") - F.col("start_sec")
+    level = F.least(F.greatest(F.ceil(F.log2(F.least(length, F.lit(1e300)) * 2 / bucket_sec)), F.lit(0)), F.lit(1000)).cast("int")
+    sized = rows.withColumn("_l", level)
+    levels = sorted(r[0] for r in sized.select("_l").distinct().collect())  # at most a thousand, and mostly one or two
+    width = F.pow(F.lit(2.0), F.col("_l")) * bucket_sec
+    left = sized.withColumn("_b", F.explode(F.array_distinct(F.array(_cell(F.col("start_sec"), width), _cell(F.col("end_sec"), width))))).alias("a")
+    right = rows.withColumn("_l", F.explode(F.array(*[F.lit(x) for x in levels] or [F.lit(0)]))).withColumn("_b", _cell(F.col("start_sec"), width)).alias("b")
     a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
     before = F.struct(a("start_sec"), a("end_sec"), a("clip_id")) < F.struct(b("start_sec"), b("end_sec"), b("clip_id"))
     over = S.overlap_seconds(a("start_sec"), a("end_sec"), b("start_sec"), b("end_sec"))
-    return left.join(right, (a("source_id") == b("source_id")) & (a("_b") == b("_b")) & before & (over > EPSILON)).select(
+    return left.join(right, (a("source_id") == b("source_id")) & (a("_l") == b("_l")) & (a("_b") == b("_b")) & before & (over > EPSILON)).select(
         a("source_id").alias("source_id"),
         a("clip_id").alias("left_id"),
         b("clip_id").alias("right_id"),
@@ -101,15 +113,10 @@ def overlap_groups(clips: DataFrame) -> DataFrame:
     marked = rows.withColumn("_new", F.when(F.max("end_sec").over(before) - F.col("start_sec") > EPSILON, 0).otherwise(1))
     islands = marked.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     groups = islands.groupBy("source_id", "_island").agg(F.count(F.lit(1)).alias("members"), F.min("clip_id").alias("_least")).filter("members > 1")
-    labelled = ranked(groups, "_least", "_rank").withColumn("overlap_group", F.format_string("OVL%03d", F.col("_rank")))
+    labelled = ranked(groups, ["_least"], "_rank").withColumn("overlap_group", F.format_string("OVL%03d", F.col("_rank")))
     return islands.join(labelled, ["source_id", "_island"]).select("clip_id", "source_id", "overlap_group", "members")
 
 
-def ranked(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """1.. in the order of a distinct key. One row per group is ordered, not the rows of the groups."""
-    return rows.withColumn(name, F.row_number().over(Window.orderBy(key)))
-
-
 def overlap_status(clips: DataFrame, expected: float = 0.0, tolerance: float = 0.5) -> DataFrame:
     """Each clip's largest overlap in seconds and as a ratio, and whether it could be checked."""
     pairs = overlap_pairs(clips, expected, tolerance)

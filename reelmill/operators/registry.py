@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -48,16 +48,14 @@ def modal_anomalies(clips: DataFrame, relative_tolerance: float = 0.02) -> DataF
 
 def baseline_issues(clips: DataFrame, fields: dict[str, float | None]) -> DataFrame:
     """Values that differ from the first non-empty one of their source, by a tolerance for numbers."""
-    w = Window.partitionBy("source_id").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    parts = []
-    for field, tolerance in fields.items():
-        value = F.nullif(F.col(field).cast("string"), F.lit(""))
-        base = F.first(value, ignorenulls=True).over(w)
-        parts.append(F.struct(F.lit(field).alias("field"), value.alias("value"), base.alias("baseline"), F.lit(tolerance).cast("double").alias("tolerance")))
-    based = clips.filter("source_id != ''").select("clip_id", "source_id", F.array(*parts).alias("fs"))
-    rows = based.select("clip_id", "source_id", F.explode("fs").alias("f")).select("clip_id", "source_id", "f.*")
+    rows = clips.filter("source_id != ''")
+    text = {f: F.nullif(F.col(f).cast("string"), F.lit("")) for f in fields}
+    # One row for each source, summed up before the shuffle; the clips of a source are never in one task.
+    base = rows.groupBy(F.col("source_id").alias("_s")).agg(*[F.min_by(v, F.when(v.isNotNull(), F.col("ordinal"))).alias(f"_b{i}") for i, v in enumerate(text.values())])
+    parts = [F.struct(F.lit(f).alias("field"), v.alias("value"), F.col(f"_b{i}").alias("baseline"), F.lit(fields[f]).cast("double").alias("tolerance")) for i, (f, v) in enumerate(text.items())]
+    based = rows.join(base, F.col("source_id") == F.col("_s")).select("clip_id", "source_id", F.explode(F.array(*parts)).alias("f")).select("clip_id", "source_id", "f.*")
     same = F.when(F.col("tolerance").isNull(), F.col("value") == F.col("baseline")).otherwise(F.coalesce(F.abs(S.number("value") - S.number("baseline")) <= F.col("tolerance"), F.lit(False)))
-    return rows.filter(F.col("value").isNotNull() & ~same).select("clip_id", "source_id", "field", "value", "baseline")
+    return based.filter(F.col("value").isNotNull() & ~same).select("clip_id", "source_id", "field", "value", "baseline")
 
 
 def selected_catalog(catalog: DataFrame, review: DataFrame) -> DataFrame:

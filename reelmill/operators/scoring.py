@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..settings import SELECTION
+from .ranking import exact_quantiles, ranked
 
 FEATURES = ("event_likelihood_score", "hardcase_score", "activity_score", "motion_variation_score", "brightness_score", "visual_variation_score", "foreground_occupancy_score")
 
@@ -37,16 +40,17 @@ def score_signals(rows: DataFrame, settings: dict[str, Any] = SELECTION) -> Data
 def with_diversity(rows: DataFrame, features: tuple[str, ...] = FEATURES, floor: float = 0.05) -> DataFrame:
     """``diversity``: the mean over features of the distance from the median, in robust units, up to one.
 
-    Medians and then the third quartiles of the distances are exact and global: two aggregates that give one row each.
+    Medians and then the third quartiles of the distances are exact and global. They are found by counting in ranges of
+    values, so no task gathers the values of a feature, and enter the plan as numbers.
     """
     values = rows.select(*[S.number_or(f).alias(f) for f in features])
-    medians = values.agg(*[F.median(f).alias(f"_m_{f}") for f in features])
-    spread = values.crossJoin(F.broadcast(medians)).agg(*[F.greatest(F.percentile(F.abs(F.col(f) - F.col(f"_m_{f}")), F.lit(0.75)), F.lit(floor)).alias(f"_s_{f}") for f in features])
-    both = F.broadcast(medians.crossJoin(spread))  # one row
+    medians = exact_quantiles(values, list(features), [0.5])
+    away = values.select(*[F.abs(F.col(f) - F.lit(medians[f][0])).alias(f) for f in features])
+    spread = exact_quantiles(away, list(features), [0.75])
     total = F.lit(0.0)
     for f in features:
-        total = total + F.least(F.abs(S.number_or(f) - F.col(f"_m_{f}")) / (2.5 * F.col(f"_s_{f}")), F.lit(1.0))
-    return rows.crossJoin(both).withColumn("diversity", total / len(features)).drop(*[f"_{x}_{f}" for f in features for x in "ms"])
+        total = total + F.least(F.abs(S.number_or(f) - F.lit(medians[f][0])) / (2.5 * F.lit(max(spread[f][0], floor))), F.lit(1.0))
+    return rows.withColumn("diversity", total / len(features))
 
 
 def candidate_scores(rows: DataFrame, settings: dict[str, Any] = SELECTION) -> DataFrame:
@@ -57,26 +61,18 @@ def candidate_scores(rows: DataFrame, settings: dict[str, Any] = SELECTION) -> D
 
 
 def source_rank(rows: DataFrame, score: str = "candidate_score", key: str = "clip_id") -> DataFrame:
-    return rows.withColumn("source_rank", F.row_number().over(Window.partitionBy("source_id").orderBy(F.desc(score), key)))
+    """1.. within each source by falling score, then key: places in a global order by source, less the source's first place.
 
+    So a source that holds a third of all rows is sorted by many tasks.
+    """
+    placed = ranked(rows, ["source_id", F.desc(score), key], "_place")
+    first = placed.groupBy(F.col("source_id").alias("_s")).agg(F.min("_place").alias("_from"))
+    return placed.join(first, F.col("source_id").eqNullSafe(F.col("_s"))).withColumn("source_rank", (F.col("_place") - F.col("_from") + 1).cast("int")).drop("_s", "_place", "_from")
 
-def global_rank(rows: DataFrame, score: str = "candidate_score", key: str = "clip_id") -> DataFrame:
-    """1.. by falling score, then key, without bringing all rows to one task.
 
-    Rows are dealt by ranges of the order, numbered within each range, and shifted by the rows of the ranges before;
-    the ranges' counts are one row for each partition.
-    """
-    keys = [F.desc(score), F.col(key)]
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # A row's range follows from where its score falls between quantiles of the scores, so that it is the same each time.
-    cuts = rows.agg(F.percentile_approx(score, F.array(*[F.lit(i / parts) for i in range(1, parts)]), 10_000).alias("_q")) if parts > 1 else None
-    if cuts is None:
-        return rows.withColumn("global_rank", F.row_number().over(Window.orderBy(*keys)))
-    placed = rows.crossJoin(F.broadcast(cuts)).withColumn("_r", F.size(F.filter("_q", lambda q: q > F.col(score)))).drop("_q")
-    inside = placed.withColumn("_n", F.row_number().over(Window.partitionBy("_r").orderBy(*keys)))
-    counts = placed.groupBy("_r").agg(F.count(F.lit(1)).alias("_k"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_k").over(Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_r", "_before")
-    return inside.join(F.broadcast(before), "_r").withColumn("global_rank", F.col("_n") + F.col("_before")).drop("_r", "_n", "_before")
+def global_rank(rows: DataFrame, score: str = "candidate_score", key: str = "clip_id") -> DataFrame:
+    """1.. by falling score, then key, without bringing all rows, or all of one score, to one task."""
+    return ranked(rows, [F.desc(score), key], "global_rank")
 
 
 def source_quotas(counts: DataFrame, target: int, minimum: int, fraction: float) -> DataFrame:
@@ -87,10 +83,10 @@ def source_quotas(counts: DataFrame, target: int, minimum: int, fraction: float)
     """
     cap = max(minimum, int(target * fraction))
     base = counts.select("source_id", F.col("n"), F.least("n", F.lit(minimum)).cast("int").alias("floor"), F.least("n", F.lit(cap)).cast("int").alias("most"))
-    left = base.agg((F.lit(target) - F.sum("floor")).alias("left"))
+    left = base.agg(F.coalesce(F.lit(target) - F.sum("floor"), F.lit(0))).first()[0]
     seats = base.filter("most > floor").select("source_id", "n", F.explode(F.sequence("floor", F.col("most") - 1)).alias("k"))
-    ordered = seats.withColumn("r", F.row_number().over(Window.orderBy(F.desc(F.sqrt("n") / (F.col("k") + 1)), F.desc("source_id"))))
-    taken = ordered.crossJoin(F.broadcast(left)).filter("r <= left").groupBy("source_id").agg(F.count(F.lit(1)).alias("more"))
+    # At most as many seats as the target are left, so each task keeps no more than that.
+    taken = seats.orderBy(F.desc(F.sqrt("n") / (F.col("k") + 1)), F.desc("source_id")).limit(max(0, int(left))).groupBy("source_id").agg(F.count(F.lit(1)).alias("more"))
     return base.join(taken, "source_id", "left").select("source_id", "n", (F.col("floor") + F.coalesce("more", F.lit(0))).cast("int").alias("quota"))
 
 
@@ -107,15 +103,24 @@ def redundant(rows: DataFrame, chosen: DataFrame, content: float = 0.95, adjacen
     return rows.alias("r").join(chosen.alias("c"), near_duplicate("r", "c", content, adjacent, adjacency_sec) & (F.col("r.clip_id") != F.col("c.clip_id")), "left_semi").join(chosen.select("clip_id"), "clip_id", "left_anti")
 
 
+#: Signatures that are held against each other at a time.
+BLOCK_ROWS = 2048
+#: A band of fewer bits brings more rows together than blocks do.
+LEAST_BAND_BITS = 8
+
+
 def signature_pairs(rows: DataFrame, distance: int) -> DataFrame:
     """Pairs of one source whose 64-bit signatures differ in at most ``distance`` bits.
 
-    Of the signature's distance + 1 bands one must be equal, so only rows that share a band meet; with many
-    bands these are narrow, and the comparison falls back on all rows of a source with that band's value.
+    Of the signature's distance + 1 bands one must be equal: while bands are wide, only rows that share a band meet.
+    For larger distances every pair of a source may be one, so each source's rows are dealt into blocks and each pair of
+    blocks is compared in one go: a task holds two blocks, and only pairs that pass are made.
     """
+    if 64 // (distance + 1) < LEAST_BAND_BITS:
+        return _pairs_of_blocks(rows, distance)
     bands = distance + 1
     edges = [round(64 * i / bands) for i in range(bands + 1)]
-    keys = [F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("signature", edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1)).alias("bits")) for i in range(bands)]
+    keys = [F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("signature", edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1 if bands > 1 else -1)).alias("bits")) for i in range(bands)]
     marked = rows.select("clip_id", "source_id", "signature", F.explode(F.array(*keys)).alias("k"))
     a, b = marked.alias("a"), marked.alias("b")
     apart = F.bit_count(F.col("a.signature").bitwiseXOR(F.col("b.signature")))
@@ -123,6 +128,31 @@ def signature_pairs(rows: DataFrame, distance: int) -> DataFrame:
     return a.join(b, same).select(F.col("a.source_id").alias("source_id"), F.col("a.clip_id").alias("left_id"), F.col("b.clip_id").alias("right_id"), apart.cast("int").alias("distance")).distinct()
 
 
+def _pairs_of_blocks(rows: DataFrame, distance: int) -> DataFrame:
+    sizes = rows.groupBy("source_id").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("_blocks"))
+    dealt = rows.select("clip_id", "source_id", "signature").join(sizes, "source_id").withColumn("_mine", F.pmod(F.xxhash64("clip_id"), F.col("_blocks")).cast("int"))
+    sent = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).withColumns({"_i": F.least("_mine", "_other"), "_j": F.greatest("_mine", "_other")})
+
+    def compare(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        _, i, j = key
+        part = part.sort_values("clip_id", ignore_index=True)
+        ids, bits, mine = part["clip_id"].to_numpy(), part["signature"].to_numpy(np.int64).view(np.uint64), part["_mine"].to_numpy()
+        left, right, apart = [], [], []
+        for at in range(0, len(ids), 256):
+            d = np.bitwise_count(bits[at : at + 256, None] ^ bits[None, at:]).astype(np.int32)
+            x, y = np.nonzero((d <= distance) & ((mine[at : at + 256, None] != mine[None, at:]) if i != j else True))
+            keep = x < y  # sorted by id: each pair once
+            x, y = x[keep], y[keep]
+            left.append(ids[at + x])
+            right.append(ids[at + y])
+            apart.append(d[x, y])
+        n = sum(map(len, left))
+        empty = np.zeros(0, object)
+        return pd.DataFrame({"source_id": [key[0]] * n, "left_id": np.concatenate([empty, *left]), "right_id": np.concatenate([empty, *right]), "distance": np.concatenate([np.zeros(0, np.int32), *apart])})
+
+    return sent.groupBy("source_id", "_i", "_j").applyInPandas(compare, "source_id string, left_id string, right_id string, distance int")
+
+
 def tag_histogram(rows: DataFrame, column: str = "hardcase_tags", sep: str = r"\|") -> DataFrame:
     return rows.select(F.explode(F.split(column, sep)).alias("tag")).filter("tag != ''").groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ranking import ranked
+
 
 def assign_split(rows: DataFrame, key: str, ratio: float = 0.7, seed: int = 42) -> DataFrame:
     """``split``: the groups whose hashes are smallest are dev, as many as the ratio asks for; the others are test.
@@ -14,7 +16,7 @@ def assign_split(rows: DataFrame, key: str, ratio: float = 0.7, seed: int = 42)
     groups = rows.select(key).distinct().withColumn("_h", F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")), 256))
     size = groups.agg(F.count(F.lit(1)).alias("_n"))
     wanted = F.when(F.col("_n") > 1, F.greatest(F.lit(1), F.least(F.col("_n") - 1, F.bround(F.col("_n") * ratio)))).otherwise(F.bround(F.col("_n") * ratio))
-    ordered = groups.withColumn("_r", F.row_number().over(Window.orderBy("_h"))).crossJoin(F.broadcast(size))
+    ordered = ranked(groups, ["_h", key], "_r").crossJoin(F.broadcast(size))  # one row
     split = ordered.select(key, F.when(F.col("_r") <= wanted, "dev").otherwise("test").alias("split"))
     return rows.join(split, key)
 

@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 PACKAGE = Path(__file__).resolve().parent
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def build(master: str = "local[*]", app: str = "reelmill", **conf: str) -> SparkSession:
@@ -20,6 +21,7 @@ def build(master: str = "local[*]", app: str = "reelmill", **conf: str) -> Spark
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        BATCH: "2000",  # long texts make large batches
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
@@ -40,7 +42,7 @@ def attach(spark: SparkSession) -> SparkSession:
             z.write(p, f"reelmill/{p.relative_to(PACKAGE).as_posix()}")
     sc.addPyFile(path)
     sc._reelmill_attached = True
-    # Long texts make large batches; where nobody has chosen otherwise, smaller ones bound the workers' memory.
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    # Long texts make large batches; where nobody has chosen a size, a smaller one bounds the workers' memory.
+    if not spark._jsparkSession.sessionState().conf().contains(BATCH):
+        spark.conf.set(BATCH, "2000")
     return spark
