@@ -132,12 +132,15 @@ def metadata_issues(manifest: DataFrame, inventory: DataFrame, registry: DataFra
 
     Of inventory rows with one id the first counts. Keys: clip_id, source_id.
     """
-    inv = inventory.withColumn("_n", F.row_number().over(Window.partitionBy("clip_id").orderBy("ordinal")))
-    again = inv.filter("_n = 2").select("clip_id", "source_id")
-    inv = inv.filter("_n = 1").select(*[F.col(c).alias(f"i_{c}") for c in inventory.columns])
+    once = inventory.groupBy("clip_id").agg(F.min_by(F.struct(*inventory.columns), "ordinal").alias("i"), F.count(F.lit(1)).alias("_times"))
+    again = once.filter("_times > 1").select("clip_id", F.col("i.source_id").alias("source_id"))
+    inv = once.select(*[F.col(f"i.{c}").alias(f"i_{c}") for c in inventory.columns])
     reg = registry.select(F.col("source_id").alias("r_source_id"), F.col("camera_id").alias("r_camera_id"))
     # A source holds any number of clips, the registry one row for each source: adaptive execution broadcasts it if it is small.
-    rows = manifest.join(inv, F.col("clip_id") == F.col("i_clip_id"), "left").join(reg, F.col("source_id") == F.col("r_source_id"), "left")
+    # One join gives the rows of both sides: what is only in the inventory has no manifest row.
+    both = manifest.withColumn("_m", F.lit(True)).join(inv, F.col("clip_id") == F.col("i_clip_id"), "full_outer").join(reg, F.col("source_id") == F.col("r_source_id"), "left")
+    rows = both.withColumns({"clip_id": F.when(F.col("_m").isNull(), F.col("i_clip_id")).otherwise(F.col("clip_id")), "source_id": F.when(F.col("_m").isNull(), F.col("i_source_id")).otherwise(F.col("source_id"))})
+    mine = F.col("_m").isNotNull()
     known, s, e, d = F.col("i_clip_id").isNotNull(), S.number("start_sec"), S.number("end_sec"), S.number("duration_sec")
     empty = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     mapped = F.col("r_source_id").isNotNull()
@@ -164,24 +167,75 @@ def metadata_issues(manifest: DataFrame, inventory: DataFrame, registry: DataFra
         Rule("QC_WARNING", "WARNING", F.col("i_qc_status") == "WARNING", field="qc_status"),
         Rule("INVALID_QC_STATUS", "FAIL", ~F.coalesce(F.col("i_qc_status"), F.lit("")).isin("FAIL", "WARNING", "PASS"), field="qc_status"),
     ]
+    rules = [Rule(r.code, r.severity, mine & r.when, r.details, r.field) for r in rules]
+    rules.append(Rule("ORPHAN_INVENTORY_RECORD", "FAIL", ~mine, field="clip_id"))
     keys = ["clip_id", "source_id"]
     none = F.lit(None).cast("string")
     own = apply_rules(rows, rules, keys)
     blank = lambda f: f.select(*keys, F.lit(0).alias("seq"), F.lit("FAIL").alias("severity"), "code", "field", F.lit("").alias("details"))
-    ids = manifest.groupBy("clip_id").agg(F.count(F.lit(1)).alias("n"))
-    of_ids = ids.withColumn("code", F.when(F.coalesce("clip_id", F.lit("")) == "", "MISSING_CLIP_ID").when(F.col("n") > 1, "DUPLICATE_CLIP_ID")).filter("code is not null").withColumn("source_id", none).withColumn("field", F.lit("clip_id"))
-    paths = manifest.groupBy("local_path").agg(F.count(F.lit(1)).alias("n"))
-    of_paths = paths.withColumn("code", F.when(F.coalesce("local_path", F.lit("")) == "", "MISSING_CLIP_PATH").when(F.col("n") > 1, "DUPLICATE_CLIP_PATH")).filter("code is not null").withColumn("clip_id", none).withColumn("source_id", none).withColumn("field", F.lit("clip_path"))
-    orphans = inventory.join(manifest.select("clip_id"), "clip_id", "left_anti").withColumn("code", F.lit("ORPHAN_INVENTORY_RECORD")).withColumn("field", F.lit("clip_id"))
+    # Ids and paths that are empty or stand on several rows, from one pass.
+    named = manifest.select(F.explode(F.array(F.struct(F.lit("clip_id").alias("field"), F.coalesce("clip_id", F.lit("")).alias("value")), F.struct(F.lit("clip_path").alias("field"), F.coalesce("local_path", F.lit("")).alias("value")))).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    is_id = F.col("k.field") == "clip_id"
+    wrong = F.when(F.col("k.value") == "", F.when(is_id, "MISSING_CLIP_ID").otherwise("MISSING_CLIP_PATH")).when(F.col("n") > 1, F.when(is_id, "DUPLICATE_CLIP_ID").otherwise("DUPLICATE_CLIP_PATH"))
+    of_keys = named.withColumn("code", wrong).filter("code is not null").select(F.when(is_id, F.col("k.value")).alias("clip_id"), none.alias("source_id"), "code", F.col("k.field").alias("field"))
     twice = again.withColumn("code", F.lit("DUPLICATE_INVENTORY_CLIP_ID")).withColumn("field", F.lit("clip_id"))
     line = intervals.timeline_issues(manifest.withColumns({c: S.number(c) for c in ("start_sec", "end_sec")}), expected_overlap, tolerance)
     line = line.select(*keys, F.lit(90).alias("seq"), F.lit("WARNING").alias("severity"), F.col("issue_code").alias("code"), F.lit("start_sec").alias("field"), F.format_string("%.6f", "overlap_sec").alias("details"))
     out = own
-    for more in (blank(of_ids), blank(of_paths), blank(orphans), blank(twice), line):
+    for more in (blank(of_keys), blank(twice), line):
         out = out.unionByName(more)
     return out
 
 
+def escapes(path: Column | str) -> Column:
+    """Whether a relative path leaves its root: an absolute one does, and one that goes up further than it came down."""
+    p = F.col(path) if isinstance(path, str) else path
+    step = lambda x: F.when(x.isin("", "."), 0).when(x == "..", -1).otherwise(1)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("least"))
+    walked = F.aggregate(F.split(p, "/"), start, lambda s, x: F.struct((s["depth"] + step(x)).alias("depth"), F.least(s["least"], s["depth"] + step(x)).alias("least")))
+    return F.coalesce(p.startswith("/") | (walked["least"] < 0), F.lit(False))
+
+
+def file_issues(manifest: DataFrame, files: DataFrame) -> DataFrame:
+    """Issues between a manifest and the media files that are there, (path, sha256), paths relative to the same root.
+
+    One full outer join by path: manifest rows without a file, with another content, or with a path that leaves the root,
+    and files that no row names.
+    """
+    there = files.groupBy(F.col("path").alias("_p")).agg(F.first("sha256").alias("_sha"))
+    rows = manifest.withColumn("_m", F.lit(True)).join(there, F.col("local_path") == F.col("_p"), "full_outer")
+    mine, text = F.col("_m").isNotNull(), F.coalesce("local_path", F.lit(""))
+    out = escapes("local_path")
+    there_ = F.col("_p").isNotNull() & ~out
+    found = [
+        Rule("INVALID_CLIP_PATH", "FAIL", mine & out, text, "clip_path"),
+        Rule("MISSING_FILE", "FAIL", mine & ~there_, text, "clip_path"),
+        Rule("CHECKSUM_MISMATCH", "FAIL", mine & there_ & ~F.coalesce((F.col("sha256") != "") & (F.col("sha256") == F.col("_sha")), F.lit(False)), F.lit(""), "sha256"),
+        Rule("ORPHAN_CLIP_FILE", "FAIL", ~mine & F.col("_p").rlike(S.MEDIA_SUFFIX), F.col("_p"), "clip_path"),
+    ]
+    return apply_rules(rows, found, ["clip_id", "source_id"])
+
+
+def source_issues(sources: DataFrame, files: DataFrame) -> DataFrame:
+    """Issues of a registry's sources (source_id, mapped, source_path) with the raw files that are there, (path)."""
+    rows = sources.join(files.select(F.col("path").alias("_p")).distinct(), F.col("source_path") == F.col("_p"), "left").withColumn("clip_id", F.lit(None).cast("string"))
+    mapped, empty = F.coalesce(F.col("mapped"), F.lit(False)), F.coalesce("source_path", F.lit("")) == ""
+    found = [
+        Rule("UNKNOWN_SOURCE_MAPPING", "FAIL", ~mapped, field="source_id"),
+        Rule("MISSING_SOURCE_PATH", "FAIL", mapped & empty, field="source_path"),
+        Rule("MISSING_SOURCE_FILE", "FAIL", mapped & ~empty & (F.col("_p").isNull() | escapes("source_path")), F.col("source_path"), "source_path"),
+    ]
+    return apply_rules(rows, found, ["clip_id", "source_id"])
+
+
+def media_issues(clips: DataFrame, fields: dict[str, float | None]) -> DataFrame:
+    """Values of clips that differ from the first of their source, as issues."""
+    from .registry import baseline_issues
+
+    off = baseline_issues(clips, fields)
+    return off.select("clip_id", "source_id", F.lit(95).alias("seq"), F.lit("WARNING").alias("severity"), F.lit("SOURCE_MEDIA_INCONSISTENCY").alias("code"), "field", F.concat_ws(" differs from ", "value", "baseline").alias("details"))
+
+
 # ---- cross-table validation -------------------------------------------------------------------------------------
 
 EVENT_LABEL = "SUSPECTED_AREA_OCCUPATION"
@@ -237,9 +291,10 @@ def cross_issues(clips: DataFrame, cameras: DataFrame, zone_documents: DataFrame
     safe = F.col("camera_id").rlike("^[A-Za-z0-9_-]*[A-Za-z0-9][A-Za-z0-9_-]*$") & F.col("view_id").rlike("^[A-Za-z0-9_-]*[A-Za-z0-9][A-Za-z0-9_-]*$")
     add(seen.filter(~safe), "invalid_camera_view_id", "clip_id")
     zones = zone_rows(zone_documents)
-    docs = zone_documents.select("camera_id", "view_id", F.get("resolution", F.lit(0)).alias("doc_w"), F.get("resolution", F.lit(1)).alias("doc_h"), F.size("zones").alias("n_zones"))
-    framed = seen.filter(safe).join(docs, ["camera_id", "view_id"], "left")
-    add(framed.filter("doc_w is null"), "missing_roi", "clip_id")
+    docs = zone_documents.select("camera_id", "view_id", F.get("resolution", F.lit(0)).alias("doc_w"), F.get("resolution", F.lit(1)).alias("doc_h"), F.when(F.col("zones").isNotNull(), F.size("zones")).alias("n_zones"), F.lit(True).alias("_doc"))
+    framed = seen.filter(safe).join(docs, ["camera_id", "view_id"], "left").withColumn("has_doc", F.coalesce("_doc", F.lit(False)))
+    add(framed.filter("n_zones is null and not has_doc"), "missing_roi", "clip_id")
+    add(framed.filter("has_doc and (doc_w is null or doc_h is null or n_zones is null)"), "invalid_roi_file", "clip_id")
     add(framed.filter("doc_w != cam_w or doc_h != cam_h"), "roi_resolution_mismatch", "clip_id")
     add(framed.filter("n_zones = 0"), "empty_roi", "clip_id")
     of_clip = clips.select("clip_id", "camera_id", "view_id").join(zones, ["camera_id", "view_id"])

@@ -141,15 +141,17 @@ def _chooser(settings: dict[str, Any]) -> Callable[[pd.DataFrame], pd.DataFrame]
     return run
 
 
-def cache_split(candidates: DataFrame, cache: DataFrame, fingerprint: str, required: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
-    """(hits with the cached columns, misses): an entry counts if id, content, settings and all required fields agree."""
-    full = F.lit(True)
-    for c in required:
-        full = full & (F.coalesce(F.col(c).cast("string"), F.lit("")) != "")
-    good = cache.filter((F.col("analysis_fingerprint") == fingerprint) & full)
-    last = good.groupBy(F.col("clip_id").alias("_id"), F.col("analysis_sha256").alias("_sha")).agg(F.max_by(F.struct(*required), "ordinal").alias("cached"))
-    on = (F.col("clip_id") == F.col("_id")) & (F.col("sha256") == F.col("_sha"))
-    return candidates.join(last, on).drop("_id", "_sha"), candidates.join(last, on, "left_anti")
+def cache_split(candidates: DataFrame, cache: DataFrame, fingerprint: str, fields: tuple[str, ...], must: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(hits with the cached fields, misses): an entry counts if id, content and settings agree and all fields it must have are there.
+
+    Of entries of one clip the last counts, and if that one doesn't hold, no earlier one does.
+    """
+    last = cache.groupBy(F.col("clip_id").alias("_id")).agg(F.max_by(F.struct("analysis_sha256", "analysis_fingerprint", *dict.fromkeys([*fields, *(must or fields)])), "ordinal").alias("cached"))
+    full = (F.col("cached.analysis_fingerprint") == fingerprint) & (F.col("sha256") == F.col("cached.analysis_sha256"))
+    for c in must or fields:
+        full = full & (F.coalesce(F.col(f"cached.{c}").cast("string"), F.lit("")) != "")
+    on = (F.col("clip_id") == F.col("_id")) & full
+    return candidates.join(last, on).drop("_id"), candidates.join(last, on, "left_anti")
 
 
 def carry_forward(new: DataFrame, old: DataFrame, key: str, columns: list[str]) -> DataFrame:
