@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalars as S
+from .media import hashed_files
 
 PROBE = "struct<format:struct<duration:string>,streams:array<struct<codec_type:string,codec_name:string,width:int,height:int,avg_frame_rate:string,r_frame_rate:string,nb_frames:string,duration:string>>>"
 
@@ -35,12 +36,27 @@ def read_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(line.alias("reference")).filter((F.col("reference") != "") & ~F.col("reference").startswith("#"))
 
 
-def media_files(spark: SparkSession, root: str) -> DataFrame:
-    """Media below a folder with size and SHA-256: (path, file_size_bytes, sha256); a missing folder has none."""
+def media_paths(spark: SparkSession, root: str) -> DataFrame:
+    """Paths of media below a folder, contents unread; a missing folder has none."""
     if not path_exists(spark, root):
-        return spark.createDataFrame([], "path string, file_size_bytes bigint, sha256 string")
+        return spark.createDataFrame([], "path string")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return files.filter(F.col("path").rlike(S.MEDIA_SUFFIX)).select("path", F.col("length").alias("file_size_bytes"), F.sha2("content", 256).alias("sha256"))
+    return files.select("path").filter(F.col("path").rlike(S.MEDIA_SUFFIX))
+
+
+def media_files(spark: SparkSession, root: str) -> DataFrame:
+    """Media below a folder with size and SHA-256: (path, file_size_bytes, sha256). Files are read in chunks, whatever their size."""
+    return hashed_files(media_paths(spark, root)).select("path", "file_size_bytes", "sha256")
+
+
+def read_sidecars(spark: SparkSession, root: str, fields: list[str], name: str = "metadata.json") -> DataFrame:
+    """(path, fields...) of the JSON document beside each media file, as text: ``path`` is the media file's. A broken document has no values."""
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], ", ".join(["path string", *(f"{f} string" for f in fields)]))
+    files = media_paths(spark, root).withColumn("_dir", F.regexp_replace("path", "/[^/]*$", ""))
+    docs = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).text(root, wholetext=True).select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("_d"), "value")
+    rows = files.join(docs, F.col("_dir") == F.col("_d"))
+    return rows.select("path", *[F.get_json_object("value", f"$.{f}").alias(f) for f in fields])
 
 
 def probed(raw: Column | str) -> Column:
@@ -85,6 +101,33 @@ def build_inventory(files: DataFrame, probes: DataFrame, metadata: DataFrame) ->
     return out
 
 
+def download_verdict() -> Column:
+    """struct<ok, reason> of a downloaded file (exists, file_size_bytes, probe_reason, duration_sec): a duration has to be positive only if it is known."""
+    out = lambda r: F.struct(F.lit(r == "").alias("ok"), F.lit(r).alias("reason"))
+    return (
+        F.when(~F.coalesce(F.col("exists"), F.lit(False)), out("missing_file"))
+        .when(F.coalesce("file_size_bytes", F.lit(0)) <= 0, out("empty_file"))
+        .when(F.coalesce("probe_reason", F.lit("")) != "", out("no_video_stream"))
+        .when(F.col("duration_sec") <= 0, out("invalid_duration"))
+        .otherwise(out(""))
+    )
+
+
+def decode_points(duration: Column | str) -> Column:
+    """The times whose frames a decode check looks at: the first, the middle, and a second before the end."""
+    d = F.coalesce(S.number(duration), F.lit(0.0))
+    return F.array(F.lit(0.0), d / 2, F.greatest(F.lit(0.0), d - 1))
+
+
+def decode_verdict(frames_ok: Column | str, full_ok: Column | str | None = None) -> Column:
+    """struct<ok, errors> of a decode check: all three frames, and the whole file where that was asked for, have to decode."""
+    found = F.col(frames_ok) if isinstance(frames_ok, str) else frames_ok
+    bad = F.size(F.filter(found, lambda x: ~F.coalesce(x, F.lit(False)))) + F.greatest(F.lit(0), 3 - F.size(found))
+    full = F.lit(0) if full_ok is None else F.when(F.coalesce(F.col(full_ok) if isinstance(full_ok, str) else full_ok, F.lit(False)), 0).otherwise(1)
+    errors = bad + full
+    return F.struct((errors == 0).alias("ok"), errors.cast("int").alias("errors"))
+
+
 def normalized_items(raw: DataFrame) -> DataFrame:
     """Raw item metadata as discoveries: bad ids go, an unknown status stays ``unknown``, a start counts only for live items."""
     status = F.when(F.col("live_status").isin("is_upcoming", "is_live", "was_live", "not_live"), F.col("live_status")).otherwise("unknown")
