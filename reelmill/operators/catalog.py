@@ -103,37 +103,61 @@ def active(jobs: DataFrame) -> DataFrame:
     return jobs.filter(F.col("status").isin("QUEUED", "RUNNING"))
 
 
-def schedule(items: DataFrame, jobs: DataFrame, now: Column, recovery_from_replay: bool = True, origin: str = "watcher") -> tuple[DataFrame, DataFrame]:
-    """(items, jobs) with what can be queued queued: upcoming items wait, failed ones come back only for another kind of job,
-    a replay, and nothing that has an active job or may not move to QUEUED is touched."""
+def _numbered(rows: DataFrame, jobs: DataFrame) -> DataFrame:
+    """New jobs with ids that go on from the largest: numbered within ranges of the item's id and shifted, so no task sees all of them."""
+    from .ranking import ranked
+
+    start = jobs.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max"))
+    return ranked(rows, ["video_id"], "_k").crossJoin(F.broadcast(start)).withColumn("id", F.col("_max") + F.col("_k")).drop("_k", "_max")  # one row
+
+
+def enqueue(items: DataFrame, jobs: DataFrame, wanted: DataFrame, now: Column, origin: str = "watcher", available_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(items, jobs) with a job of the wanted kind (video_id, job_type) for each item that may have one.
+
+    An item with an active job, a completed one (unless its replay is wanted), and one that may not move to QUEUED are left as
+    they are. Another kind of job than the last starts its count of retries again. An unknown item or origin is an error.
+    """
+    if origin not in ("watcher", "manual"):
+        raise ValueError("unknown origin")
+    if wanted.join(items, "video_id", "left_anti").limit(1).count():
+        raise KeyError("unknown item")
     kinds = dict(items.dtypes)
+    want = wanted.dropDuplicates(["video_id"]).select("video_id", F.col("job_type").alias("_want"))
     last = latest_jobs(jobs).select("video_id", F.col("job_type").alias("_last"))
-    rows = items.join(last, "video_id", "left").join(active(jobs).select("video_id", F.lit(True).alias("_active")).distinct(), "video_id", "left").withColumn("_want", desired_job(recovery_from_replay))
+    busy = active(jobs).select("video_id", F.lit(True).alias("_active")).distinct()
+    rows = items.join(want, "video_id", "left").join(last, "video_id", "left").join(busy, "video_id", "left")
     local = F.col("local_status")
-    allowed = (
-        F.col("_want").isNotNull()
-        & F.col("_active").isNull()
-        & ((local != "FAILED") | ((F.col("_want") == "REPLAY_RECOVERY") & ~F.col("_last").eqNullSafe(F.col("_want"))))
-        & ((local != "COMPLETED") | (F.col("_want") == "REPLAY_RECOVERY"))
-        & can_move(local, F.lit("QUEUED"))
-    )
-    rows = rows.withColumn("_go", F.coalesce(allowed, F.lit(False))).withColumn("_wait", (F.col("live_status") == "is_upcoming") & (local == "DISCOVERED"))
+    go = F.col("_want").isNotNull() & F.col("_active").isNull() & ((local != "COMPLETED") | (F.col("_want") == "REPLAY_RECOVERY")) & can_move(local, F.lit("QUEUED"))
+    rows = rows.withColumn("_go", F.coalesce(go, F.lit(False)))
     new_items = rows.withColumns(
         {
             "retry_count": F.when(F.col("_go") & F.col("_last").isNotNull() & (F.col("_last") != F.col("_want")), F.lit(0)).otherwise(F.col("retry_count")).cast(kinds["retry_count"]),
-            "updated_at": F.when(F.col("_go") | F.col("_wait"), now).otherwise(F.col("updated_at")),
-            "local_status": F.when(F.col("_go"), "QUEUED").when(F.col("_wait"), "WAITING").otherwise(local),
+            "updated_at": F.when(F.col("_go"), now).otherwise(F.col("updated_at")),
+            "local_status": F.when(F.col("_go"), "QUEUED").otherwise(local),
         }
     ).select(*items.columns)
-    start = jobs.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max"))
-    queued = rows.filter("_go").select("video_id", "_want").crossJoin(F.broadcast(start))
-    numbered = queued.withColumn("id", F.col("_max") + F.row_number().over(Window.orderBy("video_id")))
-    made = numbered.select(
-        "id", "video_id", F.col("_want").alias("job_type"), F.lit("QUEUED").alias("status"), F.lit(origin).alias("origin"), F.lit(0).alias("attempts"), now.alias("available_at"), F.lit(None).cast("string").alias("last_error"), now.alias("created_at"), now.alias("updated_at")
+    made = _numbered(rows.filter("_go").select("video_id", "_want"), jobs).select(
+        "id", "video_id", F.col("_want").alias("job_type"), F.lit("QUEUED").alias("status"), F.lit(origin).alias("origin"), F.lit(0).alias("attempts"), (available_at if available_at is not None else now).alias("available_at"), F.lit(None).cast("string").alias("last_error"), now.alias("created_at"), now.alias("updated_at")
     )
     return new_items, jobs.unionByName(made)
 
 
+def schedule(items: DataFrame, jobs: DataFrame, now: Column, recovery_from_replay: bool = True, origin: str = "watcher", only: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(items, jobs) with what can be queued queued: upcoming items that were just discovered wait, failed ones come back only for a replay that wasn't their last job.
+
+    ``only`` has the video_id of the items to look at; without it all are.
+    """
+    mine = items if only is None else items.join(only.select("video_id").distinct(), "video_id", "left_semi")
+    last = latest_jobs(jobs).select("video_id", F.col("job_type").alias("_last"))
+    rows = mine.withColumn("job_type", desired_job(recovery_from_replay)).join(last, "video_id", "left")
+    wait = (F.col("live_status") == "is_upcoming") & (F.col("local_status") == "DISCOVERED")
+    comes_back = (F.col("local_status") != "FAILED") | ((F.col("job_type") == "REPLAY_RECOVERY") & ~F.col("_last").eqNullSafe(F.col("job_type")))
+    wanted = rows.filter(F.col("job_type").isNotNull() & comes_back).select("video_id", "job_type")
+    waiting = rows.filter(wait).select("video_id", F.lit(True).alias("_wait"))
+    rows = items.join(waiting, "video_id", "left").withColumns({"updated_at": F.when(F.col("_wait"), now).otherwise(F.col("updated_at")), "local_status": F.when(F.col("_wait"), "WAITING").otherwise(F.col("local_status"))})
+    return enqueue(rows.select(*items.columns), jobs, wanted, now, origin)
+
+
 def claim(jobs: DataFrame, now: Column, workers: int = 1, video_id: str | None = None, origin: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(jobs after the claim, the claimed ones): the queued and due jobs with the smallest ids, as many as workers are free."""
     due = jobs.filter((F.col("status") == "QUEUED") & (F.col("available_at") <= now))
@@ -253,15 +277,81 @@ def list_items(items: DataFrame, local_status: str | None = None, live_status: s
 
 
 def request_outcomes(requests: DataFrame, items: DataFrame, enabled_channels: int) -> DataFrame:
-    """What a manual request for each item comes to: completed ones are skipped, upcoming ones wait, the rest is queued or retried."""
-    rows = requests.dropDuplicates(["video_id"]).join(items.select("video_id", F.col("channel_id").alias("_c"), "local_status", "live_status", "capture_complete"), "video_id", "left")
+    """What a manual request (video_id, channel_hint) for each item comes to: ``failed`` where no channel follows or another one is named than the item's,
+    ``skipped`` where it is complete, ``waiting`` where it is upcoming, ``retried`` where it had failed, else ``queued``."""
+    known = items.select("video_id", F.col("channel_id").alias("_c"), "local_status", "live_status", "capture_complete")
+    rows = requests.dropDuplicates(["video_id"]).join(known, "video_id", "left")
     channel = F.coalesce("channel_hint", "_c", F.when(F.lit(enabled_channels == 1), F.lit("only")))
     return rows.select(
         "video_id",
-        F.when((F.col("local_status") == "COMPLETED") & (F.col("capture_complete") == 1), "skipped")
-        .when(channel.isNull(), "failed")
+        F.when(channel.isNull() | (F.col("_c") != channel), "failed")
+        .when((F.col("local_status") == "COMPLETED") & (F.col("capture_complete") == 1), "skipped")
         .when(F.col("live_status") == "is_upcoming", "waiting")
         .when(F.col("local_status") == "FAILED", "retried")
         .otherwise("queued")
         .alias("outcome"),
     )
+
+
+def request(items: DataFrame, jobs: DataFrame, requests: DataFrame, now: Column, enabled_channels: int, recovery_from_replay: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(items, jobs, outcomes) after manual requests: failed items go to RETRY with their count reset, then what can be queued is, under the origin ``manual``.
+
+    Items have to be in the catalog; what isn't there yet is upserted from its metadata first.
+    """
+    outcomes = request_outcomes(requests, items, enabled_channels)
+    taken = outcomes.filter("outcome in ('queued', 'retried', 'waiting')").join(items.select("video_id"), "video_id", "left_semi")
+    kinds = dict(items.dtypes)
+    hit = taken.select("video_id", F.lit(True).alias("_t"))
+    again = F.coalesce(F.col("_t") & (F.col("local_status") == "FAILED"), F.lit(False))
+    rows = items.join(hit, "video_id", "left").withColumns({"retry_count": F.when(again, 0).otherwise(F.col("retry_count")).cast(kinds["retry_count"]), "updated_at": F.when(again, now).otherwise(F.col("updated_at")), "local_status": F.when(again, "RETRY").otherwise(F.col("local_status"))})
+    new_items, new_jobs = schedule(rows.select(*items.columns), jobs, now, recovery_from_replay, "manual", taken)
+    return new_items, new_jobs, outcomes
+
+
+def explicit_then_found(explicit: DataFrame, found: DataFrame, order: str = "ordinal") -> DataFrame:
+    """Items named by id, then those a search came upon; of one id the first counts. ``place`` tells the order."""
+    rows = explicit.withColumn("_part", F.lit(0)).unionByName(found.withColumn("_part", F.lit(1)))
+    place = F.struct("_part", order)
+    first = rows.groupBy("video_id").agg(F.min_by(F.struct(*rows.columns), place).alias("r"))
+    return first.select("r.*").withColumn("place", F.struct("_part", order)).drop("_part")
+
+
+def scan_limit(found: DataFrame, channels: list[str], limit: int | None, order: str = "place") -> DataFrame:
+    """The items a scan gets to: it stops within a channel once ``limit`` items are done, and a later channel still takes one, since the count is looked at after an item.
+
+    Channels are few and their counts are one row each.
+    """
+    if limit is None:
+        return found
+    n = {r[0]: r[1] for r in found.groupBy("channel_id").agg(F.count(F.lit(1))).collect() if r[0] in channels}
+    take, done = {}, 0
+    for c in channels:
+        take[c] = min(n.get(c, 0), max(1, limit - done))
+        done += take[c]
+    out = None
+    for c in channels:
+        rows = found.filter(F.col("channel_id") == c).orderBy(order).limit(take[c])
+        out = rows if out is None else out.unionByName(rows)
+    return out if out is not None else found.limit(0)
+
+
+#: What a worker goes through with a claimed job, and the state that stands for each step. Fixed values.
+STAGES = {"LIVE_RECORD": ("RECORDING", "VALIDATING"), "REPLAY_RECOVERY": ("DOWNLOADING", "VALIDATING"), "VOD_DOWNLOAD": ("DOWNLOADING", "VALIDATING")}
+CAPTURE_SOURCE = {"LIVE_RECORD": "live_record", "REPLAY_RECOVERY": "replay_recovery", "VOD_DOWNLOAD": "vod_download"}
+
+
+def start_jobs(items: DataFrame, claimed: DataFrame, step: int, now: Column) -> DataFrame:
+    """Items of claimed jobs in the state of a step of their kind of job: 0 under way, 1 being validated."""
+    states = F.create_map(*[F.lit(x) for k, v in STAGES.items() for x in (k, v[step])])
+    return move(items, claimed.select("video_id", states[F.col("job_type")].alias("to")), now)
+
+
+def results(claimed: DataFrame, files: DataFrame, items: DataFrame) -> DataFrame:
+    """Outcomes of claimed jobs from what a provider left (id, started_at, path, size, sha256, duration_sec, error): a live
+    recording is complete if it began at most some seconds after the broadcast, anything else always is."""
+    from ..functions import scalars as S
+
+    rows = claimed.select("id", "video_id", "job_type").join(files, "id").join(items.select("video_id", "actual_start"), "video_id", "left")
+    source = F.create_map(*[F.lit(x) for k, v in CAPTURE_SOURCE.items() for x in (k, v)])
+    complete = (F.col("job_type") != "LIVE_RECORD") | S.capture_complete("started_at", "actual_start")
+    return rows.select("id", "video_id", "error", "path", "size", "sha256", "duration_sec", source[F.col("job_type")].alias("source"), complete.alias("complete"))

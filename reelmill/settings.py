@@ -6,9 +6,11 @@ import copy
 import hashlib
 import json
 import os
-from dataclasses import dataclass, field
+import re
+from dataclasses import dataclass
 from pathlib import Path
 from typing import Any
+from urllib.parse import parse_qs, urlsplit
 
 # ---- fixed values: weights, thresholds and counts that results depend on -----------------------------------------
 SELECTION: dict[str, Any] = {
@@ -102,36 +104,129 @@ class Acquisition:
     max_attempts: int = 3
     retry_delay_sec: int = 60
     recovery_from_replay: bool = True
+    try_from_start: bool = True
+    max_height: int = 1080
     output_root: str = "data/raw"
-    extra: dict[str, Any] = field(default_factory=dict)
+
+
+#: Where each value stands in a registry file: (section or None, key). Values without a section of their own stand at the top.
+PLACES = {
+    "poll_interval_sec": (None, "poll_interval_sec"),
+    "output_root": ("output", "root_dir"),
+    "max_height": ("download", "max_height"),
+    "merge_format": ("download", "merge_format"),
+    "try_from_start": ("live", "try_from_start"),
+    "recovery_from_replay": ("live", "recovery_from_replay"),
+    "max_attempts": ("retry", "max_attempts"),
+    "retry_delay_sec": ("retry", "retry_delay_sec"),
+    "mode": ("selection", "mode"),
+}
+KEYWORDS = ("title_keywords", "live_keywords", "vod_keywords")
+VIDEO_ID = re.compile(r"[A-Za-z0-9_-]{11}")
+#: Hosts and the paths before an id in links to one item. Fixed values.
+WATCH_HOSTS = ("youtube.com", "www.youtube.com", "m.youtube.com")
+SHORT_HOST = "youtu.be"
+
+
+def video_id_of(reference: str) -> str:
+    """The id in a bare id or a link to one item; anything else is an error."""
+    text = reference.strip()
+    found = text
+    if "://" in text:
+        link = urlsplit(text)
+        host, parts = (link.hostname or "").lower(), link.path.strip("/").split("/")
+        found = ""
+        if link.scheme == "https" and host in WATCH_HOSTS:
+            if link.path == "/watch":
+                found = parse_qs(link.query).get("v", [""])[0]
+            elif parts[0] in ("live", "shorts") and len(parts) > 1:
+                found = parts[1]
+        elif link.scheme == "https" and host == SHORT_HOST:
+            found = parts[0]
+    if not VIDEO_ID.fullmatch(found):
+        raise SettingsError(f"no item id in {reference!r}")
+    return found
+
+
+def _words(value: Any, name: str) -> tuple[str, ...]:
+    if not isinstance(value, list) or not all(isinstance(x, str) and x.strip() for x in value):
+        raise SettingsError(f"{name} must be a list of texts that aren't blank")
+    return tuple(x.strip() for x in value)
+
+
+def _channel(row: Any) -> Channel:
+    if not isinstance(row, dict) or not {"id", "url"} <= row.keys():
+        raise SettingsError("a channel needs an id and a url")
+    if unknown := row.keys() - {"id", "url", "enabled", "video_ids", *KEYWORDS}:
+        raise SettingsError(f"unknown channel settings: {', '.join(sorted(map(str, unknown)))}")
+    name, url = str(row["id"]), str(row["url"])
+    if not re.sub("[-_]", "", name).isalnum():
+        raise SettingsError(f"bad channel id {name!r}")
+    if not url.startswith("https://www.youtube.com/"):
+        raise SettingsError(f"bad channel url {url!r}")
+    ids = row.get("video_ids", [])
+    if not isinstance(ids, list):
+        raise SettingsError("video_ids must be a list")
+    return Channel(name, url, bool(row.get("enabled", True)), tuple(video_id_of(str(x)) for x in ids), *(_words(row.get(k, []), k) for k in KEYWORDS))
+
+
+def _value(data: dict[str, Any], name: str) -> Any:
+    section, key = PLACES[name]
+    part = data if section is None else data.get(section)
+    if part is None and name == "mode":
+        return "allowlist"
+    if not isinstance(part, dict) or key not in part:
+        if name == "mode" and isinstance(part, dict):
+            return "allowlist"
+        raise SettingsError(f"missing setting {key if section is None else f'{section}.{key}'}")
+    return part[key]
 
 
 def channel_registry(data: dict[str, Any], root: Path) -> Acquisition:
-    """A validated registry: channels with unique safe ids and links, positive numbers, an output below the root."""
+    """A validated registry: channels with unique safe ids and links, unique item ids, positive numbers, an output below the root.
+
+    Settings stand in sections; one that nobody knows is an error, not something to be passed over.
+    """
+    if not isinstance(data, dict):
+        raise SettingsError("settings must be a mapping")
+    for section in {s for s, _ in PLACES.values() if s}:
+        if isinstance(data.get(section), dict) and (unknown := data[section].keys() - {k for s, k in PLACES.values() if s == section}):
+            raise SettingsError(f"unknown settings in {section}: {', '.join(sorted(map(str, unknown)))}")
+    if unknown := data.keys() - {"channels", *(s or k for s, k in PLACES.values())}:
+        raise SettingsError(f"unknown settings: {', '.join(sorted(map(str, unknown)))}")
     rows = data.get("channels")
     if not isinstance(rows, list) or not rows:
-        raise SettingsError("channels must be a non-empty list")
-    channels, ids, videos = [], set(), set()
-    for r in rows:
-        name, url = str(r.get("id", "")), str(r.get("url", ""))
-        if not name or not name.replace("-", "").replace("_", "").isalnum():
-            raise SettingsError(f"bad channel id {name!r}")
-        if name in ids:
-            raise SettingsError(f"channel id {name!r} twice")
-        if not url.startswith(("https://www.youtube.com/", "https://youtube.com/")):
-            raise SettingsError(f"bad channel url {url!r}")
-        own = tuple(map(str, r.get("video_ids") or ()))
-        if len(set(own)) != len(own) or videos & set(own):
-            raise SettingsError("video ids must be unique")
-        ids.add(name)
-        videos |= set(own)
-        channels.append(Channel(name, url, bool(r.get("enabled", True)), own, *(tuple(r.get(k) or ()) for k in ("title_keywords", "live_keywords", "vod_keywords"))))
-    out = Acquisition(tuple(channels), **{k: data[k] for k in ("mode", "poll_interval_sec", "max_attempts", "retry_delay_sec", "recovery_from_replay", "output_root") if k in data})
-    if out.mode not in ("allowlist", "all"):
-        raise SettingsError("mode must be allowlist or all")
-    if any(not isinstance(v, int) or v <= 0 for v in (out.poll_interval_sec, out.max_attempts, out.retry_delay_sec)):
-        raise SettingsError("intervals and attempts must be positive integers")
-    if data.get("format", "mp4") != "mp4":
+        raise SettingsError("channels must be a list with at least one entry")
+    channels = tuple(_channel(r) for r in rows)
+    if len({c.id for c in channels}) != len(channels):
+        raise SettingsError("a channel id stands twice")
+    ids = [v for c in channels for v in c.video_ids]
+    if len(set(ids)) != len(ids):
+        raise SettingsError("an item id stands twice")
+    got = {name: _value(data, name) for name in PLACES}
+    try:
+        numbers = {k: int(got[k]) for k in ("poll_interval_sec", "max_height", "max_attempts", "retry_delay_sec")}
+    except (TypeError, ValueError) as e:
+        raise SettingsError("intervals, height and attempts must be numbers") from e
+    if min(numbers["poll_interval_sec"], numbers["max_height"], numbers["max_attempts"]) < 1 or numbers["retry_delay_sec"] < 0:
+        raise SettingsError("intervals, height and attempts must be positive")
+    if str(got["mode"]) not in ("allowlist", "all"):
+        raise SettingsError("selection.mode must be allowlist or all")
+    if str(got["merge_format"]) != "mp4":
         raise SettingsError("only mp4 is supported")
-    Confined(root).at(out.output_root)
-    return out
+    output = str(got["output_root"])
+    if os.path.isabs(output):
+        raise SettingsError("output.root_dir must be relative")
+    Confined(root).at(output)
+    return Acquisition(channels, str(got["mode"]), numbers["poll_interval_sec"], numbers["max_attempts"], numbers["retry_delay_sec"], bool(got["recovery_from_replay"]), bool(got["try_from_start"]), numbers["max_height"], output)
+
+
+#: Thresholds of technical quality where neither a ``qc`` nor a ``clip`` section says otherwise. Fixed values.
+QUALITY = {"min_duration_sec": 30.0, "max_duration_sec": 180.0, "expected_overlap_sec": 0.0, "overlap_tolerance_sec": 0.5}
+
+
+def quality_settings(data: dict[str, Any]) -> dict[str, Any]:
+    """Thresholds of technical quality: what ``qc`` says, else what follows from ``clip``, else the defaults."""
+    clip, own = data.get("clip") or {}, data.get("qc") or {}
+    derived = {k: float(clip[c]) for k, c in (("min_duration_sec", "min_duration_sec"), ("max_duration_sec", "max_duration_sec"), ("expected_overlap_sec", "overlap_sec")) if c in clip}
+    return QUALITY | derived | own
