@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,21 +9,9 @@ from ..functions import scalars as S
 from ..operators import annotations, catalog, dedupe, intervals, registry, rules, scoring, selection, split, summaries
 from ..settings import SELECTION
 from . import views as V
+from .register import QUERIES, SQL, query
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
+__all__ = ["QUERIES", "SQL"]
 
 # ---- intervals --------------------------------------------------------------------------------------------------
 
@@ -172,10 +158,17 @@ def collision_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"WITH {V.CLIPS} SELECT source_id, count(*) AS num_clips, round(sum(duration_sec), 3) AS total_duration_sec, min(start_sec) AS first_clip_start_sec, max(end_sec) AS last_clip_end_sec FROM clips GROUP BY source_id"
+    f"""WITH {V.CLIPS}, n AS (SELECT source_id, lag(end_sec) OVER (PARTITION BY source_id ORDER BY start_sec, end_sec) - start_sec AS o FROM clips WHERE end_sec > start_sec),
+        t AS (SELECT source_id, count(*) FILTER (abs(o - 600) <= 500) AS expected_pairs, count(*) FILTER (NOT abs(o - 600) <= 500 AND (o > 1100 OR o < -500)) AS irregular_pairs FROM n GROUP BY source_id),
+        s AS (SELECT source_id, count(*) AS num_clips, round(sum(duration_sec), 3) AS total_duration_sec, min(start_sec) AS first_clip_start_sec, max(end_sec) AS last_clip_end_sec FROM clips GROUP BY source_id)
+        SELECT s.*, coalesce(expected_pairs, 0) AS expected_pairs, coalesce(irregular_pairs, 0) AS irregular_pairs, CASE WHEN source_id::INT % 2 = 0 THEN 'CAM' || source_id ELSE 'UNRESOLVED' END AS camera_id FROM s LEFT JOIN t USING (source_id)"""
 )
 def source_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return registry.source_totals(V.clips(spark, sf_dir)).withColumn("total_duration_sec", F.round("total_duration_sec", 3))
+    clips = V.clips(spark, sf_dir)
+    n = F.col("source_id").cast("int")
+    cameras = clips.select("source_id").distinct().select("source_id", F.when(n % 2 == 0, F.concat(F.lit("CAM"), "source_id")).alias("mapped_camera"), F.lit("").alias("catalog_camera"))
+    out = registry.source_registry(clips, cameras, 600.0, 500.0).withColumn("total_duration_sec", F.round("total_duration_sec", 3)).fillna(0, ["expected_pairs", "irregular_pairs"])
+    return out.select("source_id", "num_clips", "total_duration_sec", "first_clip_start_sec", "last_clip_end_sec", "expected_pairs", "irregular_pairs", "camera_id")
 
 
 @query(
@@ -255,37 +248,31 @@ def escalate_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.escalate(base, group, "l_orderkey").select("id", "status", "notes")
 
 
-@query("SELECT o_orderkey FROM orders ANTI JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0")
-def orphan_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o, c = V.table(spark, sf_dir, "orders"), V.table(spark, sf_dir, "customer").filter("c_acctbal > 0")
-    return o.join(c, o.o_custkey == c.c_custkey, "left_anti").select("o_orderkey")
-
-
-@query("SELECT c_custkey FROM customer ANTI JOIN orders ON o_custkey = c_custkey")
-def orphan_right(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o, c = V.table(spark, sf_dir, "orders"), V.table(spark, sf_dir, "customer")
-    return c.join(o, o.o_custkey == c.c_custkey, "left_anti").select("c_custkey")
-
-
 @query(
-    f"""WITH {V.CLIPS}, m AS (SELECT source_id || '_C' || lpad(clip_id, 8, '0') AS clip_id, source_id, start_sec, CASE WHEN ordinal % 17 = 0 THEN start_sec - 1 WHEN ordinal % 19 = 0 THEN NULL ELSE end_sec END AS end_sec, duration_sec, ordinal FROM clips)
-        SELECT clip_id, code FROM (
-        SELECT clip_id, unnest(list_filter([CASE WHEN end_sec IS NULL THEN 'MALFORMED_TIMESTAMPS' END, CASE WHEN end_sec <= start_sec THEN 'INVALID_TIMESTAMP_ORDER' END,
-            CASE WHEN end_sec > start_sec AND abs(duration_sec - (end_sec - start_sec)) > 0.001 THEN 'MANIFEST_DURATION_MISMATCH' END, CASE WHEN ordinal % 23 = 0 THEN 'MISSING_INVENTORY_RECORD' END,
-            CASE WHEN ordinal % 23 != 0 AND (end_sec IS NULL) THEN 'METADATA_INVENTORY_MISMATCH' END,
-            CASE WHEN ordinal % 23 != 0 AND ordinal % 29 = 0 THEN 'CHECKSUM_MISMATCH' END, 'UNRESOLVED_CAMERA', CASE WHEN ordinal % 23 = 0 THEN 'INVALID_QC_STATUS' WHEN ordinal % 31 = 0 THEN 'QC_WARNING' END], lambda x: x IS NOT NULL)) AS code FROM m
-        UNION ALL SELECT source_id || '_C' || lpad(clip_id, 8, '0') || 'x', 'ORPHAN_INVENTORY_RECORD' FROM clips WHERE ordinal % 37 = 0)"""
+    f"""WITH {V.CLIPS}, m AS (SELECT source_id || '_C' || lpad(clip_id, 8, '0') AS clip_id, source_id, start_sec, CASE WHEN ordinal % 17 = 0 THEN start_sec - 1 WHEN ordinal % 19 = 0 THEN NULL ELSE end_sec END AS end_sec, duration_sec, ordinal FROM clips),
+        n AS (SELECT clip_id, lag(end_sec) OVER (PARTITION BY source_id ORDER BY start_sec, end_sec, clip_id) - start_sec AS o FROM m WHERE end_sec > start_sec),
+        x AS (SELECT clip_id, unnest(list_filter([CASE WHEN end_sec IS NULL THEN 'MALFORMED_TIMESTAMPS|FAIL|start_sec/end_sec' END, CASE WHEN end_sec <= start_sec THEN 'INVALID_TIMESTAMP_ORDER|FAIL|end_sec' END,
+            CASE WHEN end_sec > start_sec AND abs(duration_sec - (end_sec - start_sec)) > 0.001 THEN 'MANIFEST_DURATION_MISMATCH|FAIL|duration_sec' END, CASE WHEN ordinal % 23 = 0 THEN 'MISSING_INVENTORY_RECORD|FAIL|clip_id' END,
+            CASE WHEN ordinal % 23 != 0 AND end_sec IS NULL THEN 'METADATA_INVENTORY_MISMATCH|FAIL|end_sec' END, CASE WHEN ordinal % 23 != 0 AND ordinal % 41 = 0 THEN 'METADATA_INVENTORY_MISMATCH|FAIL|clip_path' END, CASE WHEN ordinal % 41 = 0 THEN 'CLIP_PATH_NAMING_INCONSISTENCY|WARNING|clip_path' END,
+            CASE WHEN ordinal % 23 != 0 AND ordinal % 29 = 0 THEN 'CHECKSUM_MISMATCH|FAIL|sha256' END, 'UNRESOLVED_CAMERA|WARNING|camera_id', CASE WHEN ordinal % 23 = 0 THEN 'INVALID_QC_STATUS|FAIL|qc_status' WHEN ordinal % 31 = 0 THEN 'QC_WARNING|WARNING|qc_status' END], lambda x: x IS NOT NULL)) AS c FROM m
+        UNION ALL SELECT source_id || '_C' || lpad(clip_id, 8, '0') || 'x', 'ORPHAN_INVENTORY_RECORD|FAIL|clip_id' FROM clips WHERE ordinal % 37 = 0
+        UNION ALL SELECT clip_id, CASE WHEN o > 10.001 THEN 'EXCESS_TEMPORAL_OVERLAP' ELSE 'TIMELINE_GAP' END || '|WARNING|start_sec' FROM n WHERE o > 10.001 OR o < -0.001
+        UNION ALL SELECT source_id || '_C' || lpad(clip_id, 8, '0') || 'x', 'DUPLICATE_INVENTORY_CLIP_ID|FAIL|clip_id' FROM clips WHERE ordinal % 74 = 0)
+        SELECT clip_id, split_part(c, '|', 1) AS code, split_part(c, '|', 2) AS severity, split_part(c, '|', 3) AS field FROM x"""
 )
 def metadata_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest with errors of many sorts against an inventory with rows of its own, some of them twice."""
     c = V.clips(spark, sf_dir)
     name = F.concat("source_id", F.lit("_C"), F.lpad("clip_id", 8, "0"))
     o = F.col("ordinal")
-    m = c.select(name.alias("clip_id"), "source_id", F.concat(F.lit("clips/"), name, F.lit(".mp4")).alias("local_path"), "start_sec", F.when(o % 17 == 0, F.col("start_sec") - 1).when(o % 19 == 0, None).otherwise(F.col("end_sec")).alias("end_sec"), "duration_sec", F.lit("x").alias("sha256"), "ordinal")
-    inv = m.filter(o % 23 != 0).select("clip_id", "source_id", F.col("local_path").alias("file_path"), "start_sec", "end_sec", "duration_sec", F.when(o % 29 == 0, "y").otherwise("x").alias("sha256"), F.when(o % 31 == 0, "WARNING").otherwise("PASS").alias("qc_status"), "ordinal")
-    extra = m.filter(o % 37 == 0).select(F.concat("clip_id", F.lit("x")).alias("clip_id"), "source_id", F.col("local_path").alias("file_path"), "start_sec", "end_sec", "duration_sec", "sha256", F.lit("PASS").alias("qc_status"), "ordinal")
+    path = F.concat(F.lit("clips/"), name, F.when(o % 41 == 0, "_.mp4").otherwise(".mp4"))
+    m = c.select(name.alias("clip_id"), "source_id", path.alias("local_path"), "start_sec", F.when(o % 17 == 0, F.col("start_sec") - 1).when(o % 19 == 0, None).otherwise(F.col("end_sec")).alias("end_sec"), "duration_sec", F.lit("x").alias("sha256"), "ordinal")
+    kept = F.concat(F.lit("clips/"), "clip_id", F.lit(".mp4")).alias("file_path")
+    inv = m.filter(o % 23 != 0).select("clip_id", "source_id", kept, "start_sec", "end_sec", "duration_sec", F.when(o % 29 == 0, "y").otherwise("x").alias("sha256"), F.when(o % 31 == 0, "WARNING").otherwise("PASS").alias("qc_status"), "ordinal")
+    extra = m.filter(o % 37 == 0).select(F.concat("clip_id", F.lit("x")).alias("clip_id"), "source_id", kept, "start_sec", "end_sec", "duration_sec", "sha256", F.lit("PASS").alias("qc_status"), "ordinal")
     reg = m.select("source_id").distinct().withColumn("camera_id", F.lit("UNRESOLVED"))
-    found = rules.metadata_issues(m, inv.unionByName(extra), reg)
-    return found.filter(~F.col("code").isin("TIMELINE_GAP", "EXCESS_TEMPORAL_OVERLAP")).select("clip_id", "code")
+    found = rules.metadata_issues(m, inv.unionByName(extra).unionByName(extra.filter(o % 74 == 0)), reg)
+    return found.select("clip_id", "code", "severity", "field")
 
 
 @query(
@@ -307,6 +294,7 @@ def group_logic(spark: SparkSession, sf_dir: str) -> DataFrame:
         UNION ALL SELECT o_orderkey, 'missing_candidate' FROM orders WHERE o_orderkey % 13 = 0 AND o_orderkey % 17 != 0 UNION ALL SELECT o_orderkey, 'unknown_candidate' FROM orders WHERE o_orderkey % 17 = 0 AND o_orderkey % 13 != 0"""
 )
 def identity_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two copies of one table, from which rows were taken on either side and some prices changed: the filters make the differences."""
     o = V.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     a = o.filter("o_orderkey % 13 != 0")
     b = o.filter("o_orderkey % 17 != 0").withColumn("o_totalprice", F.when(F.col("o_orderkey") % 11 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
@@ -434,6 +422,7 @@ def carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT * FROM n UNION ALL SELECT * FROM o WHERE status = 'keep' AND k % 3 = 0 AND source_video_id NOT IN ('src0', 'src1')"""
 )
 def regenerate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates made anew and old ones; the filters make rows of each kind."""
     d = V.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("k"), F.col("source").alias("source_video_id"))
     new = d.filter("k % 3 != 0").withColumn("status", F.lit("pending"))
     old = d.join(V.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("k"), "quality"), "k").select("k", "source_video_id", F.when(F.col("quality") == 1, "keep").otherwise("reject").alias("status"))
@@ -556,6 +545,7 @@ def claim_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT i.event_id, CASE WHEN local_status = 'RECORDING' AND status IN ('RUNNING', 'QUEUED') THEN 'QUEUED' WHEN local_status = 'RECORDING' THEN 'RETRY' ELSE local_status END AS local_status FROM items i LEFT JOIN j ON i.event_id = j.video_id"""
 )
 def recover_interrupted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items and, for a third of them, jobs."""
     now = F.lit("2030-01-01").cast("timestamp")
     items = _rows(spark, sf_dir).select(F.col("event_id").alias("video_id"), "local_status", now.alias("updated_at"))
     kind = F.when(F.col("event_id") % 4 == 0, "RUNNING").when(F.col("event_id") % 4 == 1, "QUEUED").otherwise("DONE")
@@ -568,6 +558,7 @@ def recover_interrupted(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT CAST(r.id AS VARCHAR) AS video_id, CASE WHEN s = 'COMPLETED' THEN 'skipped' WHEN i.id IS NULL THEN 'failed' WHEN l = 'is_upcoming' THEN 'waiting' WHEN s = 'FAILED' THEN 'retried' ELSE 'queued' END AS outcome FROM r LEFT JOIN i USING (id)"""
 )
 def request_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request for every user; every other document is in the catalog."""
     requests = V.table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("video_id"), F.lit(None).cast("string").alias("channel_hint"))
     d = V.table(spark, sf_dir, "documents").filter("doc_id % 2 = 0")
     n = F.col("doc_id") % 3
@@ -607,3 +598,6 @@ def frame_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     shifted = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.concat(F.array_join(F.slice(pixels, i * 8 + 1, 64), ""), F.array_join(F.slice(pixels, 1, i * 8), "")))
     clips_ = e.filter(F.size("embedding") == 64).select(F.col("vec_id").cast("string").alias("clip_id"), F.unhex(F.array_join(shifted, "")).alias("frames"), F.lit(6).alias("n"), F.lit(8).alias("height"), F.lit(8).alias("width"))
     return analyse_clips(clips_).select("clip_id", "signal_status", "activity_score", "brightness_score", "visual_signature", F.array_join("keyframe_reasons", ";").alias("reasons"))
+
+
+from . import curation  # noqa: E402, F401  registers its queries

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import attach
@@ -51,6 +51,8 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     q, d, t, p = F.col("l_quantity") / 50.31, F.col("l_discount") * 9.873, F.col("l_tax") * 12.179, F.col("l_extendedprice") / 104729.0
     return x.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("clip_id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("uid"),
+        F.col("l_partkey").alias("part"),
         F.col("l_suppkey").cast("string").alias("source_id"),
         q.alias("foreground_occupancy_score"),
         d.alias("activity_score"),
@@ -68,7 +70,7 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SIGNALS = """signals AS (SELECT l_orderkey || '-' || l_linenumber AS clip_id, CAST(l_suppkey AS VARCHAR) AS source_id, q AS foreground_occupancy_score, d AS activity_score, t AS persistence_score, p AS visual_variation_score,
+SIGNALS = """signals AS (SELECT l_orderkey || '-' || l_linenumber AS clip_id, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS uid, l_partkey AS part, CAST(l_suppkey AS VARCHAR) AS source_id, q AS foreground_occupancy_score, d AS activity_score, t AS persistence_score, p AS visual_variation_score,
     1 - q AS small_far_score, q * d AS occlusion_score, 1 - d AS boundary_edge_score, 1 - t AS blur_score, q * t AS crowded_score, d * t AS fast_motion_score, 1 - p AS low_light_score, q * q AS motion_variation_score, 1 - p AS brightness_score
     FROM (SELECT *, l_quantity / 50.31::DOUBLE AS q, l_discount * 9.873::DOUBLE AS d, l_tax * 12.179::DOUBLE AS t, l_extendedprice / 104729.0::DOUBLE AS p FROM lineitem))"""
 
@@ -92,3 +94,60 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LOG = """log AS (SELECT CAST(user_id AS VARCHAR) AS video_id, ts, event_id, event_type, nullif((CAST(json_extract_string(props, '$.k') AS BIGINT) % 7)::DOUBLE, 0.0::DOUBLE) AS payload,
     CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)"""
+
+
+LIVE = ("is_upcoming", "is_live", "was_live", "not_live", "unknown")
+LOCAL = ("DISCOVERED", "WAITING", "QUEUED", "DOWNLOADING", "RECORDING", "VALIDATING", "COMPLETED", "FAILED", "RETRY")
+KINDS = ("VOD_DOWNLOAD", "LIVE_RECORD", "REPLAY_RECOVERY")
+JOB_STATES = ("DONE", "QUEUED", "RUNNING", "FAILED")
+NOW = "2030-01-01 00:00:00"
+
+
+def pick(values: tuple[str, ...], n: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in values]), (n % len(values) + 1).cast("int"))
+
+
+def sql_pick(values: tuple[str, ...], n: str) -> str:
+    return f"list_extract([{', '.join(repr(x) for x in values)}], (({n}) % {len(values)} + 1)::INT)"
+
+
+def now() -> Column:
+    return F.lit(NOW).cast("timestamp")
+
+
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as catalog items in all combinations of states."""
+    d, i = table(spark, sf_dir, "documents"), F.col("doc_id")
+    null = lambda t: F.lit(None).cast(t)
+    return d.select(
+        i.cast("string").alias("video_id"), F.col("source").alias("channel_id"), null("string").alias("channel_name"), F.concat(F.lit("Title "), "lang").alias("title"), F.lit("u").alias("source_url"), F.lit("vod").alias("item_type"),
+        pick(LIVE, i).alias("live_status"), pick(LOCAL, F.expr("doc_id div 5")).alias("local_status"), null("string").alias("scheduled_start"), F.lit("2029-12-31T23:59:50+00:00").alias("actual_start"), F.col("n_chars").cast("double").alias("duration_sec"),
+        F.concat(F.lit("raw/"), "source", F.lit("/"), i.cast("string"), F.lit("/source.mp4")).alias("local_path"), F.octet_length("text").cast("bigint").alias("file_size_bytes"), F.sha2("text", 256).alias("sha256"), null("string").alias("capture_source"),
+        F.nullif((F.expr("doc_id div 45") % 3).cast("int"), F.lit(2)).alias("capture_complete"), (i % 4).cast("int").alias("retry_count"), null("string").alias("last_error"), F.lit("2029-01-01").cast("timestamp").alias("discovered_at"), F.lit("2029-01-01").cast("timestamp").alias("updated_at"),
+    )
+
+
+ITEMS = f"""items AS (SELECT doc_id, doc_id::VARCHAR AS video_id, source AS channel_id, 'Title ' || lang AS title, {sql_pick(LIVE, "doc_id")} AS live_status, {sql_pick(LOCAL, "doc_id // 5")} AS local_status,
+    n_chars::DOUBLE AS duration_sec, 'raw/' || source || '/' || doc_id || '/source.mp4' AS local_path, strlen(text)::BIGINT AS file_size_bytes, sha256(text) AS sha256, nullif(doc_id // 45 % 3, 2) AS capture_complete, doc_id % 4 AS retry_count FROM documents)"""
+
+
+def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as jobs: each user is an item, and of an item's jobs only the last may be active."""
+    e, i = table(spark, sf_dir, "events"), F.col("event_id")
+    last = e.groupBy(F.col("user_id").alias("_u")).agg(F.max("event_id").alias("_last"))
+    state = pick(JOB_STATES, F.col("user_id"))
+    rows = e.join(last, F.col("user_id") == F.col("_u"))
+    return rows.select(
+        i.cast("bigint").alias("id"), F.col("user_id").cast("string").alias("video_id"), pick(KINDS, i).alias("job_type"), F.when(i == F.col("_last"), state).otherwise(F.lit("DONE")).alias("status"), F.when(i % 2 == 0, "watcher").otherwise("manual").alias("origin"),
+        (i % 3).cast("int").alias("attempts"), F.col("ts").cast("timestamp").alias("available_at"), F.lit(None).cast("string").alias("last_error"), F.col("ts").cast("timestamp").alias("created_at"), F.col("ts").cast("timestamp").alias("updated_at"),
+    )
+
+
+JOBS = f"""jobs AS (SELECT event_id AS id, user_id::VARCHAR AS video_id, {sql_pick(KINDS, "event_id")} AS job_type, CASE WHEN event_id = max(event_id) OVER (PARTITION BY user_id) THEN {sql_pick(JOB_STATES, "user_id")} ELSE 'DONE' END AS status,
+    CASE WHEN event_id % 2 = 0 THEN 'watcher' ELSE 'manual' END AS origin, event_id % 3 AS attempts, ts AS available_at FROM events),
+    last AS (SELECT video_id, arg_max(job_type, id) AS last_type, bool_or(status IN ('QUEUED', 'RUNNING')) AS active FROM jobs GROUP BY video_id)"""
+
+#: The job an item calls for, and where an item may be queued from.
+DESIRED = """CASE WHEN local_status IN ('QUEUED', 'DOWNLOADING', 'RECORDING', 'VALIDATING') OR live_status = 'is_upcoming' THEN NULL WHEN live_status = 'is_live' THEN CASE WHEN local_status != 'COMPLETED' THEN 'LIVE_RECORD' END
+    WHEN live_status = 'was_live' AND capture_complete = 0 THEN 'REPLAY_RECOVERY' WHEN live_status = 'was_live' THEN CASE WHEN local_status != 'COMPLETED' THEN 'REPLAY_RECOVERY' END WHEN live_status = 'not_live' AND local_status != 'COMPLETED' THEN 'VOD_DOWNLOAD' END"""
+MAY_QUEUE = "local_status IN ('DISCOVERED', 'WAITING', 'QUEUED', 'COMPLETED', 'FAILED', 'RETRY')"
