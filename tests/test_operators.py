@@ -12,10 +12,16 @@ from pyspark.sql import functions as F
 
 from reelmill.functions import scalars as S
 from reelmill.operators import catalog, dedupe, intervals, release, rules, scoring, selection, split
-from reelmill.settings import SELECTION, Confined, SettingsError, channel_registry, fingerprint, merged
+from reelmill.settings import SELECTION, Confined, SettingsError, channel_registry, fingerprint, merged, quality_settings
 from reelmill.sources import sinks, tables
 from reelmill.streaming import watcher
 
+ACQUISITION = {
+    "poll_interval_sec": 180, "output": {"root_dir": "data/raw/youtube"}, "download": {"max_height": 1080, "merge_format": "mp4"},
+    "live": {"try_from_start": True, "recovery_from_replay": True}, "retry": {"max_attempts": 3, "retry_delay_sec": 60},
+}
+
+
 class _Now:
     """A column can only be made once there is a session."""
 
@@ -319,7 +325,7 @@ def test_watch_stream(spark, tmp_path):
     rows = [("AAAAAAAAAAA", "c", "n", "Cầu Rồng live", "is_live", 1, None, None, 1), ("AAAAAAAAAAA", "c", None, "newer", "unknown", None, None, 5.0, 2), ("bad id", "c", None, "Cau rong", "is_live", None, None, None, 3), ("BBBBBBBBBBB", "c", None, "other", "not_live", None, None, None, 4)]
     names = [x.split()[0] for x in watcher.DISCOVERIES.split(", ")]
     (src / "a.json").write_text("\n".join(json.dumps(dict(zip(names, r, strict=True))) for r in rows))
-    config = channel_registry({"channels": [{"id": "c", "url": "https://www.youtube.com/@x", "live_keywords": ["cau rong"], "video_ids": ["AAAAAAAAAAA"]}]}, tmp_path)
+    config = channel_registry(ACQUISITION | {"channels": [{"id": "c", "url": "https://www.youtube.com/@x", "live_keywords": ["cau rong"], "video_ids": ["AAAAAAAAAAA"]}]}, tmp_path)
     for _ in range(2):  # the second run has nothing to do
         watcher.watch(spark, str(src), str(tmp_path / "state"), str(tmp_path / "ck"), config, datetime(2030, 1, 1)).awaitTermination(120)
     items, jobs = watcher.Snapshots(spark, str(tmp_path / "state")).read()
@@ -336,9 +342,16 @@ def test_settings(tmp_path):
     with pytest.raises(SettingsError):
         Confined(tmp_path).at("../x")
     ok = {"id": "a", "url": "https://www.youtube.com/@a"}
-    for bad in ({"channels": []}, {"channels": [ok, ok]}, {"channels": [ok | {"id": "a b"}]}, {"channels": [ok | {"url": "http://x"}]}, {"channels": [ok], "mode": "x"}, {"channels": [ok], "max_attempts": 0}, {"channels": [ok], "output_root": "../x"}):
+    bad_channels = ([], [ok, ok], [ok | {"id": "a b"}], [ok | {"url": "http://x"}], [ok | {"video_ids": ["short"]}], [ok | {"vod_keywords": [" "]}], [ok | {"colour": 1}], [{"id": "a"}], "x")
+    for bad in [{"channels": c} for c in bad_channels] + [{"selection": {"mode": "x"}}, {"retry": {"max_attempts": 0, "retry_delay_sec": 1}}, {"retry": {"max_attempts": 1}}, {"output": {"root_dir": "../x"}}, {"output": {"root_dir": "/x"}}, {"download": {"max_height": 9, "merge_format": "mkv"}}, {"max_attempts": 1}, {"live": {"try_from_start": True, "recovery_from_replay": True, "x": 1}}]:
         with pytest.raises(SettingsError):
-            channel_registry(bad, tmp_path)
+            channel_registry(ACQUISITION | {"channels": [ok]} | bad, tmp_path)
+    got = channel_registry(ACQUISITION | {"channels": [ok | {"video_ids": ["https://youtu.be/AAAAAAAAAAA", "https://www.youtube.com/live/BBBBBBBBBBB?x=1", "CCCCCCCCCCC"]}], "selection": {"mode": "all"}, "retry": {"max_attempts": 9, "retry_delay_sec": 0}}, tmp_path)
+    assert (got.mode, got.max_attempts, got.retry_delay_sec, got.output_root) == ("all", 9, 0, "data/raw/youtube")
+    assert got.channels[0].video_ids == ("AAAAAAAAAAA", "BBBBBBBBBBB", "CCCCCCCCCCC")
+    with pytest.raises(SettingsError):
+        channel_registry(ACQUISITION | {"channels": [ok | {"video_ids": ["AAAAAAAAAAA", "https://youtu.be/AAAAAAAAAAA"]}]}, tmp_path)
+    assert quality_settings({"clip": {"min_duration_sec": 5, "overlap_sec": 3}, "qc": {"max_duration_sec": 9}}) == {"min_duration_sec": 5.0, "max_duration_sec": 9, "expected_overlap_sec": 3.0, "overlap_tolerance_sec": 0.5}
 
 
 def test_text_tables(spark, tmp_path):
