@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..storage import stash
 from .ranking import ranked
 
 EPSILON = 1e-9
@@ -59,8 +62,43 @@ def valid_interval(start: Column, end: Column, duration: Column, minimum: float,
 
 def trim_jobs(candidates: DataFrame, source_col: str = "source_video_id") -> DataFrame:
     """Kept candidates with clip ids. Numbers count all of a source's candidates, rejected ones too, so that they never move."""
-    w = Window.partitionBy(source_col).orderBy("start_sec", "end_sec", "clip_candidate_id")
-    return candidates.withColumn("clip_number", F.row_number().over(w)).filter("status = 'keep'").withColumn("clip_id", S.clip_name(source_col, "clip_number"))
+    placed = ranked(candidates, [source_col, "start_sec", "end_sec", "clip_candidate_id"], "_place")
+    first = placed.groupBy(F.col(source_col).alias("_s")).agg(F.min("_place").alias("_from"))
+    numbered = placed.join(first, F.col(source_col).eqNullSafe(F.col("_s"))).withColumn("clip_number", (F.col("_place") - F.col("_from") + 1).cast("int"))
+    return numbered.drop("_s", "_place", "_from").filter("status = 'keep'").withColumn("clip_id", S.clip_name(source_col, "clip_number"))
+
+
+#: The order of a timeline.
+ORDER = ("start_sec", "end_sec", "clip_id")
+
+
+def _stretches(clips: DataFrame) -> DataFrame:
+    """Usable clips in the order of their timelines, dealt to stretches ``_p``: a source with very many clips goes on over several."""
+    parts = max(1, int(clips.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = _usable(clips).repartitionByRange(parts, "source_id", *ORDER)
+    return stash(dealt.withColumn("_p", F.spark_partition_id()), "timeline")
+
+
+def _inside() -> WindowSpec:
+    return Window.partitionBy("_p", "source_id").orderBy(*ORDER)
+
+
+def _before(rows: DataFrame, **carried: tuple[Column, Callable[[Column], Column]]) -> DataFrame:
+    """``rows`` with what the stretches before theirs leave them: each name has an aggregate over a stretch, and what is made of those before.
+
+    There is one row for each source and stretch, so nothing here grows with a source's clips.
+    """
+    per = rows.groupBy("_p", "source_id").agg(*[agg.alias(name) for name, (agg, _) in carried.items()])
+    w = Window.partitionBy("source_id").orderBy("_p")
+    left = per.select("_p", "source_id", *[fold(F.col(name)).over(w if fold is F.lag else w.rowsBetween(Window.unboundedPreceding, -1)).alias(name) for name, (_, fold) in carried.items()])
+    return rows.join(left, ["_p", "source_id"])
+
+
+def _neighbours(clips: DataFrame) -> DataFrame:
+    """Usable clips with ``_end`` and ``_id`` of the one before them on their timeline."""
+    rows = _before(_stretches(clips), _last=(F.max_by(F.struct("end_sec", "clip_id"), F.struct(*ORDER)), F.lag))
+    w = _inside()
+    return rows.withColumns({"_end": F.coalesce(F.lag("end_sec").over(w), F.col("_last.end_sec")), "_id": F.coalesce(F.lag("clip_id").over(w), F.col("_last.clip_id"))})
 
 
 def _usable(clips: DataFrame) -> DataFrame:
@@ -102,16 +140,17 @@ def overlap_pairs(clips: DataFrame, expected: float = 0.0, tolerance: float = 0.
 
 
 def overlap_groups(clips: DataFrame) -> DataFrame:
-    """Clips that overlap others, directly or through others, with the group's label: one pass over each timeline.
+    """Clips that overlap others, directly or through others, with the group's label: two passes over each timeline.
 
     Connected components of an overlap graph on a line are islands: a clip starts a new one when it starts at or
-    after the end of all before it. Groups are labelled in the order of their smallest member.
+    after the end of all before it. Groups are labelled in the order of their smallest member. A timeline is
+    cut into stretches, which only hand on how far they reach and how many islands they begin.
     """
-    order = Window.partitionBy("source_id").orderBy("start_sec", "end_sec", "clip_id")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    rows = _usable(clips).select("clip_id", "source_id", "start_sec", "end_sec")
-    marked = rows.withColumn("_new", F.when(F.max("end_sec").over(before) - F.col("start_sec") > EPSILON, 0).otherwise(1))
-    islands = marked.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = _before(_stretches(clips).select("clip_id", "source_id", "start_sec", "end_sec", "_p"), _most=(F.max("end_sec"), F.max))
+    w = _inside()
+    reach = F.greatest(F.max("end_sec").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.col("_most"))
+    marked = stash(rows.withColumn("_new", F.when(reach - F.col("start_sec") > EPSILON, 0).otherwise(1)).drop("_most"), "islands")
+    islands = _before(marked, _so_far=(F.sum("_new"), F.sum)).withColumn("_island", F.coalesce("_so_far", F.lit(0)) + F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     groups = islands.groupBy("source_id", "_island").agg(F.count(F.lit(1)).alias("members"), F.min("clip_id").alias("_least")).filter("members > 1")
     labelled = ranked(groups, ["_least"], "_rank").withColumn("overlap_group", F.format_string("OVL%03d", F.col("_rank")))
     return islands.join(labelled, ["source_id", "_island"]).select("clip_id", "source_id", "overlap_group", "members")
@@ -133,18 +172,14 @@ def overlap_status(clips: DataFrame, expected: float = 0.0, tolerance: float = 0
 
 def timeline_issues(clips: DataFrame, expected: float, tolerance: float) -> DataFrame:
     """Neighbours on a timeline that overlap by more than expected, or leave a gap."""
-    w = Window.partitionBy("source_id").orderBy("start_sec", "end_sec", "clip_id")
-    over = F.lag("end_sec").over(w) - F.col("start_sec")
-    rows = _usable(clips).withColumn("previous_id", F.lag("clip_id").over(w)).withColumn("overlap_sec", over)
+    rows = _neighbours(clips).withColumns({"previous_id": F.col("_id"), "overlap_sec": F.col("_end") - F.col("start_sec")})
     code = F.when(F.col("overlap_sec") > expected + tolerance, "EXCESS_TEMPORAL_OVERLAP").when(F.col("overlap_sec") < -tolerance, "TIMELINE_GAP")
     return rows.withColumn("issue_code", code).filter("issue_code is not null").select("source_id", "clip_id", "previous_id", "issue_code", "overlap_sec")
 
 
 def timeline_counts(clips: DataFrame, expected: float, tolerance: float) -> DataFrame:
     """Per source, neighbours at the expected overlap and irregular ones; what lies between is neither."""
-    w = Window.partitionBy("source_id").orderBy("start_sec", "end_sec")
-    over = F.lag("end_sec").over(w) - F.col("start_sec")
-    rows = _usable(clips).withColumn("o", over)
+    rows = _neighbours(clips).withColumn("o", F.col("_end") - F.col("start_sec"))
     near = F.abs(F.col("o") - expected) <= tolerance
     odd = ~near & ((F.col("o") > expected + tolerance) | (F.col("o") < -tolerance))
     return rows.groupBy("source_id").agg(F.count_if(near).alias("expected_pairs"), F.count_if(odd).alias("irregular_pairs"))

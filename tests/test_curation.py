@@ -68,6 +68,34 @@ def test_overlaps_of_clips_of_any_length(spark):
     assert got == want
 
 
+def test_one_long_timeline_over_many_stretches(spark):
+    """Islands, neighbours and numbers of a source with nearly all clips, against a plain walk."""
+    rng = random.Random(9)
+    rows, at = [], 0.0
+    for i in range(400):
+        at += rng.choice([0.0, 5.0, 20.0, 100.0])
+        rows.append((f"c{i:03}", "hot" if i % 40 else f"s{i}", at, at + rng.choice([4.0, 30.0, 250.0])))
+    df = spark.createDataFrame(rows, "clip_id string, source_id string, start_sec double, end_sec double").repartition(7)
+    groups, gaps = {}, {}
+    for s in {r[1] for r in rows}:
+        reach, prev, members = None, None, []
+        for r in sorted((r for r in rows if r[1] == s), key=lambda r: (r[2], r[3], r[0])):
+            if prev is not None and not 0 <= (o := prev[3] - r[2]) <= 10:
+                gaps[r[0]] = (prev[0], "EXCESS_TEMPORAL_OVERLAP" if o > 10 else "TIMELINE_GAP")
+            if reach is None or reach - r[2] <= 1e-9:
+                members = []
+            members.append(r[0])
+            groups[r[0]] = members
+            reach, prev = max(r[3], reach or r[3]), r
+    got = {r.clip_id: (r.overlap_group, r.members) for r in intervals.overlap_groups(df).collect()}
+    assert {c: n for c, (_, n) in got.items()} == {c: len(m) for c, m in groups.items() if len(m) > 1}
+    assert all(got[a][0] == got[b][0] for m in groups.values() for a in m for b in m if len(m) > 1)
+    assert {r.clip_id: (r.previous_id, r.issue_code) for r in intervals.timeline_issues(df, 10.0, 0.0).collect()} == {c: v for c, v in gaps.items()}
+    jobs = intervals.trim_jobs(df.select(F.col("source_id").alias("source_video_id"), "start_sec", "end_sec", F.col("clip_id").alias("clip_candidate_id"), F.lit("keep").alias("status")))
+    order = [r[0] for r in sorted((r for r in rows if r[1] == "hot"), key=lambda r: (r[2], r[3], r[0]))]
+    assert {r.clip_candidate_id: r.clip_number for r in jobs.filter("source_video_id = 'hot'").collect()} == {c: i + 1 for i, c in enumerate(order)}
+
+
 @pytest.mark.parametrize("distance", [0, 3, 7, 22, 40])
 def test_signature_pairs(spark, distance, monkeypatch):
     monkeypatch.setattr(scoring, "BLOCK_ROWS", 16)
@@ -332,6 +360,15 @@ def test_watch_recovers_and_works(spark, tmp_path):
     assert list((tmp_path / "state" / "dead").rglob("*.json"))
 
 
+def test_a_catalog_of_fewer_columns_is_read(spark, tmp_path):
+    """Columns that were added since a version was written are NULL in it."""
+    store = watcher.Snapshots(spark, str(tmp_path / "state"))
+    items, jobs = catalog_tables(spark, [item("a")], [queued(1, "a")])
+    store.write(items.drop("capture_source", "last_error"), jobs.drop("origin"))
+    got, more = store.read()
+    assert got.columns == items.columns and got.first().capture_source is None and more.first().origin is None
+
+
 def test_requests(spark, tmp_path):
     items, jobs = catalog_tables(spark, [item("a", "FAILED", retry=3), item("b", "COMPLETED", complete=1), item("u", live="is_upcoming")], [queued(1, "a", status="FAILED")])
     asked = spark.createDataFrame([("a", None), ("b", None), ("u", None), ("z", "c"), ("a", None)], "video_id string, channel_hint string")
