@@ -141,6 +141,14 @@ Table | of | it |
 WHAT A DAY!! BUY NOW!! IT IS FREE!!
 THE KEY!! THE TOKEN!! THE NAME!!
 Buy Now Save Big Free Delivery
+Sale Sale Sale Sale Sale Sale Sale Sale
+Chairs Chairs Chairs Chairs Chairs Chairs
+Hotel. Hotel. Hotel. Hotel. Hotel. Hotel. Hotel.
+Offers, Offers, Offers, Offers, Offers, Offers,
+Zurück. Zurück. Zurück. Zurück. Zurück.
+Garden Garden Garden
+cheap cheap cheap cheap cheap cheap
+News. News. News. News. News.
 On Monday The Paris Train Was Late
 Street Road Avenue Lane
 The The The The The
@@ -152,6 +160,15 @@ key key key key
 A road is a road. The Avenue is closed. Is it?
 From Here To There And Back Again
 She said: "The Street is not mine." Then she left.
+That is it. Nothing more was said by us. Everyone left.
+What is done is done. Tomorrow is another day. Sleep.
+He came by. Nobody saw him. It was at night. Then it rained.
+The reason is simple. Winter is cold. Summer is not.
+It is at the end. Winters are long. Books help by day.
+This was written by hand. Machines came later. Paper is patient.
+Das ist alles. Morgen ist Montag. Niemand kommt.
+C'est tout. Demain est lundi. Personne ne vient.
+Eso es todo. Mañana es lunes. Nadie viene.
 We walked along Station Road and past the Old Mill.
 Il est dans la rue avec la clé.
 La calle es de todos y el nombre es de ella.
