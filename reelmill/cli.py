@@ -194,7 +194,7 @@ def analyse(spark: SparkSession, args: argparse.Namespace) -> int:
     given = read(spark, args.frames)
 
     def fresh(misses: DataFrame) -> DataFrame:
-        made = analyse_clips(given.join(misses.select("clip_id"), "clip_id", "left_semi"), s["keyframes_per_clip"])
+        made = analyse_clips(given.join(misses.select("clip_id"), "clip_id", "left_semi"), s["keyframes_per_clip"], s["sample_frames"])
         rows = score_signals(made, s).withColumns({"keyframe_timestamps": F.to_json("keyframes"), "keyframe_reasons": F.array_join("keyframe_reasons", ";")})
         keep = [c for c in rows.columns if c not in ("keyframes",)]
         return misses.join(rows.select(*keep), "clip_id", "left").withColumn("signal_status", F.coalesce("signal_status", F.lit("FAILED")))

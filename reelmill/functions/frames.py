@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 SHARP, MOVING, MASK_STEP, BUSY_SHARE = 180.0, 42.0, 24, 0.015
 LEAST_REGION, MOST_REGION, SMALL_REGION, BORDER, CROWD = 0.0008, 0.35, 0.012, 2, 12.0
 
+#: So many frames of a clip are enough, however many were asked for.
+LEAST_FRAMES = 8
+
 SIGNALS = (
     "activity_score motion_variation_score brightness_score low_light_score visual_variation_score foreground_occupancy_score persistence_score "
     "object_count_estimate small_far_score occlusion_score boundary_edge_score blur_score crowded_score fast_motion_score"
@@ -163,13 +166,15 @@ def key_frames(frames: np.ndarray, count: int = 5) -> tuple[list[int], list[str]
     return order, ["+".join(why[i]) for i in order]
 
 
-def _each(keyframes: int):
+def _each(keyframes: int, wanted: int | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for r in pdf.itertuples():
                 try:
                     x = np.frombuffer(r.frames, np.uint8).reshape(r.n, r.height, r.width, 3)
+                    if wanted is not None and len(x) < min(LEAST_FRAMES, wanted):
+                        raise ValueError("too few frames were decoded")
                     at, why = key_frames(x, keyframes)
                     rows.append({"clip_id": r.clip_id, "signal_status": "COMPUTED", "keyframes": at, "keyframe_reasons": why, **analyse(x)})
                 except (ValueError, TypeError):  # one clip's bad frames are that clip's failure
@@ -182,7 +187,11 @@ def _each(keyframes: int):
     return run
 
 
-def analyse_clips(frames: DataFrame, keyframes: int = 5) -> DataFrame:
-    """Signals and key frames of clips given as (clip_id, frames binary, n, height, width)."""
+def analyse_clips(frames: DataFrame, keyframes: int = 5, wanted: int | None = None) -> DataFrame:
+    """Signals and key frames of clips given as (clip_id, frames binary, n, height, width).
+
+    Where so many frames were ``wanted`` of a clip, it needs as many, or LEAST_FRAMES if that is less; otherwise two. A clip
+    that can't be analysed is a FAILED row.
+    """
     schema = "clip_id string, signal_status string, " + ", ".join(f"{s} double" for s in SIGNALS) + ", visual_signature string, keyframes array<int>, keyframe_reasons array<string>"
-    return frames.select("clip_id", "frames", "n", "height", "width").mapInPandas(_each(keyframes), schema)
+    return frames.select("clip_id", "frames", "n", "height", "width").mapInPandas(_each(keyframes, wanted), schema)

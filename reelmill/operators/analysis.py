@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..settings import SELECTION, fingerprint
+from ..storage import stash
 from . import scoring, selection
 
 INHERITED = ("clip_id", "clip_path", "source_id", "source_video_id", "camera_id", "source_start_sec", "source_end_sec", "duration_sec", "fps", "width", "height", "codec", "sha256", "qc_status", "metadata_status")
@@ -53,7 +54,8 @@ def run_analysis(candidates: DataFrame, cache: DataFrame, analyse: Callable[[Dat
     hits, misses = selection.cache_split(plain, usable, now, tuple(names), must=required)
     hits = hits.select(*plain.columns, *[F.col(f"cached.{c}").alias(c) for c in names], F.lit("COMPUTED").alias("signal_status"), F.lit("cache").alias("origin"))
     new = analyse(misses).select(*plain.columns, *names, "signal_status", F.lit("new").alias("origin"))
-    rows = hits.unionByName(new).withColumns({"analysis_sha256": F.col("sha256"), "analysis_fingerprint": F.lit(now)})
+    # Written once: what was analysed is read several times below, and isn't analysed again.
+    rows = stash(hits.unionByName(new).withColumns({"analysis_sha256": F.col("sha256"), "analysis_fingerprint": F.lit(now)}), "analysed")
     done = rows.filter("signal_status = 'COMPUTED'")
     scored = scoring.source_rank(scoring.global_rank(scoring.candidate_scores(done, settings)))
     failed = rows.filter("signal_status != 'COMPUTED'").withColumns({c: F.lit(None).cast("double") for c in ("candidate_score", "diversity_score")})

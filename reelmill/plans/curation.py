@@ -51,7 +51,7 @@ def _probe() -> F.Column:
 
 
 _PROBE = """p AS (SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN 'unreadable' WHEN doc_id % 11 = 0 THEN 'no_video_stream' END AS reason,
-    CASE WHEN doc_id % 13 = 0 OR doc_id % 17 = 0 THEN NULL ELSE n_chars::DOUBLE END AS duration_sec, CASE WHEN doc_id % 13 = 0 OR doc_id % 11 = 0 THEN 0 ELSE doc_id % 640 END AS width,
+    CASE WHEN doc_id % 13 = 0 OR doc_id % 17 = 0 THEN NULL ELSE n_chars::DOUBLE END AS duration_sec, (CASE WHEN doc_id % 13 = 0 OR doc_id % 11 = 0 THEN 0 ELSE doc_id % 640 END)::INT AS width,
     CASE WHEN doc_id % 13 = 0 OR doc_id % 11 = 0 THEN 0.0::DOUBLE WHEN doc_id % 5 = 0 THEN 25.0::DOUBLE ELSE (doc_id % 5) * 6000 / 1001::DOUBLE END AS fps,
     CASE WHEN doc_id % 13 = 0 OR doc_id % 11 = 0 THEN NULL ELSE 'h' || doc_id % 7 END AS codec FROM documents)"""
 
@@ -817,16 +817,17 @@ def worked_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- analysis ---------------------------------------------------------------------------------------------------
 
 
-@query(f"WITH {V.SCORED} SELECT uid AS clip_id, CASE WHEN part % 3 = 0 THEN 'new' ELSE 'cache' END AS origin, row_number() OVER (ORDER BY event_likelihood_score DESC, uid) AS place FROM scored")
+@query(
+    """WITH s AS (SELECT vec_id::VARCHAR AS clip_id, vec_id % 3 AS part, round(least(1.0::DOUBLE, greatest(0.0::DOUBLE, (embedding[1]::DOUBLE + 1) / 2)), 6) AS score FROM embeddings)
+        SELECT clip_id, CASE WHEN part = 0 THEN 'new' ELSE 'cache' END AS origin, row_number() OVER (ORDER BY score DESC, clip_id) AS place FROM s"""
+)
 def incremental_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two of three clips come from the cache, the others are analysed; all are ranked together, here by their event score."""
-    from ..operators import scoring
+    from .queries import _pool
 
-    number = F.col("part")
-    scored = scoring.score_signals(V.signals(spark, sf_dir)).drop("clip_id").withColumnRenamed("uid", "clip_id")
-    scored = scored.withColumns({"sha256": F.lit("s"), "ordinal": number, "start_sec": F.lit(0.0), "end_sec": F.lit(1.0), "visual_signature": F.lit("f"), "keyframe_timestamps": F.lit("[]"), "keyframe_reasons": F.lit("[]")})
-    now = fingerprint(analysis.SELECTION)
-    cache = scored.withColumns({"signal_status": F.lit("COMPUTED"), "analysis_sha256": F.when(number % 3 == 0, "old").otherwise("s"), "analysis_fingerprint": F.lit(now)})
+    number = F.col("clip_id").cast("int")
+    scored = _pool(spark, sf_dir).withColumns({"sha256": F.lit("s"), "ordinal": number, "visual_signature": F.lit("f"), "keyframe_timestamps": F.lit("[]"), "keyframe_reasons": F.lit("[]")})
+    cache = scored.withColumns({"signal_status": F.lit("COMPUTED"), "analysis_sha256": F.when(number % 3 == 0, "old").otherwise("s"), "analysis_fingerprint": F.lit(fingerprint(analysis.SELECTION))})
     plain = scored.select("clip_id", "source_id", "sha256", "start_sec", "end_sec")
     out = analysis.run_analysis(plain, cache, lambda misses: misses.join(scored.drop("source_id", "sha256", "start_sec", "end_sec"), "clip_id").withColumn("signal_status", F.lit("COMPUTED")))
     return ranking.ranked(out.select("clip_id", "origin", "event_likelihood_score"), [F.desc("event_likelihood_score"), "clip_id"], "place").select("clip_id", "origin", "place")

@@ -77,14 +77,14 @@ def test_analyse_command(spark, tmp_path):
 
     from reelmill.operators.analysis import REQUIRED, SIGNALS
 
-    x = np.random.default_rng(0).integers(0, 255, (6, 16, 16, 3)).astype(np.uint8)
+    x = np.random.default_rng(0).integers(0, 255, (8, 16, 16, 3)).astype(np.uint8)
     candidates = spark.createDataFrame([(c, "s", "h", 0.0, 1.0) for c in "ab"], "clip_id string, source_id string, sha256 string, start_sec double, end_sec double")
     candidates.write.parquet(str(tmp_path / "candidates"))
-    spark.createDataFrame([("a", bytearray(x.tobytes()), 6, 16, 16), ("b", bytearray(b"x"), 6, 16, 16)], "clip_id string, frames binary, n int, height int, width int").write.parquet(str(tmp_path / "frames"))
+    spark.createDataFrame([("a", bytearray(x.tobytes()), 8, 16, 16), ("b", bytearray(x[:7].tobytes()), 7, 16, 16)], "clip_id string, frames binary, n int, height int, width int").write.parquet(str(tmp_path / "frames"))
     names = dict.fromkeys([*REQUIRED, *SIGNALS, "event_likelihood_level", "hardcase_tags", "signal_status", "analysis_sha256", "analysis_fingerprint"])
     spark.createDataFrame([], ", ".join(["clip_id string", "ordinal int", *(f"{n} {'double' if n.endswith('_score') else 'string'}" for n in names)])).write.parquet(str(tmp_path / "cache"))
     args = [f"--{n}={tmp_path / n}" for n in ("candidates", "cache", "frames")]
-    assert main(["analyse", *args, "--out", str(tmp_path / "out")], spark) == 1  # one clip's frames are broken
+    assert main(["analyse", *args, "--out", str(tmp_path / "out")], spark) == 1  # one clip has too few frames
     got = {r.clip_id: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got["a"].global_rank == 1 and got["a"].signal_status == "COMPUTED" and got["b"].signal_status == "FAILED"
 
