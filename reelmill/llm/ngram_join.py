@@ -32,17 +32,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import discard, kept_rows, stash, text_or_empty
+from .shared import discard, kept_rows, stash, text_or_empty, tidied
 from .words import U, Words, mix, shingle_sets, slices
 
 #: The block holds so many times the columns that a row's bound asks for, on average.
 BLOCK_SHARE = 1.3
 #: Further pivots are tried so many times, while the pairs between components are more than so many times the rows that have met.
 PIVOT_ROUNDS = 1
-PAIRS_PER_ROW = 16
+PAIRS_PER_ROW = 100
 #: Rows of a column that are held against each other at a time.
 BLOCK_ROWS = 4096
 SKETCH_BITS = 2048
+#: Pairs of rows whose sketches are compared at a time.
+PAIRS_AT_ONCE = 1 << 14
 #: Blocks of columns over which overlap counts are summed up.
 COLUMN_BLOCKS = 4
 #: A column with more rows is heavy: it is looked up in a broadcast table, so that its rows stay where they are.
@@ -131,8 +133,8 @@ def _possible(na: np.ndarray, nb: np.ndarray, sa: np.ndarray, sb: np.ndarray, nu
     """Row pairs that the sizes and the sketches don't rule out: linked rows differ in at most (na + nb)(den - num)/(den + num) columns."""
     keep = den * np.minimum(na, nb) >= num * np.maximum(na, nb)
     at = np.flatnonzero(keep)
-    for lo in range(0, len(at), 1 << 15):
-        i = at[lo : lo + (1 << 15)]
+    for lo in range(0, len(at), PAIRS_AT_ONCE):
+        i = at[lo : lo + PAIRS_AT_ONCE]
         apart = np.bitwise_count(sa[i] ^ sb[i]).sum(1, dtype=np.int64)
         keep[i] = apart * (den + num) <= (na[i] + nb[i]) * (den - num)
     return keep
@@ -172,7 +174,7 @@ def _block_pairs(num: int, den: int, forest: bool):
 
     def pairs(rows: dict[str, np.ndarray], lo: int, hi: int) -> np.ndarray:
         node, part, side, n, sk = (rows[k][lo:hi] for k in ("node", "component", "side", "n", "sketch"))
-        two_blocks = rows["i"][lo] != rows["j"][lo]
+        two_blocks, own = rows["i"][lo] != rows["j"][lo], rows["i"][lo]
         label = np.unique(part, return_inverse=True)[1].reshape(-1)
         root = np.arange(int(label.max()) + 1)
         found = []
@@ -180,18 +182,25 @@ def _block_pairs(num: int, den: int, forest: bool):
         for at in range(0, hi - lo, step):
             r = np.arange(at, min(at + step, hi - lo))[:, None]
             c = np.arange(hi - lo)[None]
-            maybe = (part[r] != part[c]) & ((side[r] < side[c]) if two_blocks else (r < c))
+            # A group that is no pair of blocks holds a class of sizes and the next one, whose own pairs are another group's.
+            maybe = (part[r] != part[c]) & ((side[r] < side[c]) if two_blocks else (r < c) & (np.minimum(side[r], side[c]) == own))
             maybe &= den * np.minimum(n[r], n[c]) >= num * np.maximum(n[r], n[c])
-            x, y = np.nonzero(maybe)
-            x = x + at
-            keep = _possible(n[x], n[y], sk[x], sk[y], num, den)
-            x, y = x[keep], y[keep]
-            if forest and len(x):
-                at_pairs = _joining(x, y, root, label)
-                x, y = x[at_pairs], y[at_pairs]
-            x, y = np.where(node[x] < node[y], x, y), np.where(node[x] < node[y], y, x)
-            found.append(np.stack((node[x], node[y], n[x], n[y]), 1))
-        return np.concatenate(found)
+            of_r, of_c = np.nonzero(maybe)
+            for k in range(0, len(of_r), PAIRS_AT_ONCE):
+                x, y = of_r[k : k + PAIRS_AT_ONCE] + at, of_c[k : k + PAIRS_AT_ONCE]
+                if forest:
+                    while ((up := root[root]) != root).any():
+                        root[:] = up
+                    apart = root[label[x]] != root[label[y]]
+                    x, y = x[apart], y[apart]
+                keep = _possible(n[x], n[y], sk[x], sk[y], num, den)
+                x, y = x[keep], y[keep]
+                if forest and len(x):
+                    at_pairs = _joining(x, y, root, label)
+                    x, y = x[at_pairs], y[at_pairs]
+                x, y = np.where(node[x] < node[y], x, y), np.where(node[x] < node[y], y, x)
+                found.append(np.stack((node[x], node[y], n[x], n[y]), 1))
+        return np.concatenate([np.zeros((0, 4), np.int64), *found])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -221,7 +230,7 @@ def _block_pairs(num: int, den: int, forest: bool):
 def _possible_pairs(pairs: DataFrame, light: DataFrame, num: int, den: int) -> DataFrame:
     """Of the pairs (a, b), those that sizes and sketches leave, with the sizes na and nb."""
     side = lambda x: light.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_prune(num, den), "a long, b long, na long, nb long")
+    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(tidied(_prune(num, den)), "a long, b long, na long, nb long")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num: int, den: int, name: str) -> DataFrame:
@@ -232,7 +241,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num:
     few = need.count() <= MOST_BROADCAST  # then no text is shuffled
     reps = need.select(F.col("rep").alias("_rep")).distinct()
     rows = texts.join(F.broadcast(reps) if few else reps, texts["doc_id"].eqNullSafe(F.col("_rep")), "left_semi").select("text")
-    blocks = rows.mapInArrow(_column_blocks(n), "n_shingles long, k1 long, k2 long, block int, cols array<long>")
+    blocks = rows.mapInArrow(tidied(_column_blocks(n)), "n_shingles long, k1 long, k2 long, block int, cols array<long>")
     # Other texts may have the ids of those that are needed, and the same text may stand on several rows.
     named = blocks.join(F.broadcast(need.drop("rep")) if few else need.drop("rep"), ["n_shingles", "k1", "k2"])
     grams = stash(named.groupBy("node", "block").agg(F.first("cols").alias("cols")), f"ngram-grams-{name}")
@@ -267,9 +276,9 @@ def _classes(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col:
     tagged = texts if tag is None else docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), tag.alias("tag"))
     key = "doc_id long, n_shingles long, k1 long, k2 long"
     same_set = ["n_shingles", "k1", "k2"]
-    marks = stash(tagged.mapInArrow(_marks(n), key if tag is None else f"{key}, tag binary"), "ngram-marks")
+    marks = stash(tagged.mapInArrow(tidied(_marks(n)), key if tag is None else f"{key}, tag binary"), "ngram-marks")
     # One row of columns for each set, whichever of its texts they come from.
-    sets = texts.mapInArrow(_columns(n, num, den), f"{key}, held array<long>, sketch binary").filter("n_shingles > 0").groupBy(*same_set)
+    sets = texts.mapInArrow(tidied(_columns(n, num, den)), f"{key}, held array<long>, sketch binary").filter("n_shingles > 0").groupBy(*same_set)
     sets = sets.agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("class_size"), F.first(F.struct("held", "sketch")).alias("s"))
     columns = stash(sets.select(F.monotonically_increasing_id().alias("node"), *same_set, "rep", "class_size", "s.held", "s.sketch"), "ngram-columns")
     classes = columns.drop("held", "sketch")
@@ -349,10 +358,13 @@ def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _several(members: DataFrame, part: DataFrame) -> DataFrame:
-    """(sig, node, component) of columns whose rows lie in more than one component."""
+    """(sig, node, component) of columns whose rows lie in more than one component, one column for each set of rows."""
     labelled = members.join(part, "node")
-    several = labelled.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n_rows")).filter("lo != hi")
-    return _of_column(labelled, stash(several.select("sig", "n_rows"), "ngram-several")).select("sig", "node", "component")
+    # Columns of a shared passage stand in the same rows: of columns with equal sets of rows one is enough.
+    same = [F.bit_xor(F.xxhash64(F.col("node"), F.lit(seed))).alias(f"x{seed}") for seed in (1, 2)]
+    several = labelled.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n_rows"), *same).filter("lo != hi")
+    one = several.groupBy("n_rows", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig", "n_rows")
+    return _of_column(labelled, stash(one, "ngram-several")).select("sig", "node", "component")
 
 
 def _sizes(open_lists: DataFrame) -> tuple[int, int]:
@@ -379,9 +391,9 @@ def _between(open_lists: DataFrame, light: DataFrame, num: int, den: int, forest
     blocks of about BLOCK_ROWS. Each pair of blocks of one class or of neighbours is one group: no task holds more than
     two blocks, and no pair is made before it has passed.
     """
-    sized = open_lists.join(light, "node")
+    sized = open_lists.join(light.select("node", "n"), "node")
     of_size = F.floor(F.log(F.col("n").cast("double")) / math.log(den / num * 1.0001)).cast("long") if num < den else F.col("n")
-    rows = stash(sized.select("sig", "node", "component", "n", "sketch", of_size.alias("size_class")), "ngram-sized")
+    rows = stash(sized.select("sig", "node", "component", "n", of_size.alias("size_class")), "ngram-sized")
     blocks = rows.groupBy("sig", "size_class").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"), F.count(F.lit(1)).alias("n"))
     # At most one entry for each size class, of which there are as many as logarithms of sizes.
     of_sig = stash(blocks.groupBy("sig").agg(F.map_from_entries(F.collect_list(F.struct("size_class", "blocks"))).alias("blocks"), F.sum("n").alias("n_rows")), "ngram-blocks")
@@ -389,11 +401,15 @@ def _between(open_lists: DataFrame, light: DataFrame, num: int, den: int, forest
     rows = _of_column(rows, of_sig)
     rows = rows.withColumn("side", block(F.col("size_class"), F.pmod(F.xxhash64("node"), F.col("blocks")[F.col("size_class")])))
     near = lambda d: F.when(F.map_contains_key("blocks", F.col("size_class") + d), F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks")[F.col("size_class") + d] - 1), lambda i: block(F.col("size_class") + d, i))).otherwise(F.array().cast("array<long>"))
-    rows = rows.withColumn("other", F.explode(F.concat(near(-1), near(0), near(1))))
-    full = rows.select("sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "component", "side", "n", "sketch")
+    # While each class is one block, a class and the next one are one group, and a row goes to two at most.
+    small = F.forall(F.map_values("blocks"), lambda b: b == 1)
+    rows = rows.withColumn("small", small).withColumn("other", F.explode(F.when(F.col("small"), F.concat(near(-1), near(0))).otherwise(F.concat(near(-1), near(0), near(1)))))
+    i, j = (F.when(F.col("small"), F.col("other")).otherwise(f("side", "other")) for f in (F.least, F.greatest))
+    # The sketches, most of the bytes, come last.
+    full = rows.select("sig", i.alias("i"), j.alias("j"), "node", "component", "side", "n").join(light.select("node", "sketch"), "node").select("sig", "i", "j", "node", "component", "side", "n", "sketch")
     parts = int(full.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_ = full.repartition(parts, "sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    return sorted_.mapInArrow(_block_pairs(num, den, forest), "a long, b long, na long, nb long").distinct()
+    return sorted_.mapInArrow(tidied(_block_pairs(num, den, forest)), "a long, b long, na long, nb long").distinct()
 
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
