@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_ids import byte_alphabet
+from .shared import tidied
 from .words import slices
 
 MODEL = public_tokenizers.path("word_bpe_49k.json")
@@ -251,6 +252,8 @@ class Parts:
 
 
 _parts: dict[str, Parts] = {}
+#: So much text is cut into words together.
+TOGETHER_BYTES = 1 << 20
 #: White space to Python that the vocabulary takes for marks.
 _SEPARATORS = re.compile("[\x1c-\x1f]").search
 
@@ -262,7 +265,7 @@ def _digests(model: str):
         known = _parts[model]
         sha = hashlib.sha256
         for batch in batches:
-            for lo, hi, data, offsets in slices(batch.column(1)):
+            for lo, hi, data, offsets in slices(batch.column(1), TOGETHER_BYTES):
                 flat = data.tobytes()
                 texts = [flat[offsets[i] : offsets[i + 1]].decode() for i in range(hi - lo)]
                 # White space of any kind ends a word, and none combines with what follows.
@@ -295,14 +298,14 @@ def bpe_encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text
     """(doc_id, ids): the token ids of every whole text. A null text counts as empty and has none."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     run = _map_column(model, lambda bpe, texts: bpe.encode([t or "" for t in texts]), pa.list_(pa.int32()))
-    return rows.mapInArrow(run, "doc_id long, out array<int>").withColumnRenamed("out", "ids")
+    return rows.mapInArrow(tidied(run), "doc_id long, out array<int>").withColumnRenamed("out", "ids")
 
 
 def bpe_decode(encoded: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, text) of token ids, special tokens shown; null ids are no ids, unknown ids are left out."""
     rows = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
     run = _map_column(model, lambda bpe, rows: [bpe.decode(r or []) for r in rows], pa.string())
-    return rows.mapInArrow(run, "doc_id long, out string").withColumnRenamed("out", "text")
+    return rows.mapInArrow(tidied(run), "doc_id long, out string").withColumnRenamed("out", "text")
 
 
 def bpe_digests(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -317,4 +320,4 @@ def bpe_digests(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", tex
     give a row; an empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_digests(model), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(tidied(_digests(model)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

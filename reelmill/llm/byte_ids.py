@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from functools import cached_property
 
 import numpy as np
 import tiktoken
@@ -67,9 +68,15 @@ class ByteIds:
         byte = byte_alphabet()
         ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in specials}
         self.encode = tiktoken.Encoding("byte-ids", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary
-        self.whole = Tokenizer.from_file(model)
-        self.whole.no_truncation()
-        self.whole.no_padding()
+        self.model = model
+
+    @cached_property
+    def whole(self) -> Tokenizer:
+        """The vocabulary's own tokenizer, made when a text asks for it."""
+        out = Tokenizer.from_file(self.model)
+        out.no_truncation()
+        out.no_padding()
+        return out
 
     def __call__(self, text: str, long: bool | None = None) -> bytes:
         """``long`` says whether the text may hold a long run; where nobody says, it is looked for."""

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stash
+from .shared import stash, tidied
 
 
 def _stars(edges: DataFrame, centre: str, leaf: str) -> DataFrame:
@@ -46,7 +46,7 @@ def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node each node reaches, for nodes that have an edge (a, b), a != b."""
     if edges.limit(ONE_TASK_EDGES + 1).count() <= ONE_TASK_EDGES:
-        return edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a != b").coalesce(1).mapInArrow(_union_find, "node long, component long")
+        return edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a != b").coalesce(1).mapInArrow(tidied(_union_find), "node long, component long")
     now = stash(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "edges")
     for _ in range(most_rounds):
         if _are_stars(now):

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import tidied
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -316,4 +318,4 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     row; an empty table gives no rows; other columns are ignored.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    return rows.mapInArrow(_texts, "page_id long, url string, text string, n_chars long")
+    return rows.mapInArrow(tidied(_texts), "page_id long, url string, text string, n_chars long")

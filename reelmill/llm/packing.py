@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_ids import ByteIds, long_runs
+from .shared import tidied
 from .words import slices
 
 MODEL = public_tokenizers.path("byte_bpe_50k.json")
@@ -163,4 +164,4 @@ def pack(docs: DataFrame, model: str = MODEL, end_id: int = 1, capacity: int = C
     repeat an id are packed each for itself; an empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_pack(lambda: ByteIds.of(model), end_id, capacity), ", ".join(f"{n} long" for n in NAMES))
+    return rows.mapInArrow(tidied(_pack(lambda: ByteIds.of(model), end_id, capacity)), ", ".join(f"{n} long" for n in NAMES))

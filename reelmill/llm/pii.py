@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .pii_table import LABELLED
+from .shared import tidied
 from .words import Words, slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -377,7 +378,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows that repeat an id each give a row; an empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_find(trained_field()), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long")
+    return rows.mapInArrow(tidied(_find(trained_field())), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long")
 
 
 def mask(text: str, base: dict[str, list[tuple[int, int]]], added: list[tuple[str, int, int]]) -> str:
@@ -417,5 +418,5 @@ def mask_pii(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars
     Defined cases: a null text stays null, and an empty one empty; a text without spans stays as it is; rows are judged
     each for itself, whatever their ids, and none goes; an empty table gives no rows; other columns may have any names.
     """
-    out = docs.mapInArrow(_mask(trained_field(), text_col), docs.schema)
+    out = docs.mapInArrow(tidied(_mask(trained_field(), text_col)), docs.schema)
     return out.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType)) if length_col in docs.columns else out

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import fold, sample_ids, texts_of
+from .shared import tidied
 from .words import SPACE, Words, slices
 
 FOLDS, HELD_OUT = 4, 2
@@ -179,7 +180,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> tupl
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("long").alias("label")).filter("doc_id is not null and label is not null")
     ids = sample_ids(known.filter(fold("doc_id", FOLDS) != HELD_OUT).groupBy("doc_id").agg(F.max("label").alias("label")), most, 3)  # one row for each id
-    got = texts_of(rows, ids).select("label", "text").mapInArrow(_vectors, "label long, vector binary").collect()
+    got = texts_of(rows, ids).select("label", "text").mapInArrow(tidied(_vectors), "label long, vector binary").collect()
     if not got:
         return None, 0.5
     got.sort(key=lambda r: (r[1], r[0]))  # the sums of a fit shouldn't depend on the order of tasks
@@ -201,5 +202,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -
     """
     model, share = train(docs, labels)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = rows.mapInArrow(_scores(model, share), "doc_id long, score double")
+    scored = rows.mapInArrow(tidied(_scores(model, share)), "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -2,14 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import discard, stash
 
-__all__ = ["discard", "kept_rows", "stash", "text_or_empty"]
+__all__ = ["discard", "kept_rows", "stash", "text_or_empty", "tidied"]
+
+ArrowMap = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidied(run: ArrowMap) -> ArrowMap:
+    """An Arrow map that gives freed memory back to the system after each partition: a worker that waits for its next task holds little."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass  # another C library keeps what it keeps
+
+    return whole
 
 
 #: Decisions on up to so many rows (about 50 bytes each) are broadcast; beyond it the rows are joined by a shuffle.

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import fold, sample_ids, texts_of
-from .shared import stash
+from .shared import stash, tidied
 from .words import U, Words, mix, slices
 
 #: Features are hashes of so many bits; only those found telling get a weight.
@@ -196,7 +196,7 @@ def _scores(model: Linear):
 def _count(texts: DataFrame, names: np.ndarray) -> tuple[np.ndarray, int]:
     """In how many texts each feature is, and how many texts there are."""
     u, n_u = np.zeros(len(names), np.int64), 0
-    for feature, n in texts.select("text").mapInArrow(_counts(Known(names)), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect():
+    for feature, n in texts.select("text").mapInArrow(tidied(_counts(Known(names))), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect():
         if feature < 0:
             n_u = n
         else:
@@ -226,7 +226,7 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE
     if not n_p:
         return nothing
     least = min(LEAST_TEXTS, max(2, n_p // 8))
-    counted = texts.select("text").mapInArrow(_features, "feature int").groupBy("feature").agg(F.count(F.lit(1)).alias("p")).filter(F.col("p") >= least)
+    counted = texts.select("text").mapInArrow(tidied(_features), "feature int").groupBy("feature").agg(F.count(F.lit(1)).alias("p")).filter(F.col("p") >= least)
     found = np.array([tuple(r) for r in counted.orderBy(F.desc("p"), "feature").limit(most_features).collect()], np.int64).reshape(-1, 2)
     found = found[np.argsort(found[:, 0])]
     names, p = found[:, 0].astype(np.int32), found[:, 1]
@@ -244,7 +244,7 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE
     kept = telling(p, u, n_p, n_u)
     prior = min(max(share, 1e-3), 0.9, mixture_share(p[kept], u[kept], n_p, n_u))
     sample = texts.select("positive", "text").unionByName(some.select("positive", "text"))
-    got = sample.mapInArrow(_rows_of(Known(names[kept])), "positive long, vector binary").collect()
+    got = sample.mapInArrow(tidied(_rows_of(Known(names[kept]))), "positive long, vector binary").collect()
     got.sort(key=lambda r: (-r[0], r[1]))  # the sums of a fit shouldn't depend on the order of tasks
     w, bias = fit_nnpu([np.frombuffer(r[1], np.int32) for r in got], n_p, int(kept.sum()), prior)
     return Linear(names[kept], w, bias)
@@ -261,7 +261,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, model: Linear | None = N
     """
     model = model or train(docs, labels)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = rows.mapInArrow(_scores(model), "doc_id long, score double")
+    scored = rows.mapInArrow(tidied(_scores(model)), "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -283,4 +283,4 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     other columns may have any names.
     """
     model = train(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), labels)
-    return docs.mapInArrow(_clean(model, text_col), docs.schema)
+    return docs.mapInArrow(tidied(_clean(model, text_col)), docs.schema)

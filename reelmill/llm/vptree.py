@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import stash
+from .shared import stash, tidied
 
 #: Rows of a shard, and queries that are searched in one go.
 SHARD_ROWS = 4096
@@ -355,7 +355,7 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, factor:
     sample = index.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MOST_SAMPLE).collect()
     trees = {w: CoarseTree(np.array([r.v for r in sample if r.width == w], float).reshape(-1, w), -(-n // SHARD_ROWS)) for w, n in sizes.items() if n > SHARD_ROWS}
     routed = "vec_id long, v array<double>, width int, leaf int, away array<double>"
-    dealt = stash(index.select("vec_id", "v", "width").mapInArrow(_routed(trees), routed), "routed")
+    dealt = stash(index.select("vec_id", "v", "width").mapInArrow(tidied(_routed(trees)), routed), "routed")
     subs = stash(dealt.groupBy("width", "leaf").agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("subs")), "leaves")
     in_sub = F.pmod(F.xxhash64("vec_id"), F.col("subs")).cast("int")
     shards = dealt.join(F.broadcast(subs), ["width", "leaf"]).withColumn("sub", in_sub)  # at most as many leaves as the sample has rows
@@ -368,7 +368,7 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, factor:
         trees[w].bound(leaf, [x for x, _ in b], [x for _, x in b])
     queries = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     queries = queries.withColumn("width", F.size("v")).select("vec_id", "v", "width")
-    home = stash(queries.mapInArrow(_routed(trees), routed).drop("away").join(F.broadcast(subs), ["width", "leaf"], "left").withColumn("sub", F.coalesce(in_sub, F.lit(0))), "queries")
+    home = stash(queries.mapInArrow(tidied(_routed(trees)), routed).drop("away").join(F.broadcast(subs), ["width", "leaf"], "left").withColumn("sub", F.coalesce(in_sub, F.lit(0))), "queries")
 
     def searched(asked: DataFrame) -> DataFrame:
         """What (vec_id, v, width, leaf, sub, reach) find in their shards."""
@@ -384,7 +384,7 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, factor:
     first = searched(home.select("vec_id", "v", "width", "leaf", "sub", F.lit(None).cast("double").alias("reach")))
     enough = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count(F.lit(1)) >= k, F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.min("score")))).alias("reach"))
     reached = home.join(enough, "vec_id", "left").select("vec_id", "v", "width", F.coalesce("reach", F.lit(float("inf"))).alias("reach"), F.col("leaf").alias("_leaf"), F.col("sub").alias("_sub"))
-    seen = reached.select("vec_id", "v", "width", "reach").mapInArrow(_visits(trees, factor), "vec_id long, v array<double>, width int, reach double, leaf int")
+    seen = reached.select("vec_id", "v", "width", "reach").mapInArrow(tidied(_visits(trees, factor)), "vec_id long, v array<double>, width int, reach double, leaf int")
     visits = seen.join(F.broadcast(subs), ["width", "leaf"]).withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1))).drop("subs")
     other = visits.join(reached.select("vec_id", F.col("_leaf").alias("leaf"), F.col("_sub").alias("sub")), ["vec_id", "leaf", "sub"], "left_anti")
     second = searched(other)

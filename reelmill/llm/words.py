@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 BYTE_VALUE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
