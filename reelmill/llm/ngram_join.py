@@ -15,7 +15,7 @@ The entries that are left are summed up over blocks of columns: each block adds
 both rows have in it, and a pair whose sum stays below num * (na + nb) / (num + den) is discarded.
 Rows that meet in a column are paired with one pivot row of it, not with each other: with the row that has the fewest
 columns of its own, since of near copies the one that was changed least is linked with most others. Only where the links
-found leave a column's rows in several components are more pairs looked at: with another pivot, and then, by size
+found leave a column's rows in several components are more pairs looked at: with further pivots, if asked for, and then, by size
 classes and blocks of rows, all between different components, so that no link is lost. Of these a block first gives
 only as many as would join its components if all were links, and the rest once those have been counted: of a thousand
 near copies that makes thousands of pairs, not a million.
@@ -37,8 +37,9 @@ from .words import U, Words, mix, shingle_sets, slices
 
 #: The block holds so many times the columns that a row's bound asks for, on average.
 BLOCK_SHARE = 1.3
-#: Further pivots are tried so many times, while the pairs between components are more than so many times the rows that have met.
-PIVOT_ROUNDS = 1
+#: Further pivots are tried so many times, while the pairs between components are more than so many times the rows that have
+#: met. Spanning pairs join more at once, so no round is spent on pivots by default.
+PIVOT_ROUNDS = 0
 PAIRS_PER_ROW = 100
 #: Rows of a column that are held against each other at a time.
 BLOCK_ROWS = 4096
