@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import attach
-from . import bpe, exact_dedup, html_text, ngram_join, packing, pii, quality, sharding, toxicity, vptree
+from . import bpe, exact_dedup, html_text, ngram_join, packing, piece_bpe, pii, quality, sharding, toxicity, vptree
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,8 +54,12 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_components(_table(spark, sf_dir, "documents"), n=3, num=90, den=100).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.piece_digests(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_exact_dedup, op2_bpe, op3_sharding, op4_toxicity, op5_pii, op6_html_text, op7_nearest, op8_quality, op9_packing, op10_ngram_join]
+    found = [op1_exact_dedup, op2_bpe, op3_sharding, op4_toxicity, op5_pii, op6_html_text, op7_nearest, op8_quality, op9_packing, op10_ngram_join, op11_pieces]
     return {f.__name__: f for f in found}
 
 
