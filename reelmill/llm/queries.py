@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import attach
-from . import bpe, exact_dedup, html_text, ngram_join, packing, piece_bpe, pii, quality, sharding, toxicity, vptree
+from . import annulus, block_max, bpe, exact_dedup, html_text, ngram_join, packing, piece_bpe, pii, quality, sharding, toxicity, vptree
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,8 +58,16 @@ def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.piece_digests(_table(spark, sf_dir, "documents"))
 
 
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annulus.cluster(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, salt=2)
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_max.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_exact_dedup, op2_bpe, op3_sharding, op4_toxicity, op5_pii, op6_html_text, op7_nearest, op8_quality, op9_packing, op10_ngram_join, op11_pieces]
+    found = [op1_exact_dedup, op2_bpe, op3_sharding, op4_toxicity, op5_pii, op6_html_text, op7_nearest, op8_quality, op9_packing, op10_ngram_join, op11_pieces, op12_clusters, op13_search]
     return {f.__name__: f for f in found}
 
 
@@ -80,4 +88,6 @@ def oracle_sql() -> dict[str, str]:
             r(id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT sym.b, r.c FROM r JOIN sym ON r.id = sym.a),
             c AS (SELECT id, min(c) AS component_id FROM r GROUP BY id)
             SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id FROM documents d LEFT JOIN n USING (doc_id) JOIN c ON c.id = d.doc_id""",
+        "op12_clusters": annulus.cluster_sql(),
+        "op13_search": block_max.search_sql(),
     }
