@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,64 +32,99 @@ def ranked(rows: DataFrame, order: list[str | Column], name: str) -> DataFrame:
     return placed.withColumn("_p", part).join(F.broadcast(before), "_p").withColumn(name, (inside + F.col("_before")).cast("long")).drop("_p", "_at", "_before")
 
 
-def exact_quantiles(rows: DataFrame, columns: list[str], fractions: list[float]) -> dict[str, list[float]]:
-    """Exact quantiles, with linear interpolation between neighbours, of several columns of finite doubles; NULLs don't count.
-
-    All columns are looked at together as (column, value) pairs. Each round counts the pairs in at most some thousand
-    ranges of values around the wanted places, narrows to the range that holds each place, and stops when a range is one value.
-    The counts are the only thing that is gathered: bounded by columns, fractions and ranges, whatever the number of rows.
-    """
-    spread = rows.agg(*[f(c).cast("double").alias(f"{f.__name__}_{i}") for i, c in enumerate(columns) for f in (F.min, F.max, F.count)]).first()
-    places: dict[tuple[int, int], tuple[float, float, int]] = {}  # (column, place) to its range and how many values come before
-    for i in range(len(columns)):
-        n = int(spread[f"count_{i}"])
-        for q in fractions:
-            at = q * (n - 1)
-            for k in {int(at), min(int(at) + 1, n - 1)} if n else ():
-                places[i, k] = (float(spread[f"min_{i}"]), float(spread[f"max_{i}"]), 0)
-    found = {key: lo for key, (lo, hi, _) in places.items() if lo == hi}
-    while len(found) < len(places):
-        open_ = sorted({(i, lo, hi) for (i, k), (lo, hi, _) in places.items() if (i, k) not in found})
-        counts = _counted(rows, columns, open_)
-        for key, (lo, hi, before) in list(places.items()):
-            if key in found:
-                continue
-            for low, high, n in counts[key[0], lo, hi]:
-                if before + n > key[1]:
-                    places[key] = (low, high, before)
-                    if low == high:
-                        found[key] = low
-                    break
-                before += n
-    out = {}
-    for i, c in enumerate(columns):
-        n = int(spread[f"count_{i}"])
-        values = []
-        for q in fractions:
-            at = q * (n - 1)
-            a, b = found.get((i, int(at))), found.get((i, min(int(at) + 1, n - 1)))
-            values.append(float("nan") if a is None else a + (b - a) * (at - int(at)))
-        out[c] = values
-    return out
+#: Rank error of the sketch is one part in so many; its size grows with it.
+ACCURACY = 10_000
+#: Distinct values that are gathered for one quantile, about; brackets that hold more are narrowed first.
+GATHER = 100_000
 
 
-RANGES = 512
+@dataclass
+class _Place:
+    """Where one quantile of one column lies: between two values, as far as is known."""
 
+    column: int
+    fraction: float
+    at: float = 0.0
+    lo: float = 0.0
+    hi: float = 0.0
+    within: int = 0  # rows in the bracket, at most, but for ties
 
-def _counted(rows: DataFrame, columns: list[str], ranges: list[tuple[int, float, float]]) -> dict[tuple[int, float, float], list[tuple[float, float, int]]]:
-    """For each (column, low, high) the least and greatest value and the count of each of its parts that has any, in order."""
+    def around(self, fraction: float) -> list[float]:
+        return [max(0.0, fraction - 4 / ACCURACY), min(1.0, fraction + 4 / ACCURACY)]
 
 
-    def part(g: int, x: Column, lo: float, hi: float) -> Column:
-        # Halved, so that no difference overflows. The least value is a part of its own, so every round narrows a range.
-        share = F.try_divide(x / 2 - F.lit(lo / 2), F.lit(hi / 2 - lo / 2))
-        b = F.when(x == lo, -1).otherwise(F.coalesce(F.least(F.lit(RANGES - 1), F.floor(share * RANGES)).cast("int"), F.lit(RANGES - 1)))
-        return F.when((x >= lo) & (x <= hi), F.struct(F.lit(g).alias("g"), b.alias("b"), x.alias("x")))
+def exact_quantiles(rows: DataFrame, columns: list[str], fractions: list[float]) -> dict[str, list[float]]:
+    """Exact quantiles, with linear interpolation between neighbours, of several columns of finite doubles; NULLs don't count.
 
-    parts = [part(g, F.col(columns[i]).cast("double"), lo, hi) for g, (i, lo, hi) in enumerate(ranges)]
-    pairs = rows.select(F.explode(F.filter(F.array(*parts), lambda p: p.isNotNull())).alias("p")).select("p.*")
-    counted = pairs.groupBy("g", "b").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n")).collect()
-    out: dict[tuple[int, float, float], list[tuple[float, float, int]]] = {r: [] for r in ranges}
-    for r in sorted(counted, key=lambda r: (r.g, r.b)):
-        out[ranges[r.g]].append((r.lo, r.hi, r.n))
+    One pass makes a mergeable sketch of every column, which brackets each wanted place between two values. A second counts
+    what lies below each bracket and gathers the distinct values inside with their counts: about eight parts in ACCURACY of
+    the rows at most, or all where there are at most ACCURACY. Where that is still too many, brackets are counted and sketched again from the inside first, which
+    makes them thousands of times narrower. A column without values has NaN.
+    """
+    x = [F.col(c).cast("double") for c in columns]
+    places = [_Place(i, q) for i in range(len(columns)) for q in fractions]
+    wanted = sorted({f for p in places for f in p.around(p.fraction)})
+    seen = rows.agg(*[f for i, c in enumerate(x) for f in (F.count(c).alias(f"n{i}"), F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}"), F.percentile_approx(c, wanted, F.lit(ACCURACY)).alias(f"q{i}"))]).first()
+    some = [p for p in places if seen[f"n{p.column}"]]
+    for p in some:
+        n = seen[f"n{p.column}"]
+        p.at = p.fraction * (n - 1)
+        low, high = p.around(p.fraction)
+        # A sketch of few rows is exact, but its ranks may be off by one.
+        p.lo = seen[f"l{p.column}"] if low == 0 or n <= ACCURACY else seen[f"q{p.column}"][wanted.index(low)]
+        p.hi = seen[f"h{p.column}"] if high == 1 or n <= ACCURACY else seen[f"q{p.column}"][wanted.index(high)]
+        p.within = 8 * n // ACCURACY
+    while narrow := [p for p in some if p.within > GATHER and p.lo < p.hi]:
+        _narrow(rows, x, narrow)
+    held = _gathered(rows, x, some)
+    out: dict[str, list[float]] = {}
+    for p in places:
+        values = out.setdefault(columns[p.column], [])
+        values.append(_value(p, held[p.column, p.fraction]) if seen[f"n{p.column}"] else float("nan"))
     return out
+
+
+def _inside(x: Column, p: _Place) -> Column:
+    return (x >= F.lit(p.lo)) & (x <= F.lit(p.hi))
+
+
+def _narrow(rows: DataFrame, x: list[Column], places: list[_Place]) -> None:
+    """Count what is below and inside each bracket, then bring the bracket down by a sketch of its inside."""
+    counts = rows.agg(*[f for i, p in enumerate(places) for f in (F.count_if(x[p.column] < F.lit(p.lo)).alias(f"b{i}"), F.count_if(_inside(x[p.column], p)).alias(f"n{i}"))]).first()
+    sides = [p.around((p.at - counts[f"b{i}"]) / max(1, counts[f"n{i}"] - 1)) for i, p in enumerate(places)]
+    seen = rows.agg(*[F.percentile_approx(F.when(_inside(x[p.column], p), x[p.column]), side, F.lit(ACCURACY)).alias(f"q{i}") for i, (p, side) in enumerate(zip(places, sides, strict=True))]).first()
+    for i, (p, side) in enumerate(zip(places, sides, strict=True)):
+        low, high = seen[f"q{i}"]
+        p.lo, p.hi = p.lo if side[0] == 0 else low, p.hi if side[1] == 1 else high
+        p.within = 8 * counts[f"n{i}"] // ACCURACY
+
+
+def _gathered(rows: DataFrame, x: list[Column], places: list[_Place]) -> dict[tuple[int, float], list[tuple[float | None, int]]]:
+    """Of each bracket the values inside and their counts, in order; what lies below is counted under None, first."""
+    held: dict[tuple[int, float], list] = {(p.column, p.fraction): [] for p in places}
+    if not places:
+        return held
+    value = lambda p: F.when(_inside(x[p.column], p), x[p.column])
+    below = lambda p: x[p.column] <= F.lit(p.hi)  # noqa: E731  what is above counts nowhere
+    flat = rows.select(F.stack(F.lit(len(places)), *[c for i, p in enumerate(places) for c in (F.when(below(p), F.lit(i)), value(p))]).alias("p", "x"))
+    for r in flat.filter("p is not null").groupBy("p", "x").agg(F.count(F.lit(1)).alias("n")).collect():
+        held[places[r.p].column, places[r.p].fraction].append((r.x, r.n))
+    for found in held.values():
+        found.sort(key=lambda v: (v[0] is not None, v[0] or 0.0))
+    return held
+
+
+def _value(p: _Place, found: list[tuple[float | None, int]]) -> float:
+    """The value at a place, between its two neighbours in order."""
+    first = int(p.at)
+    got: list[float] = []
+    before = 0
+    for v, n in found:
+        for k in range(max(0, before - first), 2):
+            if v is not None and before <= first + k < before + n:
+                got.append(v)
+        before += n
+    # The last place has no neighbour above.
+    if not got or (len(got) == 1 and p.at > first):
+        raise ArithmeticError("the sketch is less accurate than it says")
+    return got[0] if len(got) == 1 else got[0] + (got[1] - got[0]) * (p.at - first)

@@ -23,15 +23,24 @@ class Rule:
 
 
 def apply_rules(rows: DataFrame, rules: list[Rule], keys: list[str]) -> DataFrame:
-    """Issues of every row: keys, seq (the rule's place), severity, code, field, details."""
+    """Issues of every row: keys, seq (the rule's place), severity, code, field, details.
+
+    A row's conditions are one number, a bit for each rule, in generated code; only rows with a bit set are taken apart.
+    """
+    if len(rules) > 62:
+        raise ValueError("at most 62 rules at a time")
+    mask = F.lit(0).cast("bigint")
+    for i, r in enumerate(rules):
+        mask = mask + F.when(r.when, F.lit(1 << i)).otherwise(F.lit(0).cast("bigint"))
+    held = rows.withColumn("_rules", mask).filter("_rules != 0")
     made = [
         F.when(
-            F.coalesce(r.when, F.lit(False)),
+            F.col("_rules").bitwiseAND(F.lit(1 << i)) != 0,
             F.struct(F.lit(i).alias("seq"), F.lit(r.severity).alias("severity"), F.lit(r.code).alias("code"), F.lit(r.field).alias("field"), (r.details if r.details is not None else F.lit("")).alias("details")),
         )
         for i, r in enumerate(rules)
     ]
-    return rows.select(*keys, F.explode(F.filter(F.array(*made), lambda x: x.isNotNull())).alias("_i")).select(*keys, "_i.*")
+    return held.select(*keys, F.explode(F.array_compact(F.array(*made))).alias("_i")).select(*keys, "_i.*")
 
 
 def severity_rank(severity: Column | str) -> Column:
@@ -71,22 +80,29 @@ def ordered_issues(issues: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def technical_rules(min_sec: float = 30, max_sec: float = 180, frame_sec: float = 1.0, frame_ratio: float = 0.02) -> list[Rule]:
-    """Over clips with duration_sec, fps, frame_count, width, height and the outcome of probe and decode."""
-    d, fps, n = F.col("duration_sec"), F.col("fps"), F.col("frame_count")
+    """Over clips with duration_sec, fps, frame_count, width, height and the outcome of probe and decode.
+
+    An unreadable clip has nothing to look at: it is corrupted and can't be decoded, whatever its other columns say. Figures
+    that are no finite numbers count as unknown. An unknown frame count is no fault, a negative duration is an anomaly too.
+    """
+    known = lambda c: F.when(F.abs(F.col(c)) < float("inf"), F.col(c))
+    said = lambda c: F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("''")))
+    d, fps, n, width, height = (known(c) for c in ("duration_sec", "fps", "frame_count", "width", "height"))
+    read = F.coalesce("readable", F.lit(False))
     implied = n / F.nullif(fps, F.lit(0.0))
     gap = F.abs(d - implied)
     return [
         Rule("CHECKSUM_MISMATCH", "FAIL", (F.col("expected_sha256") != "") & (F.col("expected_sha256") != F.col("sha256"))),
-        Rule("FILE_CORRUPTED", "FAIL", ~F.col("readable")),
-        Rule("DECODE_ERROR", "FAIL", F.col("decode_errors") > 0),
-        Rule("METADATA_FALLBACK", "WARNING", F.col("metadata_source") == "fallback"),
-        Rule("INVALID_DURATION", "FAIL", F.col("readable") & (d.isNull() | (d <= 0))),
-        Rule("INVALID_FPS", "FAIL", F.col("readable") & (fps.isNull() | (fps <= 0))),
-        Rule("INVALID_RESOLUTION", "FAIL", F.col("readable") & (F.coalesce("width", F.lit(0)) <= 0) | (F.coalesce("height", F.lit(0)) <= 0)),
-        Rule("INVALID_FRAME_COUNT", "FAIL", F.col("readable") & (n.isNull() | (n <= 0))),
-        Rule("DECODE_FALLBACK", "WARNING", F.col("decode_source") == "fallback"),
-        Rule("DURATION_ANOMALY", "WARNING", (d > 0) & ((d < min_sec) | (d > max_sec)), F.format_string("duration_sec=%.3f", d)),
-        Rule("FRAME_COUNT_MISMATCH", "WARNING", (d > 0) & (fps > 0) & (n > 0) & (gap > F.greatest(F.lit(frame_sec), d * frame_ratio)), F.format_string("difference=%.3fs", gap)),
+        Rule("FILE_CORRUPTED", "FAIL", ~read),
+        Rule("METADATA_FALLBACK", "WARNING", read & (F.col("metadata_source") == "fallback")),
+        Rule("INVALID_DURATION", "FAIL", read & (d.isNull() | (d <= 0)), said("duration_sec")),
+        Rule("INVALID_FPS", "FAIL", read & (fps.isNull() | (fps <= 0)), said("fps")),
+        Rule("INVALID_RESOLUTION", "FAIL", read & ((F.coalesce(width, F.lit(0)) <= 0) | (F.coalesce(height, F.lit(0)) <= 0)), F.concat(said("width"), F.lit(", "), said("height"))),
+        Rule("INVALID_FRAME_COUNT", "FAIL", read & (n <= 0), said("frame_count")),
+        Rule("DECODE_FALLBACK", "WARNING", read & (F.col("decode_source") == "fallback")),
+        Rule("DECODE_ERROR", "FAIL", ~read | (F.col("decode_errors") > 0)),
+        Rule("DURATION_ANOMALY", "WARNING", read & (d != 0) & ((d < min_sec) | (d > max_sec)), F.format_string(f"duration_sec=%.3f is outside [{min_sec:g}, {max_sec:g}]", d)),
+        Rule("FRAME_COUNT_MISMATCH", "WARNING", read & (d != 0) & (fps != 0) & (n > 0) & (gap > F.greatest(F.lit(frame_sec), d * frame_ratio)), F.format_string("duration=%.3fs, frame_count/fps=%.3fs, difference=%.3fs", d, implied, gap)),
     ]
 
 

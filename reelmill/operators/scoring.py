@@ -40,8 +40,8 @@ def score_signals(rows: DataFrame, settings: dict[str, Any] = SELECTION) -> Data
 def with_diversity(rows: DataFrame, features: tuple[str, ...] = FEATURES, floor: float = 0.05) -> DataFrame:
     """``diversity``: the mean over features of the distance from the median, in robust units, up to one.
 
-    Medians and then the third quartiles of the distances are exact and global. They are found by counting in ranges of
-    values, so no task gathers the values of a feature, and enter the plan as numbers.
+    Medians and then the third quartiles of the distances are exact and global, each from a sketch and one more pass, so no
+    task gathers the values of a feature; they enter the plan as numbers.
     """
     values = rows.select(*[S.number_or(f).alias(f) for f in features])
     medians = exact_quantiles(values, list(features), [0.5])

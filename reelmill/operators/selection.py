@@ -2,123 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from typing import Any
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..settings import SELECTION
 from . import scoring
+from .pool import SelectionError, choose
 
 IDENTITY = ("clip_id", "source_id", "start_sec", "end_sec", "sha256")
 
 
-class SelectionError(ValueError):
-    pass
-
-
-class _Pool:
-    """Candidates as arrays, and for each the state that the choices so far have left it in.
-
-    A choice changes the state by one comparison with each candidate, so a pool of k costs k passes.
-    """
-
-    def __init__(self, table: pd.DataFrame, settings: dict[str, Any]):
-        self.s, self.ids = settings, table["clip_id"].to_numpy()
-        self.score = table["candidate_score"].to_numpy(float)
-        self.features = table[list(scoring.FEATURES)].fillna(0.0).to_numpy(float)
-        self.signature = table["signature"].to_numpy(np.int64).view(np.uint64)
-        self.source = table["source_id"].astype(str).to_numpy()
-        self.start, self.end = table["start_sec"].to_numpy(float), table["end_sec"].to_numpy(float)
-        n = len(table)
-        self.chosen = np.zeros(n, bool)
-        self.redundant = np.zeros(n, bool)
-        self.novelty, self.similar, self.adjacent = np.full(n, np.inf), np.zeros(n), np.zeros(n, bool)
-        self.order = np.argsort(self.ids, kind="stable")
-        self.picks: list[int] = []
-
-    def utility(self) -> np.ndarray:
-        if not self.picks:
-            return self.score
-        return 0.68 * self.score + 0.24 * self.novelty + 0.08 * (1 - self.similar) - 0.08 * self.adjacent
-
-    def pick(self, allowed: np.ndarray) -> bool:
-        """The allowed candidate of most use that isn't redundant, else the best redundant one; ties to smaller ids."""
-        free = allowed & ~self.chosen
-        for among in (free & ~self.redundant, free):
-            if among.any():
-                use = np.where(among, self.utility(), -np.inf)[self.order]
-                self._take(int(self.order[int(use.argmax())]))
-                return True
-        return False
-
-    def _take(self, i: int) -> None:
-        self.chosen[i] = True
-        self.picks.append(i)
-        distance = np.sqrt(((self.features - self.features[i]) ** 2).sum(1) / self.features.shape[1])
-        similar = 1 - np.bitwise_count(self.signature ^ self.signature[i]) / 64.0
-        same = self.source == self.source[i]
-        near = same & (np.maximum(0, np.maximum(self.start, self.start[i]) - np.minimum(self.end, self.end[i])) <= self.s["temporal_adjacency_sec"])
-        self.novelty = np.minimum(self.novelty, distance)
-        self.similar = np.maximum(self.similar, similar)
-        self.adjacent |= near
-        self.redundant |= same & (similar >= self.s["content_similarity_threshold"]) | near & (similar >= self.s["adjacent_similarity_threshold"])
-
-
-def choose(table: pd.DataFrame, quotas: dict[str, int], settings: dict[str, Any]) -> list[str]:
-    """Ids in the order they were chosen: reserves for hard, normal and each level, then each source's quota, then the rest."""
-    pool, target = _Pool(table, settings), int(settings["candidate_pool_size"])
-    hard = table["hardcase_tags"].fillna("").to_numpy() != ""
-    level = table["event_likelihood_level"].to_numpy()
-    quota = np.array([quotas[s] for s in pool.source])
-
-    def open_sources() -> np.ndarray:
-        names, counts = np.unique(pool.source[pool.chosen], return_counts=True)
-        have = dict(zip(names, counts, strict=True))
-        return np.array([have.get(s, 0) for s in pool.source]) < quota
-
-    def reserve(kind: np.ndarray, wanted: int) -> None:
-        wanted = min(int(wanted), int(kind.sum()))
-        while int((kind & pool.chosen).sum()) < wanted and pool.pick(kind & open_sources()):
-            pass
-
-    reserve(hard, settings["selected_hardcase_minimum"])
-    reserve(~hard, settings["selected_normal_minimum"])
-    for name in ("LOW", "MEDIUM", "HIGH"):
-        reserve(level == name, settings["selection_level_minimums"][name])
-    for source in sorted(quotas):
-        mine = pool.source == source
-        while int((mine & pool.chosen).sum()) < quotas[source]:
-            if not pool.pick(mine):
-                raise SelectionError(f"the quota of {source} can't be met")
-    if len(pool.picks) > target:
-        raise SelectionError("the constraints overfill the pool")
-    while len(pool.picks) < target:
-        if not pool.pick(open_sources()):
-            raise SelectionError("the pool can't be filled")
-    return [pool.ids[i] for i in pool.picks]
-
-
 def select_pool(rows: DataFrame, settings: dict[str, Any] = SELECTION) -> DataFrame:
     """clip_id, source_id, candidate_score, pick_number, selection_status, manual_review_status and reason of every row.
 
-    Each choice depends on all before it, so the candidates (some 100 bytes each) are one group, in one task;
-    the scores, ranks and quotas that feed it, and everything after it, are not.
+    Each choice depends on all before it, but no task or driver holds the candidates: see ``pool``. What comes back is at most
+    120 ids, which are joined to the rows. Rows whose source is null are never chosen.
     """
-    if not 100 <= int(settings["candidate_pool_size"]) <= 120:
+    size = int(settings["candidate_pool_size"])
+    if not 100 <= size <= 120:
         raise SelectionError("candidate_pool_size must be between 100 and 120")
-    computed = rows.filter("signal_status = 'COMPUTED'")
-    quotas = scoring.source_quotas(computed.groupBy("source_id").agg(F.count(F.lit(1)).alias("n")), int(settings["candidate_pool_size"]), int(settings["source_minimum"]), float(settings["source_maximum_fraction"]))
-    columns = ["clip_id", "source_id", "start_sec", "end_sec", "candidate_score", "signature", "hardcase_tags", "event_likelihood_level", *scoring.FEATURES]
-    ready = computed.join(quotas.select("source_id", "quota"), "source_id").select(*dict.fromkeys(columns), "quota", F.lit(1).alias("_g"))
-    picked = ready.groupBy("_g").applyInPandas(_chooser(settings), "clip_id string, pick_number int")
+    computed = rows.filter("signal_status = 'COMPUTED' and source_id is not null")
+    quotas = scoring.source_quotas(computed.groupBy("source_id").agg(F.count(F.lit(1)).alias("n")), size, int(settings["source_minimum"]), float(settings["source_maximum_fraction"]))
+    seats, candidates = quotas.agg(F.coalesce(F.sum("quota"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if candidates < size:
+        raise SelectionError("not enough analysed candidates")
+    if seats > size:
+        raise SelectionError("the constraints overfill the pool")
+    # At most as many sources as the pool has seats.
+    ids, _ = choose(computed, {r.source_id: r.quota for r in quotas.filter("quota > 0").select("source_id", "quota").collect()}, settings)
+    picked = rows.sparkSession.createDataFrame([(c, i) for i, c in enumerate(ids, 1)], "clip_id string, pick_number int")
     tags = F.coalesce(F.nullif("hardcase_tags", F.lit("")), F.lit("NORMAL_CASE"))
     reason = F.concat(F.lit("source_coverage="), "source_id", F.lit("; event_likelihood="), "event_likelihood_level", F.lit("; hardcase="), tags, F.lit("; diversity_aware_rank; selection_signal_only_not_ground_truth"))
     taken = F.col("pick_number").isNotNull()
-    return rows.join(picked, "clip_id", "left").select(
+    return rows.join(F.broadcast(picked), "clip_id", "left").select(
         "clip_id",
         "source_id",
         "candidate_score",
@@ -130,17 +48,6 @@ def select_pool(rows: DataFrame, settings: dict[str, Any] = SELECTION) -> DataFr
     )
 
 
-def _chooser(settings: dict[str, Any]) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def run(table: pd.DataFrame) -> pd.DataFrame:
-        if len(table) < int(settings["candidate_pool_size"]):
-            raise SelectionError("not enough analysed candidates")
-        quotas = dict(zip(table["source_id"].astype(str), table["quota"].astype(int), strict=True))
-        ids = choose(table, quotas, settings)
-        return pd.DataFrame({"clip_id": ids, "pick_number": np.arange(1, len(ids) + 1, dtype=np.int32)})
-
-    return run
-
-
 def cache_split(candidates: DataFrame, cache: DataFrame, fingerprint: str, fields: tuple[str, ...], must: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame]:
     """(hits with the cached fields, misses): an entry counts if id, content and settings agree and all fields it must have are there.
 

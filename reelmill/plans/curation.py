@@ -833,7 +833,9 @@ def incremental_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.ranked(out.select("clip_id", "origin", "event_likelihood_score"), [F.desc("event_likelihood_score"), "clip_id"], "place").select("clip_id", "origin", "place")
 
 
-@query()
+@query(
+    f"""{V.CHOICES} SELECT clip_id, CASE WHEN taken THEN 'REVIEW_POOL' ELSE 'NOT_SELECTED' END AS selection_status, CASE WHEN taken THEN 'REVIEWED' ELSE '' END AS manual_review_status, CASE WHEN taken THEN 'KEEP' ELSE '' END AS manual_review_label, redundant AND NOT taken AS redundant FROM chosen"""
+)
 def review_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pool with earlier reviews, and rows that a chosen one makes redundant; a greedy choice is no SQL, the tests hold it against a plain loop."""
     from .queries import SELECTION, _pool

@@ -235,6 +235,35 @@ def severity_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.roll_up(rows.select("id"), found, "id")
 
 
+_FIGURES = """figures AS (SELECT l_orderkey || '-' || l_linenumber AS clip_id, l_orderkey * 7 + l_linenumber AS n FROM lineitem),
+    clips AS (SELECT clip_id, CASE n % 11 WHEN 0 THEN NULL WHEN 1 THEN -5.0 WHEN 2 THEN 0.0 WHEN 3 THEN 29.999 WHEN 4 THEN 30.0 WHEN 5 THEN 180.0 WHEN 6 THEN 180.001 ELSE 120.0 END::DOUBLE AS d, CASE n % 13 WHEN 0 THEN NULL WHEN 1 THEN 0.0 WHEN 2 THEN -25.0 ELSE 25.0 END::DOUBLE AS fps,
+    CASE n % 7 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN -3 WHEN 3 THEN 3060 WHEN 4 THEN 3061 ELSE 3000 END AS frames, CASE n % 17 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE 1920 END AS w, CASE n % 19 WHEN 0 THEN NULL WHEN 1 THEN -1 ELSE 1080 END AS h,
+    CASE n % 23 WHEN 0 THEN false WHEN 1 THEN NULL ELSE true END AS readable, CASE n % 29 WHEN 0 THEN 2 WHEN 1 THEN NULL ELSE 0 END AS errors, n % 31 = 0 AS guessed, n % 37 = 0 AS patched, n % 41 = 0 AS other FROM figures)"""
+
+
+@query(
+    f"""WITH {_FIGURES}, head AS (SELECT *, coalesce(readable, false) AS ok, abs(d - frames / fps) AS gap FROM clips),
+        said AS (SELECT clip_id, list_filter(CASE WHEN NOT ok THEN [CASE WHEN other THEN 'CHECKSUM_MISMATCH: ' END, 'FILE_CORRUPTED: ', 'DECODE_ERROR: '] ELSE [
+            CASE WHEN other THEN 'CHECKSUM_MISMATCH: ' END, CASE WHEN guessed THEN 'METADATA_FALLBACK: ' END,
+            CASE WHEN d IS NULL THEN 'INVALID_DURATION: duration_sec=''''' WHEN d <= 0 THEN 'INVALID_DURATION: duration_sec=' || d END, CASE WHEN fps IS NULL THEN 'INVALID_FPS: fps=''''' WHEN fps <= 0 THEN 'INVALID_FPS: fps=' || fps END,
+            CASE WHEN w IS NULL OR h IS NULL OR w <= 0 OR h <= 0 THEN 'INVALID_RESOLUTION: width=' || coalesce(w::VARCHAR, '''''') || ', height=' || coalesce(h::VARCHAR, '''''') END,
+            CASE WHEN frames IS NOT NULL AND frames <= 0 THEN 'INVALID_FRAME_COUNT: frame_count=' || frames END, CASE WHEN patched THEN 'DECODE_FALLBACK: ' END, CASE WHEN errors > 0 THEN 'DECODE_ERROR: ' END,
+            CASE WHEN d IS NOT NULL AND d <> 0 AND (d < 30 OR d > 180) THEN printf('DURATION_ANOMALY: duration_sec=%.3f is outside [30, 180]', d) END,
+            CASE WHEN d IS NOT NULL AND d <> 0 AND fps IS NOT NULL AND fps <> 0 AND frames > 0 AND gap > greatest(1.0::DOUBLE, d * 0.02::DOUBLE) THEN printf('FRAME_COUNT_MISMATCH: duration=%.3fs, frame_count/fps=%.3fs, difference=%.3fs', d, frames / fps, gap) END] END, lambda x: x IS NOT NULL) AS notes FROM head)
+        SELECT clip_id, CASE WHEN len(list_filter(notes, lambda x: NOT regexp_matches(x, '^(METADATA_FALLBACK|DECODE_FALLBACK|DURATION_ANOMALY|FRAME_COUNT_MISMATCH):'))) > 0 THEN 'FAIL' WHEN len(notes) > 0 THEN 'WARNING' ELSE 'PASS' END AS status, array_to_string(notes, '; ') AS notes FROM said"""
+)
+def technical_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as clips whose figures lie at the edges of every technical rule."""
+    n = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    one_of = lambda by, values, other, kind: F.element_at(F.array(*[F.lit(x).cast(kind) for x in [*values, other]]), F.least(n % by, F.lit(len(values))).cast("int") + 1)
+    x = V.table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("clip_id"), one_of(11, [None, -5.0, 0.0, 29.999, 30.0, 180.0, 180.001], 120.0, "double").alias("duration_sec"), one_of(13, [None, 0.0, -25.0], 25.0, "double").alias("fps"),
+        one_of(7, [None, 0, -3, 3060, 3061], 3000, "int").alias("frame_count"), one_of(17, [None, 0], 1920, "int").alias("width"), one_of(19, [None, -1], 1080, "int").alias("height"), one_of(23, [False, None], True, "boolean").alias("readable"),
+        one_of(29, [2, None], 0, "int").alias("decode_errors"), one_of(31, ["fallback", None], "probe", "string").alias("metadata_source"), one_of(37, ["fallback", None], "probe", "string").alias("decode_source"), one_of(41, ["other", None, ""], "same", "string").alias("expected_sha256"), F.lit("same").alias("sha256"),
+    )
+    return rules.roll_up(x.select("clip_id"), rules.apply_rules(x, rules.technical_rules(), ["clip_id"]), "clip_id")
+
+
 @query(
     f"""WITH {_LINE_RULES}, o AS (SELECT o_orderkey, CASE WHEN o_totalprice > 400000 THEN 2 WHEN o_orderstatus = 'P' THEN 1 END AS r, CASE WHEN o_totalprice > 400000 THEN 'DEAR: ' || o_orderstatus WHEN o_orderstatus = 'P' THEN 'PENDING: P' END AS t FROM orders)
         SELECT id, CASE greatest(s.r, coalesce(o.r, 0)) WHEN 2 THEN 'FAIL' WHEN 1 THEN 'WARNING' ELSE 'PASS' END AS status, concat_ws('; ', nullif(notes, ''), o.t) AS notes FROM lines s LEFT JOIN o ON s.l_orderkey = o.o_orderkey"""
@@ -395,9 +424,13 @@ def _pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.candidate_scores(rows).withColumn("event_likelihood_level", level).withColumn("hardcase_tags", F.when(F.col("clip_id").cast("int") % 3 == 0, "BLUR").otherwise(""))
 
 
-@query()
+@query(
+    f"""{V.CHOICES} SELECT clip_id, source_id, score AS candidate_score, coalesce(pick, 0)::INT AS pick_number, CASE WHEN taken THEN 'YES' ELSE 'NO' END AS recommended_for_shortlist, CASE WHEN taken THEN 'REVIEW_POOL' ELSE 'NOT_SELECTED' END AS selection_status, CASE WHEN taken THEN 'PENDING' ELSE '' END AS manual_review_status,
+        CASE WHEN taken THEN 'source_coverage=' || source_id || '; event_likelihood=' || list_extract(['LOW', 'MEDIUM', 'HIGH'], (lev + 1)::INT) || '; hardcase=' || CASE WHEN hard THEN 'BLUR' ELSE 'NORMAL_CASE' END || '; diversity_aware_rank; selection_signal_only_not_ground_truth' ELSE '' END AS selection_reason FROM chosen"""
+)
 def greedy_shortlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selection.select_pool(_pool(spark, sf_dir), SELECTION | {"source_minimum": 5})
+    """The pool with the number of each choice; 0 is no choice."""
+    return selection.select_pool(_pool(spark, sf_dir), SELECTION | {"source_minimum": 5}).withColumn("pick_number", F.coalesce("pick_number", F.lit(0)))
 
 
 @query(

@@ -149,3 +149,44 @@ JOBS = f"""jobs AS (SELECT event_id AS id, user_id::VARCHAR AS video_id, {sql_pi
 DESIRED = """CASE WHEN local_status IN ('QUEUED', 'DOWNLOADING', 'RECORDING', 'VALIDATING') OR live_status = 'is_upcoming' THEN NULL WHEN live_status = 'is_live' THEN CASE WHEN local_status != 'COMPLETED' THEN 'LIVE_RECORD' END
     WHEN live_status = 'was_live' AND capture_complete = 0 THEN 'REPLAY_RECOVERY' WHEN live_status = 'was_live' THEN CASE WHEN local_status != 'COMPLETED' THEN 'REPLAY_RECOVERY' END WHEN live_status = 'not_live' AND local_status != 'COMPLETED' THEN 'VOD_DOWNLOAD' END"""
 MAY_QUEUE = "local_status IN ('DISCOVERED', 'WAITING', 'QUEUED', 'COMPLETED', 'FAILED', 'RETRY')"
+
+
+#: The pool's candidates in SQL: signs of embeddings as signatures, components as features.
+_POOL = (
+    SIGNATURES
+    + ", feat AS (SELECT vec_id, "
+    + ", ".join(f"round(least(1.0::DOUBLE, greatest(0.0::DOUBLE, (embedding[{i + 1}]::DOUBLE + 1) / 2)), 6) AS f{i}" for i in range(7))
+    + " FROM embeddings), med AS (SELECT "
+    + ", ".join(f"median(f{i}) AS m{i}" for i in range(7))
+    + " FROM feat), spr AS (SELECT "
+    + ", ".join(f"greatest(quantile_cont(abs(f{i} - m{i}), 0.75::DOUBLE), 0.05::DOUBLE) AS s{i}" for i in range(7))
+    + " FROM feat, med), scored AS (SELECT s.*, "
+    + ", ".join(f"f{i}" for i in range(7))
+    + ", round(least(1.0::DOUBLE, greatest(0.0::DOUBLE, 0.42::DOUBLE * f0 + 0.28::DOUBLE * f1 + 0.18::DOUBLE * (("
+    + " + ".join(f"least(abs(f{i} - m{i}) / (2.5::DOUBLE * s{i}), 1.0::DOUBLE)" for i in range(7))
+    + """) / 7) + 0.12::DOUBLE * f2)), 6) AS score, vec_id % 3 = 0 AS hard, vec_id % 3 AS lev FROM signatures s JOIN feat USING (vec_id), med, spr),
+    n AS (SELECT source_id, count(*) AS n FROM scored GROUP BY source_id), b AS (SELECT *, least(n, 5) AS f, least(n, 55) AS m FROM n), seats AS (SELECT source_id, n, unnest(range(f, m)) AS k FROM b),
+    places AS (SELECT *, row_number() OVER (ORDER BY sqrt(n) / (k + 1) DESC, source_id DESC) AS r FROM seats), more AS (SELECT source_id, count(*) AS more FROM places WHERE r <= (SELECT 110 - sum(f) FROM b) GROUP BY source_id),
+    quotas AS (SELECT source_id, f + coalesce(more, 0) AS quota, row_number() OVER (ORDER BY source_id) AS place FROM b LEFT JOIN more USING (source_id))"""
+)
+
+#: One step of the recursion is one choice: of the first phase that is short and has candidates, those not redundant first, the one of most use.
+CHOICES = (
+    f"WITH RECURSIVE {_POOL}, st AS (SELECT 0 AS step, s.clip_id, s.source_id, bits, start_sec, end_sec, "
+    + ", ".join(f"f{i}" for i in range(7))
+    + """, score, hard, lev, quota, place, false AS taken, NULL::BIGINT AS pick, 'infinity'::DOUBLE AS novelty, 0.0::DOUBLE AS sim, false AS beside, false AS redundant FROM scored s JOIN quotas q USING (source_id)
+    UNION ALL SELECT step + 1, clip_id, source_id, bits, start_sec, end_sec, """
+    + ", ".join(f"f{i}" for i in range(7))
+    + """, score, hard, lev, quota, place, taken OR clip_id = p_id, CASE WHEN clip_id = p_id THEN step + 1 ELSE pick END, least(novelty, sqrt(("""
+    + " + ".join(f"(f{i} - p_f{i}) * (f{i} - p_f{i})" for i in range(7))
+    + """) / 7)), greatest(sim, alike), beside OR next_to, redundant OR (source_id = p_source AND alike >= 0.95::DOUBLE) OR (next_to AND alike >= 0.86::DOUBLE)
+    FROM (SELECT *, 1 - bit_count(xor(bits, p_bits)) / 64.0::DOUBLE AS alike, source_id = p_source AND greatest(0.0::DOUBLE, greatest(start_sec, p_start) - least(end_sec, p_end)) <= 11.0::DOUBLE AS next_to
+    FROM (SELECT *, first_value(clip_id) OVER w AS p_id, first_value(source_id) OVER w AS p_source, first_value(bits) OVER w AS p_bits, first_value(start_sec) OVER w AS p_start, first_value(end_sec) OVER w AS p_end, """
+    + ", ".join(f"first_value(f{i}) OVER w AS p_f{i}" for i in range(7))
+    + """ FROM (SELECT *, CASE WHEN step = 0 THEN score ELSE 0.68::DOUBLE * score + 0.24::DOUBLE * novelty + 0.08::DOUBLE * (1 - sim) - 0.08::DOUBLE * beside::INT END AS worth,
+        CASE WHEN taken OR have >= quota THEN NULL WHEN hard AND hard_have < least(25, hard_all) THEN 1 WHEN NOT hard AND soft_have < least(25, soft_all) THEN 2 WHEN lev = 0 AND low_have < least(18, low_all) THEN 3 WHEN lev = 1 AND mid_have < least(30, mid_all) THEN 4
+            WHEN lev = 2 AND high_have < least(18, high_all) THEN 5 ELSE 5 + place END AS phase
+        FROM (SELECT *, count(*) FILTER (taken) OVER (PARTITION BY source_id) AS have, count(*) FILTER (taken) OVER () AS all_have, """
+    + ", ".join(f"count(*) FILTER ({c}) OVER () AS {k}_all, count(*) FILTER (taken AND {c}) OVER () AS {k}_have" for k, c in (("hard", "hard"), ("soft", "NOT hard"), ("low", "lev = 0"), ("mid", "lev = 1"), ("high", "lev = 2")))
+    + """ FROM st) WHERE all_have < 110) WINDOW w AS (ORDER BY phase NULLS LAST, redundant, worth DESC, clip_id)))), chosen AS (SELECT * FROM st WHERE step = (SELECT max(step) FROM st))"""
+)

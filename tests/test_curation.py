@@ -13,7 +13,7 @@ from test_operators import ACQUISITION, catalog_tables, item, now
 
 from reelmill.functions import frames
 from reelmill.journal import configure, journal
-from reelmill.operators import analysis, catalog, dedupe, intervals, ranking, release, rules, scoring, segmentation, selection
+from reelmill.operators import analysis, catalog, dedupe, intervals, pool, ranking, release, rules, scoring, segmentation, selection
 from reelmill.settings import SELECTION, channel_registry, fingerprint
 from reelmill.sources import media, sinks, tables
 from reelmill.streaming import watcher
@@ -47,6 +47,17 @@ def test_exact_quantiles(spark, kind):
             assert y == lo + (hi - lo) * (at - int(at))
 
 
+@pytest.mark.parametrize("accuracy, gather", [(10_000, 100_000), (200, 300), (50, 20)])
+def test_exact_quantiles_of_more_rows_than_are_gathered(spark, monkeypatch, accuracy, gather):
+    monkeypatch.setattr(ranking, "ACCURACY", accuracy)
+    monkeypatch.setattr(ranking, "GATHER", gather)
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=20_000), np.full(9_000, 0.25), rng.exponential(size=11_001) * 1e6])
+    got = ranking.exact_quantiles(spark.createDataFrame(pd.DataFrame({"a": x, "b": np.round(x, 1)})).repartition(5), ["a", "b"], [0.5, 0.75, 0.001, 0.9999])
+    for name, v in (("a", x), ("b", np.round(x, 1))):
+        assert got[name] == pytest.approx(np.quantile(v, [0.5, 0.75, 0.001, 0.9999]).tolist(), rel=1e-12)
+
+
 def test_diversity_is_the_plain_one(spark):
     rng = np.random.default_rng(0)
     x = pd.DataFrame(rng.random((301, 7)), columns=list(scoring.FEATURES))
@@ -161,17 +172,50 @@ def plain_pool(rows, quotas, s):
     return [r["clip_id"] for r in picks]
 
 
-def test_pool_is_the_plain_one():
-    rng = random.Random(4)
-    s = SELECTION | {"candidate_pool_size": 40, "selected_hardcase_minimum": 9, "selected_normal_minimum": 9, "selection_level_minimums": {"LOW": 6, "MEDIUM": 10, "HIGH": 6}}
+SMALL_POOL = SELECTION | {"candidate_pool_size": 40, "selected_hardcase_minimum": 9, "selected_normal_minimum": 9, "selection_level_minimums": {"LOW": 6, "MEDIUM": 10, "HIGH": 6}}
+
+
+def pool_rows(seed, n):
+    rng = random.Random(seed)
     base = [rng.getrandbits(63) for _ in range(12)]
-    rows = [
+    return [
         {"clip_id": f"c{i:03}", "source_id": rng.choice("abc"), "start_sec": float(10 * i), "end_sec": 10.0 * i + 15, "candidate_score": round(rng.random(), 3), "signature": base[i % 12] ^ sum(1 << b for b in rng.sample(range(63), rng.randint(0, 6))), "hardcase_tags": rng.choice(["", "BLUR"]), "event_likelihood_level": rng.choice(["LOW", "MEDIUM", "HIGH"])}
         | {f: round(rng.random(), 3) for f in scoring.FEATURES}
-        for i in range(70)
+        for i in range(n)
     ]
+
+
+@pytest.mark.parametrize("seed, n, frontier, least", [(4, 70, 2048, 8), (5, 70, 1, 1), (6, 400, 1, 2)])
+def test_pool_is_the_plain_one(spark, monkeypatch, seed, n, frontier, least):
+    """With a frontier of one row for each stratum the tasks are asked again and again, with a large one hardly; the choices are the same."""
+    monkeypatch.setattr(pool, "FRONTIER", frontier)
+    monkeypatch.setattr(pool, "LEAST", least)
+    rows, quotas = pool_rows(seed, n), {"a": 14, "b": 13, "c": 13}
+    ids, asked = pool.choose(spark.createDataFrame(pd.DataFrame(rows)).repartition(5), quotas, SMALL_POOL)
+    assert ids == plain_pool(rows, quotas, SMALL_POOL)
+    assert asked <= 3 if frontier > n else asked > 3
+
+
+def test_pool_of_many_is_asked_for_a_few_times(spark):
+    """Ten thousand candidates, most of them alike: the bounds spare most rounds."""
+    rows, quotas = pool_rows(7, 10_000), {"a": 14, "b": 13, "c": 13}
+    ids, asked = pool.choose(spark.createDataFrame(pd.DataFrame(rows)).repartition(4), quotas, SMALL_POOL)
+    assert len(set(ids)) == 40 and asked < 12
+
+
+def test_pool_with_nulls_and_too_little(spark):
+    rows = pool_rows(8, 60)
+    table = spark.createDataFrame(pd.DataFrame(rows)).withColumn("signature", F.expr("nullif(signature, signature)")).withColumn("brightness_score", F.lit(None).cast("double"))
     quotas = {"a": 14, "b": 13, "c": 13}
-    assert selection.choose(pd.DataFrame(rows), quotas, s) == plain_pool(rows, quotas, s)
+    blank = [r | {"signature": 0, "brightness_score": 0.0} for r in rows]
+    ids, _ = pool.choose(table, quotas, SMALL_POOL | {"content_similarity_threshold": 2.0, "adjacent_similarity_threshold": 2.0})
+    assert len(ids) == 40 and set(ids) <= {r["clip_id"] for r in blank}
+    with pytest.raises(pool.SelectionError, match="quota of a"):
+        pool.choose(table.filter("clip_id < 'c020'"), quotas, SMALL_POOL)
+    with pytest.raises(pool.SelectionError, match="overfill"):
+        pool.choose(table, {"a": 50}, SMALL_POOL)
+    with pytest.raises(pool.SelectionError, match="filled"):
+        pool.choose(table, {"a": 0}, SMALL_POOL)
 
 
 def test_frame_signals_are_the_plain_ones():
