@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 # ---- fixed values: hosts and paths that name a video, and the letters that don't decompose -----------------------
 VIDEO_HOSTS = ("youtube.com", "www.youtube.com", "m.youtube.com")
@@ -25,6 +26,14 @@ def number(x: Column | str) -> Column:
     return F.when(d.isNotNull() & ~F.isnan(d) & (F.abs(d) != float("inf")), d)
 
 
+def number_in(rows: DataFrame, column: str) -> Column:
+    """``number`` of a column of ``rows``; one that holds numbers already isn't written out and read again."""
+    if not isinstance(rows.schema[column].dataType, NumericType):
+        return number(column)
+    d = F.col(column).cast("double")
+    return F.when(F.abs(d) < float("inf"), d)  # NaN is beyond infinity
+
+
 def number_or(x: Column | str, default: float = 0.0) -> Column:
     return F.coalesce(number(x), F.lit(default))
 

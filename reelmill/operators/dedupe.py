@@ -34,7 +34,7 @@ def preferred_sources(items: DataFrame) -> DataFrame:
 
 def review_reasons(items: DataFrame, min_duration: float, min_width: int, min_height: int) -> DataFrame:
     """Items with their reasons against, in a fixed order; numbers that can't be read skip their checks."""
-    d, w, h = S.number("duration_sec"), S.number("width"), S.number("height")
+    d, w, h = (S.number_in(items, c) for c in ("duration_sec", "width", "height"))
     return preferred_sources(items).withColumn(
         "review_reason",
         S.joined_reasons(

@@ -157,12 +157,12 @@ def metadata_issues(manifest: DataFrame, inventory: DataFrame, registry: DataFra
     both = manifest.withColumn("_m", F.lit(True)).join(inv, F.col("clip_id") == F.col("i_clip_id"), "full_outer").join(reg, F.col("source_id") == F.col("r_source_id"), "left")
     rows = both.withColumns({"clip_id": F.when(F.col("_m").isNull(), F.col("i_clip_id")).otherwise(F.col("clip_id")), "source_id": F.when(F.col("_m").isNull(), F.col("i_source_id")).otherwise(F.col("source_id"))})
     mine = F.col("_m").isNotNull()
-    known, s, e, d = F.col("i_clip_id").isNotNull(), S.number("start_sec"), S.number("end_sec"), S.number("duration_sec")
+    known, s, e, d = F.col("i_clip_id").isNotNull(), S.number_in(manifest, "start_sec"), S.number_in(manifest, "end_sec"), S.number_in(manifest, "duration_sec")
     empty = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     mapped = F.col("r_source_id").isNotNull()
     named = F.col("clip_id").startswith(F.concat("source_id", F.lit("_C"))) & F.expr("substring(clip_id, length(source_id) + 3)").rlike("^[0-9]+$")
     text = lambda a, b: ~F.coalesce(F.col(a), F.lit("")).eqNullSafe(F.coalesce(F.col(b), F.lit("")))
-    near = lambda a, b: ~S.same_number(a, b, tolerance)
+    near = lambda a, b: ~F.coalesce(F.abs(S.number_in(manifest, a) - S.number_in(inv, b)) <= tolerance, F.lit(False))
     rules = [
         Rule("MISSING_SOURCE_ID", "FAIL", empty("source_id"), field="source_id"),
         Rule("UNKNOWN_SOURCE_MAPPING", "FAIL", ~empty("source_id") & ~mapped, field="source_id"),
@@ -195,7 +195,7 @@ def metadata_issues(manifest: DataFrame, inventory: DataFrame, registry: DataFra
     wrong = F.when(F.col("k.value") == "", F.when(is_id, "MISSING_CLIP_ID").otherwise("MISSING_CLIP_PATH")).when(F.col("n") > 1, F.when(is_id, "DUPLICATE_CLIP_ID").otherwise("DUPLICATE_CLIP_PATH"))
     of_keys = named.withColumn("code", wrong).filter("code is not null").select(F.when(is_id, F.col("k.value")).alias("clip_id"), none.alias("source_id"), "code", F.col("k.field").alias("field"))
     twice = again.withColumn("code", F.lit("DUPLICATE_INVENTORY_CLIP_ID")).withColumn("field", F.lit("clip_id"))
-    line = intervals.timeline_issues(manifest.withColumns({c: S.number(c) for c in ("start_sec", "end_sec")}), expected_overlap, tolerance)
+    line = intervals.timeline_issues(manifest.withColumns({c: S.number_in(manifest, c) for c in ("start_sec", "end_sec")}), expected_overlap, tolerance)
     line = line.select(*keys, F.lit(90).alias("seq"), F.lit("WARNING").alias("severity"), F.col("issue_code").alias("code"), F.lit("start_sec").alias("field"), F.format_string("%.6f", "overlap_sec").alias("details"))
     out = own
     for more in (blank(of_keys), blank(twice), line):

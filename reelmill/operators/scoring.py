@@ -43,20 +43,22 @@ def with_diversity(rows: DataFrame, features: tuple[str, ...] = FEATURES, floor:
     Medians and then the third quartiles of the distances are exact and global, each from a sketch and one more pass, so no
     task gathers the values of a feature; they enter the plan as numbers.
     """
-    values = rows.select(*[S.number_or(f).alias(f) for f in features])
+    number = {f: F.coalesce(S.number_in(rows, f), F.lit(0.0)) for f in features}
+    values = rows.select(*[number[f].alias(f) for f in features])
     medians = exact_quantiles(values, list(features), [0.5])
     away = values.select(*[F.abs(F.col(f) - F.lit(medians[f][0])).alias(f) for f in features])
     spread = exact_quantiles(away, list(features), [0.75])
     total = F.lit(0.0)
     for f in features:
-        total = total + F.least(F.abs(S.number_or(f) - F.lit(medians[f][0])) / (2.5 * F.lit(max(spread[f][0], floor))), F.lit(1.0))
+        total = total + F.least(F.abs(number[f] - F.lit(medians[f][0])) / (2.5 * F.lit(max(spread[f][0], floor))), F.lit(1.0))
     return rows.withColumn("diversity", total / len(features))
 
 
 def candidate_scores(rows: DataFrame, settings: dict[str, Any] = SELECTION) -> DataFrame:
     """Diversity and the candidate score, which takes rounded scores but the diversity as it is."""
     w = settings["score_weights"]
-    score = w["event_likelihood"] * S.number_or("event_likelihood_score") + w["hardcase"] * S.number_or("hardcase_score") + w["diversity"] * F.col("diversity") + w["activity"] * S.number_or("activity_score")
+    number = lambda c: F.coalesce(S.number_in(rows, c), F.lit(0.0))
+    score = w["event_likelihood"] * number("event_likelihood_score") + w["hardcase"] * number("hardcase_score") + w["diversity"] * F.col("diversity") + w["activity"] * number("activity_score")
     return with_diversity(rows).withColumn("candidate_score", S.score6(score)).withColumn("diversity_score", S.score6("diversity")).drop("diversity")
 
 

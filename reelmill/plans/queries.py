@@ -235,7 +235,7 @@ def severity_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.roll_up(rows.select("id"), found, "id")
 
 
-_FIGURES = """figures AS (SELECT l_orderkey || '-' || l_linenumber AS clip_id, l_orderkey * 7 + l_linenumber AS n FROM lineitem),
+_FIGURES = """figures AS (SELECT l_orderkey || '-' || l_linenumber AS clip_id, l_orderkey * 7 + l_linenumber AS n FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)),
     clips AS (SELECT clip_id, CASE n % 11 WHEN 0 THEN NULL WHEN 1 THEN -5.0 WHEN 2 THEN 0.0 WHEN 3 THEN 29.999 WHEN 4 THEN 30.0 WHEN 5 THEN 180.0 WHEN 6 THEN 180.001 ELSE 120.0 END::DOUBLE AS d, CASE n % 13 WHEN 0 THEN NULL WHEN 1 THEN 0.0 WHEN 2 THEN -25.0 ELSE 25.0 END::DOUBLE AS fps,
     CASE n % 7 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN -3 WHEN 3 THEN 3060 WHEN 4 THEN 3061 ELSE 3000 END AS frames, CASE n % 17 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE 1920 END AS w, CASE n % 19 WHEN 0 THEN NULL WHEN 1 THEN -1 ELSE 1080 END AS h,
     CASE n % 23 WHEN 0 THEN false WHEN 1 THEN NULL ELSE true END AS readable, CASE n % 29 WHEN 0 THEN 2 WHEN 1 THEN NULL ELSE 0 END AS errors, n % 31 = 0 AS guessed, n % 37 = 0 AS patched, n % 41 = 0 AS other FROM figures)"""
@@ -256,7 +256,7 @@ def technical_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as clips whose figures lie at the edges of every technical rule."""
     n = F.col("l_orderkey") * 7 + F.col("l_linenumber")
     one_of = lambda by, values, other, kind: F.element_at(F.array(*[F.lit(x).cast(kind) for x in [*values, other]]), F.least(n % by, F.lit(len(values))).cast("int") + 1)
-    x = V.table(spark, sf_dir, "lineitem").select(
+    x = V.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct().select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("clip_id"), one_of(11, [None, -5.0, 0.0, 29.999, 30.0, 180.0, 180.001], 120.0, "double").alias("duration_sec"), one_of(13, [None, 0.0, -25.0], 25.0, "double").alias("fps"),
         one_of(7, [None, 0, -3, 3060, 3061], 3000, "int").alias("frame_count"), one_of(17, [None, 0], 1920, "int").alias("width"), one_of(19, [None, -1], 1080, "int").alias("height"), one_of(23, [False, None], True, "boolean").alias("readable"),
         one_of(29, [2, None], 0, "int").alias("decode_errors"), one_of(31, ["fallback", None], "probe", "string").alias("metadata_source"), one_of(37, ["fallback", None], "probe", "string").alias("decode_source"), one_of(41, ["other", None, ""], "same", "string").alias("expected_sha256"), F.lit("same").alias("sha256"),
