@@ -42,6 +42,8 @@ LONG = frozenset(
     "modal comment comments commentlist disqus respond reply replies newsletter".split()
 )
 ARTICLE = frozenset(("article", "main"))
+#: Characters that what is named after a part, but holds most of a page, has at least: less is that part.
+LAYOUT = 200
 #: What may stand in a head; anything else ends it.
 IN_HEAD = frozenset("base link meta title style script noscript template".split())
 _SCOPE = frozenset("table td th caption button object template html body".split())
@@ -237,7 +239,7 @@ class _Lines(HTMLParser):
         shown = [True] * size
         for i in range(1, size):
             around, how = self.named[i]
-            most_text = 2 * prose[i] > prose[0]
+            most_text = 2 * prose[i] > prose[0] and prose[i] >= LAYOUT
             if how == HEADER:
                 own = held[i] or not self.count and (most_text or i in self.headed)
             else:
@@ -258,7 +260,7 @@ class _Lines(HTMLParser):
     def finish(self) -> list[tuple[str, int, int, int]]:
         self.close()
         self._break()
-        return self._lines(self._shown()) or self._lines([True] * len(self.named))
+        return self._lines(self._shown())
 
 
 def smooth(ratios: np.ndarray, sigma: float = 1.0) -> np.ndarray:
@@ -276,7 +278,8 @@ def main_text(html: str | None) -> str:
     line has a ratio of text to tags; smoothed over the lines of its region (one article element, or what lies between
     such), the ratios above their standard deviation form the content clusters, without lines that are mostly links.
     A cluster in an article element stands for all lines of that element: its short lines, too, are the article's.
-    Clusters outside stand for themselves, and all clusters together are the content.
+    Clusters outside stand for themselves, and all clusters together are the content. Nothing is forced: where all text is
+    in menus, notices and the like, or in links, there is none.
     """
     if not html:
         return ""
@@ -291,8 +294,6 @@ def main_text(html: str | None) -> str:
     level = np.concatenate([smooth(part) for part in np.split(ratios, borders)])  # nothing of an article reaches its neighbours
     content = (level >= min(level.std(), level.max())) | (level >= level.mean())
     content &= np.array([2 * linked <= len(t) for t, _, linked, _ in lines])
-    if not content.any():
-        content[int(level.argmax())] = True
     taken = [False] * (parser.count + 1)
     for a in article[content]:
         taken[a] = bool(a)
@@ -312,7 +313,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars; each page is parsed whole where it is read.
 
-    Defined cases: null, empty and text-free pages have an empty text; broken markup is taken as the parser takes
+    Defined cases: null, empty and text-free pages have an empty text, and so have pages of menus, notices, comments or links alone; broken markup is taken as the parser takes
     it, an end tag closing all that is open inside it, and end tags that HTML lets out are put in; very long pages and deep nesting are
     read whole, in time that grows with their length; null ids and urls stay null; repeated rows each give a
     row; an empty table gives no rows; other columns are ignored.
