@@ -336,7 +336,8 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, factor:
 
     Defined cases: vectors that are null, empty, zero, or have null or non-finite components take no part, nor
     do rows with a null id; vectors of different lengths never meet; a repeated row is a candidate once, and of rows that repeat an id
-    with other vectors the smallest vector asks, and the nearest answers; a query with
+    with other vectors the smallest vector asks, and the nearest answers; vectors of very large or small components are scaled
+    by a power of two first, which leaves their cosines as they are; a query with
     fewer than k candidates has as many rows; an empty table gives no rows; other columns are ignored.
     """
     v = F.col(vector_col).cast("array<double>")
@@ -347,7 +348,10 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, factor:
         .filter(F.exists("v", lambda x: x != 0))
         .withColumn("width", F.size("v"))
     )
-    rows = stash(rows, "vectors")
+    # Squares of very large or small components are no doubles. A power of two changes no cosine.
+    most = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    scaled = lambda by: F.transform("v", lambda x: x * F.lit(by))
+    rows = stash(rows.withColumn("v", F.when(most > 1e100, scaled(2.0**-600)).when(most < 1e-100, scaled(2.0**600)).otherwise(F.col("v"))), "vectors")
     # A limit on the place within a group is applied before the shuffle, so copies by the million cost no task more.
     copies = Window.partitionBy("v").orderBy("vec_id")
     index = stash(rows.dropDuplicates(["vec_id", "v"]).withColumn("_n", F.row_number().over(copies)).filter(F.col("_n") <= k + 1).drop("_n"), "distinct-vectors")
