@@ -7,7 +7,7 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -188,7 +188,12 @@ class Parts:
     and a part of one word holds the very strings of that word.
     """
 
-    LIMIT = 200_000
+    #: Bytes that parts, and words, of one generation take, about; one older generation of each is kept beside it.
+    MOST_BYTES = 56 << 20
+    #: What an entry takes besides its characters.
+    ENTRY = 250
+    #: Longer ones (in scripts without spaces) are encoded anew each time.
+    LONGEST = 128
     #: Words that are merged in one index. Few enough to stay in the processor's cache.
     TOGETHER = 2500
 
@@ -197,28 +202,50 @@ class Parts:
         self.ids: dict[str, str] = {}
         self.text: dict[str, str] = {}
         self.older: tuple[dict[str, str], dict[str, str]] = ({}, {})
+        self.long: set[str] = set()
         #: Of words the same; a line end stands for itself.
         self.word_ids: dict[str, str] = {"\n": "\n"}
         self.word_text: dict[str, str] = {"\n": "\n"}
         self.older_words: tuple[dict[str, str], dict[str, str]] = ({}, {})
         self.hollow = False  # whether there are words of which nothing is in the vocabulary
+        self.bytes = {"parts": 0, "words": 0}
+
+    def _forget_long(self) -> None:
+        for into in (self.ids, self.text, self.word_ids, self.word_text):
+            for p in self.long:
+                into.pop(p, None)
+        self.long.clear()
+
+    def _count(self, kind: str, keys: Iterable[str], ids: dict[str, str], text: dict[str, str]) -> None:
+        """Take new entries into account, and note the long ones, which go with the next call."""
+        n = 0
+        for p in keys:
+            if len(p) > self.LONGEST:
+                self.long.add(p)
+            else:
+                n += len(p) + len(ids[p]) + len(text[p]) + self.ENTRY
+        self.bytes[kind] += n
 
     def know(self, parts: set[str]) -> None:
         """See to it that each of these parts has its ids and text."""
-        new = parts.difference(self.ids)
-        if len(self.ids) + len(new) > self.LIMIT:
+        self._forget_long()
+        if self.bytes["parts"] > self.MOST_BYTES:
             self.older = self.ids, self.text
             self.ids, self.text = {}, {}
-            new = parts
+            self.bytes["parts"] = 0
+        new = parts.difference(self.ids)
         old_ids, old_text = self.older
-        for p in new.intersection(old_ids):
+        again = new.intersection(old_ids)
+        for p in again:
             self.ids[p], self.text[p] = old_ids[p], old_text[p]
+        self._count("parts", again, self.ids, self.text)
         new = new.difference(old_ids)
         special = self.bpe.special
         odd = [p for p in new if "<" in p and special and special.search(p)]
         for p in odd:
             found = self.bpe.encode([p])[0]
             self.ids[p], self.text[p] = " ".join(map(str, found)), self.bpe.decode(found)
+        self._count("parts", odd, self.ids, self.text)
         plain = list(new.difference(odd))
         if not plain:
             return
@@ -230,17 +257,20 @@ class Parts:
             if self.hollow:
                 lines = [" ".join(filter(None, x.split(" "))) for x in lines]
             into.update(zip(plain, lines, strict=True))
+        self._count("parts", plain, self.ids, self.text)
 
     def _know_words(self, words: set[str]) -> None:
         """See to it that each of these words has its ids and text: those not met lately are encoded, some thousands together."""
-        new = words.difference(self.word_ids)
-        if len(self.word_ids) + len(new) > self.LIMIT:
+        if self.bytes["words"] > self.MOST_BYTES:
             self.older_words = self.word_ids, self.word_text
             self.word_ids, self.word_text = {"\n": "\n"}, {"\n": "\n"}
-            new = words.difference("\n")
+            self.bytes["words"] = 0
+        new = words.difference(self.word_ids)
         old_ids, old_text = self.older_words
-        for w in new.intersection(old_ids):
+        again = new.intersection(old_ids)
+        for w in again:
             self.word_ids[w], self.word_text[w] = old_ids[w], old_text[w]
+        self._count("words", again, self.word_ids, self.word_text)
         new = sorted(new.difference(old_ids))
         for at in range(0, len(new), self.TOGETHER):
             some = new[at : at + self.TOGETHER]
@@ -249,6 +279,7 @@ class Parts:
             decimal, token = self.bpe.decimal.__getitem__, self.bpe.token.__getitem__
             self.word_ids.update(zip(some, [" ".join(map(decimal, ids)) for ids in found], strict=True))
             self.word_text.update(zip(some, [" ".join(map(token, ids)) for ids in found], strict=True))
+        self._count("words", new, self.word_ids, self.word_text)
 
 
 _parts: dict[str, Parts] = {}
@@ -313,7 +344,7 @@ def bpe_digests(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", tex
 
     Ids are those of the vocabulary file's own library without special tokens added. Texts are cut at white space.
     The distinct words of a megabyte of text are encoded together, some thousands in one index, and those met
-    lately are kept, up to a fixed count, for the rows to come. Nothing is shuffled.
+    lately are kept, up to a fixed number of bytes, for the rows to come; those of more than LONGEST characters aren't. Nothing is shuffled.
 
     Defined cases: a null text counts as empty: no tokens, and both digests are of nothing; special tokens written
     out in a text are taken as such, as the library does; a null id stays null; rows that repeat an id each
