@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .pii_table import LABELLED
-from .shared import tidied
+from .shared import place_of, tidied
 from .words import Words, slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -395,10 +395,9 @@ def mask(text: str, base: dict[str, list[tuple[int, int]]], added: list[tuple[st
     return "".join(out)
 
 
-def _mask(field: Field, text_col: str):
+def _mask(field: Field, column: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.schema.get_field_index(text_col)
             old = batch.column(column)
             new: list[str | None] = []
             for lo, _, rows in all_spans(field, old):
@@ -418,5 +417,5 @@ def mask_pii(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars
     Defined cases: a null text stays null, and an empty one empty; a text without spans stays as it is; rows are judged
     each for itself, whatever their ids, and none goes; an empty table gives no rows; other columns may have any names.
     """
-    out = docs.mapInArrow(tidied(_mask(trained_field(), text_col)), docs.schema)
+    out = docs.mapInArrow(tidied(_mask(trained_field(), place_of(docs, text_col))), docs.schema)
     return out.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType)) if length_col in docs.columns else out

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..storage import discard, stash
 
-__all__ = ["discard", "kept_rows", "stash", "text_or_empty", "tidied"]
+__all__ = ["discard", "kept_rows", "place_of", "stash", "text_or_empty", "tidied"]
 
 ArrowMap = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
@@ -50,7 +50,7 @@ def kept_rows(docs: DataFrame, verdicts: DataFrame, key: Callable[[Column], Colu
         return docs
     few = n <= MOST_BROADCAST
     names = [f"c{i}" for i in range(len(docs.columns))]  # the columns may be called anything
-    id_, text = (F.col(names[docs.columns.index(c)]) for c in (id_col, text_col))
+    id_, text = (F.col(names[place_of(docs, c)]) for c in (id_col, text_col))
     rows = docs.toDF(*names).withColumn("_by", key(text))
     match = id_.eqNullSafe(F.col("_id")) & (F.col("_by") == F.col("_key"))
     out = rows.join(F.broadcast(told) if few else told, match, "left_anti").select(*names)
@@ -63,5 +63,14 @@ def kept_rows(docs: DataFrame, verdicts: DataFrame, key: Callable[[Column], Colu
     return out.toDF(*docs.columns)
 
 
+def place_of(docs: DataFrame, column: str) -> int:
+    """The place of the one column of that name, as Spark resolves names; none or several are an error."""
+    same = (lambda x: x) if docs.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true" else str.lower
+    found = [i for i, c in enumerate(docs.columns) if same(c) == same(column)]
+    if len(found) != 1:
+        raise ValueError(f"{len(found)} columns are named {column}")
+    return found[0]
+
+
 def text_or_empty(column: str | Column = "text") -> Column:
     return F.coalesce((F.col(column) if isinstance(column, str) else column).cast("string"), F.lit(""))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import fold, sample_ids, texts_of
-from .shared import stash, tidied
+from .shared import place_of, stash, tidied
 from .words import U, Words, mix, slices
 
 #: Features are hashes of so many bits; only those found telling get a weight.
@@ -265,10 +265,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, model: Linear | None = N
     return scored.select("doc_id", F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def _clean(model: Linear, text_col: str):
+def _clean(model: Linear, place: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col))
+            texts = batch.column(place)
             keep = [model.of_words(Words(data, offsets)) < 0.5 for _, _, data, offsets in slices(texts)]
             yield batch.filter(pa.array(np.concatenate(keep))) if keep else batch
 
@@ -283,4 +283,4 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     other columns may have any names.
     """
     model = train(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), labels)
-    return docs.mapInArrow(tidied(_clean(model, text_col)), docs.schema)
+    return docs.mapInArrow(tidied(_clean(model, place_of(docs, text_col))), docs.schema)
