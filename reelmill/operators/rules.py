@@ -25,14 +25,15 @@ class Rule:
 def apply_rules(rows: DataFrame, rules: list[Rule], keys: list[str]) -> DataFrame:
     """Issues of every row: keys, seq (the rule's place), severity, code, field, details.
 
-    A row's conditions are one number, a bit for each rule, in generated code; only rows with a bit set are taken apart.
+    A row's conditions are one number, a bit for each rule, in generated code; only rows with a bit set are taken apart. A
+    filter on that number would be slower: the optimizer takes long over so many conditions in one comparison.
     """
     if len(rules) > 62:
         raise ValueError("at most 62 rules at a time")
     mask = F.lit(0).cast("bigint")
     for i, r in enumerate(rules):
         mask = mask + F.when(r.when, F.lit(1 << i)).otherwise(F.lit(0).cast("bigint"))
-    held = rows.withColumn("_rules", mask).filter("_rules != 0")
+    held = rows.withColumn("_rules", mask)
     made = [
         F.when(
             F.col("_rules").bitwiseAND(F.lit(1 << i)) != 0,
@@ -40,7 +41,7 @@ def apply_rules(rows: DataFrame, rules: list[Rule], keys: list[str]) -> DataFram
         )
         for i, r in enumerate(rules)
     ]
-    return held.select(*keys, F.explode(F.array_compact(F.array(*made))).alias("_i")).select(*keys, "_i.*")
+    return held.select(*keys, F.explode(F.when(F.col("_rules") != 0, F.array_compact(F.array(*made)))).alias("_i")).select(*keys, "_i.*")
 
 
 def severity_rank(severity: Column | str) -> Column:
