@@ -633,4 +633,33 @@ def frame_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analyse_clips(clips_).select("clip_id", "signal_status", "activity_score", "brightness_score", "visual_signature", F.array_join("keyframe_reasons", ";").alias("reasons"))
 
 
+_clip = "least(1.0::DOUBLE, greatest(0.0::DOUBLE, {}))".format
+
+
+@query(
+    f"""WITH px AS (SELECT vec_id::VARCHAR AS clip_id, list_transform(embedding, lambda x: least(255, greatest(0, trunc((coalesce(x, 0)::DOUBLE + 1) * 127)))::INT) AS v FROM embeddings WHERE len(embedding) = 64),
+        fr AS (SELECT clip_id, i, p, v[((p + 8 * (i * i % 8)) % 64 + 1)::INT] AS g FROM px, range(6) a(i), range(64) b(p)), d AS MATERIALIZED (SELECT a.clip_id, b.i, a.p, abs(a.g - b.g) AS d FROM fr a JOIN fr b ON a.clip_id = b.clip_id AND a.p = b.p AND b.i = a.i + 1),
+        nb AS (SELECT p, q FROM range(64) a(p), range(64) b(q) WHERE abs(p // 8 - q // 8) <= 1 AND abs(p % 8 - q % 8) <= 1),
+        m1 AS (SELECT clip_id, i, nb.p, bool_and(d >= 24) AS m FROM d JOIN nb ON d.p = nb.q GROUP BY ALL), m2 AS (SELECT clip_id, i, nb.p, bool_or(m) AS m FROM m1 JOIN nb ON m1.p = nb.q GROUP BY ALL),
+        m3 AS (SELECT clip_id, i, nb.p, bool_or(m) AS m FROM m2 JOIN nb ON m2.p = nb.q GROUP BY ALL), m4 AS (SELECT clip_id, i, nb.p, bool_and(m) AS m FROM m3 JOIN nb ON m3.p = nb.q GROUP BY ALL),
+        pairs AS (SELECT clip_id, i, avg(m::INT) AS share, avg(d) / 42.0::DOUBLE AS move FROM m4 JOIN d USING (clip_id, i, p) GROUP BY ALL),
+        s AS (SELECT clip_id, avg(move) AS move, stddev_pop(move) AS sway, avg(share) AS share, avg((share >= 0.015::DOUBLE)::INT) AS busy, quantile_cont(move, 0.9::DOUBLE) AS fast FROM pairs GROUP BY clip_id),
+        b AS (SELECT clip_id, avg(g) / 255.0::DOUBLE AS bright FROM fr GROUP BY clip_id)
+        SELECT e.vec_id::VARCHAR AS clip_id, CASE WHEN s.clip_id IS NULL THEN 'FAILED' ELSE 'COMPUTED' END AS signal_status, round({_clip("move")}, 6) AS activity_score, round({_clip("2.5::DOUBLE * sway")}, 6) AS motion_variation_score, round(bright, 6) AS brightness_score,
+            round({_clip("(0.38::DOUBLE - bright) / 0.30::DOUBLE")}, 6) AS low_light_score, round({_clip("2 * share")}, 6) AS foreground_occupancy_score, round(busy, 6) AS persistence_score, round({_clip("fast")}, 6) AS fast_motion_score
+        FROM embeddings e LEFT JOIN s ON s.clip_id = e.vec_id::VARCHAR LEFT JOIN b ON b.clip_id = s.clip_id"""
+)
+def frames_as_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six small frames from each embedding, turned by 0, 1, 4, 1, 0 and 1 rows, each frame a row. Embeddings of another length make no frame."""
+    from ..operators import frame_rows
+
+    byte = lambda x: F.lpad(F.hex(F.least(F.lit(255), F.greatest(F.lit(0), ((F.coalesce(x, F.lit(0.0)).cast("double") + 1) * 127).cast("int")))), 2, "0")
+    e = V.table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("clip_id"), F.transform("embedding", lambda x: F.repeat(byte(x), 3)).alias("v"), F.explode(F.sequence(F.lit(0), F.lit(5))).alias("frame_no"))
+    turn = F.col("frame_no") * F.col("frame_no") % 8 * 8
+    pixels = F.unhex(F.concat(F.array_join(F.slice("v", turn + 1, F.lit(64)), ""), F.array_join(F.slice("v", F.lit(1), turn), "")))
+    out = frame_rows.frame_signals(e.select("clip_id", "frame_no", F.lit(8).alias("height"), F.lit(8).alias("width"), pixels.alias("pixels")))
+    scores = ("activity_score", "motion_variation_score", "brightness_score", "low_light_score", "foreground_occupancy_score", "persistence_score", "fast_motion_score")
+    return out.select("clip_id", "signal_status", *[F.round(c, 6).alias(c) for c in scores])
+
+
 from . import curation  # noqa: E402, F401  registers its queries

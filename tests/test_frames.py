@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from reelmill.functions import frames as V
+from reelmill.operators import frame_rows
 
 
 def moving_square(n=12, size=64):
@@ -49,3 +50,66 @@ def test_clips(spark):
     got = {r.clip_id: r for r in V.analyse_clips(rows).collect()}
     assert got["a"].signal_status == "COMPUTED" and len(got["a"].visual_signature) == 16 and len(got["a"].keyframes) == 5
     assert got["b"].signal_status == "FAILED" and got["b"].activity_score is None
+
+
+def frame_table(spark, clips):
+    rows = [(c, n, *f.shape[:2], bytearray(f.tobytes())) for c, fs in clips.items() for n, f in fs]
+    return spark.createDataFrame(rows, "clip_id string, frame_no long, height int, width int, pixels binary").repartition(3)
+
+
+def made_up(rng, n, h, w):
+    x = rng.integers(0, 256, size=(n, h, w, 3)).astype(np.uint8) // 4
+    for i in range(n):
+        a = int(rng.integers(0, max(1, w - 6)))
+        x[i, 2:8, a : a + 6] = 230
+    return x
+
+
+@pytest.mark.parametrize("chunk", [4, 256])
+def test_frames_as_rows_measure_as_whole_clips(spark, monkeypatch, chunk):
+    """Wherever chunks begin and end, and with gaps between numbers, the signals are those of the clip as one value."""
+    monkeypatch.setattr(frame_rows, "CHUNK", chunk)
+    rng = np.random.default_rng(chunk)
+    whole = {f"c{i}": made_up(rng, n, h, w) for i, (n, h, w) in enumerate([(2, 12, 14), (3, 9, 30), (4, 20, 20), (9, 16, 18), (23, 12, 12)])}
+    whole["still"] = np.full((6, 10, 10, 3), 30, np.uint8)
+    clips = {c: list(enumerate(x)) for c, x in whole.items()}
+    clips["c3"] = [(n * n + 5, f) for n, f in clips["c3"]]
+    clips["one"] = [(0, whole["c0"][0])]
+    clips["sizes"] = [(0, whole["c0"][0]), (1, whole["c1"][0])]
+    table = frame_table(spark, clips).unionByName(spark.createDataFrame([("short", 0, 4, 4, bytearray(b"xx")), ("short", 1, 4, 4, None), (None, 0, 4, 4, None), ("nameless", None, 4, 4, bytearray(48))], "clip_id string, frame_no long, height int, width int, pixels binary"))
+    got = {r.clip_id: r for r in frame_rows.frame_signals(table).collect()}
+    assert {c for c, r in got.items() if r.signal_status == "FAILED"} == {"one", "sizes", "short", "nameless"} and len(got) == len(whole) + 4
+    for c, x in whole.items():
+        want, (at, why) = V.analyse(x), V.key_frames(x)
+        r = got[c]
+        assert r.visual_signature == want.pop("visual_signature")
+        assert {s: r[s] for s in V.SIGNALS} == pytest.approx(want)
+        assert (r.keyframes, r.keyframe_reasons) == (at, why)
+    least = {r.clip_id: r.signal_status for r in frame_rows.frame_signals(table, wanted=12).collect()}
+    assert [c for c, s in sorted(least.items()) if s == "COMPUTED"] == ["c3", "c4"]
+
+
+def test_a_long_clip_in_constant_memory():
+    """The pass over frames keeps two of them, however many come."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    f = made_up(np.random.default_rng(1), 8, 16, 16)
+
+    def batches(n):
+        for k in range(0, n, 50):
+            rows = [("a", (k + i) // 256, k + i, 16, 16, f[(k + i) % 8].tobytes()) for i in range(50)]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows, strict=True)], ["clip_id", "chunk", "frame_no", "height", "width", "pixels"])
+
+    peaks = []
+    for n in (500, 4000):
+        tracemalloc.start()
+        assert sum(b.num_rows for b in frame_rows._measured(batches(n))) == n
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.3 * peaks[0]
+
+
+def test_no_frames(spark):
+    assert frame_rows.frame_signals(frame_table(spark, {})).count() == 0
