@@ -245,7 +245,7 @@ def init_catalog(spark: SparkSession, args: argparse.Namespace) -> int:
     from .streaming.watcher import Snapshots
 
     store = Snapshots(spark, args.state)
-    if not tables.path_exists(spark, f"{args.state}/CURRENT"):
+    if not Snapshots(spark, args.state).version:
         store.write(*store.read())
     print(args.state)
     return 0

@@ -14,6 +14,7 @@ from ..settings import Acquisition, Channel, fingerprint
 from ..sources import sinks, tables
 from ..storage import shared_dir
 from ..streaming import watcher
+from ..streaming.store import Snapshots
 from . import views as V
 from .register import query
 
@@ -814,6 +815,24 @@ def worked_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()[0].select("video_id", "local_status", "capture_source", F.coalesce("capture_complete", F.lit(-1)).alias("capture_complete"))
 
 
+@query(
+    f"""WITH {V.ITEMS} SELECT video_id, CASE WHEN doc_id % 21 = 0 THEN 'FAILED' WHEN doc_id % 7 = 0 THEN 'COMPLETED' ELSE local_status END AS local_status, retry_count + CASE WHEN doc_id % 21 = 0 THEN 1 ELSE 0 END AS retry_count FROM items WHERE doc_id % 11 != 0
+        UNION ALL SELECT 'new' || doc_id, 'DISCOVERED', 0 FROM items WHERE doc_id % 13 = 0"""
+)
+def merged_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog written once, then three batches of changes, new items and removals as deltas beside it, read back as one."""
+    store = Snapshots(spark, _scratch(spark, "deltas"))
+    i = F.col("video_id").cast("bigint")
+    items, jobs = V.items(spark, sf_dir), V.jobs(spark, sf_dir)
+    items, jobs = store.write(items, jobs, 0)
+    items, jobs = store.write(items.withColumn("local_status", F.when(i % 7 == 0, "COMPLETED").otherwise(F.col("local_status"))), jobs, 1)
+    worse = i % 21 == 0
+    items, jobs = store.write(items.withColumns({"local_status": F.when(worse, "FAILED").otherwise(F.col("local_status")), "retry_count": F.col("retry_count") + F.when(worse, 1).otherwise(0)}), jobs, 2)
+    fresh = V.items(spark, sf_dir).filter(i % 13 == 0).withColumns({"video_id": F.concat(F.lit("new"), "video_id"), "local_status": F.lit("DISCOVERED"), "retry_count": F.lit(0)})
+    items, _ = store.write(items.filter(i % 11 != 0).unionByName(fresh), jobs, 3)
+    return items.select("video_id", "local_status", "retry_count")
+
+
 # ---- analysis ---------------------------------------------------------------------------------------------------
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 from typing import Any
@@ -17,52 +15,13 @@ from ..functions import scalars as S
 from ..journal import journal
 from ..operators import catalog
 from ..settings import Acquisition
-from ..sources.sinks import write_text
-from ..sources.tables import normalized_items, path_exists
+from ..sources.tables import normalized_items
 from ..storage import discard, stash
+from .store import Snapshots
 
 DISCOVERIES = "id string, channel_id string, channel_name string, title string, live_status string, release_timestamp bigint, timestamp bigint, duration double, ordinal bigint"
 
 
-class Snapshots:
-    """Two tables in versioned folders, on any file system; a pointer file, put in place at once, names the current version and the last batch.
-
-    A version is written whole before the pointer names it, and the version before last is deleted, so the folder doesn't grow.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, str(root).rstrip("/")
-
-    def _pointer(self) -> dict[str, Any]:
-        path = f"{self.root}/CURRENT"
-        if not path_exists(self.spark, path):
-            return {"version": None, "batch": -1, "before": None}
-        return json.loads("".join(r[0] for r in self.spark.read.text(path).collect()))
-
-    @property
-    def last_batch(self) -> int:
-        return int(self._pointer()["batch"])
-
-    def read(self) -> tuple[DataFrame, DataFrame]:
-        v = self._pointer()["version"]
-        if v is None:
-            return self.spark.createDataFrame([], catalog.ITEMS), self.spark.createDataFrame([], catalog.JOBS)
-        return self.spark.read.schema(catalog.ITEMS).parquet(f"{self.root}/{v}/items"), self.spark.read.schema(catalog.JOBS).parquet(f"{self.root}/{v}/jobs")
-
-    def write(self, items: DataFrame, jobs: DataFrame, batch: int | None = None) -> tuple[DataFrame, DataFrame]:
-        """Make these the current tables; returns them as they were written."""
-        now, v = self._pointer(), f"v-{uuid.uuid4().hex[:12]}"
-        items.write.parquet(f"{self.root}/{v}/items")
-        jobs.write.parquet(f"{self.root}/{v}/jobs")
-        if catalog.broken_uniqueness(self.spark.read.schema(catalog.JOBS).parquet(f"{self.root}/{v}/jobs")).limit(1).count():
-            raise ValueError("an item has two active jobs")
-        write_text(self.spark, json.dumps({"version": v, "batch": now["batch"] if batch is None else batch, "before": now["version"]}), f"{self.root}/CURRENT")
-        if old := now.get("before"):
-            gone = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{old}")
-            gone.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(gone, True)
-        return self.read()
-
-
 def selected(items: DataFrame, config: Acquisition) -> DataFrame:
     """Items that their channel's policy takes; in mode ``all`` all of enabled channels."""
     on = [c for c in config.channels if c.enabled]
