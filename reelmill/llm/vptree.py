@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import stash, tidied
+from .shared import discard, stash, tidied
 
 #: Rows of a shard, and queries that are searched in one go.
 SHARD_ROWS = 4096
@@ -338,7 +338,8 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, factor:
     do rows with a null id; vectors of different lengths never meet; a repeated row is a candidate once, and of rows that repeat an id
     with other vectors the smallest vector asks, and the nearest answers; vectors of very large or small components are scaled
     by a power of two first, which leaves their cosines as they are; a query with
-    fewer than k candidates has as many rows; an empty table gives no rows; other columns are ignored.
+    fewer than k candidates has as many rows; an empty table gives no rows; other columns are ignored. The rows are read
+    from a table in the shared folder, which the caller may ``discard``; all others are deleted.
     """
     v = F.col(vector_col).cast("array<double>")
     rows = (
@@ -383,7 +384,9 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, factor:
         parts = asked.join(load, keys).withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("blocks")).cast("int")).select(*keys, "block", "vec_id", "v", "reach")
         sent = built.select(*keys, "tree").join(load, keys).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*keys, "block", "tree")
         by = [*keys, "block"]
-        return stash(parts.groupBy(*by).cogroup(sent.groupBy(*by)).applyInPandas(_search(k, factor), "query_id long, vec_id long, score double"), "found")
+        out = stash(parts.groupBy(*by).cogroup(sent.groupBy(*by)).applyInPandas(_search(k, factor), "query_id long, vec_id long, score double"), "found")
+        discard(load)
+        return out
 
     first = searched(home.select("vec_id", "v", "width", "leaf", "sub", F.lit(None).cast("double").alias("reach")))
     enough = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count(F.lit(1)) >= k, F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.min("score")))).alias("reach"))
@@ -394,4 +397,6 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, factor:
     second = searched(other)
     found = first.unionByName(second).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    return best.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    out = stash(best.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "nearest")
+    discard(rows, index, dealt, subs, built, home, first, second)
+    return out

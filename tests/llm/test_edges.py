@@ -89,3 +89,16 @@ def test_text_columns_are_found_as_spark_finds_them(spark):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     assert toxicity.reject_toxic(docs, labels).count() == 2
     assert ngram_join.keep_one_of_each(docs, n=5, num=80, den=100).count() == 2
+
+
+def test_searches_leave_one_table(spark):
+    import os
+
+    folder = shared.stash(spark.range(1), "probe")._stashed_at.rsplit("/", 1)[0].removeprefix("file:")
+    before = set(os.listdir(folder))
+    rng = np.random.default_rng(1)
+    out = vptree.nearest_neighbours(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(60, 3)))], "vec_id long, embedding array<double>"), every=20)
+    assert out.count() == 15
+    assert len(set(os.listdir(folder)) - before) == 1
+    shared.discard(out)
+    assert set(os.listdir(folder)) == before
