@@ -84,7 +84,8 @@ class RetryTimers(StatefulProcessor):
 def retry_events(outcomes: DataFrame, max_attempts: int = 3, delay_sec: float = 60, by_event_time: bool = False) -> DataFrame:
     """A stream of job outcomes (video_id, job_id, at, error; null where the job was done) as the events of its retries.
 
-    Timers go by the clock of the machine, or by the stream's own times: then rows without a job move the time on. State is
+    Timers go by the clock of the machine, or by the stream's own times: then rows without a job move the time on. A stream that
+    is started again looks at its timers from its first rows on, for which one without a job is enough. State is
     kept per item, so memory and work go with the items that have failed, not with the catalog. Needs a state store that
     knows timers (RocksDB). Rows without an item are left out.
     """

@@ -83,14 +83,14 @@ class Snapshots:
     # ---- writing ------------------------------------------------------------------------------------------------
 
     def _delta(self, name: str, new: DataFrame, old: DataFrame) -> dict[str, Any]:
-        """Write the rows of ``new`` that aren't in ``old`` as they are, and keys that went; returns where and how many."""
+        """Write the rows of ``new`` that aren't in ``old`` as they are, and keys that went; returns where and how many. A column that ``new`` hasn't is NULL."""
         key = TABLES[name][1]
         columns = old.columns
         # Of the old side only keys and hashes travel; a row whose hashes are the same is the same. A hash passes over
         # nulls, so where they stand is hashed too.
         empty = [F.isnull(c) for c in columns]
         hashes = F.struct(F.xxhash64(*columns, *empty), F.xxhash64(*empty, *reversed(columns)))
-        rows = new.select(*[F.col(c).cast(kind).alias(c) for c, kind in old.dtypes]).withColumn("_h", hashes)
+        rows = new.select(*[(F.col(c) if c in new.columns else F.lit(None)).cast(kind).alias(c) for c, kind in old.dtypes]).withColumn("_h", hashes)
         before = old.select(F.col(key).alias("_k"), hashes.alias("_was"))
         both = rows.join(before, F.col(key) == F.col("_k"), "full_outer").filter(~F.col("_h").eqNullSafe(F.col("_was")))
         gone = F.col(key).isNull()
