@@ -33,7 +33,7 @@ NAMES = frozenset(
 #: What may stand beside such a name in one word of a class or id: with any other word it is the name of something else.
 BESIDE = frozenset(
     "area bar block body bottom box btn button buttons card center close col column container content count css desktop div form frame grid group head header heading "
-    "holder icon icons image images inner item items js label large left line link links list main media message mobile module more note open outer page panel policy popular "
+    "holder icon icons image images inner item items js label large left line link links list main media message mobile module more note outer page panel policy popular "
     "post posts primary region right row secondary section sections site slot small story stories text title tool tools top unit view wrap wrapper".split()
 )
 #: Names of what is a block of its own and can outgrow the article it stands beside.
