@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,16 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import fold, sample_ids, texts_of
-from .shared import place_of, stash, tidied
+from .shared import discard, place_of, stash, tidied
 from .words import U, Words, mix, slices
 
 #: Features are hashes of so many bits; only those found telling get a weight.
 BITS = 30
 HEADS = (4, 5, 6, 7, 8)
-#: Bounds of what a classifier is fitted on: labelled texts, unlabelled ones for the steps, and features. Every text is counted and scored.
+#: The bound of what a classifier is fitted on: labelled texts. Every other text is counted, fitted to and scored.
 MOST_POSITIVE = 2500
-MOST_UNLABELLED = 6000
-MOST_FEATURES = 200_000
 #: In so many positives a feature has to be, or in an eighth of them where they are few.
 LEAST_TEXTS = 5
 FOLDS, HELD_OUT = 5, 0
@@ -88,40 +86,57 @@ def mixture_share(p: np.ndarray, u: np.ndarray, n_p: int, n_u: int, least: int =
     return max(1e-3, float(np.percentile(u[sure] / max(1, n_u) / (p[sure] / n_p), 25))) if sure.any() else 1.0
 
 
-def pu_risk(w: np.ndarray, bias: float, rows: list[np.ndarray], n_p: int, prior: float) -> tuple[float, float]:
-    """prior * E_p[loss(+)], and E_u[loss(-)] - prior * E_p[loss(-)], the estimate of the negative part; the first n_p rows are the positives.
+#: Parts of one in which a text's share in a gradient is counted: sums of whole numbers don't depend on the order of tasks.
+SHARES = 1 << 30
+#: Steps of the fit, each one pass over what is known of all unlabelled texts, and the first step's length, which falls to a tenth.
+STEPS, RATE = 40, 0.3
+
+
+def unlabelled_part(w: np.ndarray, bias: float, rows: list[np.ndarray], times: np.ndarray | None = None) -> np.ndarray:
+    """Over unlabelled rows, each so many times, in SHARES: the sum of loss(-), its gradient by each weight and by the bias, and how many rows.
 
     The loss is logistic: log(1 + e^-f) for a positive, log(1 + e^f) for a negative.
     """
+    n = np.ones(len(rows), np.int64) if times is None else times
     f = margins(w, bias, rows)
-    fp, fu = f[:n_p], f[n_p:]
-    return prior * float(np.logaddexp(0, -fp).mean()), float(np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean())
+    each = np.rint(sigmoid(f) * SHARES).astype(np.int64) * n
+    slope = np.zeros(len(w), np.int64)
+    if rows:
+        np.add.at(slope, np.concatenate(rows), np.repeat(each, [len(r) for r in rows]))
+    return np.concatenate(([(np.rint(np.logaddexp(0, f) * SHARES).astype(np.int64) * n).sum()], slope, [each.sum(), n.sum()]))
+
 
+def pu_risk(w: np.ndarray, bias: float, positives: list[np.ndarray], part: np.ndarray, prior: float) -> tuple[float, float]:
+    """prior * E_p[loss(+)], and E_u[loss(-)] - prior * E_p[loss(-)], the estimate of the negative part; ``part`` sums up the unlabelled rows."""
+    f = margins(w, bias, positives)
+    return prior * float(np.logaddexp(0, -f).mean()), float(part[0] / SHARES / part[-1] - prior * np.logaddexp(0, f).mean())
 
-def pu_gradient(w: np.ndarray, bias: float, rows: list[np.ndarray], n_p: int, prior: float) -> np.ndarray:
+
+def pu_gradient(w: np.ndarray, bias: float, positives: list[np.ndarray], part: np.ndarray, prior: float) -> np.ndarray:
     """Gradient of the non-negative PU risk by the weights and then the bias.
 
     Where the estimate of the negative part is below zero, the step goes the other way along that part alone, so
     that it isn't fitted further.
     """
-    sign = 1.0 if pu_risk(w, bias, rows, n_p, prior)[1] >= 0 else -1.0
-    f = margins(w, bias, rows)
-    sp, su = sigmoid(f[:n_p]), sigmoid(f[n_p:])
-    each = np.concatenate(((prior * (sp - 1) if sign > 0 else 0.0) / n_p - sign * prior * sp / n_p, sign * su / len(su)))
-    flat = np.concatenate(rows)
-    return np.append(np.bincount(flat, np.repeat(each, [len(r) for r in rows]), len(w)), each.sum())
+    sign = 1.0 if pu_risk(w, bias, positives, part, prior)[1] >= 0 else -1.0
+    s = sigmoid(margins(w, bias, positives))
+    each = prior / len(positives) * (-1.0 if sign > 0 else s) * np.ones(len(s))
+    flat = np.concatenate(positives)
+    mine = np.append(np.bincount(flat, np.repeat(each, [len(r) for r in positives]), len(w)), each.sum())
+    return mine + sign * part[1:-1] / SHARES / part[-1]
 
 
-def fit_nnpu(rows: list[np.ndarray], n_p: int, dim: int, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias from positive (the first n_p) and unlabelled rows of feature numbers, by full-batch Adam on the non-negative PU risk."""
+def fit_nnpu(positives: list[np.ndarray], unlabelled: Callable[[np.ndarray, float], np.ndarray], dim: int, prior: float, steps: int = STEPS, rate: float = RATE, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights and bias from positive rows of feature numbers, and a function that sums up all unlabelled rows under given ones, by full-batch Adam on the non-negative PU risk."""
     w, bias = np.zeros(dim), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(dim + 1), np.zeros(dim + 1)
     for step in range(1, steps + 1):
-        grad = pu_gradient(w, bias, rows, n_p, prior)
+        grad = pu_gradient(w, bias, positives, unlabelled(w, bias), prior)
         grad[:-1] += decay * w
         m = 0.9 * m + 0.1 * grad
-        v = 0.999 * v + 0.001 * grad * grad
-        move = rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step) * m / (np.sqrt(v) + 1e-8)
+        v = 0.99 * v + 0.01 * grad * grad
+        length = rate * (1 - 0.9 * (step - 1) / max(1, steps - 1))
+        move = length * np.sqrt(1 - 0.99**step) / (1 - 0.9**step) * m / (np.sqrt(v) + 1e-8)
         w, bias = np.maximum(w - move[:-1], 0), bias - move[-1]  # telling features speak for toxicity only
     return w, bias
 
@@ -173,16 +188,44 @@ def _counts(known: Known):
 
 
 def _rows_of(known: Known):
+    """The numbers of each text's telling features."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in slices(batch.column(1)):
+            for lo, hi, data, offsets in slices(batch.column(0)):
                 doc, number = known.hits(Words(data, offsets))
                 rows = [x.astype(np.int32).tobytes() for x in np.split(number, np.searchsorted(doc, np.arange(1, hi - lo)))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(rows, pa.binary())], ["positive", "vector"])
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["vector"])
 
     return run
 
 
+def _parts(w: np.ndarray, bias: float):
+    """A task's ``unlabelled_part``, as the places that aren't zero."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(w) + 3, np.int64)
+        for batch in batches:
+            rows = [np.frombuffer(v, np.int32) for v in batch.column(0).to_pylist()]
+            total += unlabelled_part(w, bias, rows, batch.column(1).to_numpy())
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["place", "total"])
+
+    return run
+
+
+def _all_parts(vectors: DataFrame) -> Callable[[np.ndarray, float], np.ndarray]:
+    """``unlabelled_part`` over a table of vectors and how often each is there: a pass by all tasks, of which only the sums come back."""
+
+    def sums(w: np.ndarray, bias: float) -> np.ndarray:
+        total = np.zeros(len(w) + 3, np.int64)
+        for place, n in vectors.mapInArrow(_parts(w, bias), "place long, total long").groupBy("place").agg(F.sum("total")).collect():
+            total[place] = n
+        return total
+
+    return sums
+
+
 def _scores(model: Linear):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,7 +239,7 @@ def _scores(model: Linear):
 def _count(texts: DataFrame, names: np.ndarray) -> tuple[np.ndarray, int]:
     """In how many texts each feature is, and how many texts there are."""
     u, n_u = np.zeros(len(names), np.int64), 0
-    for feature, n in texts.select("text").mapInArrow(tidied(_counts(Known(names))), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect():
+    for feature, n in texts.mapInArrow(tidied(_counts(Known(names))), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect():
         if feature < 0:
             n_u = n
         else:
@@ -204,13 +247,14 @@ def _count(texts: DataFrame, names: np.ndarray) -> tuple[np.ndarray, int]:
     return u, n_u
 
 
-def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED, most_features: int = MOST_FEATURES) -> Linear:
-    """Fit on rows outside the held-out fold: texts marked toxic as positives, and any other texts as unlabelled.
+def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE) -> Linear:
+    """Fit on rows outside the held-out fold: texts marked toxic as positives, and all texts as unlabelled.
 
-    Features of a bounded sample of positives are counted in all texts of those folds, the unlabelled ones, and
-    those that are telling are kept. The class prior is the share of toxic among the labelled rows, or less where these
-    counts prove it. The weights are then fitted on the sample of positives and a sample of unlabelled texts, each
-    text no more than the numbers of its telling features. Samples are picked by a hash of the id, one text for each.
+    Features of a bounded sample of positives, picked by a hash of the id, are counted in all texts of those folds,
+    the unlabelled ones, and those that are telling are kept. The class prior is the share of toxic among the labelled
+    rows, or less where these counts prove it; a feature proves something from 20 positives on, so with fewer of them
+    the labelled share stands. Each text is then no more than the numbers of its telling features, alike ones counted
+    together, and every step of the fit is a pass over all of them.
     Without positives, or without texts, the model scores everything near 0.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
@@ -220,33 +264,31 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE
     nothing = Linear(np.zeros(0, np.int32), np.zeros(0), -4.0)
     if not share:
         return nothing
-    positives = stash(sample_ids(marks.filter("toxic = 1").select("doc_id"), most_positive, 1).withColumn("positive", F.lit(1).cast("long")), "toxic-ids")
-    texts = stash(texts_of(rows, positives), "toxic-texts")
+    ids = stash(sample_ids(marks.filter("toxic = 1").select("doc_id"), most_positive, 1), "toxic-ids")
+    texts = stash(texts_of(rows, ids), "toxic-texts")
     n_p = texts.count()
-    if not n_p:
-        return nothing
-    least = min(LEAST_TEXTS, max(2, n_p // 8))
-    counted = texts.select("text").mapInArrow(tidied(_features), "feature int").groupBy("feature").agg(F.count(F.lit(1)).alias("p")).filter(F.col("p") >= least)
-    found = np.array([tuple(r) for r in counted.orderBy(F.desc("p"), "feature").limit(most_features).collect()], np.int64).reshape(-1, 2)
-    found = found[np.argsort(found[:, 0])]
-    names, p = found[:, 0].astype(np.int32), found[:, 1]
     # Any text may be unlabelled, the confirmed among them: so toxic texts have the prior's share here.
-    free = rows.filter(fold("doc_id", FOLDS) != HELD_OUT)
-    others = sample_ids(free.select("doc_id"), most_unlabelled, 2).withColumn("positive", F.lit(0).cast("long"))
-    some = stash(texts_of(rows, others), "unlabelled-texts")
-    # What isn't rarer in a sample by two deviations won't be by five in all texts, so it isn't looked for there.
-    u, n_u = _count(some, names)
-    if not n_u:
-        return nothing
-    maybe = telling(p, u, n_p, n_u, 2.0)
-    names, p = names[maybe], p[maybe]
-    u, n_u = _count(free, names)
-    kept = telling(p, u, n_p, n_u)
-    prior = min(max(share, 1e-3), 0.9, mixture_share(p[kept], u[kept], n_p, n_u))
-    sample = texts.select("positive", "text").unionByName(some.select("positive", "text"))
-    got = sample.mapInArrow(tidied(_rows_of(Known(names[kept]))), "positive long, vector binary").collect()
-    got.sort(key=lambda r: (-r[0], r[1]))  # the sums of a fit shouldn't depend on the order of tasks
-    w, bias = fit_nnpu([np.frombuffer(r[1], np.int32) for r in got], n_p, int(kept.sum()), prior)
+    free = rows.filter(fold("doc_id", FOLDS) != HELD_OUT).select("text")
+    try:
+        if not n_p:
+            return nothing
+        least = min(LEAST_TEXTS, max(2, n_p // 8))
+        counted = texts.select("text").mapInArrow(tidied(_features), "feature int").groupBy("feature").agg(F.count(F.lit(1)).alias("p")).filter(F.col("p") >= least)
+        found = np.array([tuple(r) for r in counted.collect()], np.int64).reshape(-1, 2)
+        found = found[np.argsort(found[:, 0])]
+        names, p = found[:, 0].astype(np.int32), found[:, 1]
+        u, n_u = _count(free, names)
+        if not n_u:
+            return nothing
+        kept = telling(p, u, n_p, n_u)
+        prior = min(max(share, 1e-3), 0.9, mixture_share(p[kept], u[kept], n_p, n_u))
+        rows_of = tidied(_rows_of(Known(names[kept])))
+        positives = sorted(r[0] for r in texts.select("text").mapInArrow(rows_of, "vector binary").collect())
+    finally:
+        discard(ids, texts)
+    vectors = stash(free.mapInArrow(rows_of, "vector binary").groupBy("vector").agg(F.count(F.lit(1)).alias("n")), "unlabelled-vectors")
+    w, bias = fit_nnpu([np.frombuffer(v, np.int32) for v in positives], _all_parts(vectors), int(kept.sum()), prior)
+    discard(vectors)
     return Linear(names[kept], w, bias)
 
 
