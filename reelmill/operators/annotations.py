@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import rules
+from .ranking import ranked_within
 
 
 class AnnotationError(ValueError):
@@ -54,8 +55,8 @@ def append_events(events: DataFrame, new: DataFrame, clips: DataFrame, zones: Da
 def numbered_zones(zones: DataFrame, prefixes: dict[str, str]) -> DataFrame:
     """Zone ids by type within a camera view, in drawing order: SW01, SW02, ..."""
     prefix = F.coalesce(F.create_map(*[F.lit(x) for p in prefixes.items() for x in p])[F.col("zone_type")], F.lit("Z"))
-    n = F.row_number().over(Window.partitionBy("camera_id", "view_id", "zone_type").orderBy("ordinal"))
-    return zones.withColumn("zone_id", F.concat(prefix, F.format_string("%02d", n)))
+    numbered = ranked_within(zones, ["camera_id", "view_id", "zone_type"], ["ordinal"], "_n")
+    return numbered.withColumn("zone_id", F.concat(prefix, F.format_string("%02d", F.col("_n")))).drop("_n")
 
 
 def nearest_samples(wanted: Column, sampled: Column) -> Column:

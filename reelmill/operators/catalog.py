@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranking import with_previous
+
 # ---- fixed values: states and the moves between them ------------------------------------------------------------
 BUSY = ("QUEUED", "DOWNLOADING", "RECORDING", "VALIDATING")
 IN_FLIGHT = ("DOWNLOADING", "RECORDING", "VALIDATING")
@@ -258,8 +260,7 @@ def move(items: DataFrame, moves: DataFrame, now: Column) -> DataFrame:
 
 def illegal_moves(log: DataFrame, key: str, order: list[str], state: str) -> DataFrame:
     """Rows of a state log whose step from the row before the table doesn't allow."""
-    before = F.lag(state).over(Window.partitionBy(key).orderBy(*order))
-    return log.withColumn("previous_state", before).filter(F.col("previous_state").isNotNull() & ~can_move(F.col("previous_state"), F.col(state)))
+    return with_previous(log, key, order, state, "previous_state").filter(F.col("previous_state").isNotNull() & ~can_move(F.col("previous_state"), F.col(state)))
 
 
 def broken_uniqueness(jobs: DataFrame) -> DataFrame:

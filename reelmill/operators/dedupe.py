@@ -10,7 +10,10 @@ from .ranking import ranked
 
 
 def first_per_key(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """The first row of each key in the given order; a total order makes it the same every time."""
+    """The first row of each key in the given order; a total order makes it the same every time.
+
+    Spark keeps one row of each key in a task before it shuffles (a window group limit), so no key is too large.
+    """
     w = Window.partitionBy(*keys).orderBy(*order)
     return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
@@ -80,6 +83,12 @@ def fallback_match(files: DataFrame, manifest: DataFrame, file_path: str = "path
 
 
 def collision_suffix(files: DataFrame, id_col: str = "clip_id", path_col: str = "path") -> DataFrame:
-    """Later files with an id that is taken get a suffix from their path's hash."""
-    w = Window.partitionBy(id_col).orderBy(path_col)
-    return files.withColumn(id_col, F.when(F.row_number().over(w) > 1, F.concat(id_col, F.lit("-"), F.substring(F.sha2(path_col, 256), 1, 8))).otherwise(F.col(id_col)))
+    """Files with an id that a file of a smaller path has get a suffix from their path's hash; rows that repeat a path are one file and get one id.
+
+    Only ids that are taken twice, with their smallest path, are joined back, so an id's files need not meet in a task.
+    """
+    path = F.struct(F.col(path_col).alias("p"))
+    taken = files.groupBy(F.col(id_col).alias("_id")).agg(F.min(path).alias("_first"), F.max(path).alias("_last")).filter(~F.col("_first").eqNullSafe(F.col("_last")))
+    suffixed = F.concat(id_col, F.lit("-"), F.substring(F.sha2(path_col, 256), 1, 8))
+    later = F.col("_first").isNotNull() & ~path.eqNullSafe(F.col("_first"))
+    return files.join(taken, F.col(id_col) == F.col("_id"), "left").withColumn(id_col, F.when(later, suffixed).otherwise(F.col(id_col))).select(*files.columns)

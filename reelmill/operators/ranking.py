@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,6 +33,32 @@ def ranked(rows: DataFrame, order: list[str | Column], name: str) -> DataFrame:
     return placed.withColumn("_p", part).join(F.broadcast(before), "_p").withColumn(name, (inside + F.col("_before")).cast("long")).drop("_p", "_at", "_before")
 
 
+def ranked_within(rows: DataFrame, keys: list[str], order: list[str | Column], name: str) -> DataFrame:
+    """``rows`` with 1.. in the given order within each key under ``name``: places in a global order by key, less the key's first place.
+
+    So a key that holds a third of all rows is numbered by many tasks. NULL is a key like others.
+    """
+    placed = ranked(rows, [*keys, *order], "_place")
+    first = placed.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min("_place").alias("_from"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return placed.join(first, same).withColumn(name, F.col("_place") - F.col("_from") + 1).drop("_place", "_from", *[f"_k{i}" for i in range(len(keys))])
+
+
+def with_previous(rows: DataFrame, key: str, order: list[str], column: str, name: str) -> DataFrame:
+    """``rows`` with the ``column`` of the row before, within the key and in the given order, under ``name``; NULL for a key's first row.
+
+    Rows are dealt by ranges of key and order, so a key that holds very many rows goes on over several stretches, each of
+    which hands its last value on to the next: one row for each key and stretch.
+    """
+    dealt = stash(rows.repartitionByRange(_parts(rows), key, *order).withColumn("_p", F.spark_partition_id()), "stretches")
+    last = dealt.groupBy("_p", key).agg(F.max_by(F.struct(F.col(column).alias("v")), F.struct(*order)).alias("_last"))
+    handed = last.select(F.col("_p").alias("_at"), F.col(key).alias("_k"), F.lag("_last").over(Window.partitionBy(key).orderBy("_p")).alias("_handed"))
+    w = Window.partitionBy("_p", key).orderBy(*order)
+    inside = dealt.withColumns({"_n": F.row_number().over(w), "_lag": F.lag(column).over(w)})
+    both = inside.join(handed, (F.col("_p") == F.col("_at")) & F.col(key).eqNullSafe(F.col("_k")))
+    return both.withColumn(name, F.when(F.col("_n") == 1, F.col("_handed.v")).otherwise(F.col("_lag"))).drop("_p", "_at", "_k", "_n", "_lag", "_handed")
+
+
 #: Rank error of the sketch is one part in so many; its size grows with it.
 ACCURACY = 10_000
 #: Distinct values that are gathered for one quantile, about; brackets that hold more are narrowed first.

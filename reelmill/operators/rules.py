@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -280,7 +280,11 @@ def zone_rows(zone_documents: DataFrame) -> DataFrame:
     z = zone_documents.select("camera_id", "view_id", F.get("resolution", F.lit(0)).alias("width"), F.get("resolution", F.lit(1)).alias("height"), F.explode_outer("zones").alias("z"))
     good = F.col("z.zone_type").isin(*ZONE_TYPES) & S.polygon_valid(F.col("z.polygon"), F.col("width"), F.col("height"))
     rows = z.select("camera_id", "view_id", "width", "height", F.col("z.zone_id").alias("zone_id"), F.col("z.zone_type").alias("zone_type"), F.coalesce(good, F.lit(False)).alias("valid"))
-    return rows.withColumn("times", F.count("zone_id").over(Window.partitionBy("camera_id", "view_id", "zone_id")))
+    # Counts of ids that stand more than once come back, so the zones of a view need not meet in a task.
+    again = rows.filter("zone_id is not null").groupBy(F.col("camera_id").alias("_c"), F.col("view_id").alias("_v"), F.col("zone_id").alias("_z")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    same = F.col("camera_id").eqNullSafe(F.col("_c")) & F.col("view_id").eqNullSafe(F.col("_v")) & (F.col("zone_id") == F.col("_z"))
+    times = F.when(F.col("zone_id").isNull(), F.lit(0)).otherwise(F.coalesce("_n", F.lit(1))).cast("long")
+    return rows.join(again, same, "left").withColumn("times", times).drop("_c", "_v", "_z", "_n")
 
 
 def cross_issues(clips: DataFrame, cameras: DataFrame, zone_documents: DataFrame, scenarios: DataFrame, events: DataFrame, splits: DataFrame, sources: DataFrame, labels: DataFrame, classes: list[str], grouping: str = "source_video_id") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -100,34 +101,67 @@ def near_duplicate(a: str, b: str, content: float, adjacent: float, adjacency_se
     return (c(a, "source_id") == c(b, "source_id")) & ((similar >= content) | ((F.greatest(gap, F.lit(0.0)) <= adjacency_sec) & (similar >= adjacent)))
 
 
+#: So many chosen rows are broadcast.
+MOST_CHOSEN = 20_000
+
+
 def redundant(rows: DataFrame, chosen: DataFrame, content: float = 0.95, adjacent: float = 0.86, adjacency_sec: float = 11.0) -> DataFrame:
-    """Rows not chosen that some chosen row makes redundant. The chosen ones are a shortlist, joined by source."""
-    return rows.alias("r").join(chosen.alias("c"), near_duplicate("r", "c", content, adjacent, adjacency_sec) & (F.col("r.clip_id") != F.col("c.clip_id")), "left_semi").join(chosen.select("clip_id"), "clip_id", "left_anti")
+    """Rows not chosen that some chosen row makes redundant.
+
+    The chosen ones are a shortlist, broadcast up to MOST_CHOSEN, so that no source's rows meet in a task; more are joined by source.
+    """
+    short = chosen.limit(MOST_CHOSEN + 1).count() <= MOST_CHOSEN
+    return rows.alias("r").join((F.broadcast(chosen) if short else chosen).alias("c"), near_duplicate("r", "c", content, adjacent, adjacency_sec) & (F.col("r.clip_id") != F.col("c.clip_id")), "left_semi").join(chosen.select("clip_id"), "clip_id", "left_anti")
 
 
 #: Signatures that are held against each other at a time.
 BLOCK_ROWS = 2048
-#: A band of fewer bits brings more rows together than blocks do.
-LEAST_BAND_BITS = 8
+#: A band of fewer bits brings more rows together than blocks do, and so do neighbouring bands that make up more than this share of all pairs.
+LEAST_BAND_BITS, MOST_SHARE = 8, 0.1
+
+
+def bands_of(distance: int) -> tuple[int, int] | None:
+    """(bands, radius): of two signatures within ``distance`` one band at least differs in no more than ``radius`` bits. None where that says too little."""
+    if 64 // (distance + 1) >= LEAST_BAND_BITS:
+        return distance + 1, 0
+    bands = distance // 2 + 1
+    width = 64 // bands
+    return (bands, 1) if bands * (1 + width) <= MOST_SHARE * (1 << width) else None
 
 
 def signature_pairs(rows: DataFrame, distance: int) -> DataFrame:
     """Pairs of one source whose 64-bit signatures differ in at most ``distance`` bits.
 
-    Of the signature's distance + 1 bands one must be equal: while bands are wide, only rows that share a band meet.
+    The signature is cut into bands. Up to distance 7 one band must be equal; up to 11 one differs in a bit at most, so
+    each row also asks for its bands with one bit turned. Only rows that meet in such a cell of their source are compared, and a
+    pair counts in its first common band alone. Cells of more than BLOCK_ROWS rows are split on both sides.
     For larger distances every pair of a source may be one, so each source's rows are dealt into blocks and each pair of
     blocks is compared in one go: a task holds two blocks, and only pairs that pass are made.
     """
-    if 64 // (distance + 1) < LEAST_BAND_BITS:
+    cut = bands_of(distance)
+    if cut is None:
         return _pairs_of_blocks(rows, distance)
-    bands = distance + 1
+    bands, radius = cut
     edges = [round(64 * i / bands) for i in range(bands + 1)]
-    keys = [F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("signature", edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1 if bands > 1 else -1)).alias("bits")) for i in range(bands)]
-    marked = rows.select("clip_id", "source_id", "signature", F.explode(F.array(*keys)).alias("k"))
-    a, b = marked.alias("a"), marked.alias("b")
-    apart = F.bit_count(F.col("a.signature").bitwiseXOR(F.col("b.signature")))
-    same = (F.col("a.source_id") == F.col("b.source_id")) & (F.col("a.k") == F.col("b.k")) & (F.col("a.clip_id") < F.col("b.clip_id")) & (apart <= distance)
-    return a.join(b, same).select(F.col("a.source_id").alias("source_id"), F.col("a.clip_id").alias("left_id"), F.col("b.clip_id").alias("right_id"), apart.cast("int").alias("distance")).distinct()
+    part = lambda c, i: F.shiftrightunsigned(c, edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1 if bands > 1 else -1))
+    cell = lambda i, turned: F.struct(F.lit(i).alias("band"), part(F.col("signature"), i).bitwiseXOR(F.lit(turned)).alias("bits"))
+    home = [cell(i, 0) for i in range(bands)]
+    asked = home + [cell(i, 1 << b) for i in range(bands) if radius for b in range(edges[i + 1] - edges[i])]
+    marked = lambda cells: rows.select("clip_id", "source_id", "signature", F.explode(F.array(*cells)).alias("_c")).select("clip_id", "source_id", "signature", "_c.*")
+    by = ["source_id", "band", "bits"]
+    large = marked(home).groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > BLOCK_ROWS).select(*by, F.ceil(F.col("_n") / BLOCK_ROWS).cast("int").alias("_k"))
+
+    def dealt(cells: list[Column], mine: str, other: str) -> DataFrame:
+        split = marked(cells).join(large, by, "left").withColumn("_k", F.coalesce("_k", F.lit(1)))
+        return split.withColumn(mine, F.pmod(F.xxhash64("clip_id"), F.col("_k")).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+
+    a, b = dealt(home, "_i", "_j").alias("a"), dealt(asked, "_j", "_i").alias("b")
+    differ = F.col("a.signature").bitwiseXOR(F.col("b.signature"))
+    apart = F.bit_count(differ)
+    first = F.coalesce(*[F.when(F.bit_count(part(differ, i)) <= radius, F.lit(i)) for i in range(bands)])
+    same = reduce(lambda x, y: x & y, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in [*by, "_i", "_j"]])
+    met = a.join(b, same & (F.col("a.clip_id") < F.col("b.clip_id")) & (apart <= distance) & (F.col("a.band") == first))
+    return met.select(F.col("a.source_id").alias("source_id"), F.col("a.clip_id").alias("left_id"), F.col("b.clip_id").alias("right_id"), apart.cast("int").alias("distance"))
 
 
 def _pairs_of_blocks(rows: DataFrame, distance: int) -> DataFrame:

@@ -384,6 +384,15 @@ def signature_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.signature_pairs(V.signatures(spark, sf_dir), 22)
 
 
+@query(
+    f"""WITH {V.SIGNATURES} SELECT a.source_id, least(a.clip_id, b.clip_id) AS left_id, greatest(a.clip_id, b.clip_id) AS right_id, bit_count(xor(a.bits, b.bits))::INT AS distance FROM signatures a JOIN signatures b ON a.source_id = b.source_id AND a.clip_id < b.clip_id
+        WHERE bit_count(xor(a.bits, b.bits)) <= 9"""
+)
+def signature_adjacent_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs as alike as neighbours on a timeline have to be (0.86), found by bands with one bit turned."""
+    return scoring.signature_pairs(V.signatures(spark, sf_dir), 9)
+
+
 @query(
     f"""WITH {V.SIGNATURES}, c AS (SELECT * FROM signatures WHERE vec_id % 10 = 0) SELECT r.clip_id FROM signatures r SEMI JOIN c ON r.source_id = c.source_id AND r.clip_id != c.clip_id AND (bit_count(xor(r.bits, c.bits)) <= 64 * 0.3
         OR (greatest(0.0, greatest(r.start_sec, c.start_sec) - least(r.end_sec, c.end_sec)) <= 500 AND bit_count(xor(r.bits, c.bits)) <= 64 * 0.4)) WHERE vec_id % 10 != 0"""

@@ -1,5 +1,6 @@
 """Runs over files and catalogs, and operators against plain versions of themselves."""
 
+import hashlib
 import json
 import logging
 import random
@@ -107,7 +108,7 @@ def test_one_long_timeline_over_many_stretches(spark):
     assert {r.clip_candidate_id: r.clip_number for r in jobs.filter("source_video_id = 'hot'").collect()} == {c: i + 1 for i, c in enumerate(order)}
 
 
-@pytest.mark.parametrize("distance", [0, 3, 7, 22, 40])
+@pytest.mark.parametrize("distance", [0, 3, 7, 9, 11, 12, 22, 40])
 def test_signature_pairs(spark, distance, monkeypatch):
     monkeypatch.setattr(scoring, "BLOCK_ROWS", 16)
     rng = random.Random(2)
@@ -118,6 +119,68 @@ def test_signature_pairs(spark, distance, monkeypatch):
     assert got == {(a[0], b[0], d) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] and (d := (a[2] ^ b[2]).bit_count()) <= distance}
 
 
+@pytest.mark.parametrize("distance", [7, 9])
+def test_signature_pairs_of_one_hot_cell(spark, distance, monkeypatch):
+    """A third of all rows share a band and differ elsewhere; copies are paired once, NULL signatures with nothing."""
+    monkeypatch.setattr(scoring, "BLOCK_ROWS", 8)
+    rng = random.Random(5)
+    hot = [0x1FFF | (rng.getrandbits(9) << 30) for _ in range(40)]
+    rows = [(f"c{i:03d}", "s", x) for i, x in enumerate([*hot, *hot[:3], *(rng.getrandbits(62) for _ in range(60))])] + [("n1", "s", None), ("n2", None, hot[0])]
+    df = spark.createDataFrame(rows, "clip_id string, source_id string, signature long").repartition(5)
+    got = sorted((r.left_id, r.right_id, r.distance) for r in scoring.signature_pairs(df, distance).collect())
+    real = [r for r in rows if None not in r]
+    assert got == sorted((a[0], b[0], d) for a in real for b in real if a[0] < b[0] and (d := (a[2] ^ b[2]).bit_count()) <= distance)
+
+
+@pytest.mark.parametrize("most", [0, 100])
+def test_redundant_on_both_sides_of_its_bound(spark, most, monkeypatch):
+    monkeypatch.setattr(scoring, "MOST_CHOSEN", most)
+    rng = random.Random(6)
+    rows = [(f"c{i}", rng.choice("st"), rng.getrandbits(8), float(i * 10), float(i * 10 + 5)) for i in range(40)]
+    df = spark.createDataFrame(rows, "clip_id string, source_id string, signature long, start_sec double, end_sec double")
+    chosen = df.filter("clip_id in ('c1', 'c7', 'c20')")
+    alike = lambda a, b: 1 - (a[2] ^ b[2]).bit_count() / 64
+    near = lambda a, b: max(0.0, max(a[3], b[3]) - min(a[4], b[4])) <= 11
+    picked = [r for r in rows if r[0] in ("c1", "c7", "c20")]
+    want = {a[0] for a in rows if a not in picked for b in picked if a[1] == b[1] and (alike(a, b) >= 0.97 or near(a, b) and alike(a, b) >= 0.95)}
+    assert {r.clip_id for r in scoring.redundant(df, chosen, 0.97, 0.95).collect()} == want
+
+
+def test_numbers_and_previous_values_within_hot_keys(spark):
+    """One key holds most rows and goes on over several stretches; NULL is a key, and NULL values are carried as they are."""
+    rng = random.Random(7)
+    rows = [("hot", i, rng.choice(["x", "y", None])) for i in range(200)] + [(k, i, "z") for k in ("a", "b", None) for i in range(3)]
+    df = spark.createDataFrame(rng.sample(rows, len(rows)), "k string, at int, v string")
+    place, before = {}, {}
+    for k in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == k), key=lambda r: r[1])
+        place |= {(k, r[1]): n + 1 for n, r in enumerate(mine)}
+        before |= {(k, r[1]): mine[n - 1][2] if n else None for n, r in enumerate(mine)}
+    assert {(r.k, r.at): r.n for r in ranking.ranked_within(df, ["k"], ["at"], "n").collect()} == place
+    out = ranking.with_previous(df, "k", ["at"], "v", "was")
+    assert {(r.k, r.at): r.was for r in out.collect()} == before and out.columns == ["k", "at", "v", "was"]
+    assert ranking.with_previous(df.limit(0), "k", ["at"], "v", "was").count() == 0
+
+
+def test_taken_ids_and_repeated_zones(spark):
+    files = spark.createDataFrame([("a", "p2"), ("a", "p1"), ("a", "p1"), ("b", "p3"), (None, "p4"), ("c", None), ("c", "p5")], "clip_id string, path string")
+    tail = lambda p: hashlib.sha256(p.encode()).hexdigest()[:8]
+    got = sorted((r.clip_id or "", r.path or "") for r in dedupe.collision_suffix(files).collect())
+    assert got == sorted([(f"a-{tail('p2')}", "p2"), ("a", "p1"), ("a", "p1"), ("b", "p3"), ("", "p4"), ("c", ""), (f"c-{tail('p5')}", "p5")])
+    square = [[0.0, 0.0], [5.0, 0.0], [5.0, 5.0]]
+    zone = "camera_id string, view_id string, resolution array<int>, zones array<struct<zone_id:string,zone_type:string,polygon:array<array<double>>>>"
+    z = spark.createDataFrame([("c", "v", [10, 10], [("1", "SIDEWALK", square), ("1", "SIDEWALK", square), (None, "SIDEWALK", square), ("2", "X", square)]), (None, "v", [10, 10], [("1", "ALLOWED", square)] * 3), ("e", "v", None, [])], zone)
+    assert sorted((r.camera_id or "", r.zone_id or "", r.times) for r in rules.zone_rows(z).collect()) == [("", "1", 3)] * 3 + [("c", "", 0), ("c", "1", 2), ("c", "1", 2), ("c", "2", 1), ("e", "", 0)]
+
+
+def test_first_rows_are_picked_before_the_shuffle(spark):
+    df = spark.range(1000).selectExpr("if(id < 900, 0, id) k", "id")
+    out = dedupe.first_per_key(df, ["k"], [F.desc("id")])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and plan.rindex("WindowGroupLimit") > plan.index("Exchange hashpartitioning")
+    assert {(r.k, r.id) for r in out.collect()} == {(0, 899)} | {(i, i) for i in range(900, 1000)}
+
+
 def test_preferred_sources_without_names(spark):
     rows = [(f"v{i}", "", "", "valid", "x.mp4", f"p{i}") for i in range(20)] + [("a", "s", "h", "valid", "copy.mp4", "q"), ("b", "s", "h", "valid", "source.mp4", "r"), ("c", "t", "h", "invalid", "source.mp4", "a"), ("d", None, "h", "valid", "source.mp4", "z")]
     got = {r.video_id: (r.duplicate_source, r.duplicate_checksum) for r in dedupe.preferred_sources(spark.createDataFrame(rows, "video_id string, source_video_id string, sha256 string, status string, filename string, local_path string")).collect()}
