@@ -11,8 +11,8 @@ from ..functions import frames
 from ..functions import scalars as S
 from ..operators import analysis, annotations, catalog, dedupe, intervals, ranking, registry, release, rules, segmentation, selection, split, summaries
 from ..settings import Acquisition, Channel, fingerprint
-from ..sources import sinks, tables
-from ..storage import shared_dir
+from ..sources import cutting, sinks, tables
+from ..storage import shared_dir, stash
 from ..streaming import watcher
 from ..streaming.store import Snapshots
 from . import views as V
@@ -369,6 +369,33 @@ def pending_trims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segmentation.pending(jobs, there).select("source_video_id", "start_sec")
 
 
+@query(
+    """SELECT doc_id, CASE WHEN length(coalesce(text, '')) > 400 THEN 'failed' ELSE 'cut' END AS first_outcome, CASE WHEN length(coalesce(text, '')) > 400 THEN 'cut' END AS second_outcome,
+        octet_length(encode(coalesce(text, ''))) AS file_size_bytes, sha256(coalesce(text, '')) AS sha256 FROM documents WHERE doc_id IS NOT NULL"""
+)
+def resumed_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text is cut to a file by a provider that has no room for long ones at first; the second run cuts those alone, and the log of both is folded."""
+    root = f"{shared_dir(spark)}/reelmill-cuts-{uuid.uuid4().hex}"
+    texts = V.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("clip_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def cutter(most: int | None):
+        def cut(job, out, cancelled):
+            if most is not None and len(job["text"]) > most:
+                raise OSError("no room")
+            out.write(job["text"].encode())
+
+        return cut
+
+    runs = []
+    for most in (400, None):
+        done = cutting.cut_clips(texts, f"{root}/clips", f"{root}/log", cutter(most), ".txt").select("clip_id", "outcome")
+        runs.append(stash(done, "outcomes"))
+        cutting.fold(spark, f"{root}/log")
+    first, second = runs[0].withColumnRenamed("outcome", "first_outcome"), runs[1].withColumnRenamed("outcome", "second_outcome")
+    out = first.join(second, "clip_id", "left").join(cutting.finished(spark, f"{root}/log"), "clip_id")
+    return out.select(F.col("clip_id").cast("long").alias("doc_id"), "first_outcome", "second_outcome", "file_size_bytes", "sha256")
+
+
 @query(f"WITH {_REVIEW}, {_CUT}, n AS (SELECT *, row_number() OVER (PARTITION BY source_video_id ORDER BY start_sec, end_sec, id) AS k FROM made) SELECT source_video_id, k::INT AS clip_number, round(end_sec - start_sec, 3) AS duration_sec, CASE WHEN k = 1 THEN 'cam' ELSE '' END AS camera_id, false AS incomplete FROM n WHERE k != 2 UNION ALL SELECT source_video_id, 2, NULL, NULL, true FROM n WHERE k = 2")
 def reconciled_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest rebuilt from files: the second clip of each source is too short, the first had a camera."""

@@ -385,12 +385,16 @@ def signature_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {V.SIGNATURES} SELECT a.source_id, least(a.clip_id, b.clip_id) AS left_id, greatest(a.clip_id, b.clip_id) AS right_id, bit_count(xor(a.bits, b.bits))::INT AS distance FROM signatures a JOIN signatures b ON a.source_id = b.source_id AND a.clip_id < b.clip_id
-        WHERE bit_count(xor(a.bits, b.bits)) <= 9"""
+    f"""WITH {V.SIGNATURES}, turned AS (SELECT clip_id || 'b' AS clip_id, source_id, array_to_string(list_transform(embedding, lambda x, i: CASE WHEN coalesce(x > 0, false) != (i <= e.vec_id % 16) THEN '1' ELSE '0' END), '')::BIT AS bits
+        FROM signatures s JOIN embeddings e USING (vec_id)), clips AS (SELECT clip_id, source_id, bits FROM signatures UNION ALL FROM turned)
+        SELECT a.source_id, a.clip_id AS left_id, b.clip_id AS right_id, bit_count(xor(a.bits, b.bits))::INT AS distance FROM clips a JOIN clips b ON a.source_id = b.source_id AND a.clip_id < b.clip_id WHERE bit_count(xor(a.bits, b.bits)) <= 9"""
 )
 def signature_adjacent_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs as alike as neighbours on a timeline have to be (0.86), found by bands with one bit turned."""
-    return scoring.signature_pairs(V.signatures(spark, sf_dir), 9)
+    """Pairs as alike as neighbours on a timeline have to be (0.86), by bands with one bit turned: each embedding's clip and one that follows it with some bits changed."""
+    clips = V.signatures(spark, sf_dir).select("clip_id", "source_id", "signature", "vec_id")
+    changed = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("vec_id", F.lit(16)).cast("int")) - 1
+    after = clips.withColumns({"clip_id": F.concat("clip_id", F.lit("b")), "signature": F.col("signature").bitwiseXOR(changed)})
+    return scoring.signature_pairs(clips.unionByName(after), 9)
 
 
 @query(
