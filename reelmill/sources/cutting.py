@@ -1,9 +1,13 @@
-"""Cut clips by a provider, with a log of one marker for each finished clip: what is done stays done, however often a run ends early.
+"""Cut clips by a provider, with a log of markers for finished clips: what is done stays done, however often a run ends early.
 
-A file is named by its clip and its content, and gets its name only when it is whole; then the marker that names it, with
+A file is named by its clip and its content, and gets its name only when it is whole; then a marker that names it, with
 size and hash, is put in place by a rename. So a marker is true of the file it names whichever attempt wrote it: a twin of a
 task, or one that runs again, either finds the marker and accepts it or replaces it by one that is as true.
 
+A task takes its jobs in slices of ``SLICE``; the markers of a slice are the lines of one file, named by the slice's ids and put in
+place anew when ``FLUSH_SEC`` have passed since the last time, and at the slice's end. So clips that take long have their
+marker at once, and short ones don't make a file each; a task that is lost costs what it cut within that time.
+
 Markers are folded into a table now and then (``fold``), so that no folder holds a file for every clip for good.
 """
 
@@ -11,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from typing import Any, BinaryIO
@@ -25,6 +30,8 @@ from .tables import path_exists
 
 #: A provider writes the clip of a job (a row as a dict) to an open file. It may ask whether the run was cancelled, and raise Cancelled.
 Cutter = Callable[[dict[str, Any], BinaryIO, Callable[[], bool]], None]
+#: So many jobs share a file of markers, which is written again after so many seconds.
+SLICE, FLUSH_SEC = 200, 1.0
 MARKER = "clip_id string, path string, file_size_bytes long, sha256 string"
 RESULT = f"{MARKER}, outcome string, error string"
 
@@ -58,51 +65,103 @@ def _there(where, path: str) -> bool:
     return where.get_file_info(path).type == fs.FileType.File
 
 
+class _Late:
+    """A file that is made at the first write, so that a provider that fails before costs none."""
+
+    def __init__(self, where, path: str):
+        self.where, self.path, self.out = where, path, None
+
+    def write(self, chunk: bytes) -> int:
+        if self.out is None:
+            self.out = self.where.open_output_stream(self.path)
+        return self.out.write(chunk)
+
+    def close(self) -> None:
+        self.write(b"")
+        self.out.close()
+
+
 def _put(where, place: str, write: Callable[[BinaryIO], Any]) -> None:
     """Write a file beside its place and rename it; a staged file that isn't whole is deleted."""
-    staged = f"{place}.{uuid.uuid4().hex[:8]}.staged"
+    staged = _Late(where, f"{place}.{uuid.uuid4().hex[:8]}.staged")
     try:
-        with where.open_output_stream(staged) as out:
-            named = write(out) or place
-        where.move(staged, named)
-    finally:
-        if _there(where, staged):
-            where.delete_file(staged)
-
-
-def _cut_one(job: dict[str, Any], folder: str, log: str, cutter: Cutter, suffix: str) -> tuple:
+        named = write(staged) or place
+        staged.close()
+        where.move(staged.path, named)
+    except BaseException:
+        if staged.out is not None:
+            staged.out.close()
+            if _there(where, staged.path):
+                where.delete_file(staged.path)
+        raise
+
+
+def _marked(logs, place: str) -> dict[str, dict[str, Any]]:
+    """What a file of markers says of each clip."""
+    if not _there(logs, place):
+        return {}
+    with logs.open_input_stream(place) as f:
+        return {m["clip_id"]: m for m in map(json.loads, f.read().splitlines())}
+
+
+def _cut_slice(jobs: list[dict[str, Any]], folder: str, log: str, cutter: Cutter, suffix: str) -> list[tuple]:
+    """A row as in RESULT for each job, in their order."""
     where, home = _open(folder)
     logs, notes = _open(log)
-    clip, name = job["clip_id"], _name(job["clip_id"])
-    marker = f"{notes}/markers/{name}.json"
+    ids = sorted({job["clip_id"] for job in jobs})
+    place = f"{notes}/markers/{hashlib.sha256(json.dumps(ids).encode()).hexdigest()[:32]}.json"
+    known, fresh, flushed = _marked(logs, place), {}, time.monotonic()
     cancelled = lambda: _there(logs, f"{notes}/cancel")
-    if _there(logs, marker):
-        with logs.open_input_stream(marker) as f:
-            found = json.loads(f.read())
-        at, path = _open(found["path"])
-        if at.get_file_info(path).size == found["file_size_bytes"]:
-            return clip, found["path"], found["file_size_bytes"], found["sha256"], "found", None
-    if cancelled():
-        return clip, None, None, None, "cancelled", None
-    made: dict[str, Any] = {}
-
-    def write(out: BinaryIO) -> str:
-        hashed = _Hashed(out)
-        cutter(job, hashed, cancelled)
-        content = hashed.sha.hexdigest()
-        made.update(clip_id=clip, path=f"{folder}/{name}-{content[:12]}{suffix}", file_size_bytes=hashed.size, sha256=content)
-        return f"{home}/{name}-{content[:12]}{suffix}"
 
+    def flush() -> None:
+        # A twin may have added to the file meanwhile: its markers stand but for the clips that this attempt has cut too.
+        lines = "\n".join(json.dumps(m) for m in (_marked(logs, place) | fresh).values())
+        _put(logs, place, lambda out: out.write(lines.encode()) and None)
+
+    def one(job: dict[str, Any]) -> tuple:
+        clip, name = job["clip_id"], _name(job["clip_id"])
+        if found := fresh.get(clip) or known.get(clip):
+            at, path = _open(found["path"])
+            if at.get_file_info(path).size == found["file_size_bytes"]:
+                return clip, found["path"], found["file_size_bytes"], found["sha256"], "found", None
+        if cancelled():
+            return clip, None, None, None, "cancelled", None
+        made: dict[str, Any] = {}
+
+        def write(out: BinaryIO) -> str:
+            hashed = _Hashed(out)
+            cutter(job, hashed, cancelled)
+            content = hashed.sha.hexdigest()
+            made.update(clip_id=clip, path=f"{folder}/{name}-{content[:12]}{suffix}", file_size_bytes=hashed.size, sha256=content)
+            return f"{home}/{name}-{content[:12]}{suffix}"
+
+        try:
+            _put(where, f"{home}/{name}", write)
+        except Cancelled:
+            return clip, None, None, None, "cancelled", None
+        except Exception as e:  # whatever a provider raises is this clip's failure, not the run's
+            return clip, None, None, None, "failed", f"{type(e).__name__}: {e}"[:2000]
+        fresh[clip] = made
+        return *made.values(), "cut", None
+
+    where.create_dir(home, recursive=True)
+    logs.create_dir(f"{notes}/markers", recursive=True)
+    rows, pending = [], 0
     try:
-        where.create_dir(home, recursive=True)
-        logs.create_dir(f"{notes}/markers", recursive=True)
-        _put(where, f"{home}/{name}", write)
-        _put(logs, marker, lambda out: out.write(json.dumps(made).encode()) and None)
-    except Cancelled:
-        return clip, None, None, None, "cancelled", None
-    except Exception as e:  # whatever a provider raises is this clip's failure, not the run's
-        return clip, None, None, None, "failed", f"{type(e).__name__}: {e}"[:2000]
-    return *made.values(), "cut", None
+        for job in jobs:
+            rows.append(one(job))
+            pending += rows[-1][4] == "cut"
+            if pending and time.monotonic() - flushed >= FLUSH_SEC:
+                flush()
+                pending, flushed = 0, time.monotonic()
+    finally:  # a task that is told to end still says what it has cut
+        if pending:
+            flush()
+    return rows
+
+
+def _cut_one(job: dict[str, Any], folder: str, log: str, cutter: Cutter, suffix: str) -> tuple:
+    return _cut_slice([job], folder, log, cutter, suffix)[0]
 
 
 def finished(spark: SparkSession, log: str) -> DataFrame:
@@ -119,8 +178,8 @@ def cut_clips(jobs: DataFrame, folder: str, log: str, cutter: Cutter, suffix: st
 
     Outcomes: ``cut``, ``found`` (another attempt had finished it), ``failed`` and ``cancelled``; the last two leave no file
     and no marker, so the next run takes them up again. The result is lazy like any table: each time it is read, tasks look at the
-    markers first. Defined cases: jobs without an id are left out, of jobs that repeat an id each is looked at in turn or replaces the other's
-    marker by its own; an empty table does nothing.
+    markers of their slices first. Defined cases: jobs without an id are left out, of jobs that repeat an id each is looked at in turn; where
+    they lie in several slices, both cut it and either's marker counts; an empty table does nothing.
     """
     spark = jobs.sparkSession
     todo = jobs.filter("clip_id is not null").join(finished(spark, log).select("clip_id"), "clip_id", "left_anti").select(*jobs.columns)
@@ -128,9 +187,9 @@ def cut_clips(jobs: DataFrame, folder: str, log: str, cutter: Cutter, suffix: st
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for job in part.to_dict("records"):
-                row = _cut_one(job, folder, log, cutter, suffix)
-                yield pd.DataFrame([row], columns=kind.names, dtype=object)
+            jobs_ = part.to_dict("records")
+            for i in range(0, len(jobs_), SLICE):
+                yield pd.DataFrame(_cut_slice(jobs_[i : i + SLICE], folder, log, cutter, suffix), columns=kind.names, dtype=object)
 
     return todo.mapInPandas(run, kind)
 

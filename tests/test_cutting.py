@@ -127,3 +127,39 @@ def test_no_jobs_and_no_ids(spark, places):
     for t in (table, table.limit(0)):
         assert cutting.cut_clips(t, folder, log, lambda j, o, c: None).select(F.col("clip_id")).count() == 0
     assert cutting.finished(spark, log).count() == 0
+
+
+def test_short_clips_share_a_file_of_markers(spark, places, tmp_path):
+    folder, log = places
+    ids = [f"c{i}" for i in range(90)]
+    table = cutting.cut_clips(jobs(spark, ids), folder, log, told(f"{tmp_path}/a"))
+    assert {r.outcome for r in table.collect()} == {"cut"} and len(os.listdir(folder)) == 90
+    assert len(os.listdir(f"{log}/markers")) <= 3
+    check(spark, log, ids)
+    assert {r.outcome for r in table.collect()} == {"found"} and calls_of(f"{tmp_path}/a") == 90
+
+
+def test_a_slice_that_is_lost_keeps_what_it_had_cut(spark, places, monkeypatch):
+    folder, log = places
+    monkeypatch.setattr(cutting, "FLUSH_SEC", 0.0)
+    slice_ = [{"clip_id": c} for c in "abcd"]
+
+    def cutter(job, out, cancelled):
+        if job["clip_id"] == "c":
+            raise KeyboardInterrupt
+        out.write(f"content of {job['clip_id']}".encode())
+
+    with pytest.raises(KeyboardInterrupt):
+        cutting._cut_slice(slice_, folder, log, cutter, ".mp4")
+    check(spark, log, "ab")
+    assert len(os.listdir(folder)) == 2
+
+    def twin(job, out, cancelled):  # while this attempt cuts d, another one has cut c
+        if job["clip_id"] == "c":
+            raise OSError("no room")
+        if job["clip_id"] == "d":
+            cutting._cut_slice(slice_, folder, log, lambda j, o, c: o.write(f"content of {j['clip_id']}".encode()) and None, ".mp4")
+        out.write(f"content of {job['clip_id']}".encode())
+
+    assert [r[4] for r in cutting._cut_slice(slice_, folder, log, twin, ".mp4")] == ["found", "found", "failed", "cut"]
+    check(spark, log, "abcd")
