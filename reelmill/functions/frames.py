@@ -6,6 +6,7 @@ Decoding is left to a provider: these functions take frames as arrays of shape (
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,8 @@ LEAST_REGION, MOST_REGION, SMALL_REGION, BORDER, CROWD = 0.0008, 0.35, 0.012, 2,
 
 #: So many frames of a clip are enough, however many were asked for.
 LEAST_FRAMES = 8
+#: Clips of one size are measured together, so many bytes of pixels at a time; a larger clip is measured alone.
+TOGETHER = 1 << 20
 
 SIGNALS = (
     "activity_score motion_variation_score brightness_score low_light_score visual_variation_score foreground_occupancy_score persistence_score "
@@ -45,12 +48,13 @@ def sharpness(g: np.ndarray) -> float:
     return float((p[:-2, 1:-1] + p[2:, 1:-1] + p[1:-1, :-2] + p[1:-1, 2:] - 4 * p[1:-1, 1:-1]).var())
 
 
-def _around(mask: np.ndarray, fill: bool) -> Iterator[np.ndarray]:
-    p = np.pad(mask, 1, constant_values=fill)
-    h, w = mask.shape
+def _around(x: np.ndarray, fill: bool | int = 0) -> Iterator[np.ndarray]:
+    """Each of nine neighbours of every pixel; ``x`` is one image or a stack of them."""
+    p = np.pad(x, [(0, 0)] * (x.ndim - 2) + [(1, 1), (1, 1)], constant_values=fill)
+    h, w = x.shape[-2:]
     for i in range(3):
         for j in range(3):
-            yield p[i : i + h, j : j + w]
+            yield p[..., i : i + h, j : j + w]
 
 
 def erode(mask: np.ndarray) -> np.ndarray:
@@ -68,32 +72,31 @@ def motion_mask(delta: np.ndarray) -> np.ndarray:
 
 def regions(mask: np.ndarray) -> list[tuple[float, bool]]:
     """(share of the image, whether it reaches the border) of the connected regions of moderate size; corners connect."""
-    h, w = mask.shape
-    label = np.where(mask, np.arange(1, h * w + 1).reshape(h, w), 0)
+    _, share, edge = _regions(mask[None])
+    return [(float(x), bool(e)) for x, e in zip(share, edge, strict=True)]
+
+
+def _regions(masks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every region in a stack of masks: the image it is in, its share, and whether it reaches the border."""
+    k, h, w = masks.shape
+    label = np.where(masks, np.arange(1, k * h * w + 1).reshape(k, h, w), 0)
     while True:  # labels spread by a pixel, then jump to their label's label
-        spread = np.where(mask, np.maximum.reduce(list(_around_values(label))), 0)
+        spread = np.where(masks, np.maximum.reduce(list(_around(label))), 0)
         flat = np.concatenate(([0], spread.ravel()))
-        spread = np.where(mask, flat[spread], 0)
+        spread = np.where(masks, flat[spread], 0)
         if (spread == label).all():
             break
         label = spread
-    out = []
-    for v in np.unique(label[mask]):
-        y, x = np.nonzero(label == v)
-        share = len(y) / (h * w)
-        if LEAST_REGION <= share <= MOST_REGION:
-            out.append((share, bool(x.min() <= BORDER or y.min() <= BORDER or x.max() + 1 >= w - BORDER or y.max() + 1 >= h - BORDER)))
-    return out
-
-
-def _around_values(x: np.ndarray) -> Iterator[np.ndarray]:
-    p = np.pad(x, 1)
-    h, w = x.shape
-    for i in range(3):
-        for j in range(3):
-            yield p[i : i + h, j : j + w]
+    at, y, x = np.nonzero(masks)
+    found, of, size = np.unique(label[masks], return_inverse=True, return_counts=True)
+    edge = np.zeros(len(found), bool)
+    edge[of[(x <= BORDER) | (y <= BORDER) | (x + 1 >= w - BORDER) | (y + 1 >= h - BORDER)]] = True
+    share, image = size / (h * w), (found - 1) // (h * w)
+    kept = (share >= LEAST_REGION) & (share <= MOST_REGION)
+    return image[kept], share[kept], edge[kept]
 
 
+@lru_cache(64)
 def _shares(n: int, parts: int) -> np.ndarray:
     """How much of each of n pixels falls to each of ``parts`` equal stretches."""
     edge = np.linspace(0, n, parts + 1)
@@ -113,27 +116,44 @@ def histogram_distance(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.sqrt(max(0.0, 1 - np.sqrt(x * y).sum() / np.sqrt(x.sum() * y.sum()))))
 
 
+def _measures(frames: np.ndarray) -> list[dict]:
+    """What signals and key frames are made of, for each of a stack of clips: (clip, n, height, width, 3)."""
+    c, n, h, w = frames.shape[:4]
+    g = gray(frames)
+    flat = g.reshape(c * n, h, w)
+    p = np.pad(flat.astype(float), [(0, 0), (1, 1), (1, 1)], mode="reflect")
+    sharp = (p[:, :-2, 1:-1] + p[:, 2:, 1:-1] + p[:, 1:-1, :-2] + p[:, 1:-1, 2:] - 4 * p[:, 1:-1, 1:-1]).reshape(c * n, -1).var(1).reshape(c, n)
+    bright = flat.reshape(c * n, -1).mean(1).reshape(c, n)
+    delta = np.abs(g[:, :-1].astype(int) - g[:, 1:]).reshape(-1, h, w)
+    mask = motion_mask(delta) if len(delta) else delta > 0
+    image, share, edge = _regions(mask)
+    k = len(delta)
+    count = lambda which: np.bincount(image[which], minlength=k).reshape(c, n - 1)
+    by = lambda x: x.reshape(k, h * w).mean(1).reshape(c, n - 1)
+    pairs = {"delta": by(delta), "share": by(mask), "regions": count(slice(None)), "small": count(share <= SMALL_REGION), "edge": count(edge)}
+    return [{"gray": g[i], "sharp": sharp[i], "bright": bright[i], **{x: v[i] for x, v in pairs.items()}} for i in range(c)]
+
+
 def analyse(frames: np.ndarray) -> dict[str, float | str]:
     """The signals of one clip's frames, two at least."""
     if len(frames) < 2:
         raise ValueError("at least two frames are needed")
-    g = gray(frames)
-    bright = float(np.mean(g.reshape(len(g), -1).mean(1) / 255.0))
-    moves, shares, counts, small, edge, changes = [], [], [], [], [], []
-    for a, b in zip(g[:-1], g[1:], strict=True):
-        delta = np.abs(a.astype(int) - b)
-        moves.append(float(delta.mean() / MOVING))
-        mask = motion_mask(delta)
-        shares.append(float(mask.mean()))
-        found = regions(mask)
-        counts.append(len(found))
-        small.append(sum(r <= SMALL_REGION for r, _ in found) / max(1, len(found)))
-        edge.append(sum(e for _, e in found) / max(1, len(found)))
-        changes.append(histogram_distance(a, b))
+    return _signals(_measures(frames[None])[0])
+
+
+def _signals(m: dict) -> dict[str, float | str]:
+    g = m["gray"]
+    bright = float(np.mean(m["bright"] / 255.0))
+    moves, shares, counts = m["delta"] / MOVING, m["share"], m["regions"]
+    least = np.maximum(1, counts)
+    levels = (g >> 3).reshape(len(g), -1).astype(np.int64) + 32 * np.arange(len(g))[:, None]
+    tone = np.bincount(levels.ravel(), minlength=32 * len(g)).reshape(len(g), 32).astype(float)
+    x, y = tone[:-1], tone[1:]
+    changes = np.sqrt(np.maximum(0.0, 1 - np.sqrt(x * y).sum(1) / np.sqrt(x.sum(1) * y.sum(1))))
     crowd, occupied = unit(np.mean(counts) / CROWD), unit(np.mean(shares) * 2.0)
     values = [
-        unit(np.mean(moves)), unit(np.std(moves) * 2.5), bright, unit((0.38 - bright) / 0.30), unit(np.mean(changes) * 2.2), occupied, unit(sum(s >= BUSY_SHARE for s in shares) / len(shares)),
-        float(np.mean(counts)), unit(np.mean(small)), unit(0.55 * crowd + 0.45 * occupied), unit(np.mean(edge)), unit(1.0 - np.mean([sharpness(x) for x in g]) / SHARP), crowd, unit(np.percentile(moves, 90)),
+        unit(np.mean(moves)), unit(np.std(moves) * 2.5), bright, unit((0.38 - bright) / 0.30), unit(np.mean(changes) * 2.2), occupied, unit((shares >= BUSY_SHARE).sum() / len(shares)),
+        float(np.mean(counts)), unit(np.mean(m["small"] / least)), unit(0.55 * crowd + 0.45 * occupied), unit(np.mean(m["edge"] / least)), unit(1.0 - np.mean(m["sharp"]) / SHARP), crowd, unit(np.percentile(moves, 90)),
     ]
     return dict(zip(SIGNALS, values, strict=True)) | {"visual_signature": f"{difference_hash(g.astype(np.float32).mean(0).astype(np.uint8)):016x}"}
 
@@ -142,20 +162,22 @@ def key_frames(frames: np.ndarray, count: int = 5) -> tuple[list[int], list[str]
     """Three to five frames in order with why each was taken: the middle, the liveliest, the hardest, then the most unlike."""
     if not len(frames):
         raise ValueError("there are no frames")
-    wanted = min(len(frames), max(3, min(5, int(count))))
-    g = gray(frames)
+    return _chosen(_measures(frames[None])[0], count)
+
+
+def _chosen(m: dict, count: int) -> tuple[list[int], list[str]]:
+    g = m["gray"]
+    wanted = min(len(g), max(3, min(5, int(count))))
     hashes = [difference_hash(x) for x in g]
     event, hard = [], []
-    for i, x in enumerate(g):
+    for i in range(len(g)):
         active = occupied = edge = crowd = 0.0
         if i:
-            delta = np.abs(g[i - 1].astype(int) - x)
-            mask = motion_mask(delta)
-            found = regions(mask)
-            active, occupied = unit(delta.mean() / MOVING), unit(mask.mean() * 2.0)
-            edge, crowd = unit(sum(e for _, e in found) / max(1, len(found))), unit(len(found) / CROWD)
+            found = int(m["regions"][i - 1])
+            active, occupied = unit(m["delta"][i - 1] / MOVING), unit(m["share"][i - 1] * 2.0)
+            edge, crowd = unit(m["edge"][i - 1] / max(1, found)), unit(found / CROWD)
         event.append(0.55 * occupied + 0.45 * active)
-        hard.append(max(unit(1.0 - sharpness(x) / SHARP), unit((0.38 - x.mean() / 255.0) / 0.30), edge, crowd))
+        hard.append(max(unit(1.0 - m["sharp"][i] / SHARP), unit((0.38 - m["bright"][i] / 255.0) / 0.30), edge, crowd))
     why: dict[int, list[str]] = {}
     for i, reason in (((len(g) - 1) // 2, "OVERVIEW"), (int(np.argmax(event)), "EVENT_LIKELIHOOD"), (int(np.argmax(hard)), "HARD_CASE")):
         why.setdefault(i, []).append(reason)
@@ -166,19 +188,39 @@ def key_frames(frames: np.ndarray, count: int = 5) -> tuple[list[int], list[str]
     return order, ["+".join(why[i]) for i in order]
 
 
+def _stacks(pdf: pd.DataFrame, wanted: int | None) -> Iterator[tuple[list[str], np.ndarray | None]]:
+    """Clips of one shape with their frames, (clip, n, height, width, 3), and those that can't be analysed with None."""
+    open_: dict[tuple, tuple[list[str], list[np.ndarray]]] = {}
+    for r in pdf.itertuples():
+        try:
+            x = np.frombuffer(r.frames, np.uint8).reshape(r.n, r.height, r.width, 3)
+        except (ValueError, TypeError):  # one clip's bad frames are that clip's failure
+            yield [r.clip_id], None
+            continue
+        if len(x) < 2 or not x.size or (wanted is not None and len(x) < min(LEAST_FRAMES, wanted)):
+            yield [r.clip_id], None
+            continue
+        ids, clips = open_.setdefault(x.shape, ([], []))
+        ids.append(r.clip_id)
+        clips.append(x)
+        if len(clips) * x.nbytes >= TOGETHER:
+            yield ids, np.stack(clips)
+            del open_[x.shape]
+    for ids, clips in open_.values():
+        yield ids, np.stack(clips)
+
+
 def _each(keyframes: int, wanted: int | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for r in pdf.itertuples():
-                try:
-                    x = np.frombuffer(r.frames, np.uint8).reshape(r.n, r.height, r.width, 3)
-                    if wanted is not None and len(x) < min(LEAST_FRAMES, wanted):
-                        raise ValueError("too few frames were decoded")
-                    at, why = key_frames(x, keyframes)
-                    rows.append({"clip_id": r.clip_id, "signal_status": "COMPUTED", "keyframes": at, "keyframe_reasons": why, **analyse(x)})
-                except (ValueError, TypeError):  # one clip's bad frames are that clip's failure
-                    rows.append({"clip_id": r.clip_id, "signal_status": "FAILED"})
+            for ids, clips in _stacks(pdf, wanted):
+                if clips is None:
+                    rows += [{"clip_id": i, "signal_status": "FAILED"} for i in ids]
+                    continue
+                for i, m in zip(ids, _measures(clips), strict=True):
+                    at, why = _chosen(m, keyframes)
+                    rows.append({"clip_id": i, "signal_status": "COMPUTED", "keyframes": at, "keyframe_reasons": why, **_signals(m)})
             out = pd.DataFrame(rows).reindex(columns=["clip_id", "signal_status", *SIGNALS, "visual_signature", "keyframes", "keyframe_reasons"])
             for c in ("visual_signature", "keyframes", "keyframe_reasons"):
                 out[c] = pd.Series([None if isinstance(x, float) else x for x in out[c]], index=out.index, dtype=object)

@@ -638,11 +638,11 @@ def frame_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six small frames from each embedding, shifted by a row each, as one clip."""
     from ..functions.frames import analyse_clips
 
-    e = V.table(spark, sf_dir, "embeddings")
     byte = lambda x: F.lpad(F.hex(F.least(F.lit(255), F.greatest(F.lit(0), ((x + 1) * 127).cast("int")))), 2, "0")
-    pixels = F.transform("embedding", lambda x: F.repeat(byte(F.coalesce(x, F.lit(0.0))), 3))
-    shifted = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.concat(F.array_join(F.slice(pixels, i * 8 + 1, 64), ""), F.array_join(F.slice(pixels, 1, i * 8), "")))
-    clips_ = e.filter(F.size("embedding") == 64).select(F.col("vec_id").cast("string").alias("clip_id"), F.unhex(F.array_join(shifted, "")).alias("frames"), F.lit(6).alias("n"), F.lit(8).alias("height"), F.lit(8).alias("width"))
+    # A column of their own: within the lambda below they would be worked out for each frame.
+    e = V.table(spark, sf_dir, "embeddings").filter(F.size("embedding") == 64).select("vec_id", F.transform("embedding", lambda x: F.repeat(byte(F.coalesce(x, F.lit(0.0))), 3)).alias("pixels"))
+    shifted = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.concat(F.array_join(F.slice("pixels", i * 8 + 1, F.lit(64)), ""), F.array_join(F.slice("pixels", F.lit(1), i * 8), "")))
+    clips_ = e.select(F.col("vec_id").cast("string").alias("clip_id"), F.unhex(F.array_join(shifted, "")).alias("frames"), F.lit(6).alias("n"), F.lit(8).alias("height"), F.lit(8).alias("width"))
     return analyse_clips(clips_).select("clip_id", "signal_status", "activity_score", "brightness_score", "visual_signature", F.array_join("keyframe_reasons", ";").alias("reasons"))
 
 

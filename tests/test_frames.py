@@ -1,6 +1,7 @@
 """Signals of made-up frames."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from reelmill.functions import frames as V
@@ -52,6 +53,22 @@ def test_clips(spark):
     assert got["b"].signal_status == "FAILED" and got["b"].activity_score is None
 
 
+def test_clips_of_one_batch_are_measured_together(monkeypatch):
+    """Clips of several sizes and lengths, bad ones among them: each has the signals it has alone, and masks are made for stacks."""
+    rng = np.random.default_rng(4)
+    clips = {f"c{i}": made_up(rng, 2 + i % 3, *((9, 12) if i % 2 else (16, 10))) for i in range(40)}
+    rows = [(c, x.tobytes(), *x.shape[:3]) for c, x in clips.items()] + [("short", b"xx", 3, 8, 8), ("none", None, 3, 8, 8), ("one", bytes(192), 1, 8, 8)]
+    calls, plain = [], V.motion_mask
+    monkeypatch.setattr(V, "motion_mask", lambda d: calls.append(len(d)) or plain(d))
+    (out,) = V._each(5, None)(iter([pd.DataFrame(rows, columns=["clip_id", "frames", "n", "height", "width"])]))
+    assert len(calls) == 6
+    got = out.set_index("clip_id")
+    assert set(got.index[got.signal_status == "FAILED"]) == {"short", "none", "one"}
+    for c, x in clips.items():
+        assert {**V.analyse(x)} == {k: got.loc[c, k] for k in (*V.SIGNALS, "visual_signature")}
+        assert V.key_frames(x) == (got.loc[c, "keyframes"], got.loc[c, "keyframe_reasons"])
+
+
 def frame_table(spark, clips):
     rows = [(c, n, *f.shape[:2], bytearray(f.tobytes())) for c, fs in clips.items() for n, f in fs]
     return spark.createDataFrame(rows, "clip_id string, frame_no long, height int, width int, pixels binary").repartition(3)
