@@ -299,7 +299,9 @@ def cross_issues(clips: DataFrame, cameras: DataFrame, zone_documents: DataFrame
 
     add(clips.agg(F.count(F.lit(1)).alias("n")).filter("n = 0"), "no_clips", F.lit(""))
     for name, rows, key in (("clip", clips, "clip_id"), ("event", events, "event_id"), ("split", splits, "clip_id")):
-        add(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), f"duplicate_{name}", key)
+        # As many tasks as shuffles have: ids pack so well that adaptive execution would put millions of groups into one task.
+        spread = rows.select(key).repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+        add(spread.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), f"duplicate_{name}", key)
     src = sources.groupBy(F.col("source_video_id").alias("_s")).agg(F.max("selected").alias("_selected"))
     own = clips.join(src, F.col("source_video_id") == F.col("_s"), "left")
     add(own.filter("_s is null"), "missing_source", "clip_id")
